@@ -18,3 +18,13 @@ def exact_avg(c: str | Column) -> Column:
     """Exact sum divided by the count of non-null values (NULL when none)."""
     col = F.col(c) if isinstance(c, str) else c
     return F.sum(col.cast(MONEY)).cast("double") / F.count(col)
+
+
+# Fixed value: precision used to average ratios exactly.
+RATIO = "decimal(38,10)"
+
+
+def exact_mean(c: str | Column) -> Column:
+    """Mean of a double column summed as decimal(38,10): the same answer in any row order."""
+    col = F.col(c) if isinstance(c, str) else c
+    return F.sum(col.cast(RATIO)).cast("double") / F.count(col)

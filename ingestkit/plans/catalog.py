@@ -221,3 +221,69 @@ QUERIES = {
     "scd2_invariants": scd2_invariants,
     "scd3": scd3_query,
 }
+
+
+# --- audit ----------------------------------------------------------------------
+
+from ..operators import audit as A  # noqa: E402
+
+
+def audit_latest_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.latest_state(D.run_events(spark, sf_dir))
+
+
+def audit_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.batch_history(A.latest_state(D.run_events(spark, sf_dir)), source="click", limit=100)
+
+
+def audit_failed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.failed_batches(A.latest_state(D.run_events(spark, sf_dir)), D.AUDIT_AS_OF, hours=24)
+
+
+def audit_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.pipeline_metrics(A.latest_state(D.run_events(spark, sf_dir)), D.AUDIT_AS_OF, days=30)
+
+
+def audit_dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.dq_summary(D.quality_rows(spark, sf_dir), D.AUDIT_AS_OF, days=7)
+
+
+def audit_dq_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.dq_failure_rate(D.quality_rows(spark, sf_dir))
+
+
+def audit_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.retain(D.run_events(spark, sf_dir), "run_start_time", D.AUDIT_AS_OF, days=10).where(F.col("event_seq") == 1)
+
+
+def watermark_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A7 + F2: the first load commits its high-water mark; the next incremental read
+    starts one day before it (strict >), so late rows inside the buffer are read again."""
+    from ..sources.files import incremental_filter
+
+    orders = read(spark, sf_dir, "orders")
+    first = D.between(orders, "o_orderdate", None, D.CUTOFF)
+    log = AuditLogFor(spark)
+    log.ensure()
+    wm = first.agg(F.max("o_orderdate").alias("wm")).first()["wm"]
+    log.log_batch_success("b1", "crm_system", "orders", read=0, written=0, at=D.RUN_TS, watermark=wm)
+    mark = A.high_water_mark(log.runs(), "crm_system", "orders").first()["watermark"]
+    return incremental_filter(orders, "o_orderdate", mark, lookback_seconds=86400)
+
+
+def AuditLogFor(spark: SparkSession) -> "A.AuditLog":
+    return A.AuditLog(spark, scratch_path(spark, "audit"))
+
+
+QUERIES.update(
+    {
+        "audit_latest_state": audit_latest_state,
+        "audit_history": audit_history,
+        "audit_failed": audit_failed,
+        "audit_metrics": audit_metrics,
+        "audit_dq_summary": audit_dq_summary,
+        "audit_dq_rate": audit_dq_rate,
+        "audit_retention": audit_retention,
+        "watermark_lookback": watermark_lookback,
+    }
+)

@@ -52,3 +52,60 @@ ORDERS_TABLE = ResolvedTable(
     TableSpec("orders", source_table="public.orders", primary_key=("o_orderkey",), incremental_column="o_orderdate", load_type="incremental"),
 )
 CUSTOMERS_TABLE = ResolvedTable(CRM, TableSpec("customers", source_table="public.customer", primary_key=("c_custkey",), scd_type="SCD2"))
+
+
+AUDIT_AS_OF = "2024-01-31 00:00:00"
+
+
+def run_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run log derived from events: every event is one load run with three state
+    events (RUNNING, RUNNING with counts, then SUCCESS, or FAILED for 'error' events)."""
+    ev = read(spark, sf_dir, "events")
+    read_n = F.round(F.col("value") * 100).cast("bigint")
+    written = F.greatest(read_n - F.col("user_id"), F.lit(0)).cast("bigint")
+    end = F.timestamp_add("MILLISECOND", F.round(F.col("value") * 1000).cast("bigint"), F.col("ts"))
+    failed = F.col("event_type") == "error"
+    none_ts = F.lit(None).cast("timestamp_ntz")
+    none_l = F.lit(None).cast("bigint")
+    none_s = F.lit(None).cast("string")
+    states = F.array(
+        F.struct(F.lit(1).alias("event_seq"), F.col("ts").alias("run_start_time"), none_ts.alias("run_end_time"),
+                 F.lit("RUNNING").alias("status"), none_l.alias("records_read"), none_l.alias("records_written"),
+                 none_s.alias("error_message"), none_ts.alias("watermark_value")),
+        F.struct(F.lit(2).alias("event_seq"), none_ts.alias("run_start_time"), none_ts.alias("run_end_time"),
+                 F.lit("RUNNING").alias("status"), read_n.alias("records_read"), none_l.alias("records_written"),
+                 none_s.alias("error_message"), none_ts.alias("watermark_value")),
+        F.struct(F.lit(3).alias("event_seq"), none_ts.alias("run_start_time"), end.alias("run_end_time"),
+                 F.when(failed, F.lit("FAILED")).otherwise(F.lit("SUCCESS")).alias("status"),
+                 read_n.alias("records_read"), F.when(failed, F.lit(0).cast("bigint")).otherwise(written).alias("records_written"),
+                 F.when(failed, F.concat(F.lit("error event "), F.col("event_id").cast("string"))).alias("error_message"),
+                 F.when(~failed, F.col("ts")).alias("watermark_value")),
+    )
+    return ev.select(
+        F.concat(F.lit("batch_"), F.col("event_id").cast("string")).alias("batch_id"),
+        F.col("event_type").alias("source_name"),
+        F.concat(F.lit("t"), F.col("user_id").cast("string")).alias("table_name"),
+        F.inline(states),
+    )
+
+
+def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality log derived from the run log: two rule rows per run."""
+    ev = read(spark, sf_dir, "events")
+    checked = F.round(F.col("value") * 100).cast("bigint")
+    err_failed = F.least(F.col("user_id"), checked).cast("bigint")
+    warn_failed = F.least(F.col("event_id") % 5, checked).cast("bigint")
+    at = F.timestamp_add("MILLISECOND", F.round(F.col("value") * 1000).cast("bigint"), F.col("ts"))
+
+    def row(name, sev, failed):
+        pct = F.when(checked > 0, failed.cast("double") * 100.0 / checked).otherwise(F.lit(0.0))
+        return F.struct(F.lit(name).alias("rule_name"), F.lit(sev).alias("severity"), failed.alias("records_failed"), pct.alias("failure_percentage"))
+
+    return ev.select(
+        F.concat(F.lit("batch_"), F.col("event_id").cast("string")).alias("batch_id"),
+        F.col("event_type").alias("source_name"),
+        F.concat(F.lit("t"), F.col("user_id").cast("string")).alias("table_name"),
+        at.alias("check_timestamp"),
+        checked.alias("records_checked"),
+        F.inline(F.array(row("not_null__user_id", "error", err_failed), row("positive_value__value", "warn", warn_failed))),
+    )

@@ -172,4 +172,78 @@ SELECT l.customer_id, l.status, l.priority, l.updated_at, l.seq_key,
 FROM m l LEFT JOIN sc ON l.customer_id = sc.customer_id AND sc.r = 1
 LEFT JOIN pc ON l.customer_id = pc.customer_id AND pc.r = 1
 WHERE l.rl = 1"""
+    q.update(audit_sql())
+    return q
+
+
+RUNS = """
+WITH runs AS (
+  SELECT 'batch_' || CAST(event_id AS VARCHAR) AS batch_id, event_type AS source_name,
+         't' || CAST(user_id AS VARCHAR) AS table_name, ts AS run_start_time,
+         ts + to_milliseconds(CAST(round(value * 1000) AS BIGINT)) AS run_end_time,
+         CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+         CAST(round(value * 100) AS BIGINT) AS records_read,
+         CASE WHEN event_type = 'error' THEN CAST(0 AS BIGINT)
+              ELSE CAST(greatest(CAST(round(value * 100) AS BIGINT) - user_id, 0) AS BIGINT) END AS records_written,
+         CASE WHEN event_type = 'error' THEN 'error event ' || CAST(event_id AS VARCHAR) END AS error_message,
+         CASE WHEN event_type <> 'error' THEN ts END AS watermark_value
+  FROM events),
+state AS (SELECT *, records_read - records_written AS records_failed,
+                 CAST(floor(date_diff('microsecond', run_start_time, run_end_time) / 1000) AS BIGINT) AS execution_duration_ms
+          FROM runs)
+"""
+
+QROWS = """
+WITH base AS (
+  SELECT 'batch_' || CAST(event_id AS VARCHAR) AS batch_id, event_type AS source_name,
+         't' || CAST(user_id AS VARCHAR) AS table_name,
+         ts + to_milliseconds(CAST(round(value * 1000) AS BIGINT)) AS check_timestamp,
+         CAST(round(value * 100) AS BIGINT) AS records_checked, user_id, event_id FROM events),
+q AS (
+  SELECT *, least(user_id, records_checked) AS records_failed, 'not_null__user_id' AS rule_name, 'error' AS severity FROM base
+  UNION ALL
+  SELECT *, least(event_id % 5, records_checked), 'positive_value__value', 'warn' FROM base),
+qr AS (SELECT *, CASE WHEN records_checked > 0 THEN CAST(records_failed AS DOUBLE) * 100.0 / records_checked ELSE 0.0 END
+                  AS failure_percentage FROM q)
+"""
+
+MEAN_PCT = "CAST(sum(CAST(failure_percentage AS DECIMAL(38,10))) AS DOUBLE) / count(failure_percentage)"
+
+
+def audit_sql() -> dict[str, str]:
+    since = lambda n, unit: f"TIMESTAMP '{D.AUDIT_AS_OF}' - INTERVAL {n} {unit}"
+    q = {}
+    q["audit_latest_state"] = RUNS + "SELECT * FROM state"
+    q["audit_history"] = RUNS + "SELECT * FROM state WHERE source_name = 'click' ORDER BY run_start_time DESC LIMIT 100"
+    q["audit_failed"] = RUNS + f"""
+SELECT batch_id, source_name, table_name, run_start_time, run_end_time, error_message, execution_duration_ms
+FROM state WHERE status = 'FAILED' AND run_start_time >= {since(24, 'HOURS')} ORDER BY run_start_time DESC"""
+    q["audit_metrics"] = RUNS + f"""
+SELECT count(*) AS total_batches,
+       CAST(count_if(status = 'SUCCESS') AS BIGINT) AS successful_batches,
+       CAST(count_if(status = 'FAILED') AS BIGINT) AS failed_batches,
+       CAST(sum(records_read) AS BIGINT) AS total_records_read,
+       CAST(sum(records_written) AS BIGINT) AS total_records_written,
+       avg(execution_duration_ms) AS avg_duration_ms,
+       CASE WHEN count(*) > 0 THEN CAST(count_if(status = 'SUCCESS') AS DOUBLE) * 100.0 / count(*) ELSE 0.0 END AS success_rate
+FROM state WHERE run_start_time >= {since(30, 'DAYS')}"""
+    q["audit_dq_summary"] = QROWS + f"""
+SELECT source_name, table_name, rule_name, count(*) AS total_checks,
+       CAST(sum(records_checked) AS BIGINT) AS total_records_checked,
+       CAST(sum(records_failed) AS BIGINT) AS total_records_failed,
+       {MEAN_PCT} AS avg_failure_percentage,
+       CAST(count_if(severity = 'error') AS BIGINT) AS error_count,
+       CAST(count_if(severity = 'warn') AS BIGINT) AS warn_count
+FROM qr WHERE check_timestamp >= {since(7, 'DAYS')} GROUP BY 1, 2, 3"""
+    q["audit_dq_rate"] = QROWS + f"SELECT source_name, table_name, rule_name, {MEAN_PCT} AS avg_failure_rate FROM qr GROUP BY 1, 2, 3"
+    q["audit_retention"] = f"""
+SELECT 'batch_' || CAST(event_id AS VARCHAR) AS batch_id, event_type AS source_name,
+       't' || CAST(user_id AS VARCHAR) AS table_name, 1 AS event_seq, ts AS run_start_time,
+       CAST(NULL AS TIMESTAMP) AS run_end_time, 'RUNNING' AS status, CAST(NULL AS BIGINT) AS records_read,
+       CAST(NULL AS BIGINT) AS records_written, CAST(NULL AS VARCHAR) AS error_message,
+       CAST(NULL AS TIMESTAMP) AS watermark_value
+FROM events WHERE ts >= {since(10, 'DAYS')}"""
+    q["watermark_lookback"] = f"""
+SELECT * FROM orders
+WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '{D.CUTOFF}') - INTERVAL 1 DAY"""
     return q
