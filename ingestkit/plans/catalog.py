@@ -287,3 +287,117 @@ QUERIES.update(
         "watermark_lookback": watermark_lookback,
     }
 )
+
+
+# --- sources --------------------------------------------------------------------
+
+from ..sources import files as S  # noqa: E402
+from ..sources import kafka as K  # noqa: E402
+from ..streaming import ingest as T  # noqa: E402
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def src_csv_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """customer landed as '|'-delimited CSV with a header, next to decoy JSON files."""
+    cust = read(spark, sf_dir, "customer")
+    land = scratch_path(spark, "landing_csv")
+    cust.write.option("header", "true").option("delimiter", "|").csv(land)
+    cust.write.mode("append").json(land)
+    return S.read_files(spark, land, "csv", {"header": "true", "delimiter": "|"}, schema=_ddl(cust), file_pattern="*.csv")
+
+
+def src_json_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part landed as JSON array files (one array spread over many lines per file)."""
+    part = read(spark, sf_dir, "part")
+    land = scratch_path(spark, "landing_json")
+    S.write_json_arrays(part, land)
+    return S.read_files(spark, land, "json", {"multiLine": "true"}, schema=_ddl(part))
+
+
+def src_file_glob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """orders as parquet mixed with decoy CSV files; only *.parquet is read."""
+    orders = read(spark, sf_dir, "orders")
+    land = scratch_path(spark, "landing_glob")
+    orders.write.parquet(land)
+    orders.write.mode("append").csv(land)
+    return S.read_files(spark, land, "parquet", file_pattern="*.parquet")
+
+
+EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def src_files_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in two drops, two availableNow runs on one checkpoint."""
+    ev = read(spark, sf_dir, "events")
+    land, out, ckpt = (scratch_path(spark, n) for n in ("landing_events", "bronze_events", "ckpt_events"))
+    sink, _ = T.bronze_sink(out, name="events")
+    D.between(ev, "ts", None, D.EVENTS_SPLIT).write.parquet(land)
+    T.run_available_now(S.stream_files(spark, land, EVENT_SCHEMA), ckpt, sink, "events_drop_1")
+    D.between(ev, "ts", D.EVENTS_SPLIT, None).write.mode("append").parquet(land)
+    T.run_available_now(S.stream_files(spark, land, EVENT_SCHEMA), ckpt, sink, "events_drop_2")
+    return T.read_bronze(spark, out).drop("_batch_id")
+
+
+def src_kafka_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events as a Kafka topic dump (binary JSON values), parsed back with a schema."""
+    ev = read(spark, sf_dir, "events")
+    dump = scratch_path(spark, "topic_user_events")
+    K.to_envelope(ev, "user_events", "event_id", "ts").write.parquet(dump)
+    parsed = K.parse_json_envelope(spark.read.parquet(dump), EVENT_SCHEMA)
+    return parsed.withColumn("kafka_timestamp", F.col("kafka_timestamp").cast("timestamp_ntz"))
+
+
+# --- streaming ------------------------------------------------------------------
+
+def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The change log arrives as three file drops; each micro-batch is merged."""
+    log = D.customer_changes(spark, sf_dir)
+    land, ckpt = scratch_path(spark, "landing_changes"), scratch_path(spark, "ckpt_changes")
+    table = SnapshotTable(spark, scratch_path(spark, "silver_customers_stream"))
+    sink = T.scd2_sink(table, KEYS, TRACKED, ORDER)
+    schema = _ddl(log)
+    for i, (_, lo, hi) in enumerate(D.SCD2_BATCHES):
+        D.between(log, "updated_at", lo, hi).write.mode("append").parquet(land)
+        T.run_available_now(S.stream_files(spark, land, schema), ckpt, sink, f"changes_drop_{i}")
+    return table.read().drop("_scd_batch_id")
+
+
+STREAM_RULES = [Rule("value_above_one", "value > 1", "error", ("value",), "RANGE")]
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: rule value > 1 splits each micro-batch into bronze and quarantine in one write."""
+    ev = read(spark, sf_dir, "events")
+    land, out, ckpt = (scratch_path(spark, n) for n in ("landing_q", "bronze_q", "ckpt_q"))
+    ev.write.parquet(land)
+    sink, _ = T.bronze_sink(out, STREAM_RULES, name="events_q")
+    T.run_available_now(S.stream_files(spark, land, EVENT_SCHEMA, max_files_per_trigger=2), ckpt, sink, "events_q")
+    return T.read_bronze(spark, out).drop("_batch_id")
+
+
+def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events plus repeated copies of the click events; duplicates within 10 minutes dropped."""
+    ev = read(spark, sf_dir, "events")
+    land, out, ckpt = (scratch_path(spark, n) for n in ("landing_dup", "dedup_events", "ckpt_dup"))
+    ev.unionByName(ev.where(F.col("event_type") == "click")).write.parquet(land)
+    stream = S.stream_files(spark, land, EVENT_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
+    deduped = T.dedup_within_watermark(stream, "ts", ["event_id"], "10 minutes")
+    T.run_available_now(deduped, ckpt, T.append_sink(out), "events_dedup")
+    return spark.read.parquet(out).drop("_batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+QUERIES.update(
+    {
+        "src_csv_options": src_csv_options,
+        "src_json_multiline": src_json_multiline,
+        "src_file_glob": src_file_glob,
+        "src_files_incremental": src_files_incremental,
+        "src_kafka_json": src_kafka_json,
+        "scd2_stream": scd2_stream,
+        "stream_quarantine": stream_quarantine,
+        "stream_dedup": stream_dedup,
+    }
+)

@@ -173,6 +173,16 @@ FROM m l LEFT JOIN sc ON l.customer_id = sc.customer_id AND sc.r = 1
 LEFT JOIN pc ON l.customer_id = pc.customer_id AND pc.r = 1
 WHERE l.rl = 1"""
     q.update(audit_sql())
+    q["src_csv_options"] = "SELECT * FROM customer"
+    q["src_json_multiline"] = "SELECT * FROM part"
+    q["src_file_glob"] = "SELECT * FROM orders"
+    q["src_files_incremental"] = "SELECT * FROM events"
+    q["src_kafka_json"] = """
+SELECT *, ts AS kafka_timestamp, 'user_events' AS topic, 0 AS "partition", event_id AS "offset",
+       CAST(NULL AS VARCHAR) AS _corrupt_record FROM events"""
+    q["scd2_stream"] = SCD2 + "SELECT * FROM hist"
+    q["stream_quarantine"] = "SELECT * FROM events WHERE value > 1"
+    q["stream_dedup"] = "SELECT * FROM events"
     return q
 
 

@@ -90,3 +90,34 @@ def stream_files(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)
+
+
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """Land rows as multi-line JSON files: each output file holds one JSON array.
+
+    Spark renders each row as JSON; a per-partition step only adds the brackets
+    and commas, streaming through the partition in Arrow batches.
+    """
+    from ..sources.kafka import JSON_TS
+
+    lines = df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_TS).alias("value"))
+
+    def frame(batches):
+        import pandas as pd
+
+        pending, first = None, True
+        for pdf in batches:
+            vals = pdf["value"].tolist()
+            if not vals:
+                continue
+            if pending is not None:
+                vals.insert(0, pending)
+            pending = vals.pop()
+            if vals:
+                out = [("[" if first and i == 0 else ",") + v for i, v in enumerate(vals)]
+                first = False
+                yield pd.DataFrame({"value": out})
+        if pending is not None:
+            yield pd.DataFrame({"value": [("[" if first else ",") + pending + "]"]})
+
+    lines.mapInPandas(frame, "value string").write.text(path)

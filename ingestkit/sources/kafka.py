@@ -16,6 +16,8 @@ ENVELOPE_SCHEMA = (
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
 )
 CORRUPT = "_corrupt_record"
+# Fixed value: JSON timestamp text keeps microseconds.
+JSON_TS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def kafka_options(connection: dict, topic: str, starting_offsets: str = "latest", extra: dict | None = None) -> dict[str, str]:
@@ -58,7 +60,7 @@ def parse_json_envelope(envelope: DataFrame, schema: StructType | str, keep_corr
     in ``_corrupt_record`` so a quality rule can send them to quarantine.
     """
     text = F.col("value").cast("string")
-    opts = {"mode": "PERMISSIVE"}
+    opts = {"mode": "PERMISSIVE", **JSON_TS}
     parsed = F.from_json(text, schema, opts).alias("data")
     out = envelope.select(
         parsed,
@@ -80,7 +82,7 @@ def to_envelope(df: DataFrame, topic: str, key: str, ts: str) -> DataFrame:
     """Rows as Kafka envelopes (value = JSON of the row), e.g. to land a table as a topic dump."""
     return df.select(
         F.col(key).cast("string").cast("binary").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in df.columns])).cast("binary").alias("value"),
+        F.to_json(F.struct(*[F.col(c) for c in df.columns]), JSON_TS).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
         F.lit(0).alias("partition"),
         F.col(key).cast("bigint").alias("offset"),
