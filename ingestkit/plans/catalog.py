@@ -401,3 +401,39 @@ QUERIES.update(
         "stream_dedup": stream_dedup,
     }
 )
+
+
+# --- drift and lineage ----------------------------------------------------------
+
+from ..operators import drift, lineage  # noqa: E402
+
+
+def json_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.json_key_drift(D.drifting_events(spark, sf_dir), "props", "ts", "day")
+
+
+def lineage_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = D.yearly_counts(spark, sf_dir)
+    return lineage.reconcile(
+        c.select("batch_id", F.col("n_source").alias("source_record_count")),
+        c.select("batch_id", F.col("n_silver").alias("target_record_count")),
+        ["batch_id"],
+    )
+
+
+def lineage_hops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineage.two_hops(D.lineage_edges(spark, sf_dir))
+
+
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lineage.dq_report(D.quality_rows(spark, sf_dir), D.AUDIT_AS_OF, days=7, top=20)
+
+
+QUERIES.update(
+    {
+        "json_drift": json_drift,
+        "lineage_reconcile": lineage_reconcile,
+        "lineage_hops": lineage_hops,
+        "dq_report": dq_report,
+    }
+)

@@ -109,3 +109,42 @@ def quality_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         checked.alias("records_checked"),
         F.inline(F.array(row("not_null__user_id", "error", err_failed), row("positive_value__value", "warn", warn_failed))),
     )
+
+
+# The lineage edges of the orders and customer loads.
+EDGES = (
+    ("orders", "bronze_orders"),
+    ("bronze_orders", "silver_orders"),
+    ("silver_orders", "gold_daily_order_metrics"),
+    ("silver_orders", "gold_customer_orders_summary"),
+)
+BIG_ORDER = 100000.0
+DRIFT_FROM = "2024-01-15"
+
+
+def yearly_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per load (one per order year): rows read, and rows kept by the silver rule."""
+    o = read(spark, sf_dir, "orders")
+    return o.groupBy(F.concat(F.lit("batch_"), F.year("o_orderdate").cast("string")).alias("batch_id")).agg(
+        F.count(F.lit(1)).alias("n_source"),
+        F.count_if(F.col("o_totalprice") >= BIG_ORDER).alias("n_silver"),
+    )
+
+
+def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = yearly_counts(spark, sf_dir)
+    n = {"orders": "n_source", "bronze_orders": "n_source", "silver_orders": "n_silver",
+         "gold_daily_order_metrics": "n_silver", "gold_customer_orders_summary": "n_silver"}
+    edges = F.array(*[
+        F.struct(F.lit(s).alias("source_table"), F.lit(t).alias("target_table"),
+                 F.col(n[s]).alias("source_record_count"), F.col(n[t]).alias("target_record_count"))
+        for s, t in EDGES
+    ])
+    return counts.select("batch_id", F.inline(edges))
+
+
+def drifting_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events whose props gain a key from the middle of the month on."""
+    ev = read(spark, sf_dir, "events")
+    grown = F.replace(F.col("props"), F.lit("}"), F.concat(F.lit(', "v2": '), F.col("user_id").cast("string"), F.lit("}")))
+    return ev.withColumn("props", F.when(F.col("ts") >= F.lit(DRIFT_FROM).cast("timestamp_ntz"), grown).otherwise(F.col("props")))

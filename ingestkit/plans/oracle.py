@@ -183,6 +183,40 @@ SELECT *, ts AS kafka_timestamp, 'user_events' AS topic, 0 AS "partition", event
     q["scd2_stream"] = SCD2 + "SELECT * FROM hist"
     q["stream_quarantine"] = "SELECT * FROM events WHERE value > 1"
     q["stream_dedup"] = "SELECT * FROM events"
+    q["json_drift"] = f"""
+WITH ev AS (SELECT ts, CASE WHEN ts >= TIMESTAMP '{D.DRIFT_FROM}'
+                        THEN replace(props, '}}', ', "v2": ' || CAST(user_id AS VARCHAR) || '}}') ELSE props END AS props
+            FROM events),
+k AS (SELECT date_trunc('day', ts) AS period, unnest(json_keys(props)) AS json_key FROM ev),
+c AS (SELECT period, json_key, count(*) AS n_rows FROM k GROUP BY 1, 2),
+f AS (SELECT json_key, min(period) AS first_seen FROM c GROUP BY 1)
+SELECT c.json_key, c.period, c.n_rows, f.first_seen, c.period = f.first_seen AS is_new_key
+FROM c JOIN f ON c.json_key = f.json_key"""
+    yearly = f"""
+WITH y AS (SELECT 'batch_' || CAST(year(o_orderdate) AS VARCHAR) AS batch_id, count(*) AS n_source,
+                  CAST(count_if(o_totalprice >= {D.BIG_ORDER}) AS BIGINT) AS n_silver FROM orders GROUP BY 1)
+"""
+    q["lineage_reconcile"] = yearly + """
+SELECT batch_id, n_source AS source_record_count, n_silver AS target_record_count, n_source - n_silver AS difference,
+       CASE WHEN n_source = n_silver THEN 'OK' ELSE 'MISMATCH' END AS status FROM y"""
+    hops = []
+    n = {"orders": "n_source", "bronze_orders": "n_source", "silver_orders": "n_silver",
+         "gold_daily_order_metrics": "n_silver", "gold_customer_orders_summary": "n_silver"}
+    for a_src, a_tgt in D.EDGES:
+        for b_src, b_tgt in D.EDGES:
+            if a_tgt == b_src:
+                hops.append(f"SELECT batch_id, '{a_src}' AS upstream, '{a_tgt}' AS via, '{b_tgt}' AS downstream, "
+                            f"{n[a_src]} AS records_in, {n[b_tgt]} AS records_out FROM y")
+    q["lineage_hops"] = yearly + "\nUNION ALL\n".join(hops)
+    q["dq_report"] = QROWS + f"""
+SELECT source_name, table_name, rule_name, count(*) AS total_checks,
+       CAST(sum(records_checked) AS BIGINT) AS total_records_checked,
+       CAST(sum(records_failed) AS BIGINT) AS total_records_failed,
+       {MEAN_PCT} AS avg_failure_percentage,
+       CAST(count_if(severity = 'error') AS BIGINT) AS error_count,
+       CAST(count_if(severity = 'warn') AS BIGINT) AS warn_count
+FROM qr WHERE check_timestamp >= TIMESTAMP '{D.AUDIT_AS_OF}' - INTERVAL 7 DAYS GROUP BY 1, 2, 3
+ORDER BY avg_failure_percentage DESC, source_name, table_name, rule_name LIMIT 20"""
     return q
 
 
