@@ -232,3 +232,37 @@ def scd3(target: DataFrame | None, changes: DataFrame, keys, tracked, order, bat
     rebuilt = folded.select(*out)
     untouched = target.join(newer.select(*keys), keys, "left_anti")
     return untouched.unionByName(rebuilt.select(*target.columns))
+
+
+def apply_scd(target: DataFrame | None, changes: DataFrame, table, batch_id: str) -> DataFrame:
+    """Route one batch by the table's ``scd_type`` (default APPEND), as the config promises.
+
+    ``table`` is a TableSpec: primary_key, scd_columns (tracked; default every
+    non-key column that does not start with ``_``) and sequence_by (default the
+    ingestion timestamp).
+    """
+    from .enrich import tracked_columns
+
+    keys = list(table.primary_key)
+    order = list(table.sequence_by) or ["_ingestion_timestamp"]
+    tracked = list(table.scd_columns) if table.scd_columns else tracked_columns(changes, keys, exclude=order)
+    kind = table.scd_type
+    if kind == "SCD2":
+        base = target if target is not None else empty_scd2(changes)
+        return scd2_merge(base, changes, keys, tracked, order, batch_id)
+    if kind == "SCD3":
+        return scd3(target, changes, keys, tracked, order, batch_id)
+    meta = {"_scd_type": F.lit(kind), "_scd_action": F.lit(INSERT), "_scd_batch_id": F.lit(batch_id)}
+    if target is None:
+        target = changes.limit(0).withColumns({k: v.cast("string") for k, v in meta.items()})
+        if kind == "UPSERT":
+            target = changes.limit(0)
+    if kind == "SCD0":
+        return scd0(target, changes, keys, order, batch_id)
+    if kind == "SCD1":
+        return scd1(target, changes, keys, tracked, order, batch_id)
+    if kind == "UPSERT":
+        return upsert(target, changes, keys, order)
+    if kind == "APPEND":
+        return append(target, changes, dedup_keys=keys if table.watermark_seconds else None, batch_id=batch_id)
+    raise ValueError(f"unknown SCD type {kind!r}")

@@ -437,3 +437,34 @@ QUERIES.update(
         "dq_report": dq_report,
     }
 )
+
+
+# --- all layers -----------------------------------------------------------------
+
+from dataclasses import replace as _replace  # noqa: E402
+
+from .runner import load_table  # noqa: E402
+
+
+def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer (SCD1 by ingestion time) and orders (APPEND) through bronze, quality
+    and silver, then the customer summary over the current customers and all orders."""
+    root = scratch_path(spark, "lake")
+    log = A.AuditLog(spark, f"{root}/audit")
+    log.ensure()
+    customers = D.CUSTOMERS_TABLE.with_table(scd_type="SCD1")
+    orders = D.ORDERS_TABLE
+    c = load_table(spark, customers, read(spark, sf_dir, "customer"), [R.positive("c_acctbal", severity="error")],
+                   D.BATCH_ID, D.RUN_TS, root, log)
+    o = load_table(spark, orders, read(spark, sf_dir, "orders"), [R.not_null("o_custkey")], D.BATCH_ID, D.RUN_TS, root, log)
+    cust = c.silver.select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"), F.col("c_mktsegment").alias("mktsegment")
+    )
+    ords = o.silver.select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.col("o_totalprice").alias("order_amount"), F.col("o_orderdate").alias("order_date"),
+    )
+    return gold.customer_order_summary(cust, ords, attributes=("customer_name", "mktsegment"))
+
+
+QUERIES["layered_run"] = layered_run

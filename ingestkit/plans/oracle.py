@@ -183,6 +183,15 @@ SELECT *, ts AS kafka_timestamp, 'user_events' AS topic, 0 AS "partition", event
     q["scd2_stream"] = SCD2 + "SELECT * FROM hist"
     q["stream_quarantine"] = "SELECT * FROM events WHERE value > 1"
     q["stream_dedup"] = "SELECT * FROM events"
+    q["layered_run"] = """
+SELECT c.c_custkey AS customer_id, c.c_name AS customer_name, c.c_mktsegment AS mktsegment,
+       CAST(count(o.o_orderkey) AS BIGINT) AS total_orders,
+       CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_order_amount,
+       CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o.o_totalprice) AS avg_order_amount,
+       max(o.o_orderdate) AS last_order_date
+FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
+WHERE c.c_acctbal > 0
+GROUP BY c.c_custkey, c.c_name, c.c_mktsegment"""
     q["json_drift"] = f"""
 WITH ev AS (SELECT ts, CASE WHEN ts >= TIMESTAMP '{D.DRIFT_FROM}'
                         THEN replace(props, '}}', ', "v2": ' || CAST(user_id AS VARCHAR) || '}}') ELSE props END AS props
