@@ -160,6 +160,16 @@ class AuditLog:
         """L4: rule metrics rows from ``quality.rule_metrics``."""
         self.append("audit_data_quality", metrics)
 
+    def log_data_quality_check(self, batch_id, source, table, rule_name, check_type, checked: int, passed: int,
+                               column=None, severity="error", at=None) -> None:
+        """L4 for counts measured elsewhere: failed = checked - passed, percentage 0 when nothing was checked."""
+        failed = checked - passed
+        pct = failed * 100.0 / checked if checked > 0 else 0.0
+        sev = severity.lower()
+        row = (f"dq_{batch_id}_{rule_name}", batch_id, source, table, _ts(at), rule_name, column, check_type.upper(),
+               checked, passed, failed, pct, sev, sev == "error" and failed > 0)
+        self.append("audit_data_quality", self.spark.createDataFrame([row], QUALITY_SCHEMA))
+
     def log_schema_changes(self, changes: DataFrame) -> None:
         """L5."""
         self.append("audit_schema_evolution", changes)

@@ -26,8 +26,15 @@ QUANTILE_GRID = 1024
 QUANTILE_ACCURACY = 20_000
 
 
-def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """(keys..., _cuts): cut points on ``lead`` for keys with more than ``hot_rows`` rows."""
+def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame | None:
+    """(keys..., _cuts): cut points on ``lead`` for keys with more than ``hot_rows`` rows.
+
+    Runs one job (a count per key, then quantile sketches over the hot keys'
+    rows only, both combined map-side) and returns the small result as a
+    DataFrame of its own, or None when no key is hot. Fetching it is safe: it
+    holds at most total_rows / hot_rows cut points in all. Holding it as data
+    instead of as a sub-plan keeps later plans from repeating the input.
+    """
     keys = list(keys)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
     # Bounded: at most total_rows / hot_rows keys pass the filter.
@@ -39,7 +46,14 @@ def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS) -
     )
     step = F.greatest(F.lit(1), F.floor(F.lit(hot_rows * QUANTILE_GRID) / F.col("_n"))).cast("int")
     kept = F.array_distinct(F.filter("_grid", lambda x, i: ((i + 1) % step) == 0))
-    return cuts.select(*keys, kept.alias("_cuts"))
+    table = cuts.select(*keys, kept.alias("_cuts"))
+    rows = table.collect()
+    if not rows:
+        return None
+    return df.sparkSession.createDataFrame(rows, table.schema)
+
+
+AUTO = "auto"
 
 
 def with_neighbors(
@@ -49,19 +63,32 @@ def with_neighbors(
     prev_cols=(),
     next_cols=(),
     hot_rows: int = HOT_KEY_ROWS,
-    cuts: DataFrame | None = None,
+    cuts="auto",
 ) -> DataFrame:
     """Add ``_prev_<c>`` / ``_next_<c>`` and the flags ``_is_first`` / ``_is_last``.
 
     ``order`` must be a total order within a key (add a tie-break column).
-    ``cuts`` may be passed in to share one hot-key table between passes over
-    subsets of the same rows.
+    ``cuts`` may be passed in (the result of ``hot_key_cuts``, None when no key
+    is hot) to share one hot-key table between passes over subsets of the same
+    rows.
     """
     keys, order = list(keys), list(order)
     prev_cols, next_cols = list(prev_cols), list(next_cols)
     lead = order[0]
-    if cuts is None:
+    if isinstance(cuts, str) and cuts == AUTO:
         cuts = hot_key_cuts(df, keys, lead, hot_rows)
+
+    def neighbours(frame, partition):
+        w = Window.partitionBy(*partition).orderBy(*order)
+        cols = {f"_prev_{c}": F.lag(c).over(w) for c in prev_cols}
+        cols.update({f"_next_{c}": F.lead(c).over(w) for c in next_cols})
+        cols["_is_first"] = F.lag(F.lit(1)).over(w).isNull()
+        cols["_is_last"] = F.lead(F.lit(1)).over(w).isNull()
+        return frame.withColumns(cols)
+
+    if cuts is None:
+        # No hot key: one window over the key.
+        return neighbours(df, keys)
     tagged = (
         df.join(F.broadcast(cuts), keys, "left")
         .withColumn("_hot", F.col("_cuts").isNotNull())
@@ -71,12 +98,7 @@ def with_neighbors(
         )
         .drop("_cuts")
     )
-    w = Window.partitionBy(*keys, "_sub").orderBy(*order)
-    cols = {f"_prev_{c}": F.lag(c).over(w) for c in prev_cols}
-    cols.update({f"_next_{c}": F.lead(c).over(w) for c in next_cols})
-    cols["_is_first"] = F.lag(F.lit(1)).over(w).isNull()
-    cols["_is_last"] = F.lead(F.lit(1)).over(w).isNull()
-    local = tagged.withColumns(cols)
+    local = neighbours(tagged, keys + ["_sub"])
 
     # Range ends of hot keys, taken from the window output (the shuffle is reused):
     # at most two rows per range.

@@ -6,7 +6,9 @@ settings on top; ``resolve`` builds it without merging dictionaries.
 
 from __future__ import annotations
 
+import secrets
 from dataclasses import dataclass, field, replace
+from datetime import datetime
 
 # Accepted source types, load types and SCD patterns.
 SOURCE_TYPES = ("jdbc", "kafka", "cloud_storage", "file", "api")
@@ -107,3 +109,9 @@ class Rule:
         object.__setattr__(self, "check_type", self.check_type.upper())
         if "{col}" in self.condition and not self.columns:
             raise ValueError(f"rule {self.name!r}: template needs columns")
+
+
+def new_batch_id(now: datetime | None = None) -> str:
+    """``batch_YYYYmmdd_HHMMSS_<8 hex>``."""
+    now = now or datetime.now()
+    return f"batch_{now:%Y%m%d_%H%M%S}_{secrets.token_hex(4)}"
