@@ -208,9 +208,10 @@ def latest_state(events: DataFrame) -> DataFrame:
 
 
 def _since(col: str, as_of, **interval):
+    """Rows in the look-back window that ends at ``as_of`` (inclusive at both ends)."""
     ts = F.lit(as_of).cast("timestamp_ntz")
     days, hours = interval.get("days", 0), interval.get("hours", 0)
-    return F.col(col) >= ts - F.make_dt_interval(F.lit(days), F.lit(hours))
+    return F.col(col).between(ts - F.make_dt_interval(F.lit(days), F.lit(hours)), ts)
 
 
 def batch_history(runs: DataFrame, source: str | None = None, table: str | None = None, limit: int = 100) -> DataFrame:

@@ -224,7 +224,7 @@ SELECT source_name, table_name, rule_name, count(*) AS total_checks,
        {MEAN_PCT} AS avg_failure_percentage,
        CAST(count_if(severity = 'error') AS BIGINT) AS error_count,
        CAST(count_if(severity = 'warn') AS BIGINT) AS warn_count
-FROM qr WHERE check_timestamp >= TIMESTAMP '{D.AUDIT_AS_OF}' - INTERVAL 7 DAYS GROUP BY 1, 2, 3
+FROM qr WHERE check_timestamp BETWEEN TIMESTAMP '{D.AUDIT_AS_OF}' - INTERVAL 7 DAYS AND TIMESTAMP '{D.AUDIT_AS_OF}' GROUP BY 1, 2, 3
 ORDER BY avg_failure_percentage DESC, source_name, table_name, rule_name LIMIT 20"""
     return q
 
@@ -264,13 +264,13 @@ MEAN_PCT = "CAST(sum(CAST(failure_percentage AS DECIMAL(38,10))) AS DOUBLE) / co
 
 
 def audit_sql() -> dict[str, str]:
-    since = lambda n, unit: f"TIMESTAMP '{D.AUDIT_AS_OF}' - INTERVAL {n} {unit}"
+    since = lambda n, unit: f"TIMESTAMP '{D.AUDIT_AS_OF}' - INTERVAL {n} {unit} AND TIMESTAMP '{D.AUDIT_AS_OF}'"
     q = {}
     q["audit_latest_state"] = RUNS + "SELECT * FROM state"
     q["audit_history"] = RUNS + "SELECT * FROM state WHERE source_name = 'click' ORDER BY run_start_time DESC LIMIT 100"
     q["audit_failed"] = RUNS + f"""
 SELECT batch_id, source_name, table_name, run_start_time, run_end_time, error_message, execution_duration_ms
-FROM state WHERE status = 'FAILED' AND run_start_time >= {since(24, 'HOURS')} ORDER BY run_start_time DESC"""
+FROM state WHERE status = 'FAILED' AND run_start_time BETWEEN {since(24, 'HOURS')} ORDER BY run_start_time DESC"""
     q["audit_metrics"] = RUNS + f"""
 SELECT count(*) AS total_batches,
        CAST(count_if(status = 'SUCCESS') AS BIGINT) AS successful_batches,
@@ -279,7 +279,7 @@ SELECT count(*) AS total_batches,
        CAST(sum(records_written) AS BIGINT) AS total_records_written,
        avg(execution_duration_ms) AS avg_duration_ms,
        CASE WHEN count(*) > 0 THEN CAST(count_if(status = 'SUCCESS') AS DOUBLE) * 100.0 / count(*) ELSE 0.0 END AS success_rate
-FROM state WHERE run_start_time >= {since(30, 'DAYS')}"""
+FROM state WHERE run_start_time BETWEEN {since(30, 'DAYS')}"""
     q["audit_dq_summary"] = QROWS + f"""
 SELECT source_name, table_name, rule_name, count(*) AS total_checks,
        CAST(sum(records_checked) AS BIGINT) AS total_records_checked,
@@ -287,7 +287,7 @@ SELECT source_name, table_name, rule_name, count(*) AS total_checks,
        {MEAN_PCT} AS avg_failure_percentage,
        CAST(count_if(severity = 'error') AS BIGINT) AS error_count,
        CAST(count_if(severity = 'warn') AS BIGINT) AS warn_count
-FROM qr WHERE check_timestamp >= {since(7, 'DAYS')} GROUP BY 1, 2, 3"""
+FROM qr WHERE check_timestamp BETWEEN {since(7, 'DAYS')} GROUP BY 1, 2, 3"""
     q["audit_dq_rate"] = QROWS + f"SELECT source_name, table_name, rule_name, {MEAN_PCT} AS avg_failure_rate FROM qr GROUP BY 1, 2, 3"
     q["audit_retention"] = f"""
 SELECT 'batch_' || CAST(event_id AS VARCHAR) AS batch_id, event_type AS source_name,
@@ -295,7 +295,7 @@ SELECT 'batch_' || CAST(event_id AS VARCHAR) AS batch_id, event_type AS source_n
        CAST(NULL AS TIMESTAMP) AS run_end_time, 'RUNNING' AS status, CAST(NULL AS BIGINT) AS records_read,
        CAST(NULL AS BIGINT) AS records_written, CAST(NULL AS VARCHAR) AS error_message,
        CAST(NULL AS TIMESTAMP) AS watermark_value
-FROM events WHERE ts >= {since(10, 'DAYS')}"""
+FROM events WHERE ts BETWEEN {since(10, 'DAYS')}"""
     q["watermark_lookback"] = f"""
 SELECT * FROM orders
 WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '{D.CUTOFF}') - INTERVAL 1 DAY"""
