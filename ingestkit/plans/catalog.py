@@ -468,3 +468,17 @@ def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["layered_run"] = layered_run
+
+
+def src_rest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part served as JSON-lines pages; the paged source reads them in parallel."""
+    from ..sources import rest
+
+    part = read(spark, sf_dir, "part")
+    land = scratch_path(spark, "pages_part")
+    part.repartition(8).write.json(land)
+    urls = sorted(spark.read.text(land).inputFiles())
+    return rest.read_rest(spark, _ddl(part), urls=",".join(urls), pagesPerPartition=2)
+
+
+QUERIES["src_rest_paged"] = src_rest_paged

@@ -176,6 +176,7 @@ WHERE l.rl = 1"""
     q["src_csv_options"] = "SELECT * FROM customer"
     q["src_json_multiline"] = "SELECT * FROM part"
     q["src_file_glob"] = "SELECT * FROM orders"
+    q["src_rest_paged"] = "SELECT * FROM part"
     q["src_files_incremental"] = "SELECT * FROM events"
     q["src_kafka_json"] = """
 SELECT *, ts AS kafka_timestamp, 'user_events' AS topic, 0 AS "partition", event_id AS "offset",

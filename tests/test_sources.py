@@ -44,3 +44,45 @@ def test_envelope_parse_marks_corrupt_rows(spark):
     assert (out[1].id, out[1].name, out[1]._corrupt_record) == (2, None, None)
     assert (out[2].id, out[2]._corrupt_record) == (3, None)
     assert out[3].id is None and out[3]._corrupt_record == "{broken"
+
+
+def test_probe_and_masking(spark):
+    from ingestkit.sources import probe
+
+    readers = {
+        "customer": lambda: spark.read.parquet(f"{SF}/customer.parquet"),
+        "empty": lambda: spark.read.parquet(f"{SF}/customer.parquet").where("false"),
+        "missing": lambda: spark.read.parquet(f"{SF}/no_such_table.parquet"),
+    }
+    out = {r.source_name: r for r in probe.probe(spark, readers, {"customer": {"user": "u", "password": "p"}}).collect()}
+    assert (out["customer"].reachable, out["customer"].n_columns, out["customer"].has_rows) == (True, 5, True)
+    assert out["customer"].options == "password=***, user=u"
+    assert (out["empty"].reachable, out["empty"].has_rows) == (True, False)
+    assert out["missing"].reachable is False and out["missing"].error
+    masked = spark.createDataFrame([("user=a password=secret1;x",)], "t string").select(probe.mask_text(F.col("t"))).first()[0]
+    assert masked == "user=a password=***;x"
+
+
+def test_route_by_type(spark, scratch):
+    import pytest
+
+    from ingestkit.sources.route import read_source
+    from ingestkit.spec import ResolvedTable, SourceSpec, TableSpec
+
+    cust = spark.read.parquet(f"{SF}/customer.parquet")
+    t = ResolvedTable(SourceSpec("files", "file", {"path": f"{SF}/customer.parquet"}), TableSpec("customer", format="parquet"))
+    assert read_source(spark, t).count() == cust.count()
+    bad = ResolvedTable(SourceSpec("x", "api"), TableSpec("t"))
+    with pytest.raises(ValueError):
+        read_source(spark, bad)
+
+
+def test_rest_pages_template(spark, scratch):
+    from ingestkit.sources import rest
+
+    part = spark.read.parquet(f"{SF}/part.parquet")
+    land = scratch("pages")
+    part.coalesce(1).write.json(land)
+    (page,) = spark.read.text(land).inputFiles()
+    got = rest.read_rest(spark, part.schema, urls=page)
+    assert sorted(got.collect()) == sorted(part.collect())
