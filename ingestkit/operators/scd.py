@@ -141,38 +141,54 @@ def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_K
     )
 
 
-def scd2_merge(target: DataFrame, batch: DataFrame, keys, tracked, order, batch_id: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Merge one batch into an SCD2 table.
+def batch_flags(target: DataFrame, batch: DataFrame, keys, order) -> DataFrame:
+    """Per key of the batch: ``_in_batch`` and ``_late`` (a batch row at or before the open version).
 
-    Only the open version of a key in the batch is re-examined: together with
-    the batch rows it is rebuilt by ``scd2_history``, which closes a changed
-    row and inserts the new version in the same pass, and drops repeats. Closed
-    versions stay as they are. A key whose batch rows reach back to or before
-    its open version (a late row, or the same batch merged again) has its whole
-    history rebuilt, so the late row lands in its place. The per-key flags come
-    from one aggregation of the batch joined with the open versions, and the
-    target meets them in one join, which AQE can turn into a broadcast when the
-    batch is small. A version keeps the batch id of the row that opened it.
-    """
+    One aggregation of the batch (combined map-side) joined with the open versions."""
     keys, order = list(keys), list(order)
-    business = list(batch.columns)
 
     def seq():
         return F.struct(*[F.col(c) for c in order])
 
     first_new = batch.groupBy(*keys).agg(F.min(seq()).alias("_first_seq"))
     open_seq = target.where(F.col("_scd_is_current")).select(*keys, seq().alias("_cur_seq"))
-    flags = first_new.join(open_seq, keys, "left").select(
+    return first_new.join(open_seq, keys, "left").select(
         *keys,
         F.lit(True).alias("_in_batch"),
         F.coalesce(F.col("_first_seq") <= F.col("_cur_seq"), F.lit(False)).alias("_late"),
     )
+
+
+def reopen(target: DataFrame, flags: DataFrame, batch: DataFrame, batch_id: str) -> tuple[DataFrame, DataFrame]:
+    """Split the target into rows kept as they are and the change log to rebuild:
+    the open versions of batch keys and every version of late keys, plus the batch."""
+    keys = [c for c in flags.columns if c not in ("_in_batch", "_late")]
     tagged = target.join(flags, keys, "left")
-    reopen = F.coalesce(F.col("_late") | (F.col("_in_batch") & F.col("_scd_is_current")), F.lit(False))
-    keep = tagged.where(~reopen).select(*target.columns)
-    log = tagged.where(reopen).select(*business, "_scd_batch_id", F.lit(0).alias("_src")).unionByName(
+    again = F.coalesce(F.col("_late") | (F.col("_in_batch") & F.col("_scd_is_current")), F.lit(False))
+    keep = tagged.where(~again).select(*target.columns)
+    business = list(batch.columns)
+    log = tagged.where(again).select(*business, "_scd_batch_id", F.lit(0).alias("_src")).unionByName(
         batch.select(*business, F.lit(batch_id).alias("_scd_batch_id"), F.lit(1).alias("_src"))
     )
+    return keep, log
+
+
+def scd2_merge(target: DataFrame, batch: DataFrame, keys, tracked, order, batch_id: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Merge one batch into an SCD2 table.
+
+    Only the open version of a key in the batch is re-examined: together with
+    the batch rows it is rebuilt by ``scd2_history``, which closes a changed
+    row and inserts the new version in the same pass, and drops repeats. Closed
+    versions stay as they are. A key whose batch rows reach back to or before
+    its open version (a late row, or the same batch merged again) has its whole
+    history rebuilt, so the late row lands in its place. The per-key flags come
+    from one aggregation of the batch joined with the open versions, and the
+    target meets them in one join, which AQE can turn into a broadcast when the
+    batch is small. A version keeps the batch id of the row that opened it.
+    """
+    keys, order = list(keys), list(order)
+    flags = batch_flags(target, batch, keys, order)
+    keep, log = reopen(target, flags, batch, batch_id)
     rebuilt = scd2_history(log, keys, tracked, order + ["_src"], hot_rows=hot_rows).drop("_src")
     return keep.unionByName(rebuilt.select(*target.columns))
 

@@ -14,7 +14,7 @@ from ..functions.fingerprint import fingerprint
 from ..operators import enrich, gold, quality, scd
 from ..session import scratch_path
 from ..spec import Rule
-from ..store import SnapshotTable
+from ..store import Scd2Table, SnapshotTable
 from . import data as D
 from .data import KEYS, ORDER, TRACKED, read
 
@@ -167,12 +167,10 @@ def scd2_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scd2_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change log in three date-ordered batches, merged into a snapshot table."""
     log = D.customer_changes(spark, sf_dir)
-    table = SnapshotTable(spark, scratch_path(spark, "silver_customers_scd2"))
-    current = scd.empty_scd2(log)
+    table = Scd2Table(spark, scratch_path(spark, "silver_customers_scd2"), KEYS, TRACKED, ORDER)
     for batch_id, lo, hi in D.SCD2_BATCHES:
-        merged = scd.scd2_merge(current, D.between(log, "updated_at", lo, hi), KEYS, TRACKED, ORDER, batch_id)
-        current = table.commit(merged, batch_id)
-    return current
+        history = table.merge(D.between(log, "updated_at", lo, hi), batch_id)
+    return history.select(*log.columns, "_scd_batch_id", "_scd_effective_date", "_scd_end_date", "_scd_is_current", "_scd_hash")
 
 
 def scd2_merge_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,8 +354,8 @@ def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change log arrives as three file drops; each micro-batch is merged."""
     log = D.customer_changes(spark, sf_dir)
     land, ckpt = scratch_path(spark, "landing_changes"), scratch_path(spark, "ckpt_changes")
-    table = SnapshotTable(spark, scratch_path(spark, "silver_customers_stream"))
-    sink = T.scd2_sink(table, KEYS, TRACKED, ORDER)
+    table = Scd2Table(spark, scratch_path(spark, "silver_customers_stream"), KEYS, TRACKED, ORDER)
+    sink = T.scd2_sink(table)
     schema = _ddl(log)
     for i, (_, lo, hi) in enumerate(D.SCD2_BATCHES):
         D.between(log, "updated_at", lo, hi).write.mode("append").parquet(land)

@@ -64,3 +64,85 @@ def write_bronze(df: DataFrame, path: str) -> None:
         .partitionBy("_batch_id")
         .parquet(path)
     )
+
+
+class Scd2Table:
+    """K3 for SCD2: a history table whose merges cost O(open versions + batch), not O(history).
+
+    Layout below ``root``: ``versions/v=<n>/_scd_is_current=true|false`` and a
+    commit table ``_commits`` of (version, batch_id, base). A normal merge
+    writes, in one pass, the new set of open versions (``true``) and only the
+    versions it closed (``false``). History at version n is the open versions
+    of n plus the closed rows of every version since the last base. A batch
+    with late rows rebuilds the touched keys' whole history and writes a new
+    base (all closed rows) instead. Reads are partition-pruned on (v, current).
+    """
+
+    def __init__(self, spark: SparkSession, root: str, keys, tracked, order):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.keys, self.tracked, self.order = list(keys), list(tracked), list(order)
+        self.data = f"{self.root}/versions"
+        self.commits_path = f"{self.root}/_commits"
+
+    def head(self) -> tuple[int, int, set[str]]:
+        """(latest version, its base version, committed batch ids); one small job."""
+        try:
+            commits = self.spark.read.parquet(self.commits_path)
+        except Exception:  # noqa: BLE001 - nothing committed yet
+            return -1, -1, set()
+        row = commits.agg(
+            F.max("version").alias("v"), F.max_by("base", "version").alias("b"), F.collect_set("batch_id").alias("ids")
+        ).first()
+        return row["v"], row["b"], set(row["ids"])
+
+    def _read(self, v: int, base: int, current_only: bool = False) -> DataFrame:
+        df = self.spark.read.parquet(self.data)
+        # partition values come back as text; compare as text so the filter prunes directories
+        is_cur = F.col("_scd_is_current").cast("string") == F.lit("true")
+        cur = is_cur & (F.col("v") == v)
+        closed = ~is_cur & F.col("v").between(max(base, 0), v)
+        return df.where(cur if current_only else (cur | closed)).drop("v").withColumn("_scd_is_current", is_cur)
+
+    def read(self) -> DataFrame | None:
+        v, base, _ = self.head()
+        return None if v < 0 else self._read(v, base)
+
+    def current(self) -> DataFrame | None:
+        v, base, _ = self.head()
+        return None if v < 0 else self._read(v, base, current_only=True)
+
+    def _commit(self, rows: DataFrame, v: int, base: int, batch_id: str) -> None:
+        (
+            rows.hint("rebalance")
+            .write.mode("overwrite")
+            .partitionBy("_scd_is_current")
+            .parquet(f"{self.data}/v={v}")
+        )
+        self.spark.createDataFrame([(v, batch_id, base)], "version int, batch_id string, base int").coalesce(1).write.mode(
+            "append"
+        ).parquet(self.commits_path)
+
+    def merge(self, batch: DataFrame, batch_id: str) -> DataFrame:
+        """Merge ``batch`` once per ``batch_id`` and return the history at the new version."""
+        from .operators import scd
+
+        v, base, done = self.head()
+        if batch_id in done:
+            return self._read(v, base)
+        nxt = v + 1
+        if v < 0:
+            history = scd.scd2_merge(scd.empty_scd2(batch), batch, self.keys, self.tracked, self.order, batch_id)
+            self._commit(history, nxt, nxt, batch_id)
+            return self._read(nxt, nxt)
+        current = self._read(v, base, current_only=True)
+        flags = scd.batch_flags(current, batch, self.keys, self.order)
+        if flags.where("_late").limit(1).count() > 0:
+            # Late rows: rebuild the touched keys' whole history, write a new base.
+            history = scd.scd2_merge(self._read(v, base), batch, self.keys, self.tracked, self.order, batch_id)
+            self._commit(history, nxt, nxt, batch_id)
+            return self._read(nxt, nxt)
+        keep, log = scd.reopen(current, flags, batch, batch_id)
+        rebuilt = scd.scd2_history(log, self.keys, self.tracked, self.order + ["_src"]).drop("_src")
+        self._commit(keep.unionByName(rebuilt.select(*keep.columns)), nxt, base, batch_id)
+        return self._read(nxt, base)

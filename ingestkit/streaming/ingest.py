@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..operators import quality, scd
-from ..store import SnapshotTable
+from ..operators import quality
+from ..store import Scd2Table
 
 # Trigger intervals of the shipped configuration.
 STREAM_TRIGGER = "1 minute"
@@ -73,15 +73,11 @@ def read_bronze(spark, path: str, quarantined: bool = False) -> DataFrame:
     return df.drop("_is_quarantined", quality.FAILED) if not quarantined else df
 
 
-def scd2_sink(table: SnapshotTable, keys, tracked, order, name: str = "scd2"):
-    """Merge each micro-batch into an SCD2 snapshot table, once per batch id."""
+def scd2_sink(table: Scd2Table, name: str = "scd2"):
+    """Merge each micro-batch into an SCD2 table, once per batch id."""
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        batch_id = f"{name}-{epoch_id}"
-        target = table.read()
-        if target is None:
-            target = scd.empty_scd2(batch)
-        table.commit(scd.scd2_merge(target, batch, keys, tracked, order, batch_id), batch_id)
+        table.merge(batch, f"{name}-{epoch_id}")
 
     return sink
 
