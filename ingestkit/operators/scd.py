@@ -294,3 +294,43 @@ def apply_scd(target: DataFrame | None, changes: DataFrame, table, batch_id: str
     if kind == "APPEND":
         return append(target, changes, dedup_keys=keys if table.watermark_seconds else None, batch_id=batch_id)
     raise ValueError(f"unknown SCD type {kind!r}")
+
+
+def as_of_join(facts: DataFrame, history: DataFrame, keys, fact_time: str, version_cols, version_order, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """C9 joined to facts: each fact row with the version of its key valid at ``fact_time``
+    (effective <= t < end), NULL when none.
+
+    Not a range join: facts and version starts are merged into one ordered
+    stream per key and each fact takes the last version started at or before
+    it (``fill_forward``), so no key ever pairs all its facts with all its
+    versions. Versions sort before facts at the same instant, and among
+    versions starting together the last in ``version_order`` wins, which is the
+    one whose interval is not empty.
+    """
+    from .sequence import fill_forward
+
+    keys = list(keys)
+    vcols = list(version_cols)
+    fact_cols = [c for c in facts.columns if c not in keys]
+    tb = F.struct(*[F.col(c) for c in version_order])
+    v = history.select(
+        *keys,
+        F.col("_scd_effective_date").cast("timestamp_ntz").alias("_t"),
+        F.lit(0).alias("_kind"),
+        tb.alias("_tb"),
+        F.struct(*[F.col(c) for c in vcols]).alias("_v"),
+        F.lit(None).cast(facts.select(F.struct(*fact_cols)).schema[0].dataType).alias("_f"),
+    )
+    f = facts.select(
+        *keys,
+        F.col(fact_time).cast("timestamp_ntz").alias("_t"),
+        F.lit(1).alias("_kind"),
+        F.lit(None).cast(history.select(tb).schema[0].dataType).alias("_tb"),
+        F.lit(None).cast(history.select(F.struct(*[F.col(c) for c in vcols])).schema[0].dataType).alias("_v"),
+        F.struct(*[F.col(c) for c in fact_cols]).alias("_f"),
+    )
+    stream = v.unionByName(f)
+    filled = fill_forward(stream, keys, ["_t", "_kind", "_tb"], "_v", hot_rows=hot_rows)
+    return filled.where(F.col("_kind") == 1).select(
+        *keys, *[F.col(f"_f.{c}").alias(c) for c in fact_cols], *[F.col(f"_filled.{c}").alias(c) for c in vcols]
+    )

@@ -121,3 +121,55 @@ def with_neighbors(
     fixes["_is_first"] = F.col("_is_first") & ~(F.col("_hot") & F.col("_before").isNotNull())
     fixes["_is_last"] = F.col("_is_last") & ~(F.col("_hot") & F.col("_after").isNotNull())
     return joined.withColumns(fixes).drop("_before", "_after", "_hot", "_sub")
+
+
+def fill_forward(
+    df: DataFrame,
+    keys,
+    order,
+    value: str,
+    hot_rows: int = HOT_KEY_ROWS,
+    cuts="auto",
+    out: str = "_filled",
+) -> DataFrame:
+    """Add ``out``: the last non-null ``value`` at or before each row within its key.
+
+    Same hot-key treatment as ``with_neighbors``: ranges of a hot key are
+    filled locally, then a row with nothing before it in its range takes the
+    last value of the earlier ranges, read from a table of one row per range.
+    """
+    keys, order = list(keys), list(order)
+    lead = order[0]
+    if isinstance(cuts, str) and cuts == AUTO:
+        cuts = hot_key_cuts(df, keys, lead, hot_rows)
+
+    def local(frame, partition):
+        w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return frame.withColumn(out, F.last(F.col(value), ignorenulls=True).over(w))
+
+    if cuts is None:
+        return local(df, keys)
+    tagged = (
+        df.join(F.broadcast(cuts), keys, "left")
+        .withColumn("_hot", F.col("_cuts").isNotNull())
+        .withColumn(
+            "_sub",
+            F.when(F.col("_hot"), F.size(F.filter("_cuts", lambda s: s <= F.col(lead)))).otherwise(F.lit(0)),
+        )
+        .drop("_cuts")
+    )
+    filled = local(tagged, keys + ["_sub"])
+    last_in_range = (
+        tagged.where(F.col("_hot") & F.col(value).isNotNull())
+        .groupBy(*keys, "_sub")
+        .agg(F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v"))).alias("_m"))
+    )
+    wb = Window.partitionBy(*keys).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
+    # Every range of a hot key, so an empty-valued range still learns what came before it.
+    ranges = tagged.where("_hot").select(*keys, "_sub").distinct()
+    carry = (
+        ranges.join(last_in_range, keys + ["_sub"], "left")
+        .select(*keys, "_sub", F.last(F.col("_m._v"), ignorenulls=True).over(wb).alias("_carry"))
+    )
+    joined = filled.join(F.broadcast(carry), keys + ["_sub"], "left")
+    return joined.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry", "_hot", "_sub")

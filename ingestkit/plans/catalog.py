@@ -480,3 +480,15 @@ def src_rest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["src_rest_paged"] = src_rest_paged
+
+
+def scd2_as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with its customer's status version valid at the order date."""
+    history = scd.scd2_history(D.customer_changes(spark, sf_dir), KEYS, TRACKED, ORDER)
+    facts = read(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_custkey").alias("customer_id"), "o_orderdate", "o_totalprice"
+    )
+    return scd.as_of_join(facts, history, KEYS, "o_orderdate", ["status", "priority", "_scd_effective_date"], ORDER)
+
+
+QUERIES["scd2_as_of_join"] = scd2_as_of_join

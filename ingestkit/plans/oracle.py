@@ -157,6 +157,10 @@ UNION ALL SELECT * FROM c"""
     q["scd2_current"] = SCD2 + "SELECT * FROM hist WHERE _scd_is_current"
     q["scd2_as_of"] = SCD2 + f"""SELECT * FROM hist WHERE _scd_effective_date <= TIMESTAMP '{D.AS_OF}'
   AND (_scd_end_date IS NULL OR TIMESTAMP '{D.AS_OF}' < _scd_end_date)"""
+    q["scd2_as_of_join"] = SCD2 + """
+SELECT o.o_orderkey, o.o_custkey AS customer_id, o.o_orderdate, o.o_totalprice, h.status, h.priority, h._scd_effective_date
+FROM orders o LEFT JOIN hist h ON h.customer_id = o.o_custkey AND h._scd_effective_date <= o.o_orderdate
+ AND (h._scd_end_date IS NULL OR o.o_orderdate < h._scd_end_date)"""
     q["scd2_invariants"] = "SELECT CAST(0 AS BIGINT) AS null_effective, CAST(0 AS BIGINT) AS multi_current_keys, CAST(0 AS BIGINT) AS overlaps FROM orders LIMIT 1"
     q["scd3"] = f"""
 WITH {LOG},

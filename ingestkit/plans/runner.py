@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import audit as A
 from ..operators import enrich, quality, scd
 from ..spec import ResolvedTable
-from ..store import SnapshotTable, write_bronze
+from ..store import Scd2Table, SnapshotTable, write_bronze
 
 
 @dataclass
@@ -66,8 +66,13 @@ def load_table(
         bad = quality.quarantine(landed, rules, batch_id, run_ts)
         bad.write.mode("append").parquet(f"{root}/{bronze_name(table)}_quarantine")
         good = quality.drop_failing(landed, rules)
-        store = SnapshotTable(spark, f"{root}/{silver_name(table)}")
-        silver = store.commit(scd.apply_scd(store.read(), good, spec, batch_id), batch_id)
+        if spec.scd_type == "SCD2":
+            order = list(spec.sequence_by) or ["_ingestion_timestamp"]
+            tracked = list(spec.scd_columns) if spec.scd_columns else enrich.tracked_columns(good, spec.primary_key, order)
+            silver = Scd2Table(spark, f"{root}/{silver_name(table)}", spec.primary_key, tracked, order).merge(good, batch_id)
+        else:
+            store = SnapshotTable(spark, f"{root}/{silver_name(table)}")
+            silver = store.commit(scd.apply_scd(store.read(), good, spec, batch_id), batch_id)
         n_bad = spark.read.parquet(f"{root}/{bronze_name(table)}_quarantine").where(F.col("batch_id") == batch_id).count()
         log.log_batch_success(batch_id, table.source.name, spec.name, read=rows, written=rows - n_bad, at=run_ts,
                               watermark=seen.get("watermark"), start=run_ts)

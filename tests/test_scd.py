@@ -193,3 +193,35 @@ def test_store_merges_write_only_changes(spark, scratch, log):
     hist = table.merge(late, "late")
     assert table.head()[:2] == (3, 3)
     assert rows_of(hist) == brute_history(LOG + [(6, "C", "r", t(2) + timedelta(hours=12), 99)])
+
+
+def test_fill_forward_hot_path_random(spark):
+    from ingestkit.operators.sequence import fill_forward
+
+    rnd = random.Random(11)
+    rows = [(rnd.choice([1, 1, 1, 2]), i, rnd.choice([None, None, None, rnd.randint(0, 9)])) for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, s int, v int")
+    expect, last = {}, {}
+    for k, s_, v in sorted(rows, key=lambda r: (r[0], r[1])):
+        if v is not None:
+            last[k] = v
+        expect[s_] = last.get(k)
+    for hot in (4, 10**9):
+        got = {r.s: r._filled for r in fill_forward(df, ["k"], ["s"], "v", hot_rows=hot).collect()}
+        assert got == expect
+
+
+@pytest.mark.parametrize("hot", [1, 10**9])
+def test_as_of_join_matches_range_join(spark, log, hot):
+    h = scd.scd2_history(log, KEYS, TRACKED, ORDER)
+    facts = spark.createDataFrame([(i, k, t(d) + timedelta(hours=h_)) for i, (k, d, h_) in enumerate(
+        [(1, 0, 0), (1, 5, 0), (1, 5, 12), (6, 3, 1), (6, 4, 0), (7, 3, 0), (9, 1, 0), (3, -1, 0), (2, 9, 0)])],
+        "id int, k bigint, at timestamp_ntz")
+    got = scd.as_of_join(facts, h, KEYS, "at", ["a", "b"], ORDER, hot_rows=hot)
+    hist = [r for r in h.collect()]
+    expect = set()
+    for f in facts.collect():
+        match = [r for r in hist if r.k == f.k and r._scd_effective_date <= f.at and (r._scd_end_date is None or f.at < r._scd_end_date)]
+        assert len(match) <= 1
+        expect.add((f.id, match[0].a if match else None, match[0].b if match else None))
+    assert {(r.id, r.a, r.b) for r in got.collect()} == expect
