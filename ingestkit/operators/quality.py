@@ -49,7 +49,9 @@ def drop_failing(df: DataFrame, rules) -> DataFrame:
     errs = _error_rules(rules)
     if not errs:
         return df
-    return df.where(reduce(lambda a, b: a & b, [_holds(r) for r in errs]))
+    # A WHERE already drops rows whose condition is NULL; leaving the bare
+    # conditions lets simple rules reach the scan as pushed filters.
+    return df.where(reduce(lambda a, b: a & b, [_cond(r) for r in errs]))
 
 
 def quarantine(df: DataFrame, rules, batch_id: str, run_ts=None, columns=None) -> DataFrame:
