@@ -63,7 +63,8 @@ def load_table(
         landed = spark.read.parquet(bronze_path).where(F.col("_batch_id") == batch_id)
         rules = list(rules) + quality.unique_key_rules(spec.primary_key)
         log.log_quality(quality.rule_metrics(landed, rules, batch_id, table.source.name, spec.name, run_ts))
-        bad = quality.quarantine(landed, rules, batch_id, run_ts)
+        bad_obs = Observation(f"{bronze_name(table)}_{batch_id}_quarantine")
+        bad = quality.quarantine(landed, rules, batch_id, run_ts).observe(bad_obs, F.count(F.lit(1)).alias("rows"))
         bad.write.mode("append").parquet(f"{root}/{bronze_name(table)}_quarantine")
         good = quality.drop_failing(landed, rules)
         if spec.scd_type == "SCD2":
@@ -73,7 +74,7 @@ def load_table(
         else:
             store = SnapshotTable(spark, f"{root}/{silver_name(table)}")
             silver = store.commit(scd.apply_scd(store.read(), good, spec, batch_id), batch_id)
-        n_bad = spark.read.parquet(f"{root}/{bronze_name(table)}_quarantine").where(F.col("batch_id") == batch_id).count()
+        n_bad = int(bad_obs.get.get("rows", 0))
         log.log_batch_success(batch_id, table.source.name, spec.name, read=rows, written=rows - n_bad, at=run_ts,
                               watermark=seen.get("watermark"), start=run_ts)
         return LoadResult(table, bronze_path, silver, rows, n_bad, seen.get("watermark"))

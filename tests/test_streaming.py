@@ -48,3 +48,35 @@ def test_replayed_micro_batch_is_applied_once(spark, scratch):
     assert sorted(map(tuple, table.read().collect())) == first
     expect = scd.scd2_history(log, ["customer_id"], ["status", "priority"], ["updated_at", "seq_key"])
     assert table.read().count() == expect.count()
+
+
+def test_stream_audit_rows_per_micro_batch(spark, scratch):
+    from ingestkit.operators.audit import AuditLog
+    from ingestkit.spec import Rule
+
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    land, out, ckpt = scratch("land"), scratch("out"), scratch("ckpt")
+    ev.write.parquet(land)
+    log = AuditLog(spark, scratch("audit"))
+    log.ensure()
+    rules = [Rule("big", "value > 50"), Rule("known", "event_type <> 'error'", "warn")]
+    sink, seen = T.bronze_sink(out, rules, name="a", log=log, source="app", table="events")
+    T.run_available_now(S.stream_files(spark, land, EVENTS), ckpt, sink, "audited")
+    runs = log.runs().collect()
+    assert len(runs) == len(seen) and all(r.status == "SUCCESS" for r in runs)
+    assert sum(r.records_read for r in runs) == ev.count()
+    dq = {r.rule_name: r for r in log.table("audit_data_quality").collect()}
+    assert dq["big"].records_failed == ev.where("NOT (value > 50)").count()
+    assert dq["known"].records_failed == ev.where("event_type = 'error'").count()
+
+
+def test_processing_time_trigger(spark, scratch):
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    land, out, ckpt = scratch("land"), scratch("out"), scratch("ckpt")
+    ev.write.parquet(land)
+    q = T.start_continuous(S.stream_files(spark, land, EVENTS), ckpt, T.append_sink(out), "continuous", "1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(out).count() == ev.count()
