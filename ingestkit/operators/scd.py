@@ -334,3 +334,21 @@ def as_of_join(facts: DataFrame, history: DataFrame, keys, fact_time: str, versi
     return filled.where(F.col("_kind") == 1).select(
         *keys, *[F.col(f"_f.{c}").alias(c) for c in fact_cols], *[F.col(f"_filled.{c}").alias(c) for c in vcols]
     )
+
+
+def new_rows(target: DataFrame | None, changes: DataFrame, table) -> DataFrame:
+    """Only the rows an APPEND or SCD0 load adds (for append-only layer tables).
+
+    APPEND with a look-back buffer (``watermark_seconds``) skips keys already
+    stored or repeated in the batch; SCD0 adds the first row of each new key."""
+    keys = list(table.primary_key)
+    order = list(table.sequence_by) or ["_ingestion_timestamp"]
+    if table.scd_type == "SCD0":
+        rows = earliest_per_key(changes, keys, order)
+    elif table.watermark_seconds:
+        rows = changes.dropDuplicates(keys)
+    else:
+        return changes
+    if target is None:
+        return rows
+    return rows.join(target.select(*keys), keys, "left_anti")

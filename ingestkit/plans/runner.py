@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import audit as A
 from ..operators import enrich, quality, scd
 from ..spec import ResolvedTable
-from ..store import Scd2Table, SnapshotTable, write_bronze
+from ..store import BatchPartitionedTable, Scd2Table, SnapshotTable, write_bronze
 
 
 @dataclass
@@ -71,6 +71,10 @@ def load_table(
             order = list(spec.sequence_by) or ["_ingestion_timestamp"]
             tracked = list(spec.scd_columns) if spec.scd_columns else enrich.tracked_columns(good, spec.primary_key, order)
             silver = Scd2Table(spark, f"{root}/{silver_name(table)}", spec.primary_key, tracked, order).merge(good, batch_id)
+        elif spec.scd_type in ("APPEND", "SCD0"):
+            store = BatchPartitionedTable(spark, f"{root}/{silver_name(table)}")
+            target = store.read()
+            silver = store.add(scd.new_rows(target, good, spec), batch_id)
         else:
             store = SnapshotTable(spark, f"{root}/{silver_name(table)}")
             silver = store.commit(scd.apply_scd(store.read(), good, spec, batch_id), batch_id)

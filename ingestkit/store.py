@@ -29,13 +29,15 @@ class SnapshotTable:
         except Exception:  # noqa: BLE001 - no commit yet
             return None
 
-    def head(self) -> tuple[int, set[str]]:
-        """Latest committed version and the committed batch ids (bounded: one row per commit)."""
+    def head(self, batch_id: str | None = None) -> tuple[int, bool]:
+        """Latest committed version and whether ``batch_id`` is committed (one one-row job)."""
         commits = self._commits()
         if commits is None:
-            return -1, set()
-        row = commits.agg(F.max("version").alias("v"), F.collect_set("batch_id").alias("b")).first()
-        return (row["v"] if row["v"] is not None else -1), set(row["b"] or [])
+            return -1, False
+        row = commits.agg(
+            F.max("version").alias("v"), F.max(F.col("batch_id") == F.lit(batch_id or "")).alias("done")
+        ).first()
+        return (row["v"] if row["v"] is not None else -1), bool(row["done"])
 
     def read(self, version: int | None = None) -> DataFrame | None:
         v = self.head()[0] if version is None else version
@@ -45,8 +47,8 @@ class SnapshotTable:
 
     def commit(self, df: DataFrame, batch_id: str) -> DataFrame:
         """Write ``df`` as the next version unless ``batch_id`` is already committed."""
-        v, done = self.head()
-        if batch_id in done:
+        v, done = self.head(batch_id)
+        if done:
             return self.read(v)
         nxt = v + 1
         df.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/v={nxt}")
@@ -85,16 +87,18 @@ class Scd2Table:
         self.data = f"{self.root}/versions"
         self.commits_path = f"{self.root}/_commits"
 
-    def head(self) -> tuple[int, int, set[str]]:
-        """(latest version, its base version, committed batch ids); one small job."""
+    def head(self, batch_id: str | None = None) -> tuple[int, int, bool]:
+        """(latest version, its base version, whether ``batch_id`` is committed); one one-row job."""
         try:
             commits = self.spark.read.parquet(self.commits_path)
         except Exception:  # noqa: BLE001 - nothing committed yet
-            return -1, -1, set()
+            return -1, -1, False
         row = commits.agg(
-            F.max("version").alias("v"), F.max_by("base", "version").alias("b"), F.collect_set("batch_id").alias("ids")
+            F.max("version").alias("v"),
+            F.max_by("base", "version").alias("b"),
+            F.max(F.col("batch_id") == F.lit(batch_id or "")).alias("done"),
         ).first()
-        return row["v"], row["b"], set(row["ids"])
+        return row["v"], row["b"], bool(row["done"])
 
     def _read(self, v: int, base: int, current_only: bool = False) -> DataFrame:
         df = self.spark.read.parquet(self.data)
@@ -127,8 +131,8 @@ class Scd2Table:
         """Merge ``batch`` once per ``batch_id`` and return the history at the new version."""
         from .operators import scd
 
-        v, base, done = self.head()
-        if batch_id in done:
+        v, base, done = self.head(batch_id)
+        if done:
             return self._read(v, base)
         nxt = v + 1
         if v < 0:
@@ -146,3 +150,29 @@ class Scd2Table:
         rebuilt = scd.scd2_history(log, self.keys, self.tracked, self.order + ["_src"]).drop("_src")
         self._commit(keep.unionByName(rebuilt.select(*keep.columns)), nxt, base, batch_id)
         return self._read(nxt, base)
+
+
+class BatchPartitionedTable:
+    """Append-only layer table (APPEND, SCD0): each batch writes only its new rows
+    into its own ``_scd_batch_id`` partition with dynamic overwrite, so a retry
+    replaces its partition and a load costs O(batch), never a table rewrite."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    def read(self) -> DataFrame | None:
+        try:
+            return self.spark.read.parquet(self.root)
+        except Exception:  # noqa: BLE001 - nothing written yet
+            return None
+
+    def add(self, rows: DataFrame, batch_id: str) -> DataFrame:
+        (
+            rows.withColumn("_scd_batch_id", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_scd_batch_id")
+            .parquet(self.root)
+        )
+        return self.read()
