@@ -89,3 +89,18 @@ def to_envelope(df: DataFrame, topic: str, key: str, ts: str) -> DataFrame:
         F.col(ts).cast("timestamp").alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
+
+
+def parse_avro_envelope(envelope: DataFrame, avro_schema_json: str) -> DataFrame:
+    """Avro payloads (plain Avro, no registry framing). Needs the spark-avro package
+    on the cluster; without it Spark reports the missing data source when the plan is analysed."""
+    from pyspark.sql.avro.functions import from_avro
+
+    out = envelope.select(
+        from_avro(F.col("value"), avro_schema_json, {"mode": "PERMISSIVE"}).alias("data"),
+        F.col("timestamp").alias("kafka_timestamp"),
+        "topic",
+        "partition",
+        "offset",
+    )
+    return out.select("data.*", "kafka_timestamp", "topic", "partition", "offset")
