@@ -29,16 +29,21 @@ QUANTILE_ACCURACY = 20_000
 def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame | None:
     """(keys..., _cuts): cut points on ``lead`` for keys with more than ``hot_rows`` rows.
 
-    Runs one job (a count per key, then quantile sketches over the hot keys'
-    rows only, both combined map-side) and returns the small result as a
-    DataFrame of its own, or None when no key is hot. Fetching it is safe: it
+    Runs a count per key (combined map-side); only when some key is hot, a
+    second job builds quantile sketches over the hot keys' rows alone. Returns
+    the small result as a DataFrame of its own, or None when no key is hot. Fetching it is safe: it
     holds at most total_rows / hot_rows cut points in all. Holding it as data
     instead of as a sub-plan keeps later plans from repeating the input.
     """
     keys = list(keys)
+    spark = df.sparkSession
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    # Bounded: at most total_rows / hot_rows keys pass the filter.
-    hot = df.join(F.broadcast(counts.select(*keys)), keys, "left_semi")
+    # Bounded: at most total_rows / hot_rows keys pass the filter. The common
+    # case (no hot key) ends here after one aggregation job.
+    hot_keys = counts.select(*keys).collect()
+    if not hot_keys:
+        return None
+    hot = df.join(F.broadcast(spark.createDataFrame(hot_keys, counts.select(*keys).schema)), keys, "left_semi")
     grid = [i / QUANTILE_GRID for i in range(1, QUANTILE_GRID)]
     cuts = hot.groupBy(*keys).agg(
         F.percentile_approx(lead, grid, QUANTILE_ACCURACY).alias("_grid"),
@@ -47,10 +52,7 @@ def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS) -
     step = F.greatest(F.lit(1), F.floor(F.lit(hot_rows * QUANTILE_GRID) / F.col("_n"))).cast("int")
     kept = F.array_distinct(F.filter("_grid", lambda x, i: ((i + 1) % step) == 0))
     table = cuts.select(*keys, kept.alias("_cuts"))
-    rows = table.collect()
-    if not rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, table.schema)
+    return spark.createDataFrame(table.collect(), table.schema)
 
 
 AUTO = "auto"
