@@ -32,12 +32,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
 
 def work_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, taken from ``spark.checkpoint.dir``."""
-    sc = spark.sparkContext
-    root = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no SparkContext
+        sc = None
+    root = sc.getCheckpointDir() if sc is not None else None
     if not root:
-        root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+        root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
-        if not sc.master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="ingestkit-")
         sc.setCheckpointDir(root)
