@@ -9,9 +9,10 @@ into sequence ranges at approximate quantiles of the first order column
 row of each range then take their missing neighbour from the adjacent
 non-empty range, read from the range ends of the window output itself.
 
-Sizes: the hot-key table has at most total_rows / hot_rows keys, and the cut
-points kept per key are about n_key / hot_rows, so the broadcast cut table and
-the table of range ends are bounded by total_rows / hot_rows entries.
+Sizes: the hot-key table has at most min(total_rows / hot_rows, MAX_HOT_KEYS)
+keys, and the cut points kept per key are about n_key / hot_rows (never more
+than the quantile grid), so the broadcast cut table and the table of range ends
+are bounded by min(total_rows / hot_rows, MAX_HOT_KEYS * QUANTILE_GRID) entries.
 """
 
 from __future__ import annotations
@@ -24,6 +25,9 @@ from pyspark.sql import functions as F
 HOT_KEY_ROWS = 20_000_000
 QUANTILE_GRID = 1024
 QUANTILE_ACCURACY = 20_000
+# Hard cap on split keys (the hottest win); keys past it keep one window each,
+# which is still correct, only less balanced.
+MAX_HOT_KEYS = 100_000
 
 
 def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame | None:
@@ -40,7 +44,7 @@ def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS) -
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
     # Bounded: at most total_rows / hot_rows keys pass the filter. The common
     # case (no hot key) ends here after one aggregation job.
-    hot_keys = counts.select(*keys).collect()
+    hot_keys = counts.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).select(*keys).collect()
     if not hot_keys:
         return None
     hot = df.join(F.broadcast(spark.createDataFrame(hot_keys, counts.select(*keys).schema)), keys, "left_semi")
