@@ -8,18 +8,6 @@ from pyspark.sql import functions as F
 # Fixed value: money columns carry two decimals.
 MONEY = "decimal(18,2)"
 
-
-def exact_sum(c: str | Column) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(MONEY)).cast("double")
-
-
-def exact_avg(c: str | Column) -> Column:
-    """Exact sum divided by the count of non-null values (NULL when none)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.sum(col.cast(MONEY)).cast("double") / F.count(col)
-
-
 # Fixed value: precision used to average ratios exactly.
 RATIO = "decimal(38,10)"
 

@@ -8,8 +8,6 @@ and ('a', 'bc'), which a plain ``concat_ws`` would confuse.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,10 +35,3 @@ def fingerprint_sql(cols: list[str]) -> str:
         for c in cols
     ]
     return "md5(" + " || '|' || ".join(parts) + ")"
-
-
-def same_values(left: str, right: str, cols: list[str]) -> Column:
-    """True when every tracked column is equal, NULL equal to NULL."""
-    if not cols:
-        return F.lit(True)
-    return reduce(lambda a, b: a & b, [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols])
