@@ -1,7 +1,7 @@
 """Slowly changing dimensions and change application.
 
-All functions are pure: (target, changes, keys, ...) -> new target. Nothing is
-collected. Joins against the target are on the key only and always see at most
+All functions are pure: (target, changes, keys, ...) -> new target. Nothing
+unbounded is collected (only the capped hot-key table). Joins against the target are on the key only and always see at most
 one change row per key (changes are reduced first by an aggregation that
 combines map-side), so a hot key in the change feed cannot skew them. The
 sequence-ordered work (dropping repeated values, closing intervals) goes through
