@@ -80,10 +80,11 @@ class Scd2Table:
     base (all closed rows) instead. Reads are partition-pruned on (v, current).
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys, tracked, order):
+    def __init__(self, spark: SparkSession, root: str, keys, tracked, order, compact_every: int = 50):
         self.spark = spark
         self.root = root.rstrip("/")
         self.keys, self.tracked, self.order = list(keys), list(tracked), list(order)
+        self.compact_every = compact_every
         self.data = f"{self.root}/versions"
         self.commits_path = f"{self.root}/_commits"
 
@@ -149,8 +150,18 @@ class Scd2Table:
         keep, log = scd.reopen(current, flags, batch, batch_id)
         rebuilt = scd.scd2_history(log, self.keys, self.tracked, self.order + ["_src"]).drop("_src")
         self._commit(keep.unionByName(rebuilt.select(*keep.columns)), nxt, base, batch_id)
+        if self.compact_every and nxt - base >= self.compact_every:
+            return self.compact()
         return self._read(nxt, base)
 
+    def compact(self) -> DataFrame | None:
+        """Write the whole history as a new base version, so reads stop unioning old deltas."""
+        v, base, _ = self.head()
+        if v < 0:
+            return None
+        self._commit(self._read(v, base), v + 1, v + 1, f"_compact_{v + 1}")
+        return self._read(v + 1, v + 1)
+
 
 class BatchPartitionedTable:
     """Append-only layer table (APPEND, SCD0): each batch writes only its new rows
