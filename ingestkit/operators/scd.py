@@ -115,7 +115,7 @@ def append(target: DataFrame, changes: DataFrame, dedup_keys=None, batch_id: str
     return target.unionByName(new.select(*target.columns))
 
 
-def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_KEY_ROWS, hot_keys=None) -> DataFrame:
     """C4: versions with [effective, end) intervals from a full change log.
 
     A row opens a version when its tracked values differ (NULL-safe) from the
@@ -127,7 +127,7 @@ def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_K
     base = changes.columns
     lead = order[0]
     # One hot-key table serves both passes: kept rows are a subset of all rows.
-    cuts = hot_key_cuts(changes, keys, lead, hot_rows)
+    cuts = hot_key_cuts(changes, keys, lead, hot_rows, hot_keys)
     step = with_neighbors(changes, keys, total, prev_cols=tracked, cuts=cuts)
     differs = ~_all([F.col(f"_prev_{c}").eqNullSafe(F.col(c)) for c in tracked])
     kept = step.where(F.col("_is_first") | differs).select(*base)
@@ -150,19 +150,20 @@ def batch_flags(target: DataFrame, batch: DataFrame, keys, order) -> DataFrame:
     def seq():
         return F.struct(*[F.col(c) for c in order])
 
-    first_new = batch.groupBy(*keys).agg(F.min(seq()).alias("_first_seq"))
+    first_new = batch.groupBy(*keys).agg(F.min(seq()).alias("_first_seq"), F.count(F.lit(1)).alias("_n"))
     open_seq = target.where(F.col("_scd_is_current")).select(*keys, seq().alias("_cur_seq"))
     return first_new.join(open_seq, keys, "left").select(
         *keys,
         F.lit(True).alias("_in_batch"),
         F.coalesce(F.col("_first_seq") <= F.col("_cur_seq"), F.lit(False)).alias("_late"),
+        "_n",
     )
 
 
 def reopen(target: DataFrame, flags: DataFrame, batch: DataFrame, batch_id: str) -> tuple[DataFrame, DataFrame]:
     """Split the target into rows kept as they are and the change log to rebuild:
     the open versions of batch keys and every version of late keys, plus the batch."""
-    keys = [c for c in flags.columns if c not in ("_in_batch", "_late")]
+    keys = [c for c in flags.columns if c not in ("_in_batch", "_late", "_n")]
     tagged = target.join(flags, keys, "left")
     again = F.coalesce(F.col("_late") | (F.col("_in_batch") & F.col("_scd_is_current")), F.lit(False))
     keep = tagged.where(~again).select(*target.columns)

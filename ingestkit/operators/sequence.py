@@ -30,24 +30,27 @@ QUANTILE_ACCURACY = 20_000
 MAX_HOT_KEYS = 100_000
 
 
-def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame | None:
+def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS, hot_keys=None) -> DataFrame | None:
     """(keys..., _cuts): cut points on ``lead`` for keys with more than ``hot_rows`` rows.
 
     Runs a count per key (combined map-side); only when some key is hot, a
     second job builds quantile sketches over the hot keys' rows alone. Returns
-    the small result as a DataFrame of its own, or None when no key is hot. Fetching it is safe: it
-    holds at most total_rows / hot_rows cut points in all. Holding it as data
-    instead of as a sub-plan keeps later plans from repeating the input.
+    the small result as a DataFrame of its own, or None when no key is hot.
+    Fetching it is safe: it holds at most min(total_rows / hot_rows,
+    MAX_HOT_KEYS) keys. Holding it as data instead of as a sub-plan keeps later
+    plans from repeating the input. A caller that already knows the hot keys
+    (a list of key tuples) passes them as ``hot_keys`` and skips the count.
     """
     keys = list(keys)
     spark = df.sparkSession
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-    # Bounded: at most total_rows / hot_rows keys pass the filter. The common
-    # case (no hot key) ends here after one aggregation job.
-    hot_keys = counts.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).select(*keys).collect()
+    key_schema = df.select(*keys).schema
+    if hot_keys is None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+        # The common case (no hot key) ends here after one aggregation job.
+        hot_keys = counts.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).select(*keys).collect()
     if not hot_keys:
         return None
-    hot = df.join(F.broadcast(spark.createDataFrame(hot_keys, counts.select(*keys).schema)), keys, "left_semi")
+    hot = df.join(F.broadcast(spark.createDataFrame([tuple(k) for k in hot_keys], key_schema)), keys, "left_semi")
     grid = [i / QUANTILE_GRID for i in range(1, QUANTILE_GRID)]
     cuts = hot.groupBy(*keys).agg(
         F.percentile_approx(lead, grid, QUANTILE_ACCURACY).alias("_grid"),

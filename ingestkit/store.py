@@ -140,15 +140,26 @@ class Scd2Table:
             history = scd.scd2_merge(scd.empty_scd2(batch), batch, self.keys, self.tracked, self.order, batch_id)
             self._commit(history, nxt, nxt, batch_id)
             return self._read(nxt, nxt)
+        from .operators.sequence import HOT_KEY_ROWS, MAX_HOT_KEYS
+
         current = self._read(v, base, current_only=True)
         flags = scd.batch_flags(current, batch, self.keys, self.order)
-        if flags.where("_late").limit(1).count() > 0:
+        # One small job answers both questions: any late key, and which keys are hot
+        # (a key's log is its batch rows plus at most one open version).
+        special = (
+            flags.where(F.col("_late") | (F.col("_n") >= HOT_KEY_ROWS))
+            .orderBy(F.col("_late").desc(), F.col("_n").desc())
+            .limit(MAX_HOT_KEYS)
+            .collect()
+        )
+        if any(r["_late"] for r in special):
             # Late rows: rebuild the touched keys' whole history, write a new base.
             history = scd.scd2_merge(self._read(v, base), batch, self.keys, self.tracked, self.order, batch_id)
             self._commit(history, nxt, nxt, batch_id)
             return self._read(nxt, nxt)
         keep, log = scd.reopen(current, flags, batch, batch_id)
-        rebuilt = scd.scd2_history(log, self.keys, self.tracked, self.order + ["_src"]).drop("_src")
+        hot = [tuple(r[k] for k in self.keys) for r in special]
+        rebuilt = scd.scd2_history(log, self.keys, self.tracked, self.order + ["_src"], hot_keys=hot).drop("_src")
         self._commit(keep.unionByName(rebuilt.select(*keep.columns)), nxt, base, batch_id)
         if self.compact_every and nxt - base >= self.compact_every:
             return self.compact()
