@@ -490,3 +490,19 @@ def scd2_as_of_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["scd2_as_of_join"] = scd2_as_of_join
+
+
+def dq_email_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F9 over whole texts: every e-mail-like token of each document, and how many pass the rule."""
+    pattern = R.EMAIL_PATTERN
+    docs = read(spark, sf_dir, "documents").select(
+        "doc_id", F.regexp_extract_all("text", F.lit(r"(\S+@\S+)"), 1).alias("_found")
+    )
+    return docs.select(
+        "doc_id",
+        F.size("_found").cast("bigint").alias("n_candidates"),
+        F.size(F.filter("_found", lambda x: x.rlike(pattern))).cast("bigint").alias("n_valid_emails"),
+    )
+
+
+QUERIES["dq_email_all"] = dq_email_all

@@ -127,6 +127,10 @@ WHERE NOT (coalesce(c_acctbal > 0, false) AND coalesce(c_nationkey >= 0 AND c_na
     q["dq_email_rule"] = f"""
 SELECT doc_id, email_candidate, coalesce(regexp_full_match(email_candidate, '{EMAIL_PATTERN}'), false) AS is_valid_email
 FROM (SELECT doc_id, regexp_extract(text, '(\\S+@\\S+)', 1) AS email_candidate FROM documents)"""
+    q["dq_email_all"] = f"""
+SELECT doc_id, CAST(len(found) AS BIGINT) AS n_candidates,
+       CAST(len(list_filter(found, lambda x: regexp_full_match(x, '{EMAIL_PATTERN}'))) AS BIGINT) AS n_valid_emails
+FROM (SELECT doc_id, regexp_extract_all(text, '(\\S+@\\S+)', 1) AS found FROM documents)"""
     q["dq_unique_key"] = """
 SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1"""
     q["dq_fail"] = "SELECT * FROM events"
