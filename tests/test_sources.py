@@ -86,3 +86,17 @@ def test_rest_pages_template(spark, scratch):
     (page,) = spark.read.text(land).inputFiles()
     got = rest.read_rest(spark, part.schema, urls=page)
     assert sorted(got.collect()) == sorted(part.collect())
+
+
+def test_layer_views(spark):
+    from ingestkit.operators import scd
+    from ingestkit.sources.route import current_or_base, read_layer, register_views
+
+    log = spark.read.parquet(f"{SF}/orders.parquet").selectExpr(
+        "o_custkey AS k", "o_orderstatus AS s", "o_orderdate AS ts", "o_orderkey AS seq")
+    hist = scd.scd2_history(log, ["k"], ["s"], ["ts", "seq"])
+    register_views(hist, "silver_test_customers")
+    assert read_layer(spark, "silver_test_customers_history").count() == hist.count()
+    assert current_or_base(spark, "silver_test_customers").count() == log.select("k").distinct().count()
+    log.createOrReplaceTempView("silver_test_orders")
+    assert current_or_base(spark, "silver_test_orders").count() == log.count()
