@@ -55,3 +55,23 @@ def test_reports(spark):
     assert A.retain(ev, "run_start_time", "2024-01-31 00:00:00", days=5).count() == 1
     plan = A.batch_history(runs, limit=5)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_schema_and_lineage_rows(spark, scratch):
+    from pyspark.sql import types as T
+
+    from ingestkit.operators import drift
+
+    log = A.AuditLog(spark, scratch("audit"))
+    log.ensure()
+    before = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("x", T.StringType())])
+    after = T.StructType([T.StructField("id", T.LongType()), T.StructField("y", T.StringType())])
+    diff = drift.schema_diff(spark, before, after)
+    log.log_schema_changes(drift.schema_change_rows(diff, "b1", "s", "t", before, after, "2024-01-01 00:00:00"))
+    kinds = sorted(r.change_type for r in log.table("audit_schema_evolution").collect())
+    assert kinds == ["ADD_COLUMN", "DROP_COLUMN", "TYPE_CHANGE"]
+    edge = spark.createDataFrame(
+        [("lineage_b1_1", "b1", "s", "public.t", "main", "silver", "silver_s_t", "SCD2", None, 10, 9, None)],
+        A.LINEAGE_SCHEMA)
+    log.log_lineage(edge)
+    assert log.table("audit_lineage").first().target_record_count == 9
