@@ -107,6 +107,15 @@ def _ts(v):
     return datetime.fromisoformat(str(v))
 
 
+def one_row(spark: SparkSession, values, schema: T.StructType) -> DataFrame:
+    """A one-row frame of literals, built on the JVM (no Python rows to ship to executors)."""
+    cols = []
+    for v, f in zip(values, schema.fields):
+        lit = F.lit(v.isoformat(sep=" ") if isinstance(v, datetime) else v)
+        cols.append(lit.cast(f.dataType).alias(f.name))
+    return spark.range(1).select(*cols)
+
+
 class AuditLog:
     """Four append-only parquet tables below ``root``."""
 
@@ -142,7 +151,7 @@ class AuditLog:
         failed = (read - written) if (read is not None and written is not None) else None
         row = (batch_id, source, table, seq, _ts(start), _ts(end), status, read, written, failed, message, _ts(watermark),
                PIPELINE_VERSION, self.spark.version, self.cluster_id)
-        self.append("audit_batch_runs", self.spark.createDataFrame([row], RUN_EVENT_SCHEMA))
+        self.append("audit_batch_runs", one_row(self.spark, row, RUN_EVENT_SCHEMA))
 
     def log_batch_start(self, batch_id: str, source: str, table: str, at) -> None:
         """L1: RUNNING."""
@@ -168,7 +177,7 @@ class AuditLog:
         sev = severity.lower()
         row = (f"dq_{batch_id}_{rule_name}", batch_id, source, table, _ts(at), rule_name, column, check_type.upper(),
                checked, passed, failed, pct, sev, sev == "error" and failed > 0)
-        self.append("audit_data_quality", self.spark.createDataFrame([row], QUALITY_SCHEMA))
+        self.append("audit_data_quality", one_row(self.spark, row, QUALITY_SCHEMA))
 
     def log_schema_changes(self, changes: DataFrame) -> None:
         """L5."""

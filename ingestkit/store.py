@@ -52,7 +52,7 @@ class SnapshotTable:
             return self.read(v)
         nxt = v + 1
         df.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/v={nxt}")
-        self.spark.createDataFrame([(nxt, batch_id)], "version int, batch_id string").coalesce(1).write.mode(
+        self.spark.range(1).select(F.lit(nxt).alias("version"), F.lit(batch_id).alias("batch_id")).write.mode(
             "append"
         ).parquet(self.commits_path)
         return self.read(nxt)
@@ -124,9 +124,9 @@ class Scd2Table:
             .partitionBy("_scd_is_current")
             .parquet(f"{self.data}/v={v}")
         )
-        self.spark.createDataFrame([(v, batch_id, base)], "version int, batch_id string, base int").coalesce(1).write.mode(
-            "append"
-        ).parquet(self.commits_path)
+        self.spark.range(1).select(
+            F.lit(v).alias("version"), F.lit(batch_id).alias("batch_id"), F.lit(base).alias("base")
+        ).write.mode("append").parquet(self.commits_path)
 
     def merge(self, batch: DataFrame, batch_id: str) -> DataFrame:
         """Merge ``batch`` once per ``batch_id`` and return the history at the new version."""
