@@ -107,6 +107,16 @@ def _ts(v):
     return datetime.fromisoformat(str(v))
 
 
+def rows_frame(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A small frame of literal rows, built on the JVM (no Python rows to ship to executors)."""
+
+    def lit(v, f):
+        return F.lit(v.isoformat(sep=" ") if isinstance(v, datetime) else v).cast(f.dataType).alias(f.name)
+
+    structs = [F.struct(*[lit(v, f) for v, f in zip(row, schema.fields)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def one_row(spark: SparkSession, values, schema: T.StructType) -> DataFrame:
     """A one-row frame of literals, built on the JVM (no Python rows to ship to executors)."""
     cols = []
@@ -179,6 +189,15 @@ class AuditLog:
                checked, passed, failed, pct, sev, sev == "error" and failed > 0)
         self.append("audit_data_quality", one_row(self.spark, row, QUALITY_SCHEMA))
 
+    def log_rule_counts(self, batch_id, source, table, per_rule, at=None) -> None:
+        """L4 for counts observed on a write (``quality.observed_metrics``): one append for all rules."""
+        rows = [
+            (f"dq_{batch_id}_{name}", batch_id, source, table, _ts(at), name, col, ctype, checked, passed, failed, pct, sev, quar)
+            for name, col, ctype, checked, passed, failed, pct, sev, quar in per_rule
+        ]
+        if rows:
+            self.append("audit_data_quality", rows_frame(self.spark, rows, QUALITY_SCHEMA))
+
     def log_schema_changes(self, changes: DataFrame) -> None:
         """L5."""
         self.append("audit_schema_evolution", changes)

@@ -132,6 +132,39 @@ def rule_metrics(df: DataFrame, rules, batch_id: str = "", source: str = "", tab
     )
 
 
+def observe_rules(df: DataFrame, rules, name: str):
+    """Attach rule counters to ``df`` so the next action over it (e.g. the
+    quarantine write) also counts rows, quarantined rows and passes per rule.
+    Returns (observed frame, Observation, expanded rules); read the counts with
+    ``observed_metrics`` after that action."""
+    from pyspark.sql import Observation
+
+    rs = expand(rules)
+    errs = [r for r in rs if r.severity == "error"]
+    ok_all = reduce(lambda a, b: a & b, [_holds(r) for r in errs], F.lit(True))
+    metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(~ok_all).alias("quarantined")]
+    for i, r in enumerate(rs):
+        passed = _holds(r) if r.severity == "error" else ~F.coalesce(~_cond(r), F.lit(False))
+        metrics.append(F.count_if(passed).alias(f"passed_{i}"))
+    obs = Observation(name)
+    return df.observe(obs, *metrics), obs, rs
+
+
+def observed_metrics(obs, rs) -> tuple[int, int, list[tuple]]:
+    """(rows, quarantined, one tuple per rule: name, column, check type, checked,
+    passed, failed, failure %, severity, is_quarantined) from an ``observe_rules`` counter."""
+    m = obs.get
+    rows, bad = int(m.get("rows", 0)), int(m.get("quarantined", 0))
+    out = []
+    for i, r in enumerate(rs):
+        passed = int(m.get(f"passed_{i}", 0))
+        failed = rows - passed
+        pct = failed * 100.0 / rows if rows > 0 else 0.0
+        out.append((r.name, ",".join(r.columns) or None, r.check_type, rows, passed, failed, pct, r.severity,
+                    r.severity == "error" and failed > 0))
+    return rows, bad, out
+
+
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
     """Q8: keys that occur more than once, with their count (partial aggregation first)."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1)

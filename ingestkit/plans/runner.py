@@ -62,10 +62,13 @@ def load_table(
         rows = int(seen.get("rows", 0))
         landed = spark.read.parquet(bronze_path).where(F.col("_batch_id") == batch_id)
         rules = list(rules) + quality.unique_key_rules(spec.primary_key)
-        log.log_quality(quality.rule_metrics(landed, rules, batch_id, table.source.name, spec.name, run_ts))
-        bad_obs = Observation(f"{bronze_name(table)}_{batch_id}_quarantine")
-        bad = quality.quarantine(landed, rules, batch_id, run_ts).observe(bad_obs, F.count(F.lit(1)).alias("rows"))
-        bad.write.mode("append").parquet(f"{root}/{bronze_name(table)}_quarantine")
+        # One pass over the landed batch writes the quarantine and counts every rule.
+        marked, counter, expanded = quality.observe_rules(landed, rules, f"{bronze_name(table)}_{batch_id}_rules")
+        quality.quarantine(marked, rules, batch_id, run_ts).write.mode("append").parquet(
+            f"{root}/{bronze_name(table)}_quarantine"
+        )
+        _, n_bad, per_rule = quality.observed_metrics(counter, expanded)
+        log.log_rule_counts(batch_id, table.source.name, spec.name, per_rule, run_ts)
         good = quality.drop_failing(landed, rules)
         if spec.scd_type == "SCD2":
             order = list(spec.sequence_by) or ["_ingestion_timestamp"]
@@ -78,7 +81,6 @@ def load_table(
         else:
             store = SnapshotTable(spark, f"{root}/{silver_name(table)}")
             silver = store.commit(scd.apply_scd(store.read(), good, spec, batch_id), batch_id)
-        n_bad = int(bad_obs.get.get("rows", 0))
         log.log_batch_success(batch_id, table.source.name, spec.name, read=rows, written=rows - n_bad, at=run_ts,
                               watermark=seen.get("watermark"), start=run_ts)
         return LoadResult(table, bronze_path, silver, rows, n_bad, seen.get("watermark"))

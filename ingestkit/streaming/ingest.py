@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import quality
@@ -50,38 +50,28 @@ def bronze_sink(path: str, rules=(), run_ts=None, name: str = "bronze", log=None
     observed on that same write; with an ``AuditLog`` each micro-batch gets a
     run row and one quality row per rule. Returns the sink and a list
     collecting (batch_id, rows, quarantined) per batch."""
-    from ..functions.rules import expand
-
     seen: list[tuple[str, int, int]] = []
-    rs = expand(list(rules))
+    rules = list(rules)
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         batch_id = f"{name}-{epoch_id}"
         at = run_ts or datetime.now()
         if log is not None:
             log.log_batch_start(batch_id, source, table, at)
-        marked = quality.with_failed_rules(batch, rs).withColumns(
+        observed, counter, expanded = quality.observe_rules(batch, rules, f"{name}_{epoch_id}")
+        marked = quality.with_failed_rules(observed, rules).withColumns(
             {"_is_quarantined": F.size(quality.FAILED) > 0, "_batch_id": F.lit(batch_id)}
         )
-        metrics = [F.count(F.lit(1)).alias("rows"), F.count_if("_is_quarantined").alias("quarantined")]
-        for i, r in enumerate(rs):
-            passed = F.coalesce(F.expr(r.condition), F.lit(False)) if r.severity == "error" else ~F.coalesce(~F.expr(r.condition), F.lit(False))
-            metrics.append(F.count_if(passed).alias(f"passed_{i}"))
-        obs = Observation(f"{name}_{epoch_id}")
         (
-            marked.observe(obs, *metrics)
-            .write.mode("overwrite")
+            marked.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("_batch_id", "_is_quarantined")
             .parquet(path)
         )
-        m = obs.get
-        rows, bad = int(m.get("rows", 0)), int(m.get("quarantined", 0))
+        rows, bad, per_rule = quality.observed_metrics(counter, expanded)
         seen.append((batch_id, rows, bad))
         if log is not None:
-            for i, r in enumerate(rs):
-                log.log_data_quality_check(batch_id, source, table, r.name, r.check_type, rows, int(m.get(f"passed_{i}", 0)),
-                                           ",".join(r.columns) or None, r.severity, at)
+            log.log_rule_counts(batch_id, source, table, per_rule, at)
             log.log_batch_success(batch_id, source, table, read=rows, written=rows - bad, at=datetime.now(), start=at)
 
     return sink, seen
