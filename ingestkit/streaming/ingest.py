@@ -87,6 +87,8 @@ def scd2_sink(table: Scd2Table, name: str = "scd2"):
     """Merge each micro-batch into an SCD2 table, once per batch id."""
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
+        if batch.isEmpty():  # nothing to merge; no new version
+            return
         table.merge(batch, f"{name}-{epoch_id}")
 
     return sink
