@@ -120,7 +120,8 @@ def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_K
 
     A row opens a version when its tracked values differ (NULL-safe) from the
     previous row of its key; the version ends where the next version starts.
-    Adds _scd_effective_date, _scd_end_date, _scd_is_current and _scd_hash.
+    Adds _scd_effective_date, _scd_end_date, _scd_is_current, _scd_hash and
+    _scd_action (INSERT for the first version of a key, UPDATE for later ones).
     """
     keys, tracked, order = list(keys), list(tracked), list(order)
     total = order + [c for c in tracked if c not in order]
@@ -138,6 +139,7 @@ def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_K
         F.col(f"_next_{lead}").cast("timestamp_ntz").alias("_scd_end_date"),
         F.col("_is_last").alias("_scd_is_current"),
         fingerprint(tracked).alias("_scd_hash"),
+        F.when(F.col("_is_first"), F.lit(INSERT)).otherwise(F.lit(UPDATE)).alias("_scd_action"),
     )
 
 
@@ -168,12 +170,27 @@ def reopen(target: DataFrame, flags: DataFrame, batch: DataFrame, batch_id: str)
     again = F.coalesce(F.col("_late") | (F.col("_in_batch") & F.col("_scd_is_current")), F.lit(False))
     keep = tagged.where(~again).select(*target.columns)
     business = list(batch.columns)
-    log = tagged.where(again).select(*business, "_scd_batch_id", F.lit(0).alias("_src")).unionByName(
-        batch.select(*business, F.lit(batch_id).alias("_scd_batch_id"), F.lit(1).alias("_src"))
+    # A stored label stays unless the key's whole history is rebuilt (late rows).
+    stored = F.when(~F.coalesce(F.col("_late"), F.lit(False)), F.col("_scd_action"))
+    log = tagged.where(again).select(*business, "_scd_batch_id", stored.alias("_stored_action"), F.lit(0).alias("_src"))
+    log = log.unionByName(
+        batch.select(
+            *business,
+            F.lit(batch_id).alias("_scd_batch_id"),
+            F.lit(None).cast("string").alias("_stored_action"),
+            F.lit(1).alias("_src"),
+        )
     )
     return keep, log
 
 
+def relabel(rebuilt: DataFrame) -> DataFrame:
+    """Keep the stored action of re-examined open versions; new versions get the computed one."""
+    return rebuilt.withColumn("_scd_action", F.coalesce(F.col("_stored_action"), F.col("_scd_action"))).drop(
+        "_stored_action", "_src"
+    )
+
+
 def scd2_merge(target: DataFrame, batch: DataFrame, keys, tracked, order, batch_id: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Merge one batch into an SCD2 table.
 
@@ -190,7 +207,7 @@ def scd2_merge(target: DataFrame, batch: DataFrame, keys, tracked, order, batch_
     keys, order = list(keys), list(order)
     flags = batch_flags(target, batch, keys, order)
     keep, log = reopen(target, flags, batch, batch_id)
-    rebuilt = scd2_history(log, keys, tracked, order + ["_src"], hot_rows=hot_rows).drop("_src")
+    rebuilt = relabel(scd2_history(log, keys, tracked, order + ["_src"], hot_rows=hot_rows))
     return keep.unionByName(rebuilt.select(*target.columns))
 
 
@@ -203,6 +220,7 @@ def empty_scd2(changes: DataFrame) -> DataFrame:
         F.lit(None).cast("timestamp_ntz").alias("_scd_end_date"),
         F.lit(None).cast("boolean").alias("_scd_is_current"),
         F.lit(None).cast("string").alias("_scd_hash"),
+        F.lit(None).cast("string").alias("_scd_action"),
     )
 
 

@@ -170,7 +170,9 @@ def scd2_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = Scd2Table(spark, scratch_path(spark, "silver_customers_scd2"), KEYS, TRACKED, ORDER)
     for batch_id, lo, hi in D.SCD2_BATCHES:
         history = table.merge(D.between(log, "updated_at", lo, hi), batch_id)
-    return history.select(*log.columns, "_scd_batch_id", "_scd_effective_date", "_scd_end_date", "_scd_is_current", "_scd_hash")
+    return history.select(
+        *log.columns, "_scd_batch_id", "_scd_effective_date", "_scd_end_date", "_scd_is_current", "_scd_hash", "_scd_action"
+    )
 
 
 def scd2_merge_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,7 +20,8 @@ kept AS (SELECT customer_id, status, priority, updated_at, seq_key FROM marked
 hist AS (SELECT *, updated_at AS _scd_effective_date,
                 lead(updated_at) OVER (w) AS _scd_end_date,
                 (lead(1) OVER (w)) IS NULL AS _scd_is_current,
-                {fingerprint_sql(["status", "priority"])} AS _scd_hash
+                {fingerprint_sql(["status", "priority"])} AS _scd_hash,
+                CASE WHEN (lag(1) OVER (w)) IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS _scd_action
          FROM kept WINDOW w AS ({W}))
 """
 

@@ -159,7 +159,7 @@ class Scd2Table:
             return self._read(nxt, nxt)
         keep, log = scd.reopen(current, flags, batch, batch_id)
         hot = [tuple(r[k] for k in self.keys) for r in special]
-        rebuilt = scd.scd2_history(log, self.keys, self.tracked, self.order + ["_src"], hot_keys=hot).drop("_src")
+        rebuilt = scd.relabel(scd.scd2_history(log, self.keys, self.tracked, self.order + ["_src"], hot_keys=hot))
         self._commit(keep.unionByName(rebuilt.select(*keep.columns)), nxt, base, batch_id)
         if self.compact_every and nxt - base >= self.compact_every:
             return self.compact()

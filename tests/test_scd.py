@@ -241,3 +241,23 @@ def test_store_compaction_keeps_history(spark, scratch, log):
     v, base, _ = table.head()
     assert base == v  # the last merge reached compact_every and wrote a new base
     assert rows_of(hist) == brute_history(LOG)
+
+
+def test_action_labels_survive_merges_and_late_rows(spark, scratch, log):
+    from ingestkit.store import Scd2Table
+
+    def labels(df):
+        rows = sorted(df.select("k", "_scd_effective_date", "seq", "_scd_action").collect(), key=lambda r: (r.k, r[1], r.seq))
+        return [(r.k, r._scd_action) for r in rows]
+
+    def expected(df):
+        rows = sorted(df.select("k", "_scd_effective_date", "seq").collect(), key=lambda r: (r.k, r[1], r.seq))
+        return [(r.k, "INSERT" if i == 0 or rows[i - 1].k != r.k else "UPDATE") for i, r in enumerate(rows)]
+
+    table = Scd2Table(spark, scratch("labels"), KEYS, TRACKED, ORDER)
+    table.merge(log.where(F.col("ts") < F.lit(t(4))), "b1")
+    hist = table.merge(log.where(F.col("ts") >= F.lit(t(4))), "b2")
+    assert labels(hist) == expected(hist)
+    late = spark.createDataFrame([(6, "Z", "r", t(1), 0)], SCHEMA)  # becomes key 6's first version
+    hist = table.merge(late, "late")
+    assert labels(hist) == expected(hist)
