@@ -60,7 +60,10 @@ def scd0(target: DataFrame, changes: DataFrame, keys, order, batch_id: str) -> D
 
 def _overwrite(target: DataFrame, changes: DataFrame, keys, tracked, order, batch_id, scd_type: str | None) -> DataFrame:
     keys = list(keys)
-    latest = latest_per_key(changes, keys, order)
+    # Rows without a key cannot be matched or stored (the primary-key rule quarantines them);
+    # filtering them here also makes both uses of ``latest`` one plan, so its shuffle is reused.
+    keyed = changes.where(_all([F.col(k).isNotNull() for k in keys]))
+    latest = latest_per_key(keyed, keys, order)
     business = [c for c in latest.columns]
     t, c = target.alias("t"), latest.alias("c")
     cond = _all([F.col(f"t.{k}") == F.col(f"c.{k}") for k in keys])
