@@ -36,3 +36,14 @@ def test_top_k_report(spark):
 def test_no_python_in_plan(spark, name):
     p = plan(entry.queries()[name](spark, SF))
     assert not any(n in p for n in PYTHON_NODES), name
+
+
+def test_scd1_reuses_the_deduplicated_batch(spark):
+    df = entry.queries()["scd1"](spark, SF)
+    df.collect()
+    assert "ReusedExchange" in plan(df)
+
+
+def test_as_of_join_is_not_a_range_join(spark):
+    p = plan(entry.queries()["scd2_as_of_join"](spark, SF))
+    assert "Join" not in p and "Window" in p
