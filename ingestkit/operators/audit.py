@@ -144,11 +144,9 @@ class AuditLog:
                 self.spark.createDataFrame([], schema).write.mode("append").parquet(self.path(name))
 
     def _exists(self, name: str) -> bool:
-        try:
-            self.spark.read.parquet(self.path(name))
-            return True
-        except Exception:  # noqa: BLE001 - path not found
-            return False
+        from ..session import path_exists
+
+        return path_exists(self.spark, self.path(name))
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name]).parquet(self.path(name))

@@ -7,8 +7,10 @@ Only a local session without that setting gets a private folder, as in tests.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -52,3 +54,15 @@ def work_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the work root for one run of one operator."""
     return f"{work_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists; a local path is checked directly, others by a read attempt."""
+    url = urlparse(path)
+    if url.scheme in ("", "file"):
+        return os.path.exists(url.path)
+    try:
+        spark.read.format("binaryFile").load(path).limit(0).schema  # noqa: B018
+        return True
+    except Exception:  # noqa: BLE001 - missing path
+        return False

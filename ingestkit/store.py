@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .session import path_exists
+
 
 class SnapshotTable:
     def __init__(self, spark: SparkSession, root: str):
@@ -24,10 +26,9 @@ class SnapshotTable:
         self.commits_path = f"{self.root}/_commits"
 
     def _commits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.commits_path)
-        except Exception:  # noqa: BLE001 - no commit yet
+        if not path_exists(self.spark, self.commits_path):
             return None
+        return self.spark.read.parquet(self.commits_path)
 
     def head(self, batch_id: str | None = None) -> tuple[int, bool]:
         """Latest committed version and whether ``batch_id`` is committed (one one-row job)."""
@@ -90,10 +91,9 @@ class Scd2Table:
 
     def head(self, batch_id: str | None = None) -> tuple[int, int, bool]:
         """(latest version, its base version, whether ``batch_id`` is committed); one one-row job."""
-        try:
-            commits = self.spark.read.parquet(self.commits_path)
-        except Exception:  # noqa: BLE001 - nothing committed yet
+        if not path_exists(self.spark, self.commits_path):
             return -1, -1, False
+        commits = self.spark.read.parquet(self.commits_path)
         row = commits.agg(
             F.max("version").alias("v"),
             F.max_by("base", "version").alias("b"),
@@ -184,10 +184,9 @@ class BatchPartitionedTable:
         self.root = root.rstrip("/")
 
     def read(self) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(self.root)
-        except Exception:  # noqa: BLE001 - nothing written yet
+        if not path_exists(self.spark, self.root):
             return None
+        return self.spark.read.parquet(self.root)
 
     def add(self, rows: DataFrame, batch_id: str) -> DataFrame:
         (
