@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ingestkit.llm import exact_dedup, quality_rules, sharding
+from ingestkit.llm import exact_dedup, quality_rules, sharding, simhash, substring_dedup
 from ingestkit.llm.common import table
 
 
@@ -22,12 +22,21 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op4_exact_dedup, op7_sharding)
+    f.__name__: f for f in (op1_quality_rules, op4_exact_dedup, op7_sharding, op8_simhash, op10_substring_dedup)
 }
 
 SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(),
     "op4_exact_dedup": exact_dedup.ORACLE,
     "op7_sharding": sharding.ORACLE,
+    "op10_substring_dedup": substring_dedup.ORACLE,
 }

@@ -30,10 +30,10 @@ def shards(docs: DataFrame, n: int = SHARDS, id_col: str = "doc_id", text_col: s
         F.crc32(body).alias("text_crc32"),
     )
     placed = written(global_order(sizes, [F.col("doc_id"), F.col("size"), F.col("text_crc32")], ["size"]), "placed")
-    total = placed.agg(F.sum("size").alias("total"))
-    cut = placed.join(F.broadcast(total)).select(  # one row
+    total = placed.agg(F.sum("size")).first()[0] or 1
+    cut = placed.select(
         "doc_id", "size", "text_crc32", "idx",
-        F.expr(f"int(((2 * before_size + size) * {n}) div (2 * total))").alias("shard"),
+        F.expr(f"int(((2 * before_size + size) * {n}) div (2 * {total}L))").alias("shard"),
     )
     first = cut.groupBy("shard").agg(F.min("idx").alias("first_idx"))  # at most n rows
     return cut.join(F.broadcast(first), "shard").select(
