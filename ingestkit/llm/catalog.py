@@ -6,18 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ingestkit.llm import exact_dedup, quality_rules, sharding, simhash, substring_dedup
-from ingestkit.llm.common import table
+from ingestkit.llm import chat, exact_dedup, mixing, quality_rules, sharding, simhash, substring_dedup, warc
+from ingestkit.llm.common import table, written
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = "</s>[INST] ok [/INST]"
+    extra = [(-1, 0, "user", marks), (-1, 1, "assistant", marks)]
+    extra = spark.createDataFrame(extra, "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(written(chat.formatted(chat.chains(turns)), "chat"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("row_id")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(warc.record_rows(table(spark, sf_dir, "pages")))
+    return warc.pages_back(warc.read_archives(manifest))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"))
 
@@ -31,12 +48,26 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op4_exact_dedup, op7_sharding, op8_simhash, op10_substring_dedup)
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_mixing,
+        op3_chat_format,
+        op4_exact_dedup,
+        op6_warc,
+        op7_sharding,
+        op8_simhash,
+        op10_substring_dedup,
+    )
 }
 
+#: DuckDB SQL; fingerprints with components, token ids and fitted scores are not SQL.
 SQL: dict[str, str] = {
     "op1_quality_rules": quality_rules.oracle_sql(),
+    "op2_mixing": mixing.ORACLE,
+    "op3_chat_format": chat.ORACLE,
     "op4_exact_dedup": exact_dedup.ORACLE,
+    "op6_warc": warc.ORACLE,
     "op7_sharding": sharding.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
 }
