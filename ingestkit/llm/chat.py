@@ -54,36 +54,36 @@ def reply_paths(messages: DataFrame, best: int = 1) -> DataFrame:
     score), ranked by the sum of the scores on the path. ``messages`` is a written table."""
     rows = messages.select("node", "parent", "score")
     known = rows.select(F.col("node").alias("parent"))
-    reach = written(
+    start = written(
         rows.join(known.select("parent", F.lit(True).alias("there")), "parent", "left").select(
             "node", F.when(F.col("there"), F.col("parent")).alias("anc"), F.col("node").alias("top"),
             F.col("score").cast("double").alias("score"), F.lit(1).cast("long").alias("depth"),
         ),
         "reach",
     )
+    reach, open_ = start.where("anc is null"), start.where("anc is not null")  # arrived at the root, on the way
     jumps = []
     rounds = max(rows.count(), 1).bit_length() + 1
-    while not reach.where("anc is not null").isEmpty():
+    while not open_.isEmpty():
         if len(jumps) == rounds:
             raise ValueError("the parents of some messages form a cycle")
-        jumps.append(reach.select("node", "anc"))
-        far = reach.select(F.col("node").alias("anc"), F.col("anc").alias("anc2"), F.col("top").alias("top2"),
-                           F.col("score").alias("score2"), F.col("depth").alias("depth2"))
-        reach = written(
-            reach.join(far, "anc", "left").select(
-                "node", F.col("anc2").alias("anc"), F.coalesce("top2", "top").alias("top"),
-                (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
-                (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
+        jumps.append(open_.select("node", "anc"))
+        far = reach.unionByName(open_).toDF("anc", "anc2", "top2", "score2", "depth2")
+        step = written(
+            open_.join(far, "anc").select(
+                "node", F.col("anc2").alias("anc"), F.col("top2").alias("top"),
+                (F.col("score") + F.col("score2")).alias("score"), (F.col("depth") + F.col("depth2")).alias("depth"),
             ),
             "reach",
         )
+        reach, open_ = reach.unionByName(step.where("anc is null")), step.where("anc is not null")
     parents = rows.select(F.col("parent").alias("node")).where("node is not null")
     leaves = reach.join(parents, "node", "left_anti")
     rank = F.row_number().over(W.partitionBy("top").orderBy(F.desc("score"), "node"))
     on = leaves.withColumn("rank", rank).where(F.col("rank") <= best).select(F.col("node").alias("path"), "node")
     on = written(on, "paths")
     for jump in reversed(jumps):
-        up = on.join(jump.where("anc is not null"), "node").select("path", F.col("anc").alias("node"))
+        up = on.join(jump, "node").select("path", F.col("anc").alias("node"))
         on = written(on.unionByName(up), "paths")
     return on.join(reach.select("node", "depth"), "node").select("path", "node", "depth")
 
