@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ingestkit.llm import chat, exact_dedup, mixing, quality_rules, sharding, simhash, substring_dedup, warc
+from ingestkit.llm import bpe, chat, exact_dedup, mixing, quality_rules, sharding, simhash, substring_dedup, warc
 from ingestkit.llm.common import table, written
 
 
@@ -30,6 +31,21 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents")).drop("row_id")
 
 
+def tokenizer() -> tuple[str, str]:
+    """Rank file and pattern of the registered queries; operators take any."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = tokenizer()
+    tokens = bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
+    return bpe.decode(tokens, path).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(warc.record_rows(table(spark, sf_dir, "pages")))
     return warc.pages_back(warc.read_archives(manifest))
@@ -54,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_mixing,
         op3_chat_format,
         op4_exact_dedup,
+        op5_byte_bpe,
         op6_warc,
         op7_sharding,
         op8_simhash,
