@@ -1,27 +1,54 @@
 """Corpus pipeline: quality classifier, exact de-duplication, SimHash near-de-duplication, mixing, tokenizing.
 
 Each stage is ``(spark, docs, sf_dir) -> DataFrame`` and works on everything its predecessor kept; its
-result is written as Parquet and read again as the next stage's ``docs``.
+result is written as Parquet and read again as the next stage's ``docs``. All but the last return the
+columns of ``docs``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ingestkit.llm import exact_dedup
+from ingestkit.llm import bpe, exact_dedup, mixing, quality_classifier, simhash
+from ingestkit.llm.catalog import tokenizer
 from ingestkit.llm.common import table, written
 
 
+def classify_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality_classifier.accepted(docs, table(spark, sf_dir, "labels"))
+
+
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+    """Of equal texts the document with the largest id stays."""
     return exact_dedup.drop_duplicates(docs)
 
 
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each near-duplicate component the document with the smallest id stays."""
+    return simhash.drop_near_duplicates(docs)
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.mixed_documents(docs)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document (little-endian 32-bit), after the documents' other columns."""
+    path, pattern = tokenizer()
+    return bpe.encode_rows(docs, path, pattern)
+
+
 STAGES = [
+    ("quality_classifier", classify_stage),
     ("exact_dedup", exact_stage),
+    ("simhash_near_dedup", near_stage),
+    ("mixing", mix_stage),
+    ("byte_bpe", token_stage),
 ]
 
-#: Fitting, fingerprints and token ids are not SQL; the tests hold the pipeline against brute force.
+#: Fitted scores, fingerprints and token ids are not SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

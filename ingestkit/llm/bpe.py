@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingestkit.llm.common import let, written
+from ingestkit.llm.common import fresh, let, written
 
 FREQUENT = 1 << 20
 LONG = 64
@@ -229,7 +229,8 @@ def _marked(docs: DataFrame, pattern: str, text_col: str, words: pa.Array) -> Da
             known = pa.array([flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), known, rare], ["row", "known", "rare"])
 
-    split = docs.select(F.struct("*").alias("row"), split_words(F.col(text_col), pattern).alias("words"))
+    kept = [c for c in docs.columns if c != text_col] or [F.lit(None).cast("int").alias("none")]
+    split = docs.select(F.struct(*kept).alias("row"), split_words(F.col(text_col), pattern).alias("words"))
     row = split.schema["row"].dataType.simpleString()
     return split.mapInArrow(run, f"row {row}, known binary, rare array<string>")
 
@@ -268,16 +269,27 @@ def _laid_out(marked: DataFrame, starts: np.ndarray, pool: np.ndarray, ranks: di
     return marked.select("row", "known", "rare", "ids").mapInArrow(run, f"row {row}, n_tokens long, ids binary")
 
 
+def _tokens(docs: DataFrame, path: str, pattern: str, text_col: str, most: int) -> DataFrame:
+    """(row, n_tokens, ids): every row of ``docs`` as a struct, and the ids of its text."""
+    fold = Fold(path)
+    words, starts, pool = frequent_words(docs, fold, pattern, text_col, most)
+    marked = _marked(docs, pattern, text_col, words).withColumn("ids", fold.encode(F.col("rare")))
+    return _laid_out(marked, starts, pool, read_ranks(path))
+
+
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text",
            most: int = FREQUENT) -> DataFrame:
     """doc_id, n_tokens and ids of every text by the rank file at ``path``."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    fold = Fold(path)
-    words, starts, pool = frequent_words(docs, fold, pattern, "text", most)
-    split = docs.select("doc_id", "text")
-    marked = _marked(split, pattern, "text", words)
-    marked = marked.withColumn("ids", fold.encode(F.col("rare")))
-    return _laid_out(marked, starts, pool, read_ranks(path)).select("row.doc_id", "n_tokens", "ids")
+    return _tokens(docs, path, pattern, "text", most).select("row.doc_id", "n_tokens", "ids")
+
+
+def encode_rows(docs: DataFrame, path: str, pattern: str, text_col: str = "text", most: int = FREQUENT) -> DataFrame:
+    """``docs`` with its text replaced by ``n_tokens`` and ``ids``; columns of these names get a prefix."""
+    kept = [c for c in docs.columns if c != text_col]
+    names = [fresh(docs.select(*kept), n) for n in ("n_tokens", "ids")]
+    out = _tokens(docs, path, pattern, text_col, most)
+    return out.select(*(F.col("row")[c].alias(c) for c in kept), *(F.col(a).alias(b) for a, b in zip(("n_tokens", "ids"), names, strict=True)))
 
 
 def decode(tokens: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestkit.llm import bpe, chat, exact_dedup, mixing, quality_rules, sharding, simhash, substring_dedup, warc
+from ingestkit.llm import bpe, chat, exact_dedup, mixing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, warc
 from ingestkit.llm.common import table, written
 
 
@@ -59,6 +59,10 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
@@ -74,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_warc,
         op7_sharding,
         op8_simhash,
+        op9_quality_classifier,
         op10_substring_dedup,
     )
 }
