@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: money columns carry two decimals.
-MONEY = "decimal(18,2)"
+# Amounts are added exactly to six decimals, so amounts below a cent count.
+MONEY = "decimal(28,6)"
 
 # Fixed value: precision used to average ratios exactly.
 RATIO = "decimal(38,10)"

@@ -149,7 +149,8 @@ class AuditLog:
         return path_exists(self.spark, self.path(name))
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(self.path(name))
+        rows = self.spark.read.schema(TABLES[name]).parquet(self.path(name))
+        return latest_checks(rows) if name == "audit_data_quality" else rows
 
     def append(self, name: str, df: DataFrame) -> None:
         """K8: append rows (a retry appends the same event again; readers take the latest)."""
@@ -208,6 +209,14 @@ class AuditLog:
         return latest_state(self.table("audit_batch_runs"))
 
 
+def latest_checks(rows: DataFrame) -> DataFrame:
+    """One row per check of a batch and table: a retried batch logs its checks again, the last counts."""
+    keys = ["check_id", "source_name", "table_name"]
+    rest = [c for c in rows.columns if c not in (*keys, "check_timestamp")]
+    last = rows.groupBy(*keys).agg(F.max(F.struct("check_timestamp", *rest)).alias("_last"))
+    return last.select(*keys, "_last.*").select(*rows.columns)
+
+
 def latest_state(events: DataFrame) -> DataFrame:
     """One row per run with its latest state; start time from the first event.
 
@@ -296,9 +305,14 @@ def dq_failure_rate(quality_rows: DataFrame) -> DataFrame:
     )
 
 
-def retain(rows: DataFrame, column: str, as_of, days: int = 90) -> DataFrame:
-    """Rows newer than the retention window; writing them as a new snapshot drops the rest."""
-    return rows.where(_since(column, as_of, days=days))
+def retain(events: DataFrame, as_of, days: int = 90) -> DataFrame:
+    """All states of the runs that started inside the retention window or later; writing them as a
+    new snapshot drops the rest. Later states need no start time of their own, and runs newer than
+    ``as_of`` stay."""
+    started = events.groupBy(*RUN_KEY).agg(F.min("run_start_time").alias("_started"))
+    cutoff = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(days))
+    gone = started.where(F.col("_started") < cutoff).select(*RUN_KEY)
+    return events.join(gone, list(RUN_KEY), "left_anti").select(*events.columns)
 
 
 def high_water_mark(runs: DataFrame, source: str, table: str) -> DataFrame:

@@ -72,5 +72,5 @@ def tracked_columns(df: DataFrame, keys, exclude=()) -> list[str]:
 
 def record_json(df: DataFrame, columns=None) -> Column:
     """The row (or the listed columns) as one JSON string."""
-    cols = columns or [c for c in df.columns if not c.startswith("_")]
+    cols = columns or [c for c in df.columns if not c.startswith("_") or c == "_corrupt_record"]
     return F.to_json(F.struct(*[F.col(c) for c in cols]))

@@ -68,10 +68,15 @@ def _overwrite(target: DataFrame, changes: DataFrame, keys, tracked, order, batc
     t, c = target.alias("t"), latest.alias("c")
     cond = _all([F.col(f"t.{k}") == F.col(f"c.{k}") for k in keys])
     hit = F.col(f"c.{keys[0]}").isNotNull()
+    # An older row never replaces a newer one, whatever batch brings it.
+    guard = [o for o in order if o in target.columns and o in business]
+    newer = F.lit(True)
+    if guard:
+        newer = F.coalesce(F.struct(*[F.col(f"c.{o}") for o in guard]) >= F.struct(*[F.col(f"t.{o}") for o in guard]), F.lit(True))
     if tracked is None:
-        changed = hit
+        changed = hit & newer
     else:
-        changed = hit & ~_same("t", "c", tracked)
+        changed = hit & newer & ~_same("t", "c", tracked)
     merged = t.join(c, cond, "left")
     cols = []
     for name in target.columns:
@@ -106,13 +111,13 @@ def action_label(df: DataFrame, keys) -> DataFrame:
     return df.withColumn("_scd_action", F.when(present, F.lit("UPSERT")).otherwise(F.lit(INSERT)))
 
 
-def append(target: DataFrame, changes: DataFrame, dedup_keys=None, batch_id: str | None = None) -> DataFrame:
-    """Insert only. With ``dedup_keys`` (an overlapping look-back read) rows
-    whose key is already in the target, or repeated within the batch, are skipped."""
+def append(target: DataFrame, changes: DataFrame, dedup_keys=None, batch_id: str | None = None, order=()) -> DataFrame:
+    """Insert only. With ``dedup_keys`` (an overlapping look-back read) rows whose key is already in
+    the target are skipped, and of rows repeated within the batch the last by ``order`` is taken."""
     new = changes
     if dedup_keys:
         dedup_keys = list(dedup_keys)
-        new = new.dropDuplicates(dedup_keys).join(target.select(*dedup_keys), dedup_keys, "left_anti")
+        new = latest_per_key(new, dedup_keys, order).join(target.select(*dedup_keys), dedup_keys, "left_anti")
     if batch_id is not None and "_scd_batch_id" in target.columns:
         new = new.withColumns({"_scd_type": F.lit("APPEND"), "_scd_action": F.lit(INSERT), "_scd_batch_id": F.lit(batch_id)})
     return target.unionByName(new.select(*target.columns))
@@ -314,7 +319,7 @@ def apply_scd(target: DataFrame | None, changes: DataFrame, table, batch_id: str
     if kind == "UPSERT":
         return upsert(target, changes, keys, order)
     if kind == "APPEND":
-        return append(target, changes, dedup_keys=keys if table.watermark_seconds else None, batch_id=batch_id)
+        return append(target, changes, dedup_keys=keys if table.watermark_seconds else None, batch_id=batch_id, order=order)
     raise ValueError(f"unknown SCD type {kind!r}")
 
 
@@ -368,7 +373,7 @@ def new_rows(target: DataFrame | None, changes: DataFrame, table) -> DataFrame:
     if table.scd_type == "SCD0":
         rows = earliest_per_key(changes, keys, order)
     elif table.watermark_seconds:
-        rows = changes.dropDuplicates(keys)
+        rows = latest_per_key(changes, keys, order)
     else:
         return changes
     if target is None:

@@ -253,7 +253,7 @@ def audit_dq_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.retain(D.run_events(spark, sf_dir), "run_start_time", D.AUDIT_AS_OF, days=10).where(F.col("event_seq") == 1)
+    return A.retain(D.run_events(spark, sf_dir), D.AUDIT_AS_OF, days=10)
 
 
 def watermark_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:

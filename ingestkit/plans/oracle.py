@@ -300,12 +300,17 @@ SELECT source_name, table_name, rule_name, count(*) AS total_checks,
 FROM qr WHERE check_timestamp BETWEEN {since(7, 'DAYS')} GROUP BY 1, 2, 3"""
     q["audit_dq_rate"] = QROWS + f"SELECT source_name, table_name, rule_name, {MEAN_PCT} AS avg_failure_rate FROM qr GROUP BY 1, 2, 3"
     q["audit_retention"] = f"""
-SELECT 'batch_' || CAST(event_id AS VARCHAR) AS batch_id, event_type AS source_name,
-       't' || CAST(user_id AS VARCHAR) AS table_name, 1 AS event_seq, ts AS run_start_time,
-       CAST(NULL AS TIMESTAMP) AS run_end_time, 'RUNNING' AS status, CAST(NULL AS BIGINT) AS records_read,
-       CAST(NULL AS BIGINT) AS records_written, CAST(NULL AS VARCHAR) AS error_message,
-       CAST(NULL AS TIMESTAMP) AS watermark_value
-FROM events WHERE ts BETWEEN {since(10, 'DAYS')}"""
+WITH e AS (SELECT *, CAST(round(value * 100) AS BIGINT) AS n, event_type = 'error' AS bad,
+  'batch_' || CAST(event_id AS VARCHAR) AS b, 't' || CAST(user_id AS VARCHAR) AS t
+  FROM events WHERE ts >= TIMESTAMP '{D.AUDIT_AS_OF}' - INTERVAL 10 DAYS)
+SELECT b AS batch_id, event_type AS source_name, t AS table_name, 1 AS event_seq, ts AS run_start_time,
+  CAST(NULL AS TIMESTAMP) AS run_end_time, 'RUNNING' AS status, CAST(NULL AS BIGINT) AS records_read,
+  CAST(NULL AS BIGINT) AS records_written, CAST(NULL AS VARCHAR) AS error_message,
+  CAST(NULL AS TIMESTAMP) AS watermark_value FROM e
+UNION ALL SELECT b, event_type, t, 2, NULL, NULL, 'RUNNING', n, NULL, NULL, NULL FROM e
+UNION ALL SELECT b, event_type, t, 3, NULL, ts + to_milliseconds(CAST(round(value * 1000) AS BIGINT)),
+  CASE WHEN bad THEN 'FAILED' ELSE 'SUCCESS' END, n, CASE WHEN bad THEN 0 ELSE greatest(n - user_id, 0) END,
+  CASE WHEN bad THEN 'error event ' || CAST(event_id AS VARCHAR) END, CASE WHEN NOT bad THEN ts END FROM e"""
     q["watermark_lookback"] = f"""
 SELECT * FROM orders
 WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '{D.CUTOFF}') - INTERVAL 1 DAY"""

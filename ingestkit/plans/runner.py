@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..operators import audit as A
 from ..operators import enrich, quality, scd
 from ..spec import ResolvedTable
-from ..store import BatchPartitionedTable, Scd2Table, SnapshotTable, write_bronze
+from ..store import BatchPartitionedTable, Scd2Table, SnapshotTable, write_bronze, write_quarantine
 
 
 @dataclass
@@ -64,9 +64,7 @@ def load_table(
         rules = list(rules) + quality.unique_key_rules(spec.primary_key)
         # One pass over the landed batch writes the quarantine and counts every rule.
         marked, counter, expanded = quality.observe_rules(landed, rules, f"{bronze_name(table)}_{batch_id}_rules")
-        quality.quarantine(marked, rules, batch_id, run_ts).write.mode("append").parquet(
-            f"{root}/{bronze_name(table)}_quarantine"
-        )
+        write_quarantine(quality.quarantine(marked, rules, batch_id, run_ts), f"{root}/{bronze_name(table)}_quarantine")
         _, n_bad, per_rule = quality.observed_metrics(counter, expanded)
         log.log_rule_counts(batch_id, table.source.name, spec.name, per_rule, run_ts)
         good = quality.drop_failing(landed, rules)
@@ -76,8 +74,7 @@ def load_table(
             silver = Scd2Table(spark, f"{root}/{silver_name(table)}", spec.primary_key, tracked, order).merge(good, batch_id)
         elif spec.scd_type in ("APPEND", "SCD0"):
             store = BatchPartitionedTable(spark, f"{root}/{silver_name(table)}")
-            target = store.read()
-            silver = store.add(scd.new_rows(target, good, spec), batch_id)
+            silver = store.add(scd.new_rows(store.read_without(batch_id), good, spec), batch_id)
         else:
             store = SnapshotTable(spark, f"{root}/{silver_name(table)}")
             silver = store.commit(scd.apply_scd(store.read(), good, spec, batch_id), batch_id)
@@ -85,5 +82,5 @@ def load_table(
                               watermark=seen.get("watermark"), start=run_ts)
         return LoadResult(table, bronze_path, silver, rows, n_bad, seen.get("watermark"))
     except Exception as e:
-        log.log_batch_failure(batch_id, table.source.name, spec.name, str(e)[:1000], at=run_ts, start=run_ts)
+        log.log_batch_failure(batch_id, table.source.name, spec.name, str(e), at=run_ts, start=run_ts)
         raise

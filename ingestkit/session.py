@@ -7,10 +7,8 @@ Only a local session without that setting gets a private folder, as in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
-from urllib.parse import urlparse
 
 from pyspark.sql import SparkSession
 
@@ -57,12 +55,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table folder exists; a local path is checked directly, others by a read attempt."""
-    url = urlparse(path)
-    if url.scheme in ("", "file"):
-        return os.path.exists(url.path)
-    try:
-        spark.read.format("binaryFile").load(path).limit(0).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001 - missing path
-        return False
+    """Whether a path exists on its own file system (the default one without a scheme, as Spark
+    resolves it). Only "not found" is False; any other failure is raised, so a table that cannot be
+    looked up is never taken as empty."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)

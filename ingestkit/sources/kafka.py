@@ -21,12 +21,13 @@ JSON_TS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampForma
 
 
 def kafka_options(connection: dict, topic: str, starting_offsets: str = "latest", extra: dict | None = None) -> dict[str, str]:
-    """Subscription and SASL settings (JAAS line when the protocol is not PLAINTEXT)."""
+    """Subscription and SASL settings (JAAS line when the protocol is not PLAINTEXT).
+
+    Lost offsets fail the stream, as is Spark's default; ``extra`` may set ``failOnDataLoss``."""
     opts = {
         "kafka.bootstrap.servers": connection["bootstrap_servers"],
         "subscribe": topic,
         "startingOffsets": starting_offsets,
-        "failOnDataLoss": "false",
     }
     protocol = connection.get("security_protocol", "PLAINTEXT")
     if protocol != "PLAINTEXT":

@@ -38,7 +38,7 @@ def probe(spark: SparkSession, readers: dict[str, Callable[[], DataFrame]], opti
             has_rows = len(df.limit(1).take(1)) > 0
             rows.append((name, True, len(df.columns), has_rows, None, opts))
         except Exception as e:  # noqa: BLE001 - the probe reports, it does not raise
-            rows.append((name, False, None, None, re.sub(r"\s+", " ", str(e))[:300], opts))
+            rows.append((name, False, None, None, re.sub(r"\s+", " ", str(e)), opts))
     return spark.createDataFrame(
         rows, "source_name string, reachable boolean, n_columns int, has_rows boolean, error string, options string"
     )

@@ -43,6 +43,8 @@ def _records(text: str, path: str):
         if isinstance(doc, list):
             return doc
         if isinstance(doc, dict):
+            if path and path.split(".")[0] not in doc:
+                return [doc]  # one record on a line, not an envelope
             for part in path.split(".") if path else []:
                 doc = doc.get(part, []) if isinstance(doc, dict) else []
             return doc if isinstance(doc, list) else [doc]

@@ -69,6 +69,16 @@ def write_bronze(df: DataFrame, path: str) -> None:
     )
 
 
+def write_quarantine(df: DataFrame, path: str) -> None:
+    """K2: failing rows partitioned by ``batch_id``; a retry replaces its own batch's rows."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+
+
 class Scd2Table:
     """K3 for SCD2: a history table whose merges cost O(open versions + batch), not O(history).
 
@@ -188,6 +198,11 @@ class BatchPartitionedTable:
             return None
         return self.spark.read.parquet(self.root)
 
+    def read_without(self, batch_id: str) -> DataFrame | None:
+        """What other batches wrote: the target a (possibly retried) batch is compared with."""
+        df = self.read()
+        return None if df is None else df.where(F.col("_scd_batch_id").cast("string") != F.lit(batch_id))
+
     def add(self, rows: DataFrame, batch_id: str) -> DataFrame:
         (
             rows.withColumn("_scd_batch_id", F.lit(batch_id))

