@@ -31,13 +31,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingestkit.llm.common import fresh, let, written
+from ingestkit.llm.common import fresh, let, tidy, written
 
-FREQUENT = 1 << 20
+FREQUENT = 1 << 18
 LONG = 64
 SLOT_BITS = 18
 #: Documents put together at a time when ids are laid out.
 GROUP = 256
+BATCH_BYTES = 8 << 20
+PLAN_CHARS = 100_000
 
 
 @lru_cache(maxsize=4)
@@ -136,7 +138,7 @@ class Fold:
         def fold(ids: Column) -> Column:
             ranks = F.transform(ids, lambda x, i: self._rank(t, x, F.get(ids, i + 1)))
             start = F.struct(F.concat(edge, ids, edge).alias("p"), F.concat(none, ranks).alias("r"))
-            end = F.aggregate(F.sequence(F.lit(1), F.size(ids)), start, step, lambda s: s["p"])
+            end = F.aggregate(F.slice(ids, 2, F.size(ids)), start, step, lambda s: s["p"])  # one step for each gap
             return let(end, lambda p: F.slice(p, 2, F.size(p) - 2))
 
         def ids(chars: Column) -> Column:
@@ -232,45 +234,56 @@ def _marked(docs: DataFrame, pattern: str, text_col: str, words: pa.Array) -> Da
     kept = [c for c in docs.columns if c != text_col] or [F.lit(None).cast("int").alias("none")]
     split = docs.select(F.struct(*kept).alias("row"), split_words(F.col(text_col), pattern).alias("words"))
     row = split.schema["row"].dataType.simpleString()
-    return split.mapInArrow(run, f"row {row}, known binary, rare array<string>")
+    return split.mapInArrow(tidy(run), f"row {row}, known binary, rare array<string>")
 
 
 def _laid_out(marked: DataFrame, starts: np.ndarray, pool: np.ndarray, ranks: dict[bytes, int]) -> DataFrame:
     """(row, n_tokens, ids) from the places of the words and the ids of the rare ones."""
 
+    # the place of a rare word (below 0) is clipped into the tables and its ids are overwritten
+    size = np.append(np.diff(starts), 0).astype(np.int64)
+    starts = starts.astype(np.int64)
+    pool = pool if len(pool) else np.zeros(1, np.uint32)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a in range(0, whole.num_rows, GROUP):
                 b = whole.slice(a, GROUP)
-                own = b.column(3).to_pylist()
-                for words, lists in zip(b.column(2), own, strict=True):
+                n_tokens, out = [], []
+                for known, words, lists in zip(b.column(1), b.column(2), b.column(3).to_pylist(), strict=True):
                     for i, ids in enumerate(lists):
                         if ids is None:
                             lists[i] = merge_long(words[i].as_py().encode(), ranks)
-                flat = [ids for lists in own for ids in lists]
-                sizes = np.fromiter(map(len, flat), np.int64, len(flat))
-                every = np.concatenate((pool, np.array([i for ids in flat for i in ids], np.uint32)))
-                begin = np.concatenate((starts[:-1], len(pool) + np.cumsum(sizes) - sizes))
-                size = np.concatenate((np.diff(starts), sizes))
-                first = len(starts) - 1 + np.concatenate(([0], np.cumsum([len(x) for x in own]))).astype(np.int64)
-                n_tokens, out = [], []
-                for i, known in enumerate(b.column(1)):
-                    at = np.frombuffer(known.as_py(), "<i4").astype(np.int64)
-                    at = np.where(at < 0, first[i] - 1 - at, at)
-                    n = size[at]
-                    take = np.repeat(begin[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                    n_tokens.append(len(take))
-                    out.append(every[take].astype("<u4").tobytes())
+                    at = np.frombuffer(known.as_py(), "<i4")
+                    n, begin = size.take(at, mode="clip"), starts.take(at, mode="clip")
+                    rare = np.nonzero(at < 0)[0]
+                    own = (-1 - at[rare]).tolist()
+                    n[rare] = [len(lists[i]) for i in own]
+                    stop = np.cumsum(n)
+                    total = int(stop[-1]) if len(stop) else 0
+                    ids = pool.take(np.repeat(begin - (stop - n), n) + np.arange(total), mode="clip")
+                    for i, z in zip(own, stop[rare].tolist(), strict=True):
+                        ids[z - len(lists[i]) : z] = lists[i]
+                    n_tokens.append(total)
+                    out.append(ids.astype("<u4").tobytes())
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), pa.array(n_tokens, pa.int64()), pa.array(out, pa.binary())], ["row", "n_tokens", "ids"]
                 )
 
     row = marked.schema["row"].dataType.simpleString()
-    return marked.select("row", "known", "rare", "ids").mapInArrow(run, f"row {row}, n_tokens long, ids binary")
+    return marked.select("row", "known", "rare", "ids").mapInArrow(tidy(run), f"row {row}, n_tokens long, ids binary")
 
 
 def _tokens(docs: DataFrame, path: str, pattern: str, text_col: str, most: int) -> DataFrame:
-    """(row, n_tokens, ids): every row of ``docs`` as a struct, and the ids of its text."""
+    """(row, n_tokens, ids): every row of ``docs`` as a struct, and the ids of its text.
+
+    Words are several times larger than their text, so the session's Arrow batches are held to
+    ``BATCH_BYTES`` from here on; and plans, which the driver keeps as text, to ``PLAN_CHARS``, as the
+    literal rank map stands in them.
+    """
+    conf = docs.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    conf.set("spark.sql.maxPlanStringLength", str(PLAN_CHARS))
     fold = Fold(path)
     words, starts, pool = frequent_words(docs, fold, pattern, text_col, most)
     marked = _marked(docs, pattern, text_col, words).withColumn("ids", fold.encode(F.col("rare")))
@@ -306,7 +319,7 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
             yield b.append_column("decoded", pa.array(text, pa.binary()))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema)
-    return tokens.mapInArrow(run, f"{fields}, decoded binary")
+    return tokens.mapInArrow(tidy(run), f"{fields}, decoded binary")
 
 
 def packed(ids: list[int]) -> bytes:

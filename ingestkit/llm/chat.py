@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ingestkit.llm.common import global_order, written
+from ingestkit.llm.common import global_order, tidy, written
 
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 LEARNT = "assistant"
@@ -138,7 +138,7 @@ def formatted(messages: DataFrame, best: int = 1, part_chars: int = PART_CHARS)
     return (
         turns.repartition("path")
         .sortWithinPartitions("path", "depth")
-        .mapInArrow(run, "path long, conv_id long, part long, text string, loss array<struct<start:long,stop:long>>")
+        .mapInArrow(tidy(run), "path long, conv_id long, part long, text string, loss array<struct<start:long,stop:long>>")
     )
 
 
@@ -180,7 +180,7 @@ def read_back(parts: DataFrame) -> DataFrame:
         if row is not None:
             yield out()
 
-    return parts.repartition("path").sortWithinPartitions("path", "part").mapInArrow(run, fields)
+    return parts.repartition("path").sortWithinPartitions("path", "part").mapInArrow(tidy(run), fields)
 
 
 def _esc_len(x: str) -> str:

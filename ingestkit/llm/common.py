@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
+from functools import wraps
+
+import pyarrow as pa
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -33,6 +38,22 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A batch function that gives its memory back when its partition ends: Python workers are used
+    again, and what their allocators keep would add up over the stages of a job."""
+
+    @wraps(run)
+    def tidied(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return tidied
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

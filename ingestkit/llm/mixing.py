@@ -82,7 +82,7 @@ class Flow:
             while queue:
                 u = queue.popleft()
                 queued.discard(u)
-                for e in self.out[u]:
+                for e in self.out.get(u, ()):
                     v, room, cost = self.arcs[e]
                     if room and dist[u] + cost < dist.get(v, 1 << 60):
                         dist[v], via[v] = dist[u] + cost, (u, e)

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ingestkit.llm.common import tidy
+
 BITS = 17
 RUN = 9
 FEATURES = (1 << BITS) + RUN
@@ -180,7 +182,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["weights", "intercept", "slope", "offset"])
 
     one = rows.select("good", "text", "id").repartition(1).sortWithinPartitions(F.xxhash64("id"), "id").select("good", "text")
-    found = one.mapInArrow(run, "weights binary, intercept double, slope double, offset double").first()
+    found = one.mapInArrow(tidy(run), "weights binary, intercept double, slope double, offset double").first()
+    if found is None:  # no labelled document
+        return fit_rows([], np.zeros(0, np.int64))
     return Model(np.frombuffer(found["weights"], np.float32), found["intercept"], found["slope"], found["offset"])
 
 
@@ -192,7 +196,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(model.scores(b.column(1)))], ["row", "score"])
 
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"row {rows.schema['row'].dataType.simpleString()}, score double")
+    return rows.mapInArrow(tidy(run), f"row {rows.schema['row'].dataType.simpleString()}, score double")
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

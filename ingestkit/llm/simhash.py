@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingestkit.llm.common import fresh, with_row_id, written
+from ingestkit.llm.common import fresh, tidy, with_row_id, written
 from ingestkit.llm.graph import components
 
 SHINGLE_WORDS = 4
@@ -94,7 +94,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").cast("binary").alias("body"),
     )
-    return body.mapInArrow(run, "row_id long, doc_id long, fp long")
+    return body.mapInArrow(tidy(run), "row_id long, doc_id long, fp long")
 
 
 @dataclass
@@ -250,7 +250,7 @@ def links(fps: DataFrame, bits: int = MAX_BITS, shard_size: int = SHARD_SIZE) ->
         linked = np.nonzero(root != np.arange(len(x)))[0]
         return pd.DataFrame({"a": x[linked].view(np.int64), "b": x[root[linked]].view(np.int64)})
 
-    placed = fps.select("fp").mapInArrow(place, "shard int, fp long, home boolean")
+    placed = fps.select("fp").mapInArrow(tidy(place), "shard int, fp long, home boolean")
     return placed.groupBy("shard").applyInPandas(shard_links, "a long, b long")
 
 

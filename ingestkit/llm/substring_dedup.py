@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingestkit.llm.common import written
+from ingestkit.llm.common import tidy, written
 
 LENGTH = 50
 GRAM = 8
@@ -111,7 +111,7 @@ def _packed(keyed: DataFrame) -> DataFrame:
             blobs = [pack.compress(b" ".join((t.as_py() or b"").split())) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(blobs, pa.binary())], ["did", "th", "blob"])
 
-    return keyed.select("did", "th", "body").mapInArrow(run, "did long, th long, blob binary")
+    return keyed.select("did", "th", "body").mapInArrow(tidy(run), "did long, th long, blob binary")
 
 
 def _unpacked(blob: bytes) -> list[bytes]:
@@ -162,7 +162,7 @@ def _windows(joined: DataFrame, length: int) -> DataFrame:
                     ["seed", "context", "t", "window", "did"],
                 )
 
-    return joined.select("did", "blob", "asked").mapInArrow(run, "seed long, context long, t int, window long, did long")
+    return joined.select("did", "blob", "asked").mapInArrow(tidy(run), "seed long, context long, t int, window long, did long")
 
 
 def _cut(joined: DataFrame, length: int) -> DataFrame:
@@ -185,7 +185,7 @@ def _cut(joined: DataFrame, length: int) -> DataFrame:
                 ["did", "th", "n_removed", "kept"],
             )
 
-    return joined.select("did", "th", "blob", "runs").mapInArrow(run, "did long, th long, n_removed long, kept binary")
+    return joined.select("did", "th", "blob", "runs").mapInArrow(tidy(run), "did long, th long, n_removed long, kept binary")
 
 
 def covered_runs(keyed: DataFrame, scanned: DataFrame, length: int) -> DataFrame:

@@ -31,7 +31,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingestkit.llm.common import written
+from ingestkit.llm.common import tidy, written
 from ingestkit.session import scratch_path
 
 CHUNK_BYTES = 1 << 20
@@ -136,7 +136,7 @@ def write_archives(rows: DataFrame, folder: str | None = None) -> DataFrame:
         schema = pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
         yield pa.RecordBatch.from_pylist(out.done, schema)
 
-    return written(rows.mapInArrow(run, "path string, records long, bytes long"), "manifest")
+    return written(rows.mapInArrow(tidy(run), "path string, records long, bytes long"), "manifest")
 
 
 def _header(stream) -> dict[str, str]:
@@ -210,7 +210,7 @@ def read_archives(manifest: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFr
 
     out = ("record_id string, record_type string, url string, refers_to string, payload_bytes long, chunk_no int, "
            "data binary, digest string, last boolean")
-    return manifest.select("path").repartition(n).mapInArrow(run, out)
+    return manifest.select("path").repartition(n).mapInArrow(tidy(run), out)
 
 
 def page_of(record_id: str) -> F.Column:
