@@ -38,7 +38,7 @@ LONG = 64
 SLOT_BITS = 18
 #: Documents put together at a time when ids are laid out.
 GROUP = 256
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 PLAN_CHARS = 100_000
 
 
