@@ -21,6 +21,9 @@ from .sequence import HOT_KEY_ROWS, hot_key_cuts, with_neighbors
 # Action labels and type labels written to ``_scd_action`` / ``_scd_type``.
 INSERT, UPDATE, UNCHANGED = "INSERT", "UPDATE", "UNCHANGED"
 
+# Order values of the last row seen of a key, kept on its open version (null on closed ones).
+SEEN = "_scd_last_seen"
+
 
 def _all(cols: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, cols, F.lit(True))
@@ -30,6 +33,13 @@ def _same(left: str, right: str, cols) -> Column:
     return _all([F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols])
 
 
+def _join_keys(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; the key columns of ``left`` stay."""
+    renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    match = _all([F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return left.join(renamed, match, how).drop(*[f"_k_{k}" for k in keys])
+
+
 def _pick(df: DataFrame, keys, order, fn) -> DataFrame:
     keys, order = list(keys), list(order)
     rest = [c for c in df.columns if c not in keys and c not in order]
@@ -151,8 +161,31 @@ def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_K
     )
 
 
+def unseen(target: DataFrame, batch: DataFrame, keys, tracked, order) -> DataFrame:
+    """The rows of the batch that say something new: a row inside the span of its key's open version
+    (from its start to the last row seen) with the same tracked values is a repeat, as a look-back
+    reads again, and changes nothing."""
+    keys, order = list(keys), list(order)
+
+    def seq():
+        return F.struct(*[F.col(c) for c in order])
+
+    open_rows = target.where(F.col("_scd_is_current")).select(
+        *keys, seq().alias("_from"), F.coalesce(F.col(SEEN), seq()).alias("_to"), F.struct(*tracked).alias("_values")
+    )
+    repeat = seq().between(F.col("_from"), F.col("_to")) & _all([F.col(c).eqNullSafe(F.col(f"_values.{c}")) for c in tracked])
+    return _join_keys(batch, open_rows, keys, "left").where(~F.coalesce(repeat, F.lit(False))).select(*batch.columns)
+
+
+def with_seen(target: DataFrame, order) -> DataFrame:
+    """``target`` with the last-seen column, null where an older table has none."""
+    if SEEN in target.columns:
+        return target
+    return target.withColumn(SEEN, F.lit(None).cast(target.select(F.struct(*order)).schema[0].dataType))
+
+
 def batch_flags(target: DataFrame, batch: DataFrame, keys, order) -> DataFrame:
-    """Per key of the batch: ``_in_batch`` and ``_late`` (a batch row at or before the open version).
+    """Per key of the batch: ``_in_batch`` and ``_late`` (a batch row at or before the last row seen).
 
     One aggregation of the batch (combined map-side) joined with the open versions."""
     keys, order = list(keys), list(order)
@@ -161,8 +194,8 @@ def batch_flags(target: DataFrame, batch: DataFrame, keys, order) -> DataFrame:
         return F.struct(*[F.col(c) for c in order])
 
     first_new = batch.groupBy(*keys).agg(F.min(seq()).alias("_first_seq"), F.count(F.lit(1)).alias("_n"))
-    open_seq = target.where(F.col("_scd_is_current")).select(*keys, seq().alias("_cur_seq"))
-    return first_new.join(open_seq, keys, "left").select(
+    open_seq = target.where(F.col("_scd_is_current")).select(*keys, F.coalesce(F.col(SEEN), seq()).alias("_cur_seq"))
+    return _join_keys(first_new, open_seq, keys, "left").select(
         *keys,
         F.lit(True).alias("_in_batch"),
         F.coalesce(F.col("_first_seq") <= F.col("_cur_seq"), F.lit(False)).alias("_late"),
@@ -170,11 +203,21 @@ def batch_flags(target: DataFrame, batch: DataFrame, keys, order) -> DataFrame:
     )
 
 
+def seen_rows(target: DataFrame, flags: DataFrame, batch: DataFrame, keys, order, log: DataFrame | None) -> DataFrame:
+    """``batch`` plus what the versions of its late keys no longer show: the rows of ``log`` (all rows
+    ever loaded), or without a log the last row seen of the open version."""
+    late = flags.where(F.col("_late")).select(*keys)
+    if log is not None:
+        return batch.unionByName(_join_keys(log.select(*batch.columns), late, keys, "left_semi"))
+    last = _join_keys(target.where(F.col("_scd_is_current") & F.col(SEEN).isNotNull()), late, keys, "left_semi")
+    return batch.unionByName(last.select(*[F.col(f"{SEEN}.{c}").alias(c) if c in order else F.col(c) for c in batch.columns]))
+
+
 def reopen(target: DataFrame, flags: DataFrame, batch: DataFrame, batch_id: str) -> tuple[DataFrame, DataFrame]:
     """Split the target into rows kept as they are and the change log to rebuild:
     the open versions of batch keys and every version of late keys, plus the batch."""
     keys = [c for c in flags.columns if c not in ("_in_batch", "_late", "_n")]
-    tagged = target.join(flags, keys, "left")
+    tagged = _join_keys(target, flags, keys, "left")
     again = F.coalesce(F.col("_late") | (F.col("_in_batch") & F.col("_scd_is_current")), F.lit(False))
     keep = tagged.where(~again).select(*target.columns)
     business = list(batch.columns)
@@ -199,23 +242,48 @@ def relabel(rebuilt: DataFrame) -> DataFrame:
     )
 
 
-def scd2_merge(target: DataFrame, batch: DataFrame, keys, tracked, order, batch_id: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def scd2_merge(
+    target: DataFrame,
+    batch: DataFrame,
+    keys,
+    tracked,
+    order,
+    batch_id: str,
+    hot_rows: int = HOT_KEY_ROWS,
+    log: DataFrame | None = None,
+    flags: DataFrame | None = None,
+    hot_keys=None,
+    any_late: bool = True,
+) -> DataFrame:
     """Merge one batch into an SCD2 table.
 
     Only the open version of a key in the batch is re-examined: together with
     the batch rows it is rebuilt by ``scd2_history``, which closes a changed
     row and inserts the new version in the same pass, and drops repeats. Closed
-    versions stay as they are. A key whose batch rows reach back to or before
-    its open version (a late row, or the same batch merged again) has its whole
-    history rebuilt, so the late row lands in its place. The per-key flags come
+    versions stay as they are. Batch rows that only repeat the open version are
+    left out first (``unseen``). A key whose other batch rows reach back to or
+    before the last row seen of it (``_scd_last_seen``) has its whole history
+    rebuilt, so the late row lands in its place: from its versions and ``log``,
+    the rows loaded so far, which makes the result equal the history of the
+    whole log; without ``log``, repeats other than the last one seen are not
+    known. NULL keys are one key. A caller that has left out repeats and
+    computed ``flags`` passes them, with ``any_late`` False when no key is late.
+    The per-key flags come
     from one aggregation of the batch joined with the open versions, and the
     target meets them in one join, which AQE can turn into a broadcast when the
     batch is small. A version keeps the batch id of the row that opened it.
     """
     keys, order = list(keys), list(order)
-    flags = batch_flags(target, batch, keys, order)
-    keep, log = reopen(target, flags, batch, batch_id)
-    rebuilt = relabel(scd2_history(log, keys, tracked, order + ["_src"], hot_rows=hot_rows))
+    target = with_seen(target, order)
+    if flags is None:
+        batch = unseen(target, batch, keys, tracked, order)
+        flags = batch_flags(target, batch, keys, order)
+    if any_late:
+        batch = seen_rows(target, flags, batch, keys, order, log)
+    keep, changes = reopen(target, flags, batch, batch_id)
+    rebuilt = relabel(scd2_history(changes, keys, tracked, order + ["_src"], hot_rows=hot_rows, hot_keys=hot_keys))
+    last = changes.groupBy(*keys).agg(F.max(F.struct(*order)).alias(SEEN))
+    rebuilt = _join_keys(rebuilt, last, keys, "left").withColumn(SEEN, F.when(F.col("_scd_is_current"), F.col(SEEN)))
     return keep.unionByName(rebuilt.select(*target.columns))
 
 

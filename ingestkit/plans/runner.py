@@ -71,7 +71,9 @@ def load_table(
         if spec.scd_type == "SCD2":
             order = list(spec.sequence_by) or ["_ingestion_timestamp"]
             tracked = list(spec.scd_columns) if spec.scd_columns else enrich.tracked_columns(good, spec.primary_key, order)
-            silver = Scd2Table(spark, f"{root}/{silver_name(table)}", spec.primary_key, tracked, order).merge(good, batch_id)
+            silver = Scd2Table(spark, f"{root}/{silver_name(table)}", spec.primary_key, tracked, order).merge(
+                good, batch_id, log=quality.drop_failing(spark.read.parquet(bronze_path), rules)
+            )
         elif spec.scd_type in ("APPEND", "SCD0"):
             store = BatchPartitionedTable(spark, f"{root}/{silver_name(table)}")
             silver = store.add(scd.new_rows(store.read_without(batch_id), good, spec), batch_id)

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .operators import scd
+from .operators.sequence import HOT_KEY_ROWS, MAX_HOT_KEYS
 from .session import path_exists
 
 
@@ -88,7 +90,8 @@ class Scd2Table:
     versions it closed (``false``). History at version n is the open versions
     of n plus the closed rows of every version since the last base. A batch
     with late rows rebuilds the touched keys' whole history and writes a new
-    base (all closed rows) instead. Reads are partition-pruned on (v, current).
+    base (all closed rows) instead. Open versions carry the order values of the
+    last row seen (``_scd_last_seen``), which reads leave out. Reads are partition-pruned on (v, current).
     """
 
     def __init__(self, spark: SparkSession, root: str, keys, tracked, order, compact_every: int = 50):
@@ -121,11 +124,14 @@ class Scd2Table:
 
     def read(self) -> DataFrame | None:
         v, base, _ = self.head()
-        return None if v < 0 else self._read(v, base)
+        return None if v < 0 else self._shown(v, base)
 
     def current(self) -> DataFrame | None:
         v, base, _ = self.head()
-        return None if v < 0 else self._read(v, base, current_only=True)
+        return None if v < 0 else self._read(v, base, current_only=True).drop(scd.SEEN)
+
+    def _shown(self, v: int, base: int) -> DataFrame:
+        return self._read(v, base).drop(scd.SEEN)
 
     def _commit(self, rows: DataFrame, v: int, base: int, batch_id: str) -> None:
         (
@@ -138,21 +144,19 @@ class Scd2Table:
             F.lit(v).alias("version"), F.lit(batch_id).alias("batch_id"), F.lit(base).alias("base")
         ).write.mode("append").parquet(self.commits_path)
 
-    def merge(self, batch: DataFrame, batch_id: str) -> DataFrame:
-        """Merge ``batch`` once per ``batch_id`` and return the history at the new version."""
-        from .operators import scd
-
+    def merge(self, batch: DataFrame, batch_id: str, log: DataFrame | None = None) -> DataFrame:
+        """Merge ``batch`` once per ``batch_id`` and return the history at the new version. ``log``, all
+        rows loaded so far, is read only for keys with late rows (see ``scd2_merge``)."""
         v, base, done = self.head(batch_id)
         if done:
-            return self._read(v, base)
+            return self._shown(v, base)
         nxt = v + 1
         if v < 0:
             history = scd.scd2_merge(scd.empty_scd2(batch), batch, self.keys, self.tracked, self.order, batch_id)
             self._commit(history, nxt, nxt, batch_id)
-            return self._read(nxt, nxt)
-        from .operators.sequence import HOT_KEY_ROWS, MAX_HOT_KEYS
-
-        current = self._read(v, base, current_only=True)
+            return self._shown(nxt, nxt)
+        current = scd.with_seen(self._read(v, base, current_only=True), self.order)
+        batch = scd.unseen(current, batch, self.keys, self.tracked, self.order)
         flags = scd.batch_flags(current, batch, self.keys, self.order)
         # One small job answers both questions: any late key, and which keys are hot
         # (a key's log is its batch rows plus at most one open version).
@@ -164,16 +168,15 @@ class Scd2Table:
         )
         if any(r["_late"] for r in special):
             # Late rows: rebuild the touched keys' whole history, write a new base.
-            history = scd.scd2_merge(self._read(v, base), batch, self.keys, self.tracked, self.order, batch_id)
+            history = scd.scd2_merge(self._read(v, base), batch, self.keys, self.tracked, self.order, batch_id, log=log, flags=flags)
             self._commit(history, nxt, nxt, batch_id)
-            return self._read(nxt, nxt)
-        keep, log = scd.reopen(current, flags, batch, batch_id)
+            return self._shown(nxt, nxt)
         hot = [tuple(r[k] for k in self.keys) for r in special]
-        rebuilt = scd.relabel(scd.scd2_history(log, self.keys, self.tracked, self.order + ["_src"], hot_keys=hot))
-        self._commit(keep.unionByName(rebuilt.select(*keep.columns)), nxt, base, batch_id)
+        merged = scd.scd2_merge(current, batch, self.keys, self.tracked, self.order, batch_id, flags=flags, hot_keys=hot, any_late=False)
+        self._commit(merged, nxt, base, batch_id)
         if self.compact_every and nxt - base >= self.compact_every:
             return self.compact()
-        return self._read(nxt, base)
+        return self._shown(nxt, base)
 
     def compact(self) -> DataFrame | None:
         """Write the whole history as a new base version, so reads stop unioning old deltas."""
@@ -181,7 +184,7 @@ class Scd2Table:
         if v < 0:
             return None
         self._commit(self._read(v, base), v + 1, v + 1, f"_compact_{v + 1}")
-        return self._read(v + 1, v + 1)
+        return self._shown(v + 1, v + 1)
 
 
 class BatchPartitionedTable:

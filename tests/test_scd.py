@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ingestkit.operators import quality, scd
 from ingestkit.operators.sequence import with_neighbors
+from ingestkit.store import Scd2Table
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "k bigint, a string, b string, ts timestamp_ntz, seq bigint"
@@ -169,7 +170,6 @@ def test_with_neighbors_hot_path_random(spark):
 
 
 def test_store_merges_write_only_changes(spark, scratch, log):
-    from ingestkit.store import Scd2Table
 
     table = Scd2Table(spark, scratch("scd2"), KEYS, TRACKED, ORDER)
     bounds = [None, t(3), t(6), None]
@@ -228,7 +228,6 @@ def test_as_of_join_matches_range_join(spark, log, hot):
 
 
 def test_store_compaction_keeps_history(spark, scratch, log):
-    from ingestkit.store import Scd2Table
 
     table = Scd2Table(spark, scratch("scd2c"), KEYS, TRACKED, ORDER, compact_every=2)
     for i, (lo, hi) in enumerate([(None, t(3)), (t(3), t(6)), (t(6), None)]):
@@ -244,7 +243,6 @@ def test_store_compaction_keeps_history(spark, scratch, log):
 
 
 def test_action_labels_survive_merges_and_late_rows(spark, scratch, log):
-    from ingestkit.store import Scd2Table
 
     def labels(df):
         rows = sorted(df.select("k", "_scd_effective_date", "seq", "_scd_action").collect(), key=lambda r: (r.k, r[1], r.seq))
@@ -261,3 +259,51 @@ def test_action_labels_survive_merges_and_late_rows(spark, scratch, log):
     late = spark.createDataFrame([(6, "Z", "r", t(1), 0)], SCHEMA)  # becomes key 6's first version
     hist = table.merge(late, "late")
     assert labels(hist) == expected(hist)
+
+
+def _versions(df):
+    return [(r.a, r._scd_effective_date, r._scd_end_date) for r in df.orderBy("ts").collect()]
+
+
+def test_late_row_between_repeats(spark, scratch):
+    """A was seen again after the late B, so A comes back after it."""
+    first = spark.createDataFrame([(1, "A", "q", t(1), 1)], SCHEMA)
+    again = spark.createDataFrame([(1, "A", "q", t(5), 2)], SCHEMA)
+    late = spark.createDataFrame([(1, "B", "q", t(3), 3)], SCHEMA)
+    want = [("A", t(1), t(3)), ("B", t(3), t(5)), ("A", t(5), None)]
+    table = scd.empty_scd2(first)
+    for i, part in enumerate([first, again, late]):
+        table = scd.scd2_merge(table, part, KEYS, TRACKED, ORDER, f"b{i}").checkpoint()
+    assert _versions(table) == want
+    store = Scd2Table(spark, scratch("late"), KEYS, TRACKED, ORDER)
+    for i, part in enumerate([first, again, late]):
+        hist = store.merge(part, f"b{i}")
+    assert _versions(hist) == want and scd.SEEN not in hist.columns
+
+
+def test_shuffled_batches_with_log_equal_history(spark, scratch):
+    """Rows in any order of arrival, with the log of all rows: the history of the whole log."""
+    for seed in (3,):
+        rnd = random.Random(seed)
+        rows = [(rnd.choice([1, 2, 3]), rnd.choice("xy"), "p", t(rnd.randint(0, 9)), i) for i in range(45)]
+        store = Scd2Table(spark, scratch("shuffled"), KEYS, TRACKED, ORDER)
+        parts = [rnd.sample(rows, 45)[:30], rows[:25], rows[20:]]
+        seen = []
+        for i, part in enumerate(parts):
+            seen += part
+            hist = store.merge(spark.createDataFrame(part, SCHEMA), f"b{i}", log=spark.createDataFrame(seen, SCHEMA))
+        assert rows_of(hist) == brute_history(rows)
+
+
+def test_null_keys_are_one_key(spark, scratch):
+    store = Scd2Table(spark, scratch("nullkey"), KEYS, TRACKED, ORDER)
+    for i, a in enumerate("xyz"):
+        hist = store.merge(spark.createDataFrame([(None, a, "p", t(i), i)], SCHEMA), f"b{i}")
+    assert _versions(hist) == [("x", t(0), t(1)), ("y", t(1), t(2)), ("z", t(2), None)]
+
+
+def test_reread_rows_do_not_rewrite_the_base(spark, scratch):
+    store = Scd2Table(spark, scratch("reread"), KEYS, TRACKED, ORDER)
+    store.merge(spark.createDataFrame([(1, "x", "p", t(0), 1), (2, "y", "p", t(1), 2)], SCHEMA), "b0")
+    store.merge(spark.createDataFrame([(1, "x", "p", t(0), 1), (2, "z", "p", t(2), 3)], SCHEMA), "b1")
+    assert store.head()[:2] == (1, 0)
