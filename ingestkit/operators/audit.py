@@ -11,6 +11,7 @@ answers are reproducible.
 
 from __future__ import annotations
 
+import time
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ RUN_EVENT_SCHEMA = T.StructType(
         T.StructField("batch_id", T.StringType(), False),
         T.StructField("source_name", T.StringType(), False),
         T.StructField("table_name", T.StringType(), False),
-        T.StructField("event_seq", T.IntegerType(), False),
+        T.StructField("event_seq", T.LongType(), False),
         T.StructField("run_start_time", T.TimestampNTZType(), True),
         T.StructField("run_end_time", T.TimestampNTZType(), True),
         T.StructField("status", T.StringType(), False),
@@ -131,6 +132,7 @@ class AuditLog:
 
     def __init__(self, spark: SparkSession, root: str, cluster_id: str = "local"):
         self.spark = spark
+        self._last_event = 0
         self.root = root.rstrip("/")
         self.cluster_id = cluster_id
 
@@ -156,23 +158,26 @@ class AuditLog:
         """K8: append rows (a retry appends the same event again; readers take the latest)."""
         df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name].fields]).write.mode("append").parquet(self.path(name))
 
-    def _event(self, batch_id, source, table, seq, status, start=None, end=None, read=None, written=None, message=None, watermark=None):
+    def _event(self, batch_id, source, table, status, start=None, end=None, read=None, written=None, message=None, watermark=None):
+        """One state of a run. ``event_seq`` is the clock in microseconds, growing within a log, so a
+        retry's start comes after the end it retries."""
         failed = (read - written) if (read is not None and written is not None) else None
-        row = (batch_id, source, table, seq, _ts(start), _ts(end), status, read, written, failed, message, _ts(watermark),
+        self._last_event = max(time.time_ns() // 1000, self._last_event + 1)
+        row = (batch_id, source, table, self._last_event, _ts(start), _ts(end), status, read, written, failed, message, _ts(watermark),
                PIPELINE_VERSION, self.spark.version, self.cluster_id)
         self.append("audit_batch_runs", one_row(self.spark, row, RUN_EVENT_SCHEMA))
 
     def log_batch_start(self, batch_id: str, source: str, table: str, at) -> None:
         """L1: RUNNING."""
-        self._event(batch_id, source, table, 1, RUNNING, start=at)
+        self._event(batch_id, source, table, RUNNING, start=at)
 
     def log_batch_success(self, batch_id, source, table, read: int, written: int, at, watermark=None, start=None) -> None:
         """L2: SUCCESS with counts and the high-water mark of the committed rows."""
-        self._event(batch_id, source, table, 2, SUCCESS, start=start, end=at, read=read, written=written, watermark=watermark)
+        self._event(batch_id, source, table, SUCCESS, start=start, end=at, read=read, written=written, watermark=watermark)
 
     def log_batch_failure(self, batch_id, source, table, message: str, at, start=None) -> None:
         """L3: FAILED with the error text (the caller re-raises)."""
-        self._event(batch_id, source, table, 2, FAILED, start=start, end=at, message=message)
+        self._event(batch_id, source, table, FAILED, start=start, end=at, message=message)
 
     def log_quality(self, metrics: DataFrame) -> None:
         """L4: rule metrics rows from ``quality.rule_metrics``."""

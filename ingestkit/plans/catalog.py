@@ -6,6 +6,8 @@ and exercises one group of operators; ``oracle.py`` holds the matching SQL.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from ..functions import rules as R
 from ..functions.fingerprint import fingerprint
 from ..operators import enrich, gold, quality, scd
 from ..session import scratch_path
-from ..spec import Rule
+from ..spec import Rule, SourceSpec, resolve
 from ..store import Scd2Table
 from . import data as D
 from .data import KEYS, ORDER, TRACKED, read
@@ -441,7 +443,7 @@ QUERIES.update(
 
 # --- all layers -----------------------------------------------------------------
 
-from .runner import load_table  # noqa: E402
+from .runner import load_table, run_tables  # noqa: E402
 
 
 def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -468,6 +470,31 @@ def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["layered_run"] = layered_run
 
 
+def run_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables as configured file sources, loaded by ``run_tables`` into silver views, and
+    the customer summary written as a gold table and read back."""
+    root = scratch_path(spark, "lake")
+    log = A.AuditLog(spark, f"{root}/audit")
+    log.ensure()
+    source = SourceSpec("crm_files", "file", {"path": sf_dir})
+    customers = resolve(source, replace(D.CUSTOMERS_TABLE.table, scd_type="SCD1", path=f"{sf_dir}/customer.parquet", format="parquet"))
+    orders = resolve(source, replace(D.ORDERS_TABLE.table, path=f"{sf_dir}/orders.parquet", format="parquet"))
+
+    def summary(s: SparkSession) -> DataFrame:
+        cust = s.table("silver_crm_files_customers").selectExpr("c_custkey AS customer_id", "c_name AS customer_name", "c_mktsegment AS mktsegment")
+        ords = s.table("silver_crm_files_orders").selectExpr(
+            "o_orderkey AS order_id", "o_custkey AS customer_id", "o_totalprice AS order_amount", "o_orderdate AS order_date"
+        )
+        return gold.customer_order_summary(cust, ords, attributes=("customer_name", "mktsegment"))
+
+    rules = {"customers": [R.positive("c_acctbal", severity="error")], "orders": [R.not_null("o_custkey")]}
+    out = run_tables(spark, [customers, orders], D.BATCH_ID, D.RUN_TS, root, log, rules=rules, gold={"customer_orders": summary})
+    return out["customer_orders"]
+
+
+QUERIES["run_configured"] = run_configured
+
+
 def src_rest_paged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part served as JSON-lines pages; the paged source reads them in parallel."""
     from ..sources import rest

@@ -1,4 +1,4 @@
-"""Run configured tables through bronze -> quality -> silver, with audit rows.
+"""Run configured tables through bronze -> quality -> silver -> gold, with audit rows.
 
 A plain loop over tables on the driver; each step is Spark work, and each
 written table costs one action. Counts and the high-water mark come from
@@ -7,15 +7,20 @@ written table costs one action. Counts and the high-water mark come from
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit as A
 from ..operators import enrich, quality, scd
+from ..sources.route import read_source, register_views
 from ..spec import ResolvedTable
-from ..store import BatchPartitionedTable, Scd2Table, SnapshotTable, write_bronze, write_quarantine
+from ..store import BatchPartitionedTable, Scd2Table, SnapshotTable, write_bronze, write_gold, write_quarantine
+from ..streaming.ingest import run_available_now
 
 
 @dataclass
@@ -47,8 +52,14 @@ def load_table(
     log: A.AuditLog,
 ) -> LoadResult:
     """Bronze write (K1) with observed counts (A8) -> audit success (L2) -> rule metrics (L4)
-    -> quarantine (K2) -> SCD apply into a snapshot table (K3). Failures are logged (L3) and re-raised."""
+    -> quarantine (K2) -> SCD apply into a snapshot table (K3). Failures are logged (L3) and re-raised.
+    The run starts at ``run_ts`` and ends as much later as the load took."""
     spec = table.table
+    began = time.monotonic()
+
+    def now() -> datetime:
+        return datetime.fromisoformat(str(run_ts)) + timedelta(seconds=time.monotonic() - began)
+
     log.log_batch_start(batch_id, table.source.name, spec.name, run_ts)
     try:
         bronze = enrich.add_audit_columns(source_df, table, batch_id, run_ts)
@@ -80,9 +91,71 @@ def load_table(
         else:
             store = SnapshotTable(spark, f"{root}/{silver_name(table)}")
             silver = store.commit(scd.apply_scd(store.read(), good, spec, batch_id), batch_id)
-        log.log_batch_success(batch_id, table.source.name, spec.name, read=rows, written=rows - n_bad, at=run_ts,
+        log.log_batch_success(batch_id, table.source.name, spec.name, read=rows, written=rows - n_bad, at=now(),
                               watermark=seen.get("watermark"), start=run_ts)
         return LoadResult(table, bronze_path, silver, rows, n_bad, seen.get("watermark"))
     except Exception as e:
-        log.log_batch_failure(batch_id, table.source.name, spec.name, str(e), at=run_ts, start=run_ts)
+        log.log_batch_failure(batch_id, table.source.name, spec.name, str(e), at=now(), start=run_ts)
         raise
+
+
+def stored_watermark(table: ResolvedTable, log: A.AuditLog) -> datetime | None:
+    """The largest watermark of the table's successful runs; None before the first."""
+    mark = A.high_water_mark(log.runs(), table.source.name, table.table.name).first()["watermark"]
+    return None if mark == datetime.fromisoformat(A.EPOCH) else mark
+
+
+def silver_table(spark: SparkSession, table: ResolvedTable, root: str) -> DataFrame | None:
+    """The stored silver table, or None before its first load."""
+    path = f"{root}/{silver_name(table)}"
+    if table.table.scd_type == "SCD2":
+        return Scd2Table(spark, path, table.table.primary_key, (), ()).read()
+    if table.table.scd_type in ("APPEND", "SCD0"):
+        return BatchPartitionedTable(spark, path).read()
+    return SnapshotTable(spark, path).read()
+
+
+def run_tables(
+    spark: SparkSession,
+    tables: list[ResolvedTable],
+    batch_id: str,
+    run_ts: str,
+    root: str,
+    log: A.AuditLog,
+    rules: dict[str, list] | None = None,
+    schemas: dict | None = None,
+    gold: dict[str, Callable[[SparkSession], DataFrame]] | None = None,
+) -> dict[str, DataFrame]:
+    """Load every configured table, register its silver views, then write the gold tables (K6).
+
+    Each table is read by its source type from its stored watermark on. A stream is read as far as it
+    goes, every micro-batch loaded under an id of its own, so a replayed one is applied once. ``rules``
+    and ``schemas`` are keyed by table name; a ``gold`` function builds its table from the silver views.
+    A failing table is logged and the others still load; gold is then left as it is and an error raised.
+    """
+    failed = []
+    for table in tables:
+        spec, checks = table.table, (rules or {}).get(table.table.name, [])
+        try:
+            mark = stored_watermark(table, log) if spec.incremental_column else None
+            source = read_source(spark, table, mark, (schemas or {}).get(spec.name))
+            if source.isStreaming:
+                name = bronze_name(table)
+
+                def sink(batch: DataFrame, epoch: int, table=table, checks=checks, name=name) -> None:
+                    load_table(batch.sparkSession, table, batch, checks, f"{name}_{epoch}", run_ts, root, log)
+
+                run_available_now(source, f"{root}/_checkpoints/{name}", sink, name)
+            else:
+                load_table(spark, table, source, checks, batch_id, run_ts, root, log)
+        except Exception as e:  # noqa: BLE001 - raised below, after the other tables
+            failed.append((table, e))
+            continue
+        silver = silver_table(spark, table, root)
+        if silver is not None and spec.scd_type == "SCD2":
+            register_views(silver, silver_name(table))
+        elif silver is not None:
+            silver.createOrReplaceTempView(silver_name(table))
+    if failed:
+        raise RuntimeError(f"{len(failed)} of {len(tables)} tables failed: " + ", ".join(silver_name(t) for t, _ in failed)) from failed[0][1]
+    return {name: write_gold(build(spark), f"{root}/gold_{name}") for name, build in (gold or {}).items()}

@@ -84,9 +84,12 @@ def stream_files(
     fmt: str = "parquet",
     options: dict | None = None,
     max_files_per_trigger: int | None = None,
+    file_pattern: str | None = None,
 ) -> DataFrame:
     """A folder as a stream; with a checkpoint, each run reads only new files."""
     reader = spark.readStream.format(fmt).schema(schema).options(**{k: str(v) for k, v in (options or {}).items()})
+    if file_pattern:
+        reader = reader.option("pathGlobFilter", file_pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return reader.load(path)

@@ -49,6 +49,8 @@ def jdbc_options(
         opts["dbtable"] = table
     else:
         opts["query"] = query
+    if connection.get("driver"):
+        opts["driver"] = connection["driver"]
     creds = credentials or {}
     if "username" in creds or "user" in creds:
         opts["user"] = creds.get("username", creds.get("user"))
@@ -70,7 +72,11 @@ def read_jdbc(spark: SparkSession, table: ResolvedTable, watermark=None, **parti
     """Full or incremental read. The increment is a DataFrame filter that
     Spark's JDBC source pushes into the remote WHERE clause."""
     spec = table.table
-    opts = jdbc_options(table.source.connection, table.source.credentials, table=spec.source_table, extra=spec.options, **partitioning)
+    query = spec.options.get("query")
+    opts = jdbc_options(
+        table.source.connection, table.source.credentials, table=None if query else spec.source_table, query=query,
+        extra=spec.options, **partitioning,
+    )
     df = spark.read.format("jdbc").options(**opts).load()
     if spec.load_type == "incremental" and spec.incremental_column:
         df = incremental_filter(df, spec.incremental_column, watermark, spec.watermark_seconds)

@@ -49,9 +49,11 @@ def kafka_options(connection: dict, topic: str, starting_offsets: str = "latest"
     return opts
 
 
-def read_kafka_stream(spark: SparkSession, connection: dict, topic: str, starting_offsets: str = "latest") -> DataFrame:
+def read_kafka_stream(
+    spark: SparkSession, connection: dict, topic: str, starting_offsets: str = "latest", extra: dict | None = None
+) -> DataFrame:
     """Needs the spark-sql-kafka package on the cluster."""
-    return spark.readStream.format("kafka").options(**kafka_options(connection, topic, starting_offsets)).load()
+    return spark.readStream.format("kafka").options(**kafka_options(connection, topic, starting_offsets, extra)).load()
 
 
 def parse_json_envelope(envelope: DataFrame, schema: StructType | str, keep_corrupt: bool = True) -> DataFrame:

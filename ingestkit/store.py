@@ -81,6 +81,12 @@ def write_quarantine(df: DataFrame, path: str) -> None:
     )
 
 
+def write_gold(df: DataFrame, path: str) -> DataFrame:
+    """K6: a gold table is rebuilt from silver and replaces the last one."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Scd2Table:
     """K3 for SCD2: a history table whose merges cost O(open versions + batch), not O(history).
 

@@ -16,7 +16,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import quality
+from ..operators import enrich, quality
 from ..store import Scd2Table
 
 # Trigger intervals of the shipped configuration.
@@ -43,12 +43,13 @@ def start_continuous(stream: DataFrame, checkpoint: str, fn, name: str, interval
     return _trigger(q, False, interval).start()
 
 
-def bronze_sink(path: str, rules=(), run_ts=None, name: str = "bronze", log=None, source: str = "", table: str = ""):
+def bronze_sink(path: str, rules=(), run_ts=None, name: str = "bronze", log=None, source: str = "", table: str = "", spec=None):
     """One write per micro-batch: rows marked with the error rules they
     fail, partitioned by (_batch_id, _is_quarantined), so good rows and
     quarantine come from a single pass. Row, quarantine and per-rule counts are
     observed on that same write; with an ``AuditLog`` each micro-batch gets a
-    run row and one quality row per rule. Returns the sink and a list
+    run row and one quality row per rule; with ``spec`` (a ResolvedTable) rows get
+    the audit columns. Returns the sink and a list
     collecting (batch_id, rows, quarantined) per batch."""
     seen: list[tuple[str, int, int]] = []
     rules = list(rules)
@@ -58,6 +59,8 @@ def bronze_sink(path: str, rules=(), run_ts=None, name: str = "bronze", log=None
         at = run_ts or datetime.now()
         if log is not None:
             log.log_batch_start(batch_id, source, table, at)
+        if spec is not None:
+            batch = enrich.add_audit_columns(batch, spec, batch_id, at)
         observed, counter, expanded = quality.observe_rules(batch, rules, f"{name}_{epoch_id}")
         marked = quality.with_failed_rules(observed, rules).withColumns(
             {"_is_quarantined": F.size(quality.FAILED) > 0, "_batch_id": F.lit(batch_id)}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ingestkit.functions import rules as R
 from ingestkit.operators.audit import AuditLog
-from ingestkit.plans.runner import load_table
+from ingestkit.plans.runner import load_table, run_tables, stored_watermark
 from ingestkit.spec import ResolvedTable, SourceSpec, TableSpec
 
 SF = "/root/testdata/sf0.001"
@@ -53,3 +53,58 @@ def test_failed_load_is_logged(spark, scratch):
         load_table(spark, table, bad_df, [], "b9", "2024-01-01 00:00:00", root, log)
     run = log.runs().first()
     assert run.status == "FAILED" and "source went away" in run.error_message
+
+
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
+def test_run_tables_increments_streams_views_and_gold(spark, scratch):
+    """An incremental file table and a folder streamed by pattern, run twice: each row lands once."""
+    root, land = scratch("lake"), scratch("land")
+    log = AuditLog(spark, f"{root}/audit")
+    log.ensure()
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    ev.where("event_id < 100").write.parquet(f"{land}/ev")
+    src = SourceSpec("app", "file", {"path": f"{land}/ev"})
+    by_time = ResolvedTable(src, TableSpec("by_time", primary_key="event_id", incremental_column="ts", load_type="incremental", format="parquet"))
+    uploads = ResolvedTable(src, TableSpec("uploads", primary_key="event_id", load_type="incremental", format="parquet", file_pattern="*.parquet"))
+
+    def counts(s):
+        return s.sql("SELECT (SELECT count(*) FROM silver_app_by_time) AS a, (SELECT count(*) FROM silver_app_uploads) AS b")
+
+    def run(batch):
+        out = run_tables(spark, [by_time, uploads], batch, "2024-01-01 00:00:00", root, log, schemas={"uploads": EVENTS, "by_time": EVENTS},
+                         gold={"counts": counts})
+        return tuple(out["counts"].first())
+
+    assert stored_watermark(by_time, log) is None
+    assert run("b1") == (ev.where("event_id < 100").count(),) * 2
+    mark = stored_watermark(by_time, log)
+    assert mark == ev.where("event_id < 100").agg(F.max("ts")).first()[0]
+    ev.where("event_id >= 100").write.mode("append").parquet(f"{land}/ev")
+    new = ev.where((F.col("event_id") < 100) | (F.col("ts") > mark)).count()
+    assert run("b2") == (new, ev.count())
+    done = [r for r in log.runs().collect() if r.status == "SUCCESS"]
+    assert len(done) == 4 and all(r.execution_duration_ms > 0 for r in done)
+
+
+def test_run_tables_goes_on_after_a_failure(spark, scratch):
+    root = scratch("lake")
+    log = AuditLog(spark, f"{root}/audit")
+    log.ensure()
+    gone = ResolvedTable(SourceSpec("crm", "file"), TableSpec("gone", primary_key="id", path=f"{root}/nothing", format="parquet"))
+    cust = ResolvedTable(SourceSpec("crm", "file"), TableSpec("ok", primary_key="c_custkey", scd_type="SCD2", path=f"{SF}/customer.parquet", format="parquet"))
+    with pytest.raises(RuntimeError, match="silver_crm_gone"):
+        run_tables(spark, [gone, cust], "b1", "2024-01-01 00:00:00", root, log)
+    n = spark.read.parquet(f"{SF}/customer.parquet").count()
+    assert spark.table("silver_crm_ok_current").count() == spark.table("silver_crm_ok_history").count() == n
+
+
+def test_retry_of_a_failed_batch_shows_running(spark, scratch):
+    log = AuditLog(spark, scratch("audit"))
+    log.ensure()
+    log.log_batch_start("b1", "s", "t", "2024-01-01 00:00:00")
+    log.log_batch_failure("b1", "s", "t", "lost", at="2024-01-01 00:00:05", start="2024-01-01 00:00:00")
+    assert log.runs().first().status == "FAILED"
+    log.log_batch_start("b1", "s", "t", "2024-01-01 00:01:00")
+    assert log.runs().first().status == "RUNNING"
