@@ -1,9 +1,9 @@
 """Byte-level BPE encoding and decoding.
 
 Texts are split by the tokenizer's pattern. Words are encoded by a fold of Spark higher-order functions
-over the word's bytes: the state is the array of pieces (as ids) and the ranks of their neighbours; each
-step merges the leftmost pair of least rank. Ranks come from a literal map, a constant array in which
-every pair sits at one of the two places its hash names.
+over the word's bytes: the state is the array of pieces, each with its id and its rank with the next; each
+step merges the leftmost pair of least rank. Ranks come from a literal map, constant arrays: one of all
+pairs of bytes, and one in which every pair of pieces sits at one of the two places its hash names.
 
 Distinct words are encoded once: the words of the whole corpus are counted, the most frequent ones (at
 most ``FREQUENT``, whole classes of equal magnitude) are encoded and sent to every task, a table of
@@ -34,7 +34,11 @@ from pyspark.sql import functions as F
 from ingestkit.llm.common import fresh, let, tidy, written
 
 FREQUENT = 1 << 18
-LONG = 64
+PLACE_BITS = 6
+LONG = 1 << PLACE_BITS
+ID_BITS = 16
+#: The rank of two pieces that do not merge: above all ranks.
+NONE = 1 << 16
 SLOT_BITS = 18
 #: Documents put together at a time when ids are laid out.
 GROUP = 256
@@ -59,9 +63,9 @@ def _merged(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
 
 
 @lru_cache(maxsize=4)
-def _literal(path: str) -> tuple[str, str, tuple[str, ...]]:
-    """The rank map as comma-separated numbers: pair slots, byte ids; and the pieces (hex) that merging
-    their bytes does not produce, which a tokenizer takes as a whole all the same.
+def _literal(path: str) -> tuple[str, str, str, tuple[str, ...]]:
+    """The rank map as comma-separated numbers: pair slots, byte ids, ranks of two bytes; and the pieces
+    (hex) that merging their bytes does not produce, which a tokenizer takes as a whole all the same.
 
     A slot holds ``(left id * 2**16 + right id) * 2**16 + rank``, at one of the two places that the hash
     of the pair names (cuckoo hashing), or -1.
@@ -86,71 +90,81 @@ def _literal(path: str) -> tuple[str, str, tuple[str, ...]]:
             else:
                 raise ValueError("the rank table is too full")
     whole = tuple(p.hex().upper() for p in ranks if len(_merged(p, ranks)) > 1)
-    return ",".join(map(str, slots)), ",".join(str(ranks[bytes([i])]) for i in range(256)), whole
+    single = [ranks[bytes([i])] for i in range(256)]
+    pairs = [ranks.get(bytes([i, j]), NONE) for i in range(256) for j in range(256)]
+    return ",".join(map(str, slots)), ",".join(map(str, single)), ",".join(map(str, pairs)), whole
 
 
 class Fold:
     """Expressions over the literal rank map of one rank file.
 
     The arrays stand once in an expression and are bound to the variable ``t``; every lookup refers to it.
+
+    The state of a fold is one array of longs, one for each piece, left to right: the rank of the piece
+    with its right neighbour (``NONE`` if they do not merge), its place and its id, in this order of bits.
+    The least of them so names the leftmost pair of least rank. A merge shifts the pieces after it to the
+    left and leaves nulls at the end.
     """
 
     def __init__(self, path: str):
-        slots, ids, self.whole = _literal(path)
+        slots, ids, pairs, self.whole = _literal(path)
         self.map = F.struct(
             F.split(F.lit(slots), ",", -1).cast("array<bigint>").alias("slots"),
-            F.split(F.lit(ids), ",", -1).cast("array<int>").alias("ids"),
+            F.split(F.lit(ids), ",", -1).cast("array<bigint>").alias("ids"),
+            F.split(F.lit(pairs), ",", -1).cast("array<bigint>").alias("pairs"),
         )
 
     @staticmethod
     def _rank(t: Column, left: Column, right: Column) -> Column:
-        """Rank (which is the id) of two neighbouring ids as one piece, or null."""
+        """Rank (which is the id) of two neighbouring ids as one piece, or ``NONE``."""
         mask = (1 << SLOT_BITS) - 1
 
-        def second(key: Column, h: Column) -> Column:
-            v = F.get(t["slots"], F.shiftright(h, SLOT_BITS).bitwiseAND(mask).cast("int"))
-            return let(v, lambda v: F.when(F.shiftright(v, 16) == key, v.bitwiseAND(65535).cast("int")))
-
-        def first(key: Column, h: Column) -> Column:
-            v = F.get(t["slots"], h.bitwiseAND(mask).cast("int"))
-            return let(v, lambda v: F.when(F.shiftright(v, 16) == key, v.bitwiseAND(65535).cast("int")).otherwise(second(key, h)))
+        def at(key: Column, place: Column, other: Column) -> Column:
+            v = F.get(t["slots"], place.bitwiseAND(mask).cast("int"))
+            return let(v, lambda v: F.when(F.shiftright(v, 16) == key, v.bitwiseAND(65535)).otherwise(other))
 
-        key = left.cast("long") * 65536 + right
-        return let(key, lambda k: let(F.xxhash64(k), lambda h: first(k, h)))
+        key = F.shiftleft(left, 16) + right
+        found = let(key, lambda k: let(F.xxhash64(k), lambda h: at(k, h, at(k, F.shiftright(h, SLOT_BITS), F.lit(NONE)))))
+        return F.when(left.isNull() | right.isNull(), F.lit(NONE)).otherwise(found)
 
     def _encode(self, t: Column, word: Column) -> Column:
-        """Pieces stand between two sentinels of -1, so that every merge has neighbours; ``r[i]`` (from 1)
-        is the rank of the pieces ``i`` and ``i + 1``."""
-        edge, none = F.array(F.lit(-1)), F.array(F.lit(None).cast("int"))
-
-        def merged(s: Column, m: Column, i: Column) -> Column:
-            p, r = s["p"], s["r"]
-            left, right = self._rank(t, F.get(p, i - 2), m), self._rank(t, m, F.get(p, i + 1))
-            return F.struct(
-                F.concat(F.slice(p, 1, i - 1), F.array(m), F.slice(p, i + 2, F.size(p))).alias("p"),
-                F.concat(F.slice(r, 1, i - 2), F.array(left, right), F.slice(r, i + 2, F.size(r))).alias("r"),
+        id_mask, one = (1 << ID_BITS) - 1, 1 << ID_BITS
+
+        def piece(rank: Column, place: Column, piece_id: Column) -> Column:
+            return F.shiftleft(rank, ID_BITS + PLACE_BITS) + F.shiftleft(place.cast("long"), ID_BITS) + piece_id
+
+        def merged(s: Column, new: Column, i: Column) -> Column:
+            before, after = F.get(s, i - 1).bitwiseAND(id_mask), F.get(s, i + 2).bitwiseAND(id_mask)
+            pair = F.struct(
+                let(before, lambda b: piece(self._rank(t, b, new), i - 1, b)).alias("left"),
+                let(after, lambda a: piece(self._rank(t, new, a), i, new)).alias("new"),
             )
+            return let(pair, lambda p: F.transform(s, lambda x, j: F.when(j > i, F.get(s, j + 1) - one)
+                       .when(j < i - 1, x).when(j == i, p["new"]).otherwise(p["left"])))
 
         def step(s: Column, _: Column) -> Column:
-            return let(F.array_min(s["r"]), lambda m: F.when(m.isNull(), s).otherwise(
-                let(F.array_position(s["r"], m).cast("int"), lambda i: merged(s, m, i))))
+            return let(F.array_min(s), lambda m: F.when(m >= NONE << (ID_BITS + PLACE_BITS), s).otherwise(
+                let(F.shiftright(m, ID_BITS + PLACE_BITS), lambda new: let(
+                    F.shiftright(m, ID_BITS).bitwiseAND((1 << PLACE_BITS) - 1).cast("int"), lambda i: merged(s, new, i)))))
+
+        def fold(codes: Column) -> Column:
+            """``codes``: the bytes as numbers."""
+            def first(c: Column, i: Column) -> Column:
+                rank = F.coalesce(F.get(t["pairs"], c * 256 + F.get(codes, i + 1)), F.lit(NONE))
+                return piece(rank, i, F.get(t["ids"], c))
 
-        def fold(ids: Column) -> Column:
-            ranks = F.transform(ids, lambda x, i: self._rank(t, x, F.get(ids, i + 1)))
-            start = F.struct(F.concat(edge, ids, edge).alias("p"), F.concat(none, ranks).alias("r"))
-            end = F.aggregate(F.slice(ids, 2, F.size(ids)), start, step, lambda s: s["p"])  # one step for each gap
-            return let(end, lambda p: F.slice(p, 2, F.size(p) - 2))
+            end = F.aggregate(F.slice(codes, 2, LONG), F.transform(codes, first), step)  # one step for each gap
+            return F.transform(F.filter(end, lambda x: x.isNotNull()), lambda x: x.bitwiseAND(id_mask).cast("int"))
 
-        def ids(chars: Column) -> Column:
-            n = F.char_length(chars)
-            return F.transform(F.sequence(F.lit(1), n), lambda i: F.get(t["ids"], F.ascii(F.substr(chars, i, F.lit(1)))))
+        def codes(chars: Column) -> Column:
+            return F.transform(F.sequence(F.lit(1), F.char_length(chars)), lambda i: F.ascii(F.substr(chars, i, F.lit(1))))
 
         body = word.cast("binary")
         taken = F.octet_length(word) <= LONG
         if self.whole:
             taken = taken & ~F.hex(body).isin(*self.whole)
         # a byte is the character of its number
-        return F.when(taken, let(ids(F.decode(body, "ISO-8859-1")), fold))
+        return F.when(taken, let(F.decode(body, "ISO-8859-1"), lambda chars: let(codes(chars), fold)))
 
     def encode(self, words: Column) -> Column:
         """Ids (array<int>) of each word of an array; null for a word that ``merge_long`` is to take."""

@@ -27,7 +27,7 @@ def words(text: Column) -> Column:
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once, for use inside higher-order functions."""
-    return F.transform(F.array(value), body)[0]
+    return F.element_at(F.transform(F.array(value), body), 1)  # unlike [0], it derives its type only once
 
 
 def fresh(df: DataFrame, name: str) -> str:
