@@ -203,6 +203,7 @@ FROM customer c LEFT JOIN orders o ON c.c_custkey = o.o_custkey
 WHERE c.c_acctbal > 0
 GROUP BY c.c_custkey, c.c_name, c.c_mktsegment"""
     q["run_configured"] = q["layered_run"]
+    q["gold_customer_orders_all"] = q["layered_run"]
     q["json_drift"] = f"""
 WITH ev AS (SELECT ts, CASE WHEN ts >= TIMESTAMP '{D.DRIFT_FROM}'
                         THEN replace(props, '}}', ', "v2": ' || CAST(user_id AS VARCHAR) || '}}') ELSE props END AS props
