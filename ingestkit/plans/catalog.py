@@ -176,11 +176,11 @@ def scd2_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change log in three date-ordered batches, merged into a snapshot table."""
+    """The change log in three overlapping batches with late rows, merged into a snapshot table."""
     log = D.customer_changes(spark, sf_dir)
     table = Scd2Table(spark, scratch_path(spark, "silver_customers_scd2"), KEYS, TRACKED, ORDER)
-    for batch_id, lo, hi in D.SCD2_BATCHES:
-        history = table.merge(D.between(log, "updated_at", lo, hi), batch_id)
+    for batch_id, batch in D.scd2_batches(log):
+        history = table.load(batch, batch_id)
     return history.select(
         *log.columns, "_scd_batch_id", "_scd_effective_date", "_scd_end_date", "_scd_is_current", "_scd_hash", "_scd_action"
     )
@@ -365,14 +365,14 @@ def src_kafka_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming ------------------------------------------------------------------
 
 def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change log arrives as three file drops; each micro-batch is merged."""
+    """The change log arrives as three overlapping file drops with late rows; each micro-batch is merged."""
     log = D.customer_changes(spark, sf_dir)
     land, ckpt = scratch_path(spark, "landing_changes"), scratch_path(spark, "ckpt_changes")
     table = Scd2Table(spark, scratch_path(spark, "silver_customers_stream"), KEYS, TRACKED, ORDER)
     sink = T.scd2_sink(table)
     schema = _ddl(log)
-    for i, (_, lo, hi) in enumerate(D.SCD2_BATCHES):
-        D.between(log, "updated_at", lo, hi).write.mode("append").parquet(land)
+    for i, (_, drop) in enumerate(D.scd2_batches(log)):
+        drop.write.mode("append").parquet(land)
         T.run_available_now(S.stream_files(spark, land, schema), ckpt, sink, f"changes_drop_{i}")
     return table.read().drop("_scd_batch_id")
 

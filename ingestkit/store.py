@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .operators import scd
 from .operators.sequence import HOT_KEY_ROWS, MAX_HOT_KEYS
@@ -184,6 +185,22 @@ class Scd2Table:
             return self.compact()
         return self._shown(nxt, base)
 
+    def load(self, batch: DataFrame, batch_id: str) -> DataFrame:
+        """Land ``batch`` below ``root``/landed, then merge it with all landed rows as the log, so a late
+        row meets every row loaded before it. A retry replaces its own landed partition."""
+        path = f"{self.root}/landed"
+        (
+            batch.withColumn("_landed_batch", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_landed_batch")
+            .parquet(path)
+        )
+        schema = StructType(batch.schema.fields + [StructField("_landed_batch", StringType())])
+        landed = self.spark.read.schema(schema).parquet(path)
+        mine = landed.where(F.col("_landed_batch") == F.lit(batch_id))
+        return self.merge(mine.select(*batch.columns), batch_id, log=landed.select(*batch.columns))
+
     def compact(self) -> DataFrame | None:
         """Write the whole history as a new base version, so reads stop unioning old deltas."""
         v, base, _ = self.head()

@@ -87,12 +87,13 @@ def read_bronze(spark, path: str, quarantined: bool = False) -> DataFrame:
 
 
 def scd2_sink(table: Scd2Table, name: str = "scd2"):
-    """Merge each micro-batch into an SCD2 table, once per batch id."""
+    """Land each micro-batch and merge it into an SCD2 table, once per batch id; late rows are
+    placed by the log of all landed rows."""
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():  # nothing to merge; no new version
             return
-        table.merge(batch, f"{name}-{epoch_id}")
+        table.load(batch, f"{name}-{epoch_id}")
 
     return sink
 
