@@ -146,7 +146,7 @@ def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_K
     base = changes.columns
     lead = order[0]
     # One hot-key table serves both passes: kept rows are a subset of all rows.
-    cuts = hot_key_cuts(changes, keys, lead, hot_rows, hot_keys)
+    cuts = hot_key_cuts(changes, keys, total, hot_rows, hot_keys)
     step = with_neighbors(changes, keys, total, prev_cols=tracked, cuts=cuts)
     differs = ~_all([F.col(f"_prev_{c}").eqNullSafe(F.col(c)) for c in tracked])
     kept = step.where(F.col("_is_first") | differs).select(*base)

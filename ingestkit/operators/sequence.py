@@ -10,38 +10,44 @@ row of each range then take their missing neighbour from the adjacent
 non-empty range, read from the range ends of the window output itself.
 
 Sizes: the hot-key table has at most min(total_rows / hot_rows, MAX_HOT_KEYS)
-keys, and the cut points kept per key are about n_key / hot_rows (never more
-than the quantile grid), so the broadcast cut table and the table of range ends
-are bounded by min(total_rows / hot_rows, MAX_HOT_KEYS * QUANTILE_GRID) entries.
+keys, and the cut points kept per key are about n_key / hot_rows (at most about
+MAX_PIECES), so the broadcast cut table and the table of range ends have about
+min(total_rows / hot_rows, MAX_HOT_KEYS * MAX_PIECES) entries.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Tuning values (not semantics): rows per key above which a key is split, the
-# quantile grid used to place cuts, and the sketch accuracy for that grid.
+# most ranges of a key, and the rows sampled per range to place its cuts.
 HOT_KEY_ROWS = 20_000_000
-QUANTILE_GRID = 1024
-QUANTILE_ACCURACY = 20_000
+MAX_PIECES = 1024
+SAMPLES_PER_PIECE = 16
 # Hard cap on split keys (the hottest win); keys past it keep one window each,
 # which is still correct, only less balanced.
 MAX_HOT_KEYS = 100_000
 
 
-def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS, hot_keys=None) -> DataFrame | None:
-    """(keys..., _cuts): cut points on ``lead`` for keys with more than ``hot_rows`` rows.
+def hot_key_cuts(df: DataFrame, keys, order, hot_rows: int = HOT_KEY_ROWS, hot_keys=None) -> DataFrame | None:
+    """(keys..., _cuts): cut points in the whole ``order`` for keys with more than ``hot_rows`` rows.
+
+    Cuts are order values of sampled rows, compared as structs, which is how the
+    windows sort: any orderable columns work, and where the cuts lie changes only
+    the balance, never the outcome.
 
     Runs a count per key (combined map-side); only when some key is hot, a
-    second job builds quantile sketches over the hot keys' rows alone. Returns
+    second job samples the hot keys' rows alone. Returns
     the small result as a DataFrame of its own, or None when no key is hot.
     Fetching it is safe: it holds at most min(total_rows / hot_rows,
     MAX_HOT_KEYS) keys. Holding it as data instead of as a sub-plan keeps later
     plans from repeating the input. A caller that already knows the hot keys
     (a list of key tuples) passes them as ``hot_keys`` and skips the count.
     """
-    keys = list(keys)
+    keys, order = list(keys), list(order)
     spark = df.sparkSession
     key_schema = df.select(*keys).schema
     if hot_keys is None:
@@ -50,18 +56,43 @@ def hot_key_cuts(df: DataFrame, keys, lead: str, hot_rows: int = HOT_KEY_ROWS, h
         hot_keys = counts.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).select(*keys).collect()
     if not hot_keys:
         return None
-    hot = df.join(F.broadcast(spark.createDataFrame([tuple(k) for k in hot_keys], key_schema)), keys, "left_semi")
-    grid = [i / QUANTILE_GRID for i in range(1, QUANTILE_GRID)]
-    cuts = hot.groupBy(*keys).agg(
-        F.percentile_approx(lead, grid, QUANTILE_ACCURACY).alias("_grid"),
-        F.count(F.lit(1)).alias("_n"),
+    small = F.broadcast(spark.createDataFrame([tuple(k) for k in hot_keys], key_schema))
+    hot = _on_keys(df, small, keys, "left_semi").select(*keys, _seq(order).alias("_at"))
+    sizes = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).withColumn(
+        "_pieces", F.least(F.lit(MAX_PIECES), F.ceil(F.col("_n") / F.lit(hot_rows)))
     )
-    step = F.greatest(F.lit(1), F.floor(F.lit(hot_rows * QUANTILE_GRID) / F.col("_n"))).cast("int")
-    kept = F.array_distinct(F.filter("_grid", lambda x, i: ((i + 1) % step) == 0))
-    table = cuts.select(*keys, kept.alias("_cuts"))
+    sampled = _on_keys(hot, F.broadcast(sizes), keys, "inner").where(
+        F.rand(7) < F.col("_pieces") * F.lit(SAMPLES_PER_PIECE) / F.col("_n")
+    )
+    picked = sampled.groupBy(*keys).agg(F.sort_array(F.collect_list("_at")).alias("_s"), F.max("_pieces").alias("_pieces"))
+    step = F.greatest(F.lit(1), F.floor(F.size("_s") / F.col("_pieces"))).cast("int")
+    kept = F.array_distinct(F.filter("_s", lambda x, i: ((i + 1) % step) == 0))
+    table = picked.select(*keys, kept.alias("_cuts"))
     return spark.createDataFrame(table.collect(), table.schema)
 
 
+def _seq(order):
+    return F.struct(*[F.col(c) for c in order])
+
+
+def _on_keys(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
+    """Join on ``keys`` with NULL equal to NULL; the key columns of ``left`` stay."""
+    renamed = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    match = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return left.join(renamed, match, how).drop(*[f"_k_{k}" for k in keys])
+
+
+def _tag(df: DataFrame, cuts: DataFrame, keys, order) -> DataFrame:
+    """``_hot`` and the number of the row's range, ``_sub``, among the cuts of its key."""
+    below = F.size(F.filter("_cuts", lambda s: s <= _seq(order)))
+    return (
+        _on_keys(df, F.broadcast(cuts), keys, "left")
+        .withColumn("_hot", F.col("_cuts").isNotNull())
+        .withColumn("_sub", F.when(F.col("_hot"), below).otherwise(F.lit(0)))
+        .drop("_cuts")
+    )
+
+
 AUTO = "auto"
 
 
@@ -83,9 +114,8 @@ def with_neighbors(
     """
     keys, order = list(keys), list(order)
     prev_cols, next_cols = list(prev_cols), list(next_cols)
-    lead = order[0]
     if isinstance(cuts, str) and cuts == AUTO:
-        cuts = hot_key_cuts(df, keys, lead, hot_rows)
+        cuts = hot_key_cuts(df, keys, order, hot_rows)
 
     def neighbours(frame, partition):
         w = Window.partitionBy(*partition).orderBy(*order)
@@ -98,15 +128,7 @@ def with_neighbors(
     if cuts is None:
         # No hot key: one window over the key.
         return neighbours(df, keys)
-    tagged = (
-        df.join(F.broadcast(cuts), keys, "left")
-        .withColumn("_hot", F.col("_cuts").isNotNull())
-        .withColumn(
-            "_sub",
-            F.when(F.col("_hot"), F.size(F.filter("_cuts", lambda s: s <= F.col(lead)))).otherwise(F.lit(0)),
-        )
-        .drop("_cuts")
-    )
+    tagged = _tag(df, cuts, keys, order)
     local = neighbours(tagged, keys + ["_sub"])
 
     # Range ends of hot keys, taken from the window output (the shuffle is reused):
@@ -119,7 +141,7 @@ def with_neighbors(
     )
     wb = Window.partitionBy(*keys).orderBy("_sub")
     bounds = ends.select(*keys, "_sub", F.lag("_hi").over(wb).alias("_before"), F.lead("_lo").over(wb).alias("_after"))
-    joined = local.join(F.broadcast(bounds), keys + ["_sub"], "left")
+    joined = _on_keys(local, F.broadcast(bounds), keys + ["_sub"], "left")
     fixes = {}
     for c in prev_cols:
         name = f"_prev_{c}"
@@ -148,9 +170,8 @@ def fill_forward(
     last value of the earlier ranges, read from a table of one row per range.
     """
     keys, order = list(keys), list(order)
-    lead = order[0]
     if isinstance(cuts, str) and cuts == AUTO:
-        cuts = hot_key_cuts(df, keys, lead, hot_rows)
+        cuts = hot_key_cuts(df, keys, order, hot_rows)
 
     def local(frame, partition):
         w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -158,15 +179,7 @@ def fill_forward(
 
     if cuts is None:
         return local(df, keys)
-    tagged = (
-        df.join(F.broadcast(cuts), keys, "left")
-        .withColumn("_hot", F.col("_cuts").isNotNull())
-        .withColumn(
-            "_sub",
-            F.when(F.col("_hot"), F.size(F.filter("_cuts", lambda s: s <= F.col(lead)))).otherwise(F.lit(0)),
-        )
-        .drop("_cuts")
-    )
+    tagged = _tag(df, cuts, keys, order)
     filled = local(tagged, keys + ["_sub"])
     last_in_range = (
         tagged.where(F.col("_hot") & F.col(value).isNotNull())
@@ -177,8 +190,8 @@ def fill_forward(
     # Every range of a hot key, so an empty-valued range still learns what came before it.
     ranges = tagged.where("_hot").select(*keys, "_sub").distinct()
     carry = (
-        ranges.join(last_in_range, keys + ["_sub"], "left")
+        _on_keys(ranges, last_in_range, keys + ["_sub"], "left")
         .select(*keys, "_sub", F.last(F.col("_m._v"), ignorenulls=True).over(wb).alias("_carry"))
     )
-    joined = filled.join(F.broadcast(carry), keys + ["_sub"], "left")
+    joined = _on_keys(filled, F.broadcast(carry), keys + ["_sub"], "left")
     return joined.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry", "_hot", "_sub")
