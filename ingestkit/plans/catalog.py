@@ -391,14 +391,18 @@ def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events plus repeated copies of the click events; duplicates within 10 minutes dropped."""
+    """Events plus repeated copies of the click events, in four drops that each span all times;
+    duplicates within 10 minutes are set aside."""
     ev = read(spark, sf_dir, "events")
     land, out, ckpt = (scratch_path(spark, n) for n in ("landing_dup", "dedup_events", "ckpt_dup"))
-    ev.unionByName(ev.where(F.col("event_type") == "click")).write.parquet(land)
-    stream = S.stream_files(spark, land, EVENT_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
-    deduped = T.dedup_within_watermark(stream, "ts", ["event_id"], "10 minutes")
-    T.run_available_now(deduped, ckpt, T.append_sink(out), "events_dedup")
-    return spark.read.parquet(out).drop("_batch_id").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    drop = F.coalesce(F.pmod(F.col("event_id"), F.lit(4)), F.lit(0))
+    sink = T.dedup_sink(out, "ts", ["event_id"], "10 minutes")
+    for i in range(4):
+        # a copy comes one drop after its row, the copies of the last drop before theirs
+        copies = ev.where((F.col("event_type") == "click") & ((drop + 1) % 4 == i))
+        ev.where(drop == i).unionByName(copies).write.mode("append").parquet(land)
+        T.run_available_now(S.stream_files(spark, land, EVENT_SCHEMA), ckpt, sink, f"events_dedup_{i}")
+    return T.read_deduped(spark, out).drop("_batch_id")
 
 
 QUERIES.update(

@@ -15,13 +15,18 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators import enrich, quality
+from ..operators.sequence import with_neighbors
+from ..session import path_exists
 from ..store import Scd2Table
 
 # Trigger intervals of the shipped configuration.
 STREAM_TRIGGER = "1 minute"
 BATCH_TRIGGER = "1 hour"
+# Why ``dedup_sink`` set a row aside.
+REASON = "_repeat_reason"
 
 
 def _trigger(writer, available_now: bool, interval: str):
@@ -98,11 +103,62 @@ def scd2_sink(table: Scd2Table, name: str = "scd2"):
     return sink
 
 
-def dedup_within_watermark(stream: DataFrame, event_time: str, keys, delay: str) -> DataFrame:
-    """Drop repeated keys that arrive within ``delay`` of each other.
+def dedup_sink(path: str, event_time: str, keys, delay: str, name: str = "dedup"):
+    """Set aside rows whose key was seen within ``delay`` of them, in this micro-batch or an earlier
+    one; a chain of such rows is one event, whose first row to arrive stays.
 
-    The event-time column must be a TIMESTAMP (not TIMESTAMP_NTZ)."""
-    return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
+    A row's own age never matters: a late row is compared with the rows landed around its time, however
+    old, so no row is dropped for being later than a watermark. One write holds all rows, partitioned by
+    (_batch_id, _is_repeat); a repeat carries its reason. NULL keys are one key, and a row without an
+    event time is never a repeat. Rows landed further than ``delay`` and a day outside the batch's span of
+    time are not read."""
+    keys = list(keys)
+    span = F.expr(f"INTERVAL {delay}")
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        batch_id = f"{name}-{epoch_id}"
+        spark, t = batch.sparkSession, F.col(event_time)
+        order = [event_time] + [c for c in batch.columns if c not in keys and c != event_time]
+        marked = with_neighbors(batch, keys, order, prev_cols=[event_time]).withColumn(
+            "_near", F.coalesce(t - F.col(f"_prev_{event_time}") <= span, F.lit(False))
+        ).select(*batch.columns, "_near")
+        known = F.lit(False)
+        if path_exists(spark, path):
+            kind = batch.schema[event_time].dataType
+            # as text, and a day wider: the bounds only prune, whatever the time zones
+            lo, hi = (
+                F.lit(v).cast(kind) for v in batch.agg(F.min(t).cast("string"), F.max(t).cast("string")).first()
+            )
+            wide = span + F.expr("INTERVAL 1 DAY")
+            schema = StructType(batch.schema.fields + [StructField("_batch_id", StringType())])
+            landed = spark.read.schema(schema).parquet(path).where(
+                (F.col("_batch_id") != F.lit(batch_id)) & t.between(lo - wide, hi + wide)
+            ).select(*[F.col(k).alias(f"_k_{k}") for k in keys], t.alias("_at"))
+            match = t.between(F.col("_at") - span, F.col("_at") + span)
+            for k in keys:
+                match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+            old = marked.join(landed, match, "left_semi").withColumn("_known", F.lit(True))
+            marked = old.unionByName(marked.join(landed, match, "left_anti").withColumn("_known", F.lit(False)))
+            known = F.col("_known")
+        reason = F.when(known, F.lit(f"key landed before within {delay}")).when(
+            F.col("_near"), F.lit(f"key repeated in the batch within {delay}")
+        )
+        (
+            marked.select(*batch.columns, reason.alias(REASON))
+            .withColumns({"_batch_id": F.lit(batch_id), "_is_repeat": F.col(REASON).isNotNull()})
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("_batch_id", "_is_repeat")
+            .parquet(path)
+        )
+
+    return sink
+
+
+def read_deduped(spark, path: str, repeats: bool = False) -> DataFrame:
+    """Rows kept (or the repeats with their reason) of a table written by ``dedup_sink``."""
+    df = spark.read.parquet(path).where(F.col("_is_repeat") == F.lit(repeats)).drop("_is_repeat")
+    return df if repeats else df.drop(REASON)
 
 
 def append_sink(path: str, name: str = "append"):

@@ -25,3 +25,25 @@ def test_scd2_sink_places_a_late_row_between_repeats(spark, scratch):
         got = [(r.a, r._scd_effective_date, r._scd_end_date) for r in table.read().orderBy("ts").collect()]
         assert got == want
         sink(late, 1)  # a replay changes nothing
+
+
+def test_dedup_keeps_late_rows_and_records_repeats(spark, scratch):
+    from ingestkit.sources import files as S
+
+    schema = "event_id bigint, ts timestamp_ntz, v string"
+    drops = [
+        [(1, t(5), "a"), (2, t(5), "b"), (2, t(5), "b")],
+        [(3, t(1), "late"), (1, t(5), "a"), (1, t(9), "far"), (None, t(2), "n")],  # days behind the first drop
+        [(3, t(1), "late"), (4, t(0), "later"), (5, None, "no time")],
+    ]
+    land, out, ckpt = scratch("land"), scratch("out"), scratch("ckpt")
+    sink = T.dedup_sink(out, "ts", ["event_id"], "10 minutes")
+    for i, rows in enumerate(drops):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(land)
+        stream = S.stream_files(spark, land, schema, max_files_per_trigger=1)
+        T.run_available_now(stream, ckpt, sink, f"dedup_{i}")
+    sink(spark.createDataFrame(drops[2], schema), 2)  # a replay changes nothing
+    kept = sorted((repr(r.event_id), r.v) for r in T.read_deduped(spark, out).collect())
+    assert kept == sorted([("1", "a"), ("1", "far"), ("2", "b"), ("3", "late"), ("4", "later"), ("5", "no time"), ("None", "n")])
+    repeats = T.read_deduped(spark, out, repeats=True).collect()
+    assert sorted(r.event_id for r in repeats) == [1, 2, 3] and all(r._repeat_reason for r in repeats)
