@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestkit.llm import bpe, chat, exact_dedup, mixing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, warc
+from ingestkit.llm import (
+    bpe,
+    centroids,
+    chat,
+    divergence,
+    exact_dedup,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash,
+    substring_dedup,
+    toxicity,
+    warc,
+)
 from ingestkit.llm.common import table, written
 
 
@@ -67,6 +81,18 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clusters(table(spark, sf_dir, "embeddings")).drop("checked")
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -80,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_simhash,
         op9_quality_classifier,
         op10_substring_dedup,
+        op11_centroids,
+        op12_source_divergence,
+        op13_toxicity,
     )
 }
 
@@ -92,4 +121,6 @@ SQL: dict[str, str] = {
     "op6_warc": warc.ORACLE,
     "op7_sharding": sharding.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op11_centroids": centroids.oracle_sql(),
+    "op12_source_divergence": divergence.ORACLE,
 }
