@@ -210,6 +210,15 @@ class AuditLog:
         """L7."""
         self.append("audit_lineage", rows)
 
+    def log_load_lineage(self, batch_id, source, steps, at) -> None:
+        """L7 of one load: ``steps`` are (source table, target table, operation, records in, records out, how);
+        one append for all of them. A target is named by layer, so its schema is the part before the first ``_``."""
+        rows = [
+            (f"lineage_{batch_id}_{target}", batch_id, source, origin, None, target.split("_")[0], target, operation, _ts(at), n_in, n_out, how)
+            for origin, target, operation, n_in, n_out, how in steps
+        ]
+        self.append("audit_lineage", rows_frame(self.spark, rows, LINEAGE_SCHEMA))
+
     def runs(self) -> DataFrame:
         return latest_state(self.table("audit_batch_runs"))
 

@@ -133,16 +133,17 @@ def append(target: DataFrame, changes: DataFrame, dedup_keys=None, batch_id: str
     return target.unionByName(new.select(*target.columns))
 
 
-def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_KEY_ROWS, hot_keys=None) -> DataFrame:
+def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_KEY_ROWS, hot_keys=None, tie=()) -> DataFrame:
     """C4: versions with [effective, end) intervals from a full change log.
 
     A row opens a version when its tracked values differ (NULL-safe) from the
     previous row of its key; the version ends where the next version starts.
     Adds _scd_effective_date, _scd_end_date, _scd_is_current, _scd_hash and
     _scd_action (INSERT for the first version of a key, UPDATE for later ones).
+    ``tie`` names columns that order rows equal in all of this.
     """
     keys, tracked, order = list(keys), list(tracked), list(order)
-    total = order + [c for c in tracked if c not in order]
+    total = order + [c for c in tracked if c not in order] + list(tie)
     base = changes.columns
     lead = order[0]
     # One hot-key table serves both passes: kept rows are a subset of all rows.
@@ -330,6 +331,9 @@ def scd3(target: DataFrame | None, changes: DataFrame, keys, tracked, order, bat
             *[F.lit(None).cast("timestamp_ntz").alias(f"{c}_change_date") for c in tracked],
             F.lit(None).cast("string").alias("_scd_batch_id"),
         )
+    for c in tracked:  # columns that came after the table
+        if f"{c}_previous" not in target.columns:
+            target = target.withColumns({f"{c}_previous": F.lit(None).cast(changes.schema[c].dataType), f"{c}_change_date": F.lit(None).cast("timestamp_ntz")})
     seq = F.struct(*[F.col(c) for c in order])
     stored = target.select(*keys, seq.alias("_stored_seq"))
     newer = batch_rows = changes.join(stored, keys, "left").where(

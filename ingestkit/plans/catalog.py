@@ -15,8 +15,8 @@ from ..functions import rules as R
 from ..functions.fingerprint import fingerprint
 from ..operators import enrich, gold, quality, scd
 from ..session import scratch_path
-from ..spec import Rule, SourceSpec, resolve
-from ..store import Scd2Table
+from ..spec import Rule, SourceSpec, TableSpec, resolve
+from ..store import HistoryTable
 from . import data as D
 from .data import KEYS, ORDER, TRACKED, read
 
@@ -176,9 +176,9 @@ def scd2_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The change log in three overlapping batches with late rows, merged into a snapshot table."""
+    """The change log in three overlapping batches with late rows, each rebuilding the buckets of its keys."""
     log = D.customer_changes(spark, sf_dir)
-    table = Scd2Table(spark, scratch_path(spark, "silver_customers_scd2"), KEYS, TRACKED, ORDER)
+    table = HistoryTable(spark, scratch_path(spark, "silver_customers_scd2"), KEYS, TRACKED, ORDER)
     for batch_id, batch in D.scd2_batches(log):
         history = table.load(batch, batch_id)
     return history.select(
@@ -368,7 +368,7 @@ def scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The change log arrives as three overlapping file drops with late rows; each micro-batch is merged."""
     log = D.customer_changes(spark, sf_dir)
     land, ckpt = scratch_path(spark, "landing_changes"), scratch_path(spark, "ckpt_changes")
-    table = Scd2Table(spark, scratch_path(spark, "silver_customers_stream"), KEYS, TRACKED, ORDER)
+    table = HistoryTable(spark, scratch_path(spark, "silver_customers_stream"), KEYS, TRACKED, ORDER)
     sink = T.scd2_sink(table)
     schema = _ddl(log)
     for i, (_, drop) in enumerate(D.scd2_batches(log)):
@@ -549,3 +549,72 @@ def dq_email_all(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["dq_email_all"] = dq_email_all
+
+
+# --- schema evolution and unique keys of a load -----------------------------------
+
+
+def _loaded(spark: SparkSession, table, parts, rules=()) -> tuple[str, DataFrame]:
+    """Loads ``parts`` one after the other; the lake's root and the silver table at the end."""
+    root = scratch_path(spark, "lake")
+    log = A.AuditLog(spark, f"{root}/audit")
+    log.ensure()
+    for (batch_id, _), part in zip(D.LOADS, parts, strict=True):
+        silver = load_table(spark, table, part, list(rules), batch_id, D.RUN_TS, root, log).silver
+    return root, silver
+
+
+def load_added_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in three loads: without the priority, whole in another column order, without the status.
+    Nothing is lost; what a load does not have is null."""
+    orders = read(spark, sf_dir, "orders")
+    parts = [D.load_part(orders, "o_orderkey", i) for i in range(3)]
+    parts = [parts[0].drop("o_orderpriority"), parts[1].select(*reversed(orders.columns)), parts[2].drop("o_orderstatus")]
+    _, silver = _loaded(spark, D.ORDERS_TABLE, parts)
+    return silver.select(*orders.columns, F.col("_scd_batch_id").alias("batch_id"))
+
+
+def load_widened_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders in three loads: the customer as int and the price as float-free int; both wider; the
+    customer as text that only sometimes is a number. Texts that are none are rescued beside the row."""
+    orders = read(spark, sf_dir, "orders")
+    cents = F.floor("o_totalprice").cast("int")
+    first, second, third = (D.load_part(orders, "o_orderkey", i) for i in range(3))
+    code = F.when(F.col("o_custkey") % 2 == 0, F.concat(F.lit("C-"), F.col("o_custkey").cast("string"))).otherwise(F.col("o_custkey").cast("string"))
+    parts = [
+        first.withColumns({"o_custkey": F.col("o_custkey").cast("int"), "o_totalprice": cents}),
+        second.withColumn("o_custkey", F.col("o_custkey") + F.lit(10_000_000_000)),
+        third.withColumn("o_custkey", code),
+    ]
+    _, silver = _loaded(spark, D.ORDERS_TABLE, parts)
+    return silver.select(
+        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", F.col("_rescued_data")["o_custkey"].alias("rescued_custkey")
+    )
+
+
+LINES_TABLE = resolve(
+    D.CRM,
+    TableSpec("lines", source_table="public.lineitem", primary_key=("l_orderkey", "l_linenumber"), unique_key=True),
+)
+
+
+def dq_unique_across_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem in three loads under the key (order, line): every row, kept or in quarantine, with the
+    rule it broke."""
+    lines = read(spark, sf_dir, "lineitem")
+    root, silver = _loaded(spark, LINES_TABLE, [D.load_part(lines, "l_suppkey", i) for i in range(3)])
+    kept = silver.select(*lines.columns, F.col("_scd_batch_id").alias("batch_id"), F.lit(None).cast("string").alias("failed_rules"))
+    bad = spark.read.schema("record_data string, failed_rules string, quarantine_timestamp timestamp_ntz, batch_id string").parquet(
+        f"{root}/bronze_crm_system_lines_quarantine"
+    )
+    again = bad.select(F.from_json("record_data", _ddl(lines)).alias("r"), "batch_id", "failed_rules")
+    return kept.unionByName(again.select("r.*", "batch_id", "failed_rules"))
+
+
+QUERIES.update(
+    {
+        "load_added_column": load_added_column,
+        "load_widened_type": load_widened_type,
+        "dq_unique_across_loads": dq_unique_across_loads,
+    }
+)

@@ -316,4 +316,22 @@ UNION ALL SELECT b, event_type, t, 3, NULL, ts + to_milliseconds(CAST(round(valu
     q["watermark_lookback"] = f"""
 SELECT * FROM orders
 WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders WHERE o_orderdate < TIMESTAMP '{D.CUTOFF}') - INTERVAL 1 DAY"""
+    part = "coalesce(((o_orderkey % 3) + 3) % 3, 0)"
+    q["load_added_column"] = f"""
+SELECT o_orderkey, o_custkey, CASE WHEN {part} <> 2 THEN o_orderstatus END AS o_orderstatus, o_totalprice, o_orderdate,
+  CASE WHEN {part} <> 0 THEN o_orderpriority END AS o_orderpriority, 'b' || CAST({part} AS VARCHAR) AS batch_id
+FROM orders WHERE o_orderkey IS NOT NULL"""
+    q["load_widened_type"] = f"""
+SELECT o_orderkey, CASE {part} WHEN 0 THEN o_custkey WHEN 1 THEN o_custkey + 10000000000
+    ELSE CASE WHEN o_custkey % 2 <> 0 THEN o_custkey END END AS o_custkey,
+  CASE {part} WHEN 0 THEN CAST(floor(o_totalprice) AS DOUBLE) ELSE o_totalprice END AS o_totalprice, o_orderdate,
+  CASE WHEN {part} = 2 AND o_custkey % 2 = 0 THEN 'C-' || CAST(o_custkey AS VARCHAR) END AS rescued_custkey
+FROM orders WHERE o_orderkey IS NOT NULL"""
+    q["dq_unique_across_loads"] = """
+WITH l AS (SELECT *, coalesce(((l_suppkey % 3) + 3) % 3, 0) AS part FROM lineitem),
+r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY part, l_partkey NULLS FIRST,
+  l_suppkey NULLS FIRST, l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST, l_tax NULLS FIRST,
+  l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS n FROM l)
+SELECT * EXCLUDE (part, n), 'b' || CAST(part AS VARCHAR) AS batch_id,
+  CASE WHEN n > 1 THEN 'unique_primary_key__l_orderkey_l_linenumber' END AS failed_rules FROM r"""
     return q

@@ -16,13 +16,18 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import audit as A
-from ..operators import enrich, quality, scd
+from ..operators import drift, enrich, evolution, quality, scd
+from ..operators.unique import KnownKeys
 from ..sources.route import read_source, register_views
-from ..spec import ResolvedTable
-from ..store import BatchPartitionedTable, Scd2Table, SnapshotTable, write_bronze, write_gold, write_quarantine
+from ..spec import ResolvedTable, Rule
+from ..store import BatchPartitionedTable, HistoryTable, KeyedTable, Layout, _put, read_table, write_bronze, write_gold, write_quarantine
 from ..streaming.ingest import run_available_now
 
 
+#: Number of a landed row within its batch (tables with a unique key), and why its key is a duplicate.
+ROW, DUPLICATE = "_row_number", "_duplicate_key"
+
+
 @dataclass
 class LoadResult:
     table: ResolvedTable
@@ -51,8 +56,9 @@ def load_table(
     root: str,
     log: A.AuditLog,
 ) -> LoadResult:
-    """Bronze write (K1) with observed counts (A8) -> audit success (L2) -> rule metrics (L4)
-    -> quarantine (K2) -> SCD apply into a snapshot table (K3). Failures are logged (L3) and re-raised.
+    """Layout merged with the stored one, its changes logged (L5) -> bronze write (K1) with observed counts
+    (A8) -> unique keys (Q8) -> rule metrics (L4) and quarantine (K2) -> SCD apply into silver (K3) -> lineage
+    rows (L7) and audit success (L2). Failures are logged (L3) and re-raised.
     The run starts at ``run_ts`` and ends as much later as the load took."""
     spec = table.table
     began = time.monotonic()
@@ -68,29 +74,49 @@ def load_table(
         if spec.incremental_column:
             metrics.append(F.max(spec.incremental_column).alias("watermark"))
         bronze_path = f"{root}/{bronze_name(table)}"
-        write_bronze(bronze.observe(obs, *metrics), bronze_path)
+        if spec.unique_key:
+            bronze = bronze.withColumn(ROW, F.monotonically_increasing_id())
+        stored, before, _ = Layout(spark, bronze_path).grown(bronze.schema, batch_id)
+        if before is not None and before.simpleString() != bronze.schema.simpleString():
+            changes = drift.schema_diff(spark, before, bronze.schema)
+            log.log_schema_changes(
+                drift.schema_change_rows(changes, batch_id, table.source.name, spec.name, before, bronze.schema, run_ts)
+            )
+        write_bronze(evolution.conform(bronze.observe(obs, *metrics), stored), bronze_path)
         seen = obs.get
         rows = int(seen.get("rows", 0))
-        landed = spark.read.parquet(bronze_path).where(F.col("_batch_id") == batch_id)
+        landed = read_table(spark, bronze_path).where(F.col("_batch_id") == batch_id)
+        columns = [c for c in landed.columns if c != ROW]
         rules = list(rules) + quality.unique_key_rules(spec.primary_key)
+        if spec.unique_key:
+            keys = KnownKeys(spark, f"{root}/{bronze_name(table)}_keys", spec.primary_key, spec.buckets)
+            landed = with_duplicates(spark, landed, keys, batch_id, f"{root}/{bronze_name(table)}_duplicates", spec.sequence_by)
+            rules.append(Rule(f"unique_primary_key__{'_'.join(spec.primary_key)}", f"{DUPLICATE} IS NULL", "error", spec.primary_key, "UNIQUE"))
         # One pass over the landed batch writes the quarantine and counts every rule.
         marked, counter, expanded = quality.observe_rules(landed, rules, f"{bronze_name(table)}_{batch_id}_rules")
-        write_quarantine(quality.quarantine(marked, rules, batch_id, run_ts), f"{root}/{bronze_name(table)}_quarantine")
+        write_quarantine(quality.quarantine(marked, rules, batch_id, run_ts, columns=columns), f"{root}/{bronze_name(table)}_quarantine")
         _, n_bad, per_rule = quality.observed_metrics(counter, expanded)
         log.log_rule_counts(batch_id, table.source.name, spec.name, per_rule, run_ts)
-        good = quality.drop_failing(landed, rules)
+        good = quality.drop_failing(landed, rules).select(*columns)
+        path, order = f"{root}/{silver_name(table)}", list(spec.sequence_by) or ["_ingestion_timestamp"]
         if spec.scd_type == "SCD2":
-            order = list(spec.sequence_by) or ["_ingestion_timestamp"]
-            tracked = list(spec.scd_columns) if spec.scd_columns else enrich.tracked_columns(good, spec.primary_key, order)
-            silver = Scd2Table(spark, f"{root}/{silver_name(table)}", spec.primary_key, tracked, order).merge(
-                good, batch_id, log=quality.drop_failing(spark.read.parquet(bronze_path), rules)
-            )
+            silver = HistoryTable(spark, path, spec.primary_key, spec.scd_columns or None, order, spec.buckets).load(good, batch_id)
         elif spec.scd_type in ("APPEND", "SCD0"):
-            store = BatchPartitionedTable(spark, f"{root}/{silver_name(table)}")
+            store = BatchPartitionedTable(spark, path)
             silver = store.add(scd.new_rows(store.read_without(batch_id), good, spec), batch_id)
         else:
-            store = SnapshotTable(spark, f"{root}/{silver_name(table)}")
-            silver = store.commit(scd.apply_scd(store.read(), good, spec, batch_id), batch_id)
+            silver = KeyedTable(spark, path, spec.primary_key, spec.buckets).apply(
+                good, batch_id, lambda target, batch: scd.apply_scd(target, batch, spec, batch_id)
+            )
+        if spec.unique_key:
+            keys.add(good, batch_id)
+        log.log_load_lineage(
+            batch_id,
+            table.source.name,
+            [(spec.origin, bronze_name(table), spec.load_type.upper(), rows, rows, "audit columns"),
+             (bronze_name(table), silver_name(table), spec.scd_type, rows, rows - n_bad, "; ".join(r.name for r in rules))],
+            now(),
+        )
         log.log_batch_success(batch_id, table.source.name, spec.name, read=rows, written=rows - n_bad, at=now(),
                               watermark=seen.get("watermark"), start=run_ts)
         return LoadResult(table, bronze_path, silver, rows, n_bad, seen.get("watermark"))
@@ -99,6 +125,15 @@ def load_table(
         raise
 
 
+def with_duplicates(spark: SparkSession, landed: DataFrame, keys: KnownKeys, batch_id: str, path: str, order) -> DataFrame:
+    """``landed`` with the reason why a row's key is a duplicate, or null; the reasons are written once by row
+    number, so counting, quarantine and silver agree on them."""
+    found = keys.duplicates(landed.drop("_ingestion_timestamp"), batch_id, ROW, list(order))
+    _put(found.withColumn("_batch", F.lit(batch_id)), path, "_batch")
+    marks = spark.read.schema(f"{ROW} bigint, reason string, _batch string").parquet(path).where(F.col("_batch") == batch_id)
+    return landed.join(marks.select(ROW, F.col("reason").alias(DUPLICATE)), ROW, "left")
+
+
 def stored_watermark(table: ResolvedTable, log: A.AuditLog) -> datetime | None:
     """The largest watermark of the table's successful runs; None before the first."""
     mark = A.high_water_mark(log.runs(), table.source.name, table.table.name).first()["watermark"]
@@ -109,10 +144,10 @@ def silver_table(spark: SparkSession, table: ResolvedTable, root: str) -> DataFr
     """The stored silver table, or None before its first load."""
     path = f"{root}/{silver_name(table)}"
     if table.table.scd_type == "SCD2":
-        return Scd2Table(spark, path, table.table.primary_key, (), ()).read()
+        return HistoryTable(spark, path, table.table.primary_key).read()
     if table.table.scd_type in ("APPEND", "SCD0"):
         return BatchPartitionedTable(spark, path).read()
-    return SnapshotTable(spark, path).read()
+    return KeyedTable(spark, path, table.table.primary_key).read()
 
 
 def run_tables(

@@ -60,3 +60,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     looked up is never taken as empty."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def small_files(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the files in a folder, sorted; none where there is no folder."""
+    fs, p = _file_system(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """A small text file on any file system Spark reads, without a job."""
+    fs, p = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small text file under a hidden name and renames it, so it is seen whole or not at all."""
+    fs, p = _file_system(spark, path)
+    hidden = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}")
+    stream = fs.create(hidden, True)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    if not fs.rename(hidden, p):
+        raise OSError(f"could not write {path}")

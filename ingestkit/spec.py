@@ -50,6 +50,10 @@ class TableSpec:
     format: str | None = None
     options: dict = field(default_factory=dict)
     file_pattern: str | None = None
+    #: Rows whose key an earlier load, or row of the load, has brought go to quarantine.
+    unique_key: bool = False
+    #: Hash buckets of a keyed silver table, fixed with its first batch (see ``store.BUCKETS``).
+    buckets: int = 16
 
     def __post_init__(self):
         pk = (self.primary_key,) if isinstance(self.primary_key, str) else tuple(self.primary_key)

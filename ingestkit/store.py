@@ -1,85 +1,97 @@
-"""Layer tables on plain parquet (K1, K3).
+"""Layer tables on plain parquet (K1-K3, K6).
 
-Parquet has no row-level MERGE or UPDATE, so a silver table is a series of
-snapshots ``<root>/v=<n>`` plus a commit table ``<root>/_commits`` that lists
-(version, batch_id). A snapshot counts once its commit row exists, so a crash
-in the middle of a write is invisible, and a batch id that is already
-committed is skipped, so a retried batch is applied once. Reading a table
-re-reads files, which also cuts the lineage of long merge chains.
+Every table is a folder of parquet files written with dynamic partition overwrite, so a retried write
+replaces the partitions it wrote before and touches no other. Its layout (columns and types) is kept beside
+it (``Layout``) and is what it is read by: a file of an older layout gives nulls for later columns and
+promotes narrower types, and no reader guesses from one file.
 
-Bronze is append-only, partitioned by ``_batch_id`` with dynamic partition
-overwrite, so a retried batch replaces its own partition.
+Bronze, quarantine and append-only silver are partitioned by batch. Silver tables that change are partitioned
+by a hash bucket of the key (``KeyedTable``, ``HistoryTable``): a batch reads and rewrites only the buckets
+that hold its keys. Parquet has no snapshots: who reads while a load commits may see some buckets before and
+some after it. With a row-level table format on the classpath, ``DataFrame.mergeInto`` is the replacement.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+import time
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql import types as T
 
-from .operators import scd
-from .operators.sequence import HOT_KEY_ROWS, MAX_HOT_KEYS
-from .session import path_exists
+from .operators import evolution, scd
+from .session import path_exists, read_small, small_files, write_small
 
+#: Buckets of a new keyed table. A bucket is the least that a late row rewrites, so a table of n bytes wants
+#: about n / 1 GB of them; the number is fixed with the table's first batch.
+BUCKETS = 16
+BUCKET = "_bucket"
+LANDED = "_landed_batch"
 
-class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str):
+
+class Layout:
+    """The stored columns of a table, as small JSON files beside its folder; the last one counts."""
+
+    def __init__(self, spark: SparkSession, table_path: str):
         self.spark = spark
-        self.root = root.rstrip("/")
-        self.commits_path = f"{self.root}/_commits"
+        self.path = f"{table_path.rstrip('/')}__layout"
 
-    def _commits(self) -> DataFrame | None:
-        if not path_exists(self.spark, self.commits_path):
+    def read(self) -> tuple[T.StructType, T.StructType, int] | None:
+        """(stored columns, columns of the last batch, buckets); None before the first batch."""
+        names = [n for n in small_files(self.spark, self.path) if not n.startswith(".")]
+        if not names:
             return None
-        return self.spark.read.parquet(self.commits_path)
-
-    def head(self, batch_id: str | None = None) -> tuple[int, bool]:
-        """Latest committed version and whether ``batch_id`` is committed (one one-row job)."""
-        commits = self._commits()
-        if commits is None:
-            return -1, False
-        row = commits.agg(
-            F.max("version").alias("v"), F.max(F.col("batch_id") == F.lit(batch_id or "")).alias("done")
-        ).first()
-        return (row["v"] if row["v"] is not None else -1), bool(row["done"])
-
-    def read(self, version: int | None = None) -> DataFrame | None:
-        v = self.head()[0] if version is None else version
-        if v < 0:
-            return None
-        return self.spark.read.parquet(f"{self.root}/v={v}")
+        r = json.loads(read_small(self.spark, f"{self.path}/{names[-1]}"))
+        return T.StructType.fromJson(r["stored"]), T.StructType.fromJson(r["batch"]), r["buckets"]
+
+    def save(self, stored: T.StructType, batch: T.StructType, batch_id: str, buckets: int = 0) -> None:
+        row = {"batch_id": batch_id, "stored": stored.jsonValue(), "batch": batch.jsonValue(), "buckets": buckets}
+        write_small(self.spark, f"{self.path}/{time.time_ns():020d}.json", json.dumps(row))
+
+    def grown(self, batch: T.StructType, batch_id: str, buckets: int = 0) -> tuple[T.StructType, T.StructType | None, int]:
+        """The layout with ``batch`` merged in, stored if it or the batch's columns are new: (stored columns,
+        columns of the batch before, None at first, buckets)."""
+        last = self.read()
+        if last is None:
+            stored = T.StructType([T.StructField(f.name, f.dataType) for f in batch.fields])
+            self.save(stored, stored, batch_id, buckets)
+            return stored, None, buckets
+        stored = evolution.merged(last[0], batch)
+        if _plain(last[1]) != _plain(batch) or _plain(stored) != _plain(last[0]):
+            self.save(stored, batch, batch_id, last[2])
+        return stored, last[1], last[2]
+
 
-    def commit(self, df: DataFrame, batch_id: str) -> DataFrame:
-        """Write ``df`` as the next version unless ``batch_id`` is already committed."""
-        v, done = self.head(batch_id)
-        if done:
-            return self.read(v)
-        nxt = v + 1
-        df.hint("rebalance").write.mode("overwrite").parquet(f"{self.root}/v={nxt}")
-        self.spark.range(1).select(F.lit(nxt).alias("version"), F.lit(batch_id).alias("batch_id")).write.mode(
-            "append"
-        ).parquet(self.commits_path)
-        return self.read(nxt)
+def _plain(schema: T.StructType) -> str:
+    """Names and types only: nullability is no change of layout."""
+    return schema.simpleString()
+
+
+def read_table(spark: SparkSession, path: str, extra: Sequence[tuple[str, str]] = ()) -> DataFrame | None:
+    """A table by its stored layout (``extra``: partition columns outside it); None before its first batch."""
+    last = Layout(spark, path).read()
+    if last is None:
+        return None
+    schema = T.StructType([*last[0].fields, *(T.StructField(n, T.StringType() if t == "string" else T.IntegerType()) for n, t in extra)])
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
+def _put(df: DataFrame, path: str, *partitions: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
 def write_bronze(df: DataFrame, path: str) -> None:
     """K1: append a batch, partitioned by ``_batch_id``; a retry overwrites only its own batch."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("_batch_id")
-        .parquet(path)
-    )
+    _put(df, path, "_batch_id")
 
 
 def write_quarantine(df: DataFrame, path: str) -> None:
     """K2: failing rows partitioned by ``batch_id``; a retry replaces its own batch's rows."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
-        .parquet(path)
-    )
+    _put(df, path, "batch_id")
 
 
 def write_gold(df: DataFrame, path: str) -> DataFrame:
@@ -88,126 +100,132 @@ def write_gold(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-class Scd2Table:
-    """K3 for SCD2: a history table whose merges cost O(open versions + batch), not O(history).
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """Bucket of a row's key; a null key has one too."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int").alias(BUCKET)
+
+
+class _Bucketed:
+    """What the keyed tables share. Buckets are small whole numbers, at most ``buckets`` of them, and the
+    only thing about a batch that reaches the driver."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = BUCKETS):
+        self.spark, self.root, self.keys, self.buckets = spark, root.rstrip("/"), list(keys), buckets
+
+    def _in(self, df: DataFrame, touched: Sequence[int]) -> DataFrame:
+        """Rows of some buckets: a filter on the partition column, so other folders are not listed."""
+        return df.where(F.col(BUCKET).isin([int(b) for b in touched]))
+
+    def _store(self, rows: DataFrame, path: str, *partitions: str) -> None:
+        # one task per bucket and partition as a rule; adaptive execution splits those of a hot key by size
+        _put(rows.hint("rebalance", BUCKET), path, BUCKET, *partitions)
 
-    Layout below ``root``: ``versions/v=<n>/_scd_is_current=true|false`` and a
-    commit table ``_commits`` of (version, batch_id, base). A normal merge
-    writes, in one pass, the new set of open versions (``true``) and only the
-    versions it closed (``false``). History at version n is the open versions
-    of n plus the closed rows of every version since the last base. A batch
-    with late rows rebuilds the touched keys' whole history and writes a new
-    base (all closed rows) instead. Open versions carry the order values of the
-    last row seen (``_scd_last_seen``), which reads leave out. Reads are partition-pruned on (v, current).
+
+class KeyedTable(_Bucketed):
+    """K3 for SCD1, UPSERT and SCD3: one row per key. ``apply`` gives ``change(target, batch)`` the stored
+    rows of the batch's buckets and writes these buckets again."""
+
+    def read(self) -> DataFrame | None:
+        df = read_table(self.spark, self.root, [(BUCKET, "int")])
+        return None if df is None else df.drop(BUCKET)
+
+    def apply(self, batch: DataFrame, batch_id: str, change: Callable[[DataFrame | None, DataFrame], DataFrame]) -> DataFrame:
+        last = Layout(self.spark, self.root).read()
+        buckets = last[2] if last else self.buckets
+        target = None
+        if last:
+            touched = [r[0] for r in batch.select(bucket_of(self.keys, buckets)).distinct().collect()]
+            layout = evolution.merged(last[0], batch.schema)
+            own = {f.name for f in last[0].fields if f.name.startswith("_scd_") or f.name.endswith(("_previous", "_change_date"))}
+            own -= set(batch.columns)  # what the change itself adds
+            batch = evolution.conform(batch, T.StructType([f for f in layout.fields if f.name not in own]))
+            stored = self._in(read_table(self.spark, self.root, [(BUCKET, "int")]), touched).drop(BUCKET)
+            target = evolution.conform(stored, layout)
+        out = change(target, batch)
+        if target is not None and "_scd_action" in out.columns:
+            # a row this very batch wrote before a retry keeps its label
+            mine = target.where(F.col("_scd_batch_id") == batch_id).select(*self.keys, F.col("_scd_action").alias("_done"))
+            out = scd._join_keys(out, mine, self.keys, "left").withColumn("_scd_action", F.coalesce("_done", "_scd_action")).drop("_done")
+        Layout(self.spark, self.root).grown(out.schema, batch_id, buckets)
+        self._store(out.withColumn(BUCKET, bucket_of(self.keys, buckets)), self.root)
+        return self.read()
+
+
+class HistoryTable(_Bucketed):
+    """K3 for SCD2. ``root``/log holds all rows ever loaded, by bucket and batch; ``root``/versions the
+    versions, by bucket and whether they are open. A load lands its batch and rebuilds, from the log, the
+    versions of the buckets that hold its keys: a bucket is a function of its log alone, so late rows, repeats
+    and retries need no care, and neither files nor log rows of other buckets are read. (The number of
+    versions of a key never falls, so a rebuilt bucket overwrites both its partitions.) A version has the
+    batch id of the row that opened it, of equal rows the least. A batch with columns the log did not have
+    rebuilds all buckets once, as it changes what makes a version.
     """
 
-    def __init__(self, spark: SparkSession, root: str, keys, tracked, order, compact_every: int = 50):
-        self.spark = spark
-        self.root = root.rstrip("/")
-        self.keys, self.tracked, self.order = list(keys), list(tracked), list(order)
-        self.compact_every = compact_every
-        self.data = f"{self.root}/versions"
-        self.commits_path = f"{self.root}/_commits"
-
-    def head(self, batch_id: str | None = None) -> tuple[int, int, bool]:
-        """(latest version, its base version, whether ``batch_id`` is committed); one one-row job."""
-        if not path_exists(self.spark, self.commits_path):
-            return -1, -1, False
-        commits = self.spark.read.parquet(self.commits_path)
-        row = commits.agg(
-            F.max("version").alias("v"),
-            F.max_by("base", "version").alias("b"),
-            F.max(F.col("batch_id") == F.lit(batch_id or "")).alias("done"),
-        ).first()
-        return row["v"], row["b"], bool(row["done"])
-
-    def _read(self, v: int, base: int, current_only: bool = False) -> DataFrame:
-        df = self.spark.read.parquet(self.data)
-        # partition values come back as text; compare as text so the filter prunes directories
-        is_cur = F.col("_scd_is_current").cast("string") == F.lit("true")
-        cur = is_cur & (F.col("v") == v)
-        closed = ~is_cur & F.col("v").between(max(base, 0), v)
-        return df.where(cur if current_only else (cur | closed)).drop("v").withColumn("_scd_is_current", is_cur)
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], tracked: Sequence[str] | None = None,
+                 order: Sequence[str] = (), buckets: int = BUCKETS):
+        super().__init__(spark, root, keys, buckets)
+        self.tracked, self.order = tracked, list(order)
+        self.log, self.versions = f"{self.root}/log", f"{self.root}/versions"
+
+    def _tracked(self, columns: Sequence[str]) -> list[str]:
+        if self.tracked is not None:
+            return list(self.tracked)
+        return [c for c in columns if c not in self.keys and c not in self.order and not c.startswith("_")]
+
+    def _versions(self) -> DataFrame | None:
+        last = Layout(self.spark, self.versions).read()
+        if last is None:
+            return None
+        # partition values are text in folder names; compared as text, the filter prunes them
+        schema = T.StructType([*(f for f in last[0].fields if f.name != "_scd_is_current"), T.StructField(BUCKET, T.IntegerType()),
+                               T.StructField("_scd_is_current", T.StringType())])
+        if not path_exists(self.spark, self.versions):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(self.versions)
+
+    def _shown(self, df: DataFrame | None) -> DataFrame | None:
+        if df is None:
+            return None
+        names = Layout(self.spark, self.versions).read()[0].names
+        return df.withColumn("_scd_is_current", F.col("_scd_is_current") == "true").select(*names)
 
     def read(self) -> DataFrame | None:
-        v, base, _ = self.head()
-        return None if v < 0 else self._shown(v, base)
+        return self._shown(self._versions())
 
     def current(self) -> DataFrame | None:
-        v, base, _ = self.head()
-        return None if v < 0 else self._read(v, base, current_only=True).drop(scd.SEEN)
-
-    def _shown(self, v: int, base: int) -> DataFrame:
-        return self._read(v, base).drop(scd.SEEN)
-
-    def _commit(self, rows: DataFrame, v: int, base: int, batch_id: str) -> None:
-        (
-            rows.hint("rebalance")
-            .write.mode("overwrite")
-            .partitionBy("_scd_is_current")
-            .parquet(f"{self.data}/v={v}")
-        )
-        self.spark.range(1).select(
-            F.lit(v).alias("version"), F.lit(batch_id).alias("batch_id"), F.lit(base).alias("base")
-        ).write.mode("append").parquet(self.commits_path)
-
-    def merge(self, batch: DataFrame, batch_id: str, log: DataFrame | None = None) -> DataFrame:
-        """Merge ``batch`` once per ``batch_id`` and return the history at the new version. ``log``, all
-        rows loaded so far, is read only for keys with late rows (see ``scd2_merge``)."""
-        v, base, done = self.head(batch_id)
-        if done:
-            return self._shown(v, base)
-        nxt = v + 1
-        if v < 0:
-            history = scd.scd2_merge(scd.empty_scd2(batch), batch, self.keys, self.tracked, self.order, batch_id)
-            self._commit(history, nxt, nxt, batch_id)
-            return self._shown(nxt, nxt)
-        current = scd.with_seen(self._read(v, base, current_only=True), self.order)
-        batch = scd.unseen(current, batch, self.keys, self.tracked, self.order)
-        flags = scd.batch_flags(current, batch, self.keys, self.order)
-        # One small job answers both questions: any late key, and which keys are hot
-        # (a key's log is its batch rows plus at most one open version).
-        special = (
-            flags.where(F.col("_late") | (F.col("_n") >= HOT_KEY_ROWS))
-            .orderBy(F.col("_late").desc(), F.col("_n").desc())
-            .limit(MAX_HOT_KEYS)
-            .collect()
-        )
-        if any(r["_late"] for r in special):
-            # Late rows: rebuild the touched keys' whole history, write a new base.
-            history = scd.scd2_merge(self._read(v, base), batch, self.keys, self.tracked, self.order, batch_id, log=log, flags=flags)
-            self._commit(history, nxt, nxt, batch_id)
-            return self._shown(nxt, nxt)
-        hot = [tuple(r[k] for k in self.keys) for r in special]
-        merged = scd.scd2_merge(current, batch, self.keys, self.tracked, self.order, batch_id, flags=flags, hot_keys=hot, any_late=False)
-        self._commit(merged, nxt, base, batch_id)
-        if self.compact_every and nxt - base >= self.compact_every:
-            return self.compact()
-        return self._shown(nxt, base)
+        """Open versions: only their partitions are read."""
+        df = self._versions()
+        return self._shown(None if df is None else df.where(F.col("_scd_is_current") == "true"))
+
+    def landed(self) -> DataFrame | None:
+        """All rows ever loaded, with their batch."""
+        return read_table(self.spark, self.log, [(LANDED, "string"), (BUCKET, "int")])
 
     def load(self, batch: DataFrame, batch_id: str) -> DataFrame:
-        """Land ``batch`` below ``root``/landed, then merge it with all landed rows as the log, so a late
-        row meets every row loaded before it. A retry replaces its own landed partition."""
-        path = f"{self.root}/landed"
-        (
-            batch.withColumn("_landed_batch", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_landed_batch")
-            .parquet(path)
-        )
-        schema = StructType(batch.schema.fields + [StructField("_landed_batch", StringType())])
-        landed = self.spark.read.schema(schema).parquet(path)
-        mine = landed.where(F.col("_landed_batch") == F.lit(batch_id))
-        return self.merge(mine.select(*batch.columns), batch_id, log=landed.select(*batch.columns))
-
-    def compact(self) -> DataFrame | None:
-        """Write the whole history as a new base version, so reads stop unioning old deltas."""
-        v, base, _ = self.head()
-        if v < 0:
-            return None
-        self._commit(self._read(v, base), v + 1, v + 1, f"_compact_{v + 1}")
-        return self._shown(v + 1, v + 1)
+        """Lands ``batch`` and rebuilds the buckets of its keys; the whole history at the end."""
+        before = Layout(self.spark, self.log).read()
+        stored, _, buckets = Layout(self.spark, self.log).grown(batch.schema, batch_id, self.buckets)
+        batch = evolution.conform(batch, stored)
+        seen = Observation(f"landed_{batch_id}")
+        marked = batch.withColumns({BUCKET: bucket_of(self.keys, buckets), LANDED: F.lit(batch_id)})
+        self._store(marked.observe(seen, F.collect_set(BUCKET).alias("touched")), self.log, LANDED)
+        touched = sorted(seen.get.get("touched") or [])
+        if before is not None and _plain(before[0]) != _plain(stored):
+            touched = list(range(buckets))
+        versions = self.built(self._in(self.landed(), touched))
+        Layout(self.spark, self.versions).grown(versions.drop(BUCKET).schema, batch_id, buckets)
+        if touched:
+            self._store(versions, self.versions, "_scd_is_current")
+        return self.read()
+
+    def built(self, log: DataFrame) -> DataFrame:
+        """The versions of log rows (with their batch and bucket)."""
+        business = [c for c in log.columns if c not in (BUCKET, LANDED)]
+        tracked = self._tracked(business)
+        # a bucket is a function of the key: with it as a key the rows are dealt by it once, for window and write
+        history = scd.scd2_history(log, self.keys, tracked, self.order, tie=[LANDED])
+        return history.select(*business, F.col(LANDED).alias("_scd_batch_id"), BUCKET,
+                              *[c for c in history.columns if c.startswith("_scd_")])
 
 
 class BatchPartitionedTable:
@@ -220,21 +238,15 @@ class BatchPartitionedTable:
         self.root = root.rstrip("/")
 
     def read(self) -> DataFrame | None:
-        if not path_exists(self.spark, self.root):
-            return None
-        return self.spark.read.parquet(self.root)
+        return read_table(self.spark, self.root)
 
     def read_without(self, batch_id: str) -> DataFrame | None:
         """What other batches wrote: the target a (possibly retried) batch is compared with."""
         df = self.read()
-        return None if df is None else df.where(F.col("_scd_batch_id").cast("string") != F.lit(batch_id))
+        return None if df is None else df.where(F.col("_scd_batch_id") != F.lit(batch_id))
 
     def add(self, rows: DataFrame, batch_id: str) -> DataFrame:
-        (
-            rows.withColumn("_scd_batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_scd_batch_id")
-            .parquet(self.root)
-        )
+        rows = rows.withColumn("_scd_batch_id", F.lit(batch_id))
+        stored, _, _ = Layout(self.spark, self.root).grown(rows.schema, batch_id)
+        _put(evolution.conform(rows, stored), self.root, "_scd_batch_id")
         return self.read()

@@ -20,7 +20,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..operators import enrich, quality
 from ..operators.sequence import with_neighbors
 from ..session import path_exists
-from ..store import Scd2Table
+from ..store import HistoryTable
 
 # Trigger intervals of the shipped configuration.
 STREAM_TRIGGER = "1 minute"
@@ -91,14 +91,13 @@ def read_bronze(spark, path: str, quarantined: bool = False) -> DataFrame:
     return df.drop("_is_quarantined", quality.FAILED) if not quarantined else df
 
 
-def scd2_sink(table: Scd2Table, name: str = "scd2"):
-    """Land each micro-batch and merge it into an SCD2 table, once per batch id; late rows are
-    placed by the log of all landed rows."""
+def scd2_sink(table: HistoryTable, name: str = "scd2"):
+    """Land each micro-batch in an SCD2 table and rebuild the buckets of its keys; late rows are placed
+    by the log of all landed rows, and a replayed batch lands in its own place."""
 
     def sink(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():  # nothing to merge; no new version
-            return
-        table.load(batch, f"{name}-{epoch_id}")
+        if not batch.isEmpty():
+            table.load(batch, f"{name}-{epoch_id}")
 
     return sink
 

@@ -2,7 +2,7 @@
 
 from datetime import datetime, timedelta
 
-from ingestkit.store import Scd2Table
+from ingestkit.store import HistoryTable
 from ingestkit.streaming import ingest as T
 
 T0 = datetime(2024, 1, 1)
@@ -15,7 +15,7 @@ def t(d):
 
 def test_scd2_sink_places_a_late_row_between_repeats(spark, scratch):
     """A@1, A@2, B@4, then a late C@1.5: A is back from 2 to 4."""
-    table = Scd2Table(spark, scratch("late"), ["k"], ["a"], ["ts", "seq"])
+    table = HistoryTable(spark, scratch("late"), ["k"], ["a"], ["ts", "seq"])
     sink = T.scd2_sink(table)
     sink(spark.createDataFrame([(1, "A", t(1), 1), (1, "A", t(2), 2), (1, "B", t(4), 3)], SCHEMA), 0)
     late = spark.createDataFrame([(1, "C", t(1.5), 4)], SCHEMA)

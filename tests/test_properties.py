@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from ingestkit.operators import quality, scd
-from ingestkit.store import Scd2Table
+from ingestkit.store import HistoryTable
 
 SCHEMA = "k bigint, a string, b string, ts timestamp_ntz, seq bigint"
 T0 = datetime(2024, 1, 1)
@@ -34,11 +34,11 @@ def test_random_log_split_fold(spark, scratch, seed):
         k = rnd.choice([1, 1, 1, 2, 3, 4])  # key 1 is hot
         rows.append((k, rnd.choice(["x", "y", None]), rnd.choice(["p", None]), T0 + timedelta(hours=rnd.randint(0, 48)), i))
     cuts = sorted(rnd.sample(range(1, 48), 2))
-    table = Scd2Table(spark, scratch("prop"), ["k"], ["a", "b"], ["ts", "seq"])
+    table = HistoryTable(spark, scratch("prop"), ["k"], ["a", "b"], ["ts", "seq"])
     bounds = [0] + cuts + [49]
     for j in range(len(bounds) - 1):
         part = [r for r in rows if T0 + timedelta(hours=bounds[j]) <= r[3] < T0 + timedelta(hours=bounds[j + 1])]
-        hist = table.merge(spark.createDataFrame(part, SCHEMA), f"b{j}")
+        hist = table.load(spark.createDataFrame(part, SCHEMA), f"b{j}")
     cols = ["k", "a", "b", "ts", "seq", "_scd_end_date", "_scd_is_current"]
     assert sorted(map(tuple, hist.select(cols).collect()), key=repr) == brute(rows)
     assert tuple(quality.scd2_checks(hist, ["k"]).first()) == (0, 0, 0)

@@ -25,10 +25,11 @@ def test_load_table_counts_and_audit(spark, scratch):
     assert (run.status, run.records_read, run.records_written) == ("SUCCESS", cust.count(), cust.count() - bad)
     rules = {r.rule_name for r in log.table("audit_data_quality").collect()}
     assert rules == {"positive_value__c_acctbal", "valid_primary_key__c_custkey"}
-    # the same batch again replaces its bronze partition and leaves silver as it was
+    # the same batch again replaces its bronze partition and leaves silver's rows as they were (in new files)
+    before = sorted(map(tuple, res.silver.collect()))
     again = load_table(spark, table, cust, [R.positive("c_acctbal", severity="error")], "b1", "2024-01-01 00:00:00", root, log)
     assert spark.read.parquet(res.bronze_path).count() == cust.count()
-    assert again.silver.count() == res.silver.count()
+    assert sorted(map(tuple, again.silver.collect())) == before
 
 
 def test_append_loads_only_add_rows(spark, scratch):
@@ -108,3 +109,97 @@ def test_retry_of_a_failed_batch_shows_running(spark, scratch):
     assert log.runs().first().status == "FAILED"
     log.log_batch_start("b1", "s", "t", "2024-01-01 00:01:00")
     assert log.runs().first().status == "RUNNING"
+
+
+def events_table(scd_type="APPEND", **kw):
+    return ResolvedTable(SourceSpec("app", "file"), TableSpec("t", primary_key="id", scd_type=scd_type, sequence_by=("ts",), **kw))
+
+
+def changes(log):
+    rows = log.table("audit_schema_evolution").collect()
+    return sorted((r.batch_id, r.change_type, r.column_name, r.previous_type, r.new_type) for r in rows)
+
+
+@pytest.mark.parametrize("scd_type", ["APPEND", "SCD0", "SCD1", "SCD2", "SCD3", "UPSERT"])
+def test_loads_keep_added_columns_and_widened_types(spark, scratch, scd_type):
+    """Every pattern: a column more, a wider type, another order and a column less, in four loads."""
+    root = scratch("lake")
+    log = AuditLog(spark, f"{root}/audit")
+    log.ensure()
+    table = events_table(scd_type)
+    day = "2024-01-0{} 00:00:00"
+    loads = [
+        ("id int, ts timestamp_ntz, n int", "(1, TIMESTAMP_NTZ'2024-01-01', 5), (2, TIMESTAMP_NTZ'2024-01-01', 6)"),
+        ("id int, ts timestamp_ntz, n int, extra string", "(3, TIMESTAMP_NTZ'2024-01-02', 7, 'x')"),
+        ("extra string, n bigint, ts timestamp_ntz, id bigint", "('y', 50000000000, TIMESTAMP_NTZ'2024-01-03', 4)"),
+        ("id bigint, ts timestamp_ntz, n bigint", "(5, TIMESTAMP_NTZ'2024-01-04', 9)"),
+    ]
+    for i, (schema, values) in enumerate(loads):
+        names = ", ".join(x.split()[0] for x in schema.split(", "))
+        df = spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+        df = df.select(*[F.col(x.split()[0]).cast(x.split()[1]) for x in schema.split(", ")])
+        res = load_table(spark, table, df, [], f"b{i}", day.format(i + 1), root, log)
+    got = {r.id: (r.n, r.extra) for r in res.silver.collect()}
+    assert got == {1: (5, None), 2: (6, None), 3: (7, "x"), 4: (50000000000, "y"), 5: (9, None)}
+    assert changes(log) == [
+        ("b1", "ADD_COLUMN", "extra", None, "string"),
+        ("b2", "TYPE_CHANGE", "id", "int", "bigint"),
+        ("b2", "TYPE_CHANGE", "n", "int", "bigint"),
+        ("b3", "DROP_COLUMN", "extra", "string", None),
+    ]
+    edges = {(r.batch_id, r.source_table, r.target_table, r.source_record_count, r.target_record_count) for r in log.table("audit_lineage").collect()}
+    assert ("b0", table.table.origin, "bronze_app_t", 2, 2) in edges and ("b3", "bronze_app_t", "silver_app_t", 1, 1) in edges
+    assert len(edges) == 8
+
+
+def test_values_that_do_not_fit_are_rescued(spark, scratch):
+    root = scratch("lake")
+    log = AuditLog(spark, f"{root}/audit")
+    log.ensure()
+    table = events_table()
+    first = spark.sql("SELECT 1 AS id, TIMESTAMP_NTZ'2024-01-01' AS ts, 5 AS n, named_struct('a', 1) AS s")
+    load_table(spark, table, first, [], "b0", "2024-01-01 00:00:00", root, log)
+    second = spark.sql(
+        "SELECT * FROM VALUES (2, '7', 'text'), (3, '007', NULL), (4, 'many', ''), (5, NULL, NULL) AS t(id, n, s)"
+    ).withColumn("ts", F.lit("2024-01-02").cast("timestamp_ntz"))
+    load_table(spark, table, second, [], "b1", "2024-01-02 00:00:00", root, log)
+    res = load_table(spark, table, first.withColumns({"id": F.lit(6), "n": F.lit(1.5)}), [], "b2", "2024-01-03 00:00:00", root, log)
+    got = {r.id: (r.n, r.s and r.s.a, r._rescued_data) for r in res.silver.collect()}
+    assert got == {
+        1: (5, 1, None), 2: (7, None, {"s": "text"}), 3: (None, None, {"n": "007"}),
+        4: (None, None, {"n": "many", "s": ""}), 5: (None, None, None), 6: (1.5, 1, None),
+    }
+    assert res.silver.schema["n"].dataType.simpleString() == "double"  # whole numbers and doubles have a common type
+
+
+def test_unique_keys_across_loads(spark, scratch):
+    root = scratch("lake")
+    log = AuditLog(spark, f"{root}/audit")
+    log.ensure()
+    table = events_table(unique_key=True)
+    schema = "id bigint, ts timestamp_ntz, v string"
+    t0 = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01' AS t").first().t
+    loads = [[(1, "a"), (1, "b"), (2, "c"), (2, "c"), (None, "n")], [(2, "late"), (3, "d")], [(3, "e"), (4, "f"), (1, "g"), (4, "h")]]
+    for i in (0, 1, 1, 2):  # the second load is retried
+        rows = spark.createDataFrame([(k, t0, v) for k, v in loads[i]], schema)
+        res = load_table(spark, table, rows, [], f"b{i}", f"2024-01-0{i + 1} 00:00:00", root, log)
+    assert sorted((r.id, r.v) for r in res.silver.collect()) == [(1, "a"), (2, "c"), (3, "d"), (4, "f")]
+    bad = spark.read.parquet(f"{root}/bronze_app_t_quarantine")
+    assert bad.count() == 7 and bad.where("failed_rules LIKE '%unique_primary_key__id%'").count() == 6
+    failed = {(r.batch_id, r.rule_name): r.records_failed for r in log.table("audit_data_quality").collect()}
+    assert [failed[f"b{i}", "unique_primary_key__id"] for i in range(3)] == [2, 1, 3]
+    reasons = {r.reason for r in spark.read.parquet(f"{root}/bronze_app_t_duplicates").collect()}
+    assert reasons == {"key repeated in the load", "key loaded before"}
+
+
+def test_key_filters_let_no_known_key_by_and_few_others(spark, scratch):
+    from ingestkit.operators.unique import KnownKeys
+
+    known = KnownKeys(spark, scratch("keys"), ["k"], expected_keys=20_000)
+    assert known.hits(spark.range(5).withColumnRenamed("id", "k")) is None
+    known.add(spark.range(0, 10_000).withColumnRenamed("id", "k"), "b0")
+    known.add(spark.range(10_000, 20_000).withColumnRenamed("id", "k"), "b1")
+    assert known.hits(spark.range(20_000).withColumnRenamed("id", "k")).count() == 20_000
+    assert known.hits(spark.range(100_000, 120_000).withColumnRenamed("id", "k")).count() < 600
+    plan = known.hits(spark.range(9).withColumnRenamed("id", "k"))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hash" not in plan  # the test comes before any shuffle

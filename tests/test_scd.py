@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ingestkit.operators import quality, scd
 from ingestkit.operators.sequence import with_neighbors
-from ingestkit.store import Scd2Table
+from ingestkit.store import BUCKET, HistoryTable, KeyedTable, bucket_of
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "k bigint, a string, b string, ts timestamp_ntz, seq bigint"
@@ -169,9 +169,12 @@ def test_with_neighbors_hot_path_random(spark):
         assert got == expect
 
 
-def test_store_merges_write_only_changes(spark, scratch, log):
+def files(spark, path):
+    return sorted(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "modificationTime").collect())
 
-    table = Scd2Table(spark, scratch("scd2"), KEYS, TRACKED, ORDER)
+
+def test_store_rebuilds_only_the_buckets_of_a_batch(spark, scratch, log):
+    table = HistoryTable(spark, scratch("scd2"), KEYS, TRACKED, ORDER)
     bounds = [None, t(3), t(6), None]
     for i in range(3):
         part = log
@@ -179,20 +182,63 @@ def test_store_merges_write_only_changes(spark, scratch, log):
             part = part.where(F.col("ts") >= F.lit(bounds[i]))
         if bounds[i + 1] is not None:
             part = part.where(F.col("ts") < F.lit(bounds[i + 1]))
-        hist = table.merge(part, f"b{i}")
+        hist = table.load(part, f"b{i}")
     assert rows_of(hist) == brute_history(LOG)
-    assert table.head("b1") == (2, 0, True)
-    assert table.head("b9") == (2, 0, False)
-    # version 2 wrote the open versions plus only what it closed
-    written = spark.read.parquet(f"{table.data}/v=2")
-    assert written.where("_scd_is_current = 'true'").count() == 7
-    assert written.where("_scd_is_current = 'false'").count() < len(brute_history(LOG)) - 7
-    # a replayed batch id changes nothing; a late row rebuilds and writes a new base
-    assert rows_of(table.merge(log, "b1")) == brute_history(LOG)
-    late = spark.createDataFrame([(6, "C", "r", t(2) + timedelta(hours=12), 99)], SCHEMA)
-    hist = table.merge(late, "late")
-    assert table.head()[:2] == (3, 3)
-    assert rows_of(hist) == brute_history(LOG + [(6, "C", "r", t(2) + timedelta(hours=12), 99)])
+    # a replayed batch changes nothing
+    assert rows_of(table.load(log.where(F.col("ts") < F.lit(t(3))), "b0")) == brute_history(LOG)
+    before = files(spark, table.versions)
+    row = (6, "C", "r", t(2) + timedelta(hours=12), 99)
+    hist = table.load(spark.createDataFrame([row], SCHEMA), "late")
+    assert rows_of(hist) == brute_history(LOG + [row])
+    after = files(spark, table.versions)
+    bucket = spark.createDataFrame([row], SCHEMA).select(bucket_of(KEYS, table.buckets)).first()[0]
+    new = {f.path for f in after} - {f.path for f in before}
+    gone = {f.path for f in before} - {f.path for f in after}
+    assert new and all(f"/{BUCKET}={bucket}/" in p for p in new | gone)  # one late row: one bucket
+    assert rows_of(table.current()) == [r for r in rows_of(hist) if r[-1]]
+
+
+def test_store_reads_only_folders_of_the_buckets(spark, scratch, log):
+    table = HistoryTable(spark, scratch("pruned"), KEYS, TRACKED, ORDER)
+    table.load(log, "b0")
+    plan = table._in(table.landed(), [3])._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [isnotnull({BUCKET}" in plan and f"({BUCKET}" in plan.split("PartitionFilters")[1]
+    plan = table.current()._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_scd_is_current" in plan
+
+
+def test_store_takes_new_columns(spark, scratch, log):
+    """A column more rebuilds every bucket, so versions and hashes follow one set of columns."""
+    table = HistoryTable(spark, scratch("wider"), KEYS, None, ORDER)
+    table.load(log, "b0")
+    more = spark.createDataFrame([(1, "z", "p", t(6.5), 50, "c")], SCHEMA + ", c string")
+    hist = table.load(more, "b1")
+    whole = log.withColumn("c", F.lit(None).cast("string")).unionByName(more)
+    want = scd.scd2_history(whole, KEYS, ["a", "b", "c"], ORDER)
+    columns = [*whole.columns, "_scd_effective_date", "_scd_end_date", "_scd_is_current", "_scd_hash", "_scd_action"]
+    assert sorted(map(repr, hist.select(columns).collect())) == sorted(map(repr, want.select(columns).collect()))
+
+
+def test_keyed_table_rewrites_only_the_buckets_of_a_batch(spark, scratch):
+    rows = [(k, "v", "w", t(0), k) for k in range(40)]
+    table = KeyedTable(spark, scratch("scd1"), KEYS)
+
+    def change(target, batch, batch_id):
+        from ingestkit.spec import TableSpec
+
+        return scd.apply_scd(target, batch, TableSpec("x", primary_key="k", scd_type="SCD1", sequence_by=("ts", "seq")), batch_id)
+
+    table.apply(spark.createDataFrame(rows, SCHEMA), "b0", lambda x, y: change(x, y, "b0"))
+    before = files(spark, table.root)
+    second = spark.createDataFrame([(7, "new", "w", t(1), 100), (7, "newer", "w", t(2), 101)], SCHEMA)
+    for _ in range(2):  # the second time is a retry: labels stay
+        got = table.apply(second, "b1", lambda x, y: change(x, y, "b1"))
+        by_key = {r.k: r for r in got.collect()}
+        assert len(by_key) == got.count() == 40
+        assert (by_key[7].a, by_key[7]._scd_action, by_key[7]._scd_batch_id) == ("newer", "UPDATE", "b1")
+        assert (by_key[8].a, by_key[8]._scd_action, by_key[8]._scd_batch_id) == ("v", "INSERT", "b0")
+    same = {f.path for f in before} & {f.path for f in files(spark, table.root)}
+    assert len(same) == len(before) - 1
 
 
 def test_fill_forward_hot_path_random(spark):
@@ -227,21 +273,6 @@ def test_as_of_join_matches_range_join(spark, log, hot):
     assert {(r.id, r.a, r.b) for r in got.collect()} == expect
 
 
-def test_store_compaction_keeps_history(spark, scratch, log):
-
-    table = Scd2Table(spark, scratch("scd2c"), KEYS, TRACKED, ORDER, compact_every=2)
-    for i, (lo, hi) in enumerate([(None, t(3)), (t(3), t(6)), (t(6), None)]):
-        part = log
-        if lo is not None:
-            part = part.where(F.col("ts") >= F.lit(lo))
-        if hi is not None:
-            part = part.where(F.col("ts") < F.lit(hi))
-        hist = table.merge(part, f"b{i}")
-    v, base, _ = table.head()
-    assert base == v  # the last merge reached compact_every and wrote a new base
-    assert rows_of(hist) == brute_history(LOG)
-
-
 def test_action_labels_survive_merges_and_late_rows(spark, scratch, log):
 
     def labels(df):
@@ -252,12 +283,12 @@ def test_action_labels_survive_merges_and_late_rows(spark, scratch, log):
         rows = sorted(df.select("k", "_scd_effective_date", "seq").collect(), key=lambda r: (r.k, r[1], r.seq))
         return [(r.k, "INSERT" if i == 0 or rows[i - 1].k != r.k else "UPDATE") for i, r in enumerate(rows)]
 
-    table = Scd2Table(spark, scratch("labels"), KEYS, TRACKED, ORDER)
-    table.merge(log.where(F.col("ts") < F.lit(t(4))), "b1")
-    hist = table.merge(log.where(F.col("ts") >= F.lit(t(4))), "b2")
+    table = HistoryTable(spark, scratch("labels"), KEYS, TRACKED, ORDER)
+    table.load(log.where(F.col("ts") < F.lit(t(4))), "b1")
+    hist = table.load(log.where(F.col("ts") >= F.lit(t(4))), "b2")
     assert labels(hist) == expected(hist)
     late = spark.createDataFrame([(6, "Z", "r", t(1), 0)], SCHEMA)  # becomes key 6's first version
-    hist = table.merge(late, "late")
+    hist = table.load(late, "late")
     assert labels(hist) == expected(hist)
 
 
@@ -275,10 +306,10 @@ def test_late_row_between_repeats(spark, scratch):
     for i, part in enumerate([first, again, late]):
         table = scd.scd2_merge(table, part, KEYS, TRACKED, ORDER, f"b{i}").checkpoint()
     assert _versions(table) == want
-    store = Scd2Table(spark, scratch("late"), KEYS, TRACKED, ORDER)
+    store = HistoryTable(spark, scratch("late"), KEYS, TRACKED, ORDER)
     for i, part in enumerate([first, again, late]):
-        hist = store.merge(part, f"b{i}")
-    assert _versions(hist) == want and scd.SEEN not in hist.columns
+        hist = store.load(part, f"b{i}")
+    assert _versions(hist) == want
 
 
 def test_shuffled_batches_with_log_equal_history(spark, scratch):
@@ -286,24 +317,25 @@ def test_shuffled_batches_with_log_equal_history(spark, scratch):
     for seed in (3,):
         rnd = random.Random(seed)
         rows = [(rnd.choice([1, 2, 3]), rnd.choice("xy"), "p", t(rnd.randint(0, 9)), i) for i in range(45)]
-        store = Scd2Table(spark, scratch("shuffled"), KEYS, TRACKED, ORDER)
+        store = HistoryTable(spark, scratch("shuffled"), KEYS, TRACKED, ORDER)
         parts = [rnd.sample(rows, 45)[:30], rows[:25], rows[20:]]
         seen = []
         for i, part in enumerate(parts):
             seen += part
-            hist = store.merge(spark.createDataFrame(part, SCHEMA), f"b{i}", log=spark.createDataFrame(seen, SCHEMA))
+            hist = store.load(spark.createDataFrame(part, SCHEMA), f"b{i}")
         assert rows_of(hist) == brute_history(rows)
 
 
 def test_null_keys_are_one_key(spark, scratch):
-    store = Scd2Table(spark, scratch("nullkey"), KEYS, TRACKED, ORDER)
+    store = HistoryTable(spark, scratch("nullkey"), KEYS, TRACKED, ORDER)
     for i, a in enumerate("xyz"):
-        hist = store.merge(spark.createDataFrame([(None, a, "p", t(i), i)], SCHEMA), f"b{i}")
+        hist = store.load(spark.createDataFrame([(None, a, "p", t(i), i)], SCHEMA), f"b{i}")
     assert _versions(hist) == [("x", t(0), t(1)), ("y", t(1), t(2)), ("z", t(2), None)]
 
 
-def test_reread_rows_do_not_rewrite_the_base(spark, scratch):
-    store = Scd2Table(spark, scratch("reread"), KEYS, TRACKED, ORDER)
-    store.merge(spark.createDataFrame([(1, "x", "p", t(0), 1), (2, "y", "p", t(1), 2)], SCHEMA), "b0")
-    store.merge(spark.createDataFrame([(1, "x", "p", t(0), 1), (2, "z", "p", t(2), 3)], SCHEMA), "b1")
-    assert store.head()[:2] == (1, 0)
+def test_reread_rows_change_nothing(spark, scratch):
+    store = HistoryTable(spark, scratch("reread"), KEYS, TRACKED, ORDER)
+    store.load(spark.createDataFrame([(1, "x", "p", t(0), 1), (2, "y", "p", t(1), 2)], SCHEMA), "b0")
+    hist = store.load(spark.createDataFrame([(1, "x", "p", t(0), 1), (2, "z", "p", t(2), 3)], SCHEMA), "b1")
+    rows = {(r.k, r.a, r._scd_batch_id, r._scd_is_current) for r in hist.collect()}
+    assert rows == {(1, "x", "b0", True), (2, "y", "b0", False), (2, "z", "b1", True)}
