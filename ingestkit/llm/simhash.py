@@ -1,19 +1,19 @@
 """SimHash near-de-duplication with vantage-point trees.
 
-Fingerprints (64 bits over word shingles) are partitioned by their Hamming distance to vantage points.
-A node of the tree takes one vantage point and one block of bits and parts the fingerprints at a cut of
-their distance to the vantage point inside that block. (Measured to the vantage point and to its
-complement in the block, whole-word distances give the distance inside the block.) By the triangle
-inequality two fingerprints on different sides of a cut differ in that block by at least the way to the
-cut, and over disjoint blocks these bounds add up: a fingerprint visits the other side of a cut as long
-as its ways sum to at most the link distance, else the branch is pruned. Blocks of a family are
-disjoint; a new family starts a new sum.
-
-The upper levels of the tree, cut at the medians of a bounded sample, are the shards: every fingerprint
-lives in one shard and visits the boundary-overlapping ones. Inside a shard the same descent goes on
-until few fingerprints are left, which are compared exactly. A shard reports a star per local group and
-not its pairs, so dense groups cost rows in proportion to their members. Links between shards are
-contracted by ``graph.components``. No pair within the distance is lost.
+Fingerprints (64 bits over word shingles) are partitioned by their Hamming distance to vantage points, by the
+triangle inequality: two fingerprints whose distances to a vantage point differ by d are at least d apart, and
+inside disjoint blocks of bits such bounds add up.
+
+The bits are cut into one block more than the link distance, so two linked fingerprints agree in one block at
+least, and are then equally far from every vantage point inside it. Each block has a tree of its own, cut at
+the medians of a bounded sample; a fingerprint goes down each tree without crossing a cut, which makes exactly
+as many copies as there are blocks, whatever the number of documents. The leaves are the shards. Inside a shard
+further vantage points of the block part the fingerprints into cells of equal distances. The fingerprints of a
+small cell are compared exactly; a cell that stays large is parted by levels over all bits, where a fingerprint
+visits the other side of a cut as long as its ways to the cuts sum to at most the link distance, else the branch
+is pruned (blocks of a family of levels are disjoint; a new family starts a new sum). A shard reports a star per
+local group and not its pairs, so dense groups cost rows in proportion to their members; a pair found in several
+trees is linked in each. Links are contracted by ``graph.components``. No pair within the distance is lost.
 
 Defined results: null and empty texts have fingerprint zero and are linked like any other; texts with
 fewer words than a shingle are one shingle; repeated rows and ties keep one row each; a null id never
@@ -62,6 +62,15 @@ def _masks() -> list[np.uint64]:
 MASKS = _masks()
 
 
+def blocks(bits: int) -> list[np.uint64]:
+    """Masks of ``bits + 1`` disjoint blocks of about equal size."""
+    if not 0 <= bits < 64:
+        raise ValueError("the link distance must be from 0 to 63")
+    n = bits + 1
+    ends = [64 * i // n for i in range(n + 1)]
+    return [np.uint64((1 << ends[i + 1]) - (1 << ends[i])) for i in range(n)]
+
+
 def fingerprint(text: bytes | None, shingle: int = SHINGLE_WORDS) -> int:
     """Bit b is set when more than half of the shingles' hashes have it; zero without a word."""
     w = (text or b"").lower().split()  # bytes: A-Z only, and exactly the six ASCII spaces
@@ -100,7 +109,6 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 @dataclass
 class Node:
     vantage: np.uint64
-    mask: np.uint64
     cut: int
     low: Node | int
     high: Node | int
@@ -110,24 +118,63 @@ def _distance(x: np.ndarray, vantage: np.uint64, mask: np.uint64) -> np.ndarray:
     return np.bitwise_count((x ^ vantage) & mask).astype(np.int16)
 
 
-def build(sample: np.ndarray, depth: int) -> Node | int:
-    """Shard tree of ``depth`` levels cut at the sample's medians; leaves are numbered from 0."""
+def build(sample: np.ndarray, mask: np.uint64, depth: int) -> Node | int:
+    """Shard tree of one block, ``depth`` levels cut at the sample's medians; leaves are numbered from 0."""
     number = iter(range(1 << depth))
 
     def grow(part: np.ndarray, level: int) -> Node | int:
         if level == depth:
             return next(number)
-        mask = MASKS[level % len(MASKS)]
-        vantage = part[0] if len(part) else np.uint64(0)
-        d = _distance(part, vantage, mask)
-        cut = BLOCK_BITS // 2
+        vantage, cut, size = np.uint64(0), 0, int(np.bitwise_count(mask))
         if len(part):
-            cut = min(range(BLOCK_BITS), key=lambda c: abs((d <= c).mean() - 0.5))
-        return Node(vantage, mask, cut, grow(part[d <= cut], level + 1), grow(part[d > cut], level + 1))
+            vantage = part[level % len(part)]
+            d = _distance(part, vantage, mask)
+            cut = min(range(size), key=lambda c: abs((d <= c).mean() - 0.5))
+        low = _distance(part, vantage, mask) <= cut
+        return Node(vantage, cut, grow(part[low], level + 1), grow(part[~low], level + 1))
 
     return grow(sample, 0)
 
 
+def route(tree: Node | int, x: np.ndarray, mask: np.uint64) -> np.ndarray:
+    """Shard of every fingerprint of ``x`` in the tree of one block: a function of the block's bits only."""
+    out = np.zeros(len(x), np.int32)
+    stack = [(tree, np.arange(len(x)))]
+    while stack:
+        node, rows = stack.pop()
+        if isinstance(node, int):
+            out[rows] = node
+        elif len(rows):
+            low = _distance(x[rows], node.vantage, mask) <= node.cut
+            stack += [(node.low, rows[low]), (node.high, rows[~low])]
+    return out
+
+
+def cells(x: np.ndarray, mask: np.uint64, small: int) -> list[np.ndarray]:
+    """Rows of ``x`` by equal distances, inside the block, to vantage points of their own; cells of more than
+    ``small`` rows are parted on until their rows agree in the block."""
+    done, stack = [], [np.arange(len(x))]
+    while stack:
+        rows = stack.pop()
+        if len(rows) <= small:
+            done.append(rows)
+            continue
+        other = (x[rows] ^ x[rows[0]]) & mask
+        at = int(np.bitwise_count(other).argmax())
+        if not other[at]:
+            done.append(rows)
+            continue
+        d = _distance(x[rows], x[rows[0]], mask) * np.int16(64) + _distance(x[rows], x[rows[at]], mask)
+        order = np.argsort(d, kind="stable")
+        parts = np.split(rows[order], np.flatnonzero(np.diff(d[order])) + 1)
+        if len(parts) == 1:  # unequal rows at equal distances: part by one bit that differs from the first row's
+            bit = other[at] & -other[at]
+            has = (x[rows] & bit) != 0
+            parts = [rows[has], rows[~has]]
+        stack += parts
+    return done
+
+
 def _part(d: np.ndarray, cut: int, budget: np.ndarray, home: np.ndarray) -> tuple[np.ndarray, ...]:
     """Who goes low and high, with the way to the other side: members of the high side do not visit
     the low one (a pair is found from its low side), visitors look at both."""
@@ -137,30 +184,6 @@ def _part(d: np.ndarray, cut: int, budget: np.ndarray, home: np.ndarray) -> tupl
     return low, way, over
 
 
-def route(tree: Node | int, x: np.ndarray, bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(shard, rows, whether they live there) for the fingerprints ``x``."""
-    stack = [(tree, np.arange(len(x)), np.ones(len(x), bool), np.full(len(x), bits, np.int16), 0)]
-    while stack:
-        node, rows, home, budget, level = stack.pop()
-        if not len(rows):
-            continue
-        if isinstance(node, int):
-            yield node, rows, home
-            continue
-        if level % LEVELS == 0:
-            budget = np.full(len(rows), bits, np.int16)
-        low, way, over = _part(_distance(x[rows], node.vantage, node.mask), node.cut, budget, home)
-        for side, here in ((node.low, low), (node.high, ~low)):
-            visit = over & ~here
-            stack.append((
-                side,
-                np.concatenate((rows[here], rows[visit])),
-                np.concatenate((home[here], np.zeros(visit.sum(), bool))),
-                np.concatenate((budget[here], budget[visit] - way[visit])),
-                level + 1,
-            ))
-
-
 class Groups:
     """Disjoint sets over 0..n-1 with array operations; a root is the least member."""
 
@@ -181,20 +204,20 @@ class Groups:
             self.parent[np.maximum(ra, rb)] = np.minimum(ra, rb)
 
 
-def search(x: np.ndarray, home: np.ndarray, bits: int, level: int = 0) -> np.ndarray:
-    """Roots of the local groups of ``x``: members are linked among each other and with visitors."""
-    groups = Groups(len(x))
+def search(x: np.ndarray, bits: int, groups: Groups, rows: np.ndarray) -> None:
+    """Links all of ``rows`` that are within ``bits`` of each other in ``groups``."""
 
     def compare(mem: np.ndarray, vis: np.ndarray) -> None:
-        for at in range(0, len(mem) + len(vis), 512):
-            q = np.concatenate((mem, vis))[at : at + 512] if len(vis) else mem[at : at + 512]
+        every = np.concatenate((mem, vis))
+        for at in range(0, len(every), 512):
+            q = every[at : at + 512]
             for to in range(0, len(mem), 4096):
                 m = mem[to : to + 4096]
                 i, j = np.nonzero(np.bitwise_count(x[q][:, None] ^ x[m][None, :]) <= bits)
                 groups.link(q[i], m[j])
 
-    members, visitors = np.nonzero(home)[0], np.nonzero(~home)[0]
-    stack = [(members, visitors, np.full(len(visitors), bits, np.int16), np.full(len(members), bits, np.int16), level)]
+    none = np.zeros(0, np.int16)
+    stack = [(rows, rows[:0], none, np.full(len(rows), bits, np.int16), 0)]
     while stack:
         mem, vis, vis_budget, mem_budget, level = stack.pop()
         if not len(mem) or len(mem) + len(vis) < 2:
@@ -223,34 +246,39 @@ def search(x: np.ndarray, home: np.ndarray, bits: int, level: int = 0) -> np.nda
                 mem_budget[here],
                 level + 1,
             ))
+
+
+def shard_roots(x: np.ndarray, mask: np.uint64, bits: int) -> np.ndarray:
+    """Roots of the local groups of a shard of one block: links between fingerprints that agree in the block."""
+    groups = Groups(len(x))
+    for rows in cells(x, mask, LEAF_SIZE):
+        search(x, bits, groups, rows)
     return groups.roots(np.arange(len(x)))
 
 
 def links(fps: DataFrame, bits: int = MAX_BITS, shard_size: int = SHARD_SIZE) -> DataFrame:
     """Edges (a, b) that connect all distinct fingerprints ``fp`` within ``bits`` of each other."""
-    n = fps.count()
+    n, masks = fps.count(), blocks(bits)
     depth = max(0, int(np.ceil(np.log2(max(n, 1) / shard_size))))
+    depth = min(depth, int(min(np.bitwise_count(masks))))
     size = min(SAMPLE_MAX, 64 << depth)
     sample = fps.orderBy(F.xxhash64("fp"), "fp").limit(size).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
-    tree = build(sample, depth)
-    inner = -(-depth // LEVELS) * LEVELS
+    trees = [build(sample, m, depth) for m in masks]
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for shard, rows, home in route(tree, x, bits):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(rows), shard, np.int32)), pa.array(x[rows].view(np.int64)), pa.array(home)],
-                    ["shard", "fp", "home"],
-                )
+            for i, (tree, mask) in enumerate(zip(trees, masks, strict=True)):
+                shard = (i << depth) + route(tree, x, mask)
+                yield pa.RecordBatch.from_arrays([pa.array(shard.astype(np.int32)), b.column(0)], ["shard", "fp"])
 
     def shard_links(pdf: pd.DataFrame) -> pd.DataFrame:
         x = pdf["fp"].to_numpy(np.int64).view(np.uint64)
-        root = search(x, pdf["home"].to_numpy(bool), bits, inner)
+        root = shard_roots(x, masks[int(pdf["shard"].iloc[0]) >> depth], bits)
         linked = np.nonzero(root != np.arange(len(x)))[0]
         return pd.DataFrame({"a": x[linked].view(np.int64), "b": x[root[linked]].view(np.int64)})
 
-    placed = fps.select("fp").mapInArrow(tidy(place), "shard int, fp long, home boolean")
+    placed = fps.select("fp").mapInArrow(tidy(place), "shard int, fp long")
     return placed.groupBy("shard").applyInPandas(shard_links, "a long, b long")
 
 

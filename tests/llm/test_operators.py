@@ -351,6 +351,40 @@ def test_shard_tree_finds_every_pair(spark):
     assert got == wanted
 
 
+def test_simhash_copies_do_not_grow_with_the_rows(spark):
+    """Every fingerprint goes to one shard per block, however many shards there are."""
+    rng = np.random.default_rng(8)
+    for n, shard_size in ((500, 16_384), (4_000, 64), (4_000, 8)):
+        x = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        depth = max(0, int(np.ceil(np.log2(len(x) / shard_size))))
+        masks = simhash.blocks(4)
+        assert sum(int(m) for m in masks) == 2**64 - 1 and len(masks) == 5
+        for m in masks:
+            shard = simhash.route(simhash.build(x[:1_000], m, depth), x, m)
+            assert shard.shape == x.shape and len(set(shard.tolist())) > min(2**depth, 2) // 2
+            same = {}  # shards depend on the block's bits alone
+            for v, s in zip((x & m).tolist(), shard.tolist(), strict=True):
+                assert same.setdefault(v, s) == s
+
+
+def test_simhash_finds_all_pairs_in_a_dense_shard():
+    """Thousands of fingerprints that agree in whole blocks, so that cells stay large and are parted by levels."""
+    rng = np.random.default_rng(9)
+    base = rng.integers(0, 2**63, 12, dtype=np.uint64)
+    flips = np.array([[1 << b for b in rng.integers(0, 64, 6)] for _ in range(3_000)], np.uint64)
+    x = np.unique(base[rng.integers(12, size=3_000)] ^ np.bitwise_xor.reduce(flips, 1))
+    want = simhash.Groups(len(x))
+    for i in range(len(x)):
+        j = np.flatnonzero(np.bitwise_count(x[i] ^ x) <= 4)
+        want.link(np.full(len(j), i), j)
+    got = simhash.Groups(len(x))
+    for m in simhash.blocks(4):
+        root = simhash.shard_roots(x, m, 4)
+        got.link(np.arange(len(x)), root)
+    every = np.arange(len(x))
+    assert (got.roots(every) == want.roots(every)).all()
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(100)] + [(1000, i) for i in range(1001, 1400)] + [(7, 7)]
     got = {r.node: r.root for r in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()}
