@@ -1,10 +1,11 @@
-"""Lineage: rows per edge (L7), count reconciliation (L8), two-hop paths (L9), DQ report."""
+"""Lineage: rows per edge (L7), count reconciliation (L8), two-hop paths and the closure (L9), DQ report."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
 from . import audit
 
 # Reconciliation states.
@@ -43,3 +44,49 @@ def dq_report(quality_rows: DataFrame, as_of, days: int = 7, top: int = 20) -> D
     return s.orderBy(
         F.col("avg_failure_percentage").desc(), F.col("source_name"), F.col("table_name"), F.col("rule_name")
     ).limit(top)
+
+
+def closure(edges: DataFrame, upstream: str = "source_table", downstream: str = "target_table") -> DataFrame:
+    """L9 to any depth: every (upstream, downstream) that is joined by edges, with the least number of hops and
+    whether both lie on a common cycle.
+
+    Paths are doubled until no pair and no hop count changes, so a chain of n edges takes about log2(n) rounds.
+    Each round is written to the shared work folder, which cuts lineage and lets the next one be replanned from
+    its real size. Parallel edges and loads of one edge are one edge; edges with a null end are left out, and a
+    table that feeds itself is downstream of itself. Rows are as many as the result's at most.
+    """
+    spark = edges.sparkSession
+    ends = edges.select(F.col(upstream).alias("upstream"), F.col(downstream).alias("downstream"))
+    paths = ends.where("upstream IS NOT NULL AND downstream IS NOT NULL").distinct().withColumn("hops", F.lit(1).cast("long"))
+
+    def kept(df: DataFrame) -> tuple[DataFrame, tuple]:
+        path = scratch_path(spark, "closure")
+        df.write.parquet(path)
+        out = spark.read.schema("upstream string, downstream string, hops long").parquet(path)
+        return out, tuple(out.agg(F.count(F.lit(1)), F.coalesce(F.sum("hops"), F.lit(0))).first())
+
+    paths, seen = kept(paths)
+    while seen[0]:
+        a, b = paths.alias("a"), paths.alias("b")
+        longer = a.join(b, F.col("a.downstream") == F.col("b.upstream")).select(
+            "a.upstream", "b.downstream", (F.col("a.hops") + F.col("b.hops")).alias("hops")
+        )
+        every = paths.unionByName(longer).groupBy("upstream", "downstream").agg(F.min("hops").alias("hops"))
+        paths, now = kept(every)
+        if now == seen:
+            break
+        seen = now
+    back = paths.select(F.col("upstream").alias("downstream"), F.col("downstream").alias("upstream"), F.lit(True).alias("back"))
+    return paths.join(back, ["upstream", "downstream"], "left").select(
+        "upstream", "downstream", "hops", F.coalesce("back", F.lit(False)).alias("in_cycle")
+    )
+
+
+def upstream_of(paths: DataFrame, table: str) -> DataFrame:
+    """All tables that ``table`` derives from, by a closure."""
+    return paths.where(F.col("downstream") == table).select(F.col("upstream").alias("table_name"), "hops", "in_cycle")
+
+
+def downstream_of(paths: DataFrame, table: str) -> DataFrame:
+    """All tables derived from ``table``, by a closure."""
+    return paths.where(F.col("upstream") == table).select(F.col("downstream").alias("table_name"), "hops", "in_cycle")

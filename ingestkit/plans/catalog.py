@@ -396,7 +396,7 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events")
     land, out, ckpt = (scratch_path(spark, n) for n in ("landing_dup", "dedup_events", "ckpt_dup"))
     drop = F.coalesce(F.pmod(F.col("event_id"), F.lit(4)), F.lit(0))
-    sink = T.dedup_sink(out, "ts", ["event_id"], "10 minutes")
+    sink = T.dedup_sink(out, "ts", ["event_id"], "10 minutes", slice_days=7)
     for i in range(4):
         # a copy comes one drop after its row, the copies of the last drop before theirs
         copies = ev.where((F.col("event_type") == "click") & ((drop + 1) % 4 == i))
@@ -618,3 +618,16 @@ QUERIES.update(
         "dq_unique_across_loads": dq_unique_across_loads,
     }
 )
+
+
+def lineage_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of a lineage graph of chains and cycles, with the fewest hops."""
+    return lineage.closure(D.order_lineage(spark, sf_dir))
+
+
+def json_path_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested paths of events that come, go or change their type from one day with JSON to the next."""
+    return drift.json_path_drift(D.nested_events(spark, sf_dir), "props", "ts", "day")
+
+
+QUERIES.update({"lineage_closure": lineage_closure, "json_path_drift": json_path_drift})

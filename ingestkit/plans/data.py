@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..spec import ResolvedTable, SourceSpec, TableSpec
@@ -163,3 +163,33 @@ def drifting_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read(spark, sf_dir, "events")
     grown = F.replace(F.col("props"), F.lit("}"), F.concat(F.lit(', "v2": '), F.col("user_id").cast("string"), F.lit("}")))
     return ev.withColumn("props", F.when(F.col("ts") >= F.lit(DRIFT_FROM).cast("timestamp_ntz"), grown).otherwise(F.col("props")))
+
+
+def order_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lineage graph of the size of orders: every order is built from the one before it of its customer, by
+    order key; for customers in a hundred the first is built from the last again, a cycle."""
+    o = read(spark, sf_dir, "orders").where("o_custkey IS NOT NULL AND o_orderkey IS NOT NULL").select("o_custkey", "o_orderkey").distinct()
+    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
+    chain = o.withColumn("before", F.lag("o_orderkey").over(w))
+    ends = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("o_orderkey"), F.max("o_orderkey").alias("before"))
+    edges = chain.where("before IS NOT NULL").unionByName(ends.where("o_custkey % 100 = 0"))
+    name = lambda c: F.concat(F.lit("orders_"), F.col(c).cast("string"))
+    return edges.select(name("before").alias("source_table"), name("o_orderkey").alias("target_table"))
+
+
+def nested_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """events whose props nest and drift by event time: a path comes, one goes, one changes its type, and an
+    array's elements get a field; by the hour some rows are no JSON."""
+    ev = read(spark, sf_dir, "events")
+
+    def since(day):
+        return F.col("ts") >= F.lit(day).cast("timestamp_ntz")
+
+    text = F.col("user_id").cast("string")
+    parts = F.concat(
+        F.lit('{"user": {"id": '), F.when(since("2024-01-10"), F.concat(F.lit('"u'), text, F.lit('"'))).otherwise(text),
+        F.when(since("2024-01-15"), F.lit(', "geo": {"zip": "z"}')).otherwise(F.lit("")),
+        F.lit('}, "items": [{"n": 1'), F.when(since("2024-01-20"), F.lit(', "ok": true')).otherwise(F.lit("")), F.lit("}]"),
+        F.when(since("2024-01-25"), F.lit("")).otherwise(F.lit(', "old": 1.5')), F.lit("}"),
+    )
+    return ev.withColumn("props", F.when(F.col("event_id") % 7 == 0, F.lit("no json")).otherwise(parts))

@@ -334,4 +334,31 @@ r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER B
   l_returnflag NULLS FIRST, l_linestatus NULLS FIRST, l_shipdate NULLS FIRST) AS n FROM l)
 SELECT * EXCLUDE (part, n), 'b' || CAST(part AS VARCHAR) AS batch_id,
   CASE WHEN n > 1 THEN 'unique_primary_key__l_orderkey_l_linenumber' END AS failed_rules FROM r"""
+    q["lineage_closure"] = """
+WITH RECURSIVE o AS (SELECT DISTINCT o_custkey, o_orderkey FROM orders WHERE o_custkey IS NOT NULL AND o_orderkey IS NOT NULL),
+e AS (SELECT lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS a, o_orderkey AS b FROM o
+  UNION SELECT max(o_orderkey), min(o_orderkey) FROM o WHERE o_custkey % 100 = 0 GROUP BY o_custkey),
+p AS (SELECT a, b FROM e WHERE a IS NOT NULL UNION SELECT p.a, e.b FROM p JOIN e ON p.b = e.a),
+n AS (SELECT *, count(*) OVER (PARTITION BY o_custkey) AS n,
+  row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS i FROM o)
+SELECT 'orders_' || CAST(p.a AS VARCHAR) AS upstream, 'orders_' || CAST(p.b AS VARCHAR) AS downstream,
+  CAST(CASE WHEN y.i > x.i THEN y.i - x.i ELSE y.i - x.i + x.n END AS BIGINT) AS hops,
+  EXISTS (SELECT 1 FROM p r WHERE r.a = p.b AND r.b = p.a) AS in_cycle
+FROM p JOIN n x ON x.o_orderkey = p.a JOIN n y ON y.o_orderkey = p.b"""
+    q["json_path_drift"] = """
+WITH e AS (SELECT date_trunc('day', ts) AS period, ts FROM events WHERE event_id % 7 <> 0 AND user_id IS NOT NULL AND ts IS NOT NULL),
+d AS (SELECT CAST(period AS TIMESTAMP) AS period, unnest([
+  {'path': '$.user.id', 'type': CASE WHEN ts >= TIMESTAMP '2024-01-10' THEN 'STRING' ELSE 'BIGINT' END},
+  {'path': CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN '$.user.geo' END, 'type': 'OBJECT'},
+  {'path': CASE WHEN ts >= TIMESTAMP '2024-01-15' THEN '$.user.geo.zip' END, 'type': 'STRING'},
+  {'path': CASE WHEN ts >= TIMESTAMP '2024-01-20' THEN '$.items[].ok' END, 'type': 'BOOLEAN'},
+  {'path': CASE WHEN ts < TIMESTAMP '2024-01-25' THEN '$.old' END, 'type': 'DECIMAL'}]) AS s FROM e),
+t AS (SELECT period, s.path AS path, CASE WHEN count(DISTINCT s.type) > 1 THEN 'VARIANT' ELSE min(s.type) END AS type
+  FROM d WHERE s.path IS NOT NULL GROUP BY ALL),
+n AS (SELECT period, lag(period) OVER (ORDER BY period) AS previous_period FROM (SELECT DISTINCT CAST(period AS TIMESTAMP) AS period FROM e)),
+x AS (SELECT n.*, q.path, a.type AS previous_type, b.type AS new_type FROM n CROSS JOIN (SELECT DISTINCT path FROM t) q
+  LEFT JOIN t a ON a.period = n.previous_period AND a.path = q.path LEFT JOIN t b ON b.period = n.period AND b.path = q.path
+  WHERE n.previous_period IS NOT NULL)
+SELECT period, previous_period, path, CASE WHEN previous_type IS NULL THEN 'ADDED' WHEN new_type IS NULL THEN 'DROPPED' ELSE 'RETYPED' END AS change,
+  previous_type, new_type FROM x WHERE previous_type IS DISTINCT FROM new_type"""
     return q
