@@ -13,12 +13,11 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, MapType, StringType, StructField, StructType, VariantType
 
 from ..operators import enrich, quality
-from ..operators.sequence import with_neighbors
 from ..session import path_exists
 from ..store import HistoryTable
 
@@ -102,61 +101,99 @@ def scd2_sink(table: HistoryTable, name: str = "scd2"):
     return sink
 
 
-def dedup_sink(path: str, event_time: str, keys, delay: str, name: str = "dedup"):
+def dedup_sink(path: str, event_time: str, keys, delay: str, name: str = "dedup", slice_days: int = 1):
     """Set aside rows whose key was seen within ``delay`` of them, in this micro-batch or an earlier
     one; a chain of such rows is one event, whose first row to arrive stays.
 
     A row's own age never matters: a late row is compared with the rows landed around its time, however
     old, so no row is dropped for being later than a watermark. One write holds all rows, partitioned by
-    (_batch_id, _is_repeat); a repeat carries its reason. NULL keys are one key, and a row without an
-    event time is never a repeat. Rows landed further than ``delay`` and a day outside the batch's span of
-    time are not read."""
+    (_slice, _batch_id, _is_repeat), a slice being ``slice_days`` days; a repeat carries its reason. Of the rows
+    landed before, a batch reads only the slices that its own rows, give or take ``delay``, fall on, and of those
+    only keys and times.
+
+    Batch and landed rows are laid out in one stream per key and slot of time (a slot is at least twice
+    ``delay`` long; a row within reach of the next or the last slot has a copy there), and each batch row
+    takes the nearest time before it in the batch, and before and after it among the landed rows. So no
+    row is paired with another, and a hot key is split by time. NULL keys are one key, and a row without
+    an event time is never a repeat."""
     keys = list(keys)
     span = F.expr(f"INTERVAL {delay}")
 
+    def micros(c):
+        return F.unix_micros(c.cast("timestamp"))
+
     def sink(batch: DataFrame, epoch_id: int) -> None:
         batch_id = f"{name}-{epoch_id}"
         spark, t = batch.sparkSession, F.col(event_time)
-        order = [event_time] + [c for c in batch.columns if c not in keys and c != event_time]
-        marked = with_neighbors(batch, keys, order, prev_cols=[event_time]).withColumn(
-            "_near", F.coalesce(t - F.col(f"_prev_{event_time}") <= span, F.lit(False))
-        ).select(*batch.columns, "_near")
-        known = F.lit(False)
+        columns = batch.columns
+        reach = micros(F.timestamp_micros(F.lit(0)) + span)
+        slot_of = lambda m: F.floor(m / (reach * 2 + 1)).cast("long")
+        slice_of = lambda c: F.floor(F.unix_date(F.to_date(c)) / slice_days).cast("int")
+
+        def own(at, mine, landed):
+            """Rows of the stream: a batch row in its slot, else only its time, in the slots it reaches."""
+            return [at.alias("_at"), mine.alias("_mine"), landed.alias("_landed")]
+
+        timed = batch.where(t.isNotNull()).withColumn("_at", micros(t))
+        row = F.struct(*columns)
+        none = F.lit(None).cast(batch.select(row).schema[0].dataType)
+        at = F.col("_at")
+        here = timed.select(*keys, slot_of(at).alias("_slot"), *own(at, F.lit(True), F.lit(False)), row.alias("_row"))
+        ahead = timed.where(slot_of(at) != slot_of(at + reach)).select(
+            *keys, slot_of(at + reach).alias("_slot"), *own(at, F.lit(True), F.lit(False)), none.alias("_row")
+        )
+        stream = here.unionByName(ahead)
         if path_exists(spark, path):
-            kind = batch.schema[event_time].dataType
-            # as text, and a day wider: the bounds only prune, whatever the time zones
-            lo, hi = (
-                F.lit(v).cast(kind) for v in batch.agg(F.min(t).cast("string"), F.max(t).cast("string")).first()
-            )
-            wide = span + F.expr("INTERVAL 1 DAY")
-            schema = StructType(batch.schema.fields + [StructField("_batch_id", StringType())])
-            landed = spark.read.schema(schema).parquet(path).where(
-                (F.col("_batch_id") != F.lit(batch_id)) & t.between(lo - wide, hi + wide)
-            ).select(*[F.col(k).alias(f"_k_{k}") for k in keys], t.alias("_at"))
-            match = t.between(F.col("_at") - span, F.col("_at") + span)
-            for k in keys:
-                match = match & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-            old = marked.join(landed, match, "left_semi").withColumn("_known", F.lit(True))
-            marked = old.unionByName(marked.join(landed, match, "left_anti").withColumn("_known", F.lit(False)))
-            known = F.col("_known")
+            # one number per slice of the batch's span reaches the driver
+            near = F.explode(F.sequence(slice_of(t - span), slice_of(t + span)))
+            slices = [r[0] for r in timed.select(near.alias("s")).distinct().collect()]
+            schema = StructType([*batch.schema.fields, StructField("_slice", IntegerType()), StructField("_batch_id", StringType())])
+            landed = spark.read.schema(schema).parquet(path)
+            landed = landed.where(F.col("_slice").isin(slices) & (F.col("_batch_id") != F.lit(batch_id)))
+            landed = landed.select(*keys, micros(t).alias("_at"))
+            slots = F.explode(F.sequence(slot_of(at - reach), slot_of(at + reach)))
+            stream = stream.unionByName(landed.select(*keys, slots.alias("_slot"), *own(at, F.lit(False), F.lit(True)), none.alias("_row")))
+        # landed rows come before batch rows of the same time; equal batch rows are interchangeable
+        order = [at, F.col("_mine"), F.col("_row").isNotNull(), *[F.col(f"_row.{c}") for c in columns if _orderable(batch, c)]]
+        w = Window.partitionBy(*keys, "_slot").orderBy(*order)
+        before, after = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
+
+        def nearest(flag, frame, pick):
+            return pick(F.when(F.col(flag), at), ignorenulls=True).over(frame)
+
+        seen = stream.withColumns(
+            {
+                "_batch_before": nearest("_mine", before, F.last),
+                "_landed_before": nearest("_landed", before, F.last),
+                "_landed_after": nearest("_landed", after, F.first),
+            }
+        ).where(F.col("_row").isNotNull())
+        known = (at - F.col("_landed_before") <= reach) | (F.col("_landed_after") - at <= reach)
         reason = F.when(known, F.lit(f"key landed before within {delay}")).when(
-            F.col("_near"), F.lit(f"key repeated in the batch within {delay}")
+            at - F.col("_batch_before") <= reach, F.lit(f"key repeated in the batch within {delay}")
+        )
+        marked = seen.select("_row.*", reason.alias(REASON)).unionByName(
+            batch.where(t.isNull()).withColumn(REASON, F.lit(None).cast("string"))
         )
         (
-            marked.select(*batch.columns, reason.alias(REASON))
-            .withColumns({"_batch_id": F.lit(batch_id), "_is_repeat": F.col(REASON).isNotNull()})
+            marked.withColumns({"_slice": slice_of(t), "_batch_id": F.lit(batch_id), "_is_repeat": F.col(REASON).isNotNull()})
+            .hint("rebalance", "_slice")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("_batch_id", "_is_repeat")
+            .partitionBy("_slice", "_batch_id", "_is_repeat")
             .parquet(path)
         )
 
     return sink
 
 
+def _orderable(df: DataFrame, column: str) -> bool:
+    return not isinstance(df.schema[column].dataType, (MapType, VariantType))
+
+
 def read_deduped(spark, path: str, repeats: bool = False) -> DataFrame:
     """Rows kept (or the repeats with their reason) of a table written by ``dedup_sink``."""
-    df = spark.read.parquet(path).where(F.col("_is_repeat") == F.lit(repeats)).drop("_is_repeat")
+    df = spark.read.parquet(path).where(F.col("_is_repeat") == F.lit(repeats)).drop("_is_repeat", "_slice")
     return df if repeats else df.drop(REASON)
 
 

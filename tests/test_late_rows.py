@@ -47,3 +47,45 @@ def test_dedup_keeps_late_rows_and_records_repeats(spark, scratch):
     assert kept == sorted([("1", "a"), ("1", "far"), ("2", "b"), ("3", "late"), ("4", "later"), ("5", "no time"), ("None", "n")])
     repeats = T.read_deduped(spark, out, repeats=True).collect()
     assert sorted(r.event_id for r in repeats) == [1, 2, 3] and all(r._repeat_reason for r in repeats)
+
+
+def test_dedup_splits_a_hot_key_by_time_and_reads_near_days_only(spark, scratch):
+    """One key in every row: neighbours are found across slots, in the batch and in landed rows."""
+    import random
+
+    rnd = random.Random(4)
+    out, minutes = scratch("hot"), 10
+    schema = "event_id bigint, ts timestamp_ntz, v int"
+    batches = [[(1, T0 + timedelta(minutes=rnd.randint(0, 3_000)), i) for i in range(60)] for _ in range(3)]
+    sink = T.dedup_sink(out, "ts", ["event_id"], f"{minutes} minutes")
+    landed, want = [], []
+    for i, rows in enumerate(batches):
+        sink(spark.createDataFrame(rows, schema), i)
+        before = None
+        for r in sorted(rows, key=lambda r: (r[1], r[2])):
+            near = any(abs(r[1] - x) <= timedelta(minutes=minutes) for x in landed)
+            again = before is not None and r[1] - before <= timedelta(minutes=minutes)
+            want.append((r[1], r[2], near or again))
+            before = r[1]
+        landed += [r[1] for r in rows]
+    kept = {(r.ts, r.v, False) for r in T.read_deduped(spark, out).collect()}
+    repeats = {(r.ts, r.v, True) for r in T.read_deduped(spark, out, repeats=True).collect()}
+    assert kept | repeats == set(want) and kept and repeats
+
+
+def test_dedup_does_not_touch_days_far_from_a_batch(spark, scratch):
+    """Files of other days may even be unreadable: a batch reads the days around its own rows."""
+    import glob
+    import os
+
+    out = scratch("days")
+    schema = "event_id bigint, ts timestamp_ntz"
+    sink = T.dedup_sink(out, "ts", ["event_id"], "10 minutes")
+    sink(spark.createDataFrame([(1, t(0)), (1, t(20))], schema), 0)
+    for f in glob.glob(f"{out}/_slice=19723/**/*.parquet", recursive=True):
+        with open(f, "wb") as broken:
+            broken.write(b"not parquet")
+        os.path.exists(crc := os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc")) and os.unlink(crc)
+    sink(spark.createDataFrame([(1, t(20) + timedelta(minutes=5)), (2, t(20))], schema), 1)
+    near = spark.read.parquet(f"{out}/_slice=19743")
+    assert sorted((r.event_id, r._is_repeat) for r in near.collect()) == [(1, "false"), (1, "true"), (2, "false")]
