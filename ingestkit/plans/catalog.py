@@ -631,3 +631,51 @@ def json_path_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({"lineage_closure": lineage_closure, "json_path_drift": json_path_drift})
+
+
+# --- gold kept up by changes ------------------------------------------------------
+
+from ..store import KeyedTable  # noqa: E402
+
+
+def _order_batches(orders: DataFrame) -> list[DataFrame]:
+    """Orders inserted, then changed (amount, customer and date of every third) with new ones, then deleted."""
+    part = F.coalesce(F.pmod(F.col("order_id"), F.lit(3)), F.lit(0))
+    changed = orders.where(part == 1).withColumns(
+        {"order_amount": F.col("order_amount") * 2, "customer_id": F.col("customer_id") + 1, "order_date": F.col("order_date") - F.expr("INTERVAL 400 DAYS")}
+    )
+    gone = orders.where((part == 2) & (F.col("order_id") % 2 == 0)).withColumn("deleted", F.lit(True))
+    return [orders.where(part != 2), changed.unionByName(orders.where(part == 2)), gone]
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 / A1: the order summary per customer, kept up over inserts, updates and deletes of silver orders."""
+    orders = read(spark, sf_dir, "orders").where("o_orderkey IS NOT NULL").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").alias("order_amount"),
+        F.col("o_orderdate").alias("order_date"), F.lit(False).alias("deleted"),
+    )
+    root = scratch_path(spark, "lake")
+    silver = KeyedTable(spark, f"{root}/silver_orders", ["order_id"], feed=True)
+    summary = gold.MaintainedSummary(spark, f"{root}/gold_orders", "customer_id", "order_amount", "order_date")
+    spec = TableSpec("orders", primary_key="order_id", scd_type="UPSERT", sequence_by=("deleted",))
+    for i, batch in enumerate(_order_batches(orders)):
+        rows = silver.apply(batch, f"b{i}", lambda target, b, i=i: scd.apply_scd(target, b, spec, f"b{i}"))
+        summary.apply(silver.changes(f"b{i}").where("NOT deleted"), rows.where("NOT deleted"), f"b{i}")
+    return summary.read()
+
+
+def gold_distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: customers per month from stored daily sketches, held against the exact count by the stated error."""
+    orders = read(spark, sf_dir, "orders")
+    path = scratch_path(spark, "sketches")
+    gold.distinct_sketches(orders, "o_custkey", "o_orderdate").write.parquet(path)
+    merged = gold.distinct_over(spark.read.parquet(path), "month")
+    month = F.date_trunc("month", F.col("o_orderdate")).cast("timestamp_ntz").alias("period")
+    exact = orders.groupBy(month).agg(F.count_distinct("o_custkey").alias("unique_customers"))
+    off = F.abs(F.col("estimate") - F.col("unique_customers"))
+    return exact.join(merged, exact["period"].eqNullSafe(merged["period"])).select(
+        exact["period"], "unique_customers", (off <= F.ceil(F.col("unique_customers") * (3 * gold.SKETCH_ERROR))).alias("within_error")
+    )
+
+
+QUERIES.update({"gold_incremental": gold_incremental, "gold_distinct_sketches": gold_distinct_sketches})

@@ -361,4 +361,15 @@ x AS (SELECT n.*, q.path, a.type AS previous_type, b.type AS new_type FROM n CRO
   WHERE n.previous_period IS NOT NULL)
 SELECT period, previous_period, path, CASE WHEN previous_type IS NULL THEN 'ADDED' WHEN new_type IS NULL THEN 'DROPPED' ELSE 'RETYPED' END AS change,
   previous_type, new_type FROM x WHERE previous_type IS DISTINCT FROM new_type"""
+    q["gold_incremental"] = f"""
+WITH o AS (SELECT o_orderkey, o_totalprice, o_custkey, o_orderdate, {part} AS part FROM orders WHERE o_orderkey IS NOT NULL),
+f AS (SELECT CASE WHEN part = 1 THEN o_custkey + 1 ELSE o_custkey END AS customer_id,
+  CASE WHEN part = 1 THEN o_totalprice * 2 ELSE o_totalprice END AS amount,
+  CASE WHEN part = 1 THEN o_orderdate - INTERVAL 400 DAYS ELSE o_orderdate END AS t FROM o WHERE NOT (part = 2 AND o_orderkey % 2 = 0))
+SELECT customer_id, count(*) AS total_orders, CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) AS total_order_amount,
+  CAST(sum(CAST(amount AS DECIMAL(28,6))) AS DOUBLE) / count(amount) AS avg_order_amount, max(t) AS last_order_date
+FROM f GROUP BY customer_id"""
+    q["gold_distinct_sketches"] = """
+SELECT CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS period, count(DISTINCT o_custkey) AS unique_customers, true AS within_error
+FROM orders GROUP BY 1"""
     return q

@@ -123,7 +123,13 @@ class _Bucketed:
 
 class KeyedTable(_Bucketed):
     """K3 for SCD1, UPSERT and SCD3: one row per key. ``apply`` gives ``change(target, batch)`` the stored
-    rows of the batch's buckets and writes these buckets again."""
+    rows of the batch's buckets and writes these buckets again. With ``feed`` it also keeps, by batch, the rows
+    that changed: their images before (``_op`` -1) and after (``_op`` 1); they are written before the buckets,
+    so a retry of a batch whose buckets are half written finds them and leaves them as they are."""
+
+    def __init__(self, spark: SparkSession, root: str, keys: Sequence[str], buckets: int = BUCKETS, feed: bool = False):
+        super().__init__(spark, root, keys, buckets)
+        self.feed = f"{self.root}__changes" if feed else None
 
     def read(self) -> DataFrame | None:
         df = read_table(self.spark, self.root, [(BUCKET, "int")])
@@ -147,9 +153,34 @@ class KeyedTable(_Bucketed):
             mine = target.where(F.col("_scd_batch_id") == batch_id).select(*self.keys, F.col("_scd_action").alias("_done"))
             out = scd._join_keys(out, mine, self.keys, "left").withColumn("_scd_action", F.coalesce("_done", "_scd_action")).drop("_done")
         Layout(self.spark, self.root).grown(out.schema, batch_id, buckets)
+        if self.feed and not path_exists(self.spark, f"{self.feed}/_batch_id={batch_id}"):
+            images = _images(out.limit(0) if target is None else target, out, self.keys).withColumn("_batch_id", F.lit(batch_id))
+            Layout(self.spark, self.feed).grown(images.schema, batch_id)
+            _put(images, self.feed, "_batch_id")
         self._store(out.withColumn(BUCKET, bucket_of(self.keys, buckets)), self.root)
         return self.read()
 
+    def changes(self, batch_id: str) -> DataFrame:
+        """Images of the rows that a batch changed: only its own folder is read."""
+        return read_table(self.spark, self.feed).where(F.col("_batch_id") == batch_id).drop("_batch_id")
+
+
+def _images(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``before`` that are not in ``after`` as they were (``_op`` -1), and the other way round (1)."""
+    columns = after.columns
+    value = F.struct(*[c for c in columns if not c.startswith("_scd_")])
+
+    def packed(df: DataFrame, name: str) -> DataFrame:
+        return df.select(*[F.col(k) for k in keys], F.struct(*columns).alias(name), F.xxhash64(value).alias(f"{name}_hash"))
+
+    old, new = packed(before.select(*columns), "_old"), packed(after, "_new")
+    both = old.join(new, [old[k].eqNullSafe(new[k]) for k in keys], "full_outer")
+    # equal hashes are checked on the values, so no change is missed
+    same = F.coalesce((F.col("_old_hash") == F.col("_new_hash")) & F.to_json("_old").eqNullSafe(F.to_json("_new")), F.lit(False))
+    images = F.array(F.struct(F.lit(-1).alias("_op"), F.col("_old").alias("_row")), F.struct(F.lit(1).alias("_op"), F.col("_new").alias("_row")))
+    rows = both.where(~same).select(F.inline(F.filter(images, lambda i: i["_row"].isNotNull())))
+    return rows.select("_row.*", "_op")
+
 
 class HistoryTable(_Bucketed):
     """K3 for SCD2. ``root``/log holds all rows ever loaded, by bucket and batch; ``root``/versions the

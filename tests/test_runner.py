@@ -203,3 +203,49 @@ def test_key_filters_let_no_known_key_by_and_few_others(spark, scratch):
     assert known.hits(spark.range(100_000, 120_000).withColumnRenamed("id", "k")).count() < 600
     plan = known.hits(spark.range(9).withColumnRenamed("id", "k"))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hash" not in plan  # the test comes before any shuffle
+
+
+def test_maintained_gold_equals_a_rebuild(spark, scratch):
+    """Inserts, updates that move a row to another group or retract its latest time, deletes, and retries."""
+    import random
+    from datetime import datetime, timedelta
+
+    from ingestkit.operators import gold, scd
+    from ingestkit.store import KeyedTable
+
+    rnd = random.Random(5)
+    schema = "order_id bigint, customer_id bigint, order_amount double, order_date timestamp_ntz, seq int, deleted boolean"
+    silver = KeyedTable(spark, scratch("silver"), ["order_id"], buckets=4, feed=True)
+    summary = gold.MaintainedSummary(spark, scratch("gold"), "customer_id", "order_amount", "order_date", buckets=4)
+    spec = TableSpec("o", primary_key="order_id", scd_type="UPSERT", sequence_by=("seq",))
+    live = {}
+    for i in range(4):
+        rows = {}
+        for _ in range(30):
+            k = rnd.randint(0, 60)
+            amount = rnd.choice([None, round(rnd.random() * 100, 2)])
+            at = rnd.choice([None, datetime(2024, 1, 1) + timedelta(days=rnd.randint(0, 5))])
+            rows[k] = (k, rnd.choice([None, 1, 2, 3]), amount, at, i, rnd.random() < 0.2)
+        live |= rows
+        batch = spark.createDataFrame(list(rows.values()), schema)
+        for _ in range(2 if i == 2 else 1):  # one batch is retried whole
+            after = silver.apply(batch, f"b{i}", lambda t, b, i=i: scd.apply_scd(t, b, spec, f"b{i}"))
+            summary.apply(silver.changes(f"b{i}").where("NOT deleted"), after.where("NOT deleted"), f"b{i}")
+        whole = spark.createDataFrame([r for r in live.values() if not r[5]], schema)
+        want = whole.groupBy("customer_id").agg(
+            F.count(F.lit(1)).alias("n"), F.sum(F.col("order_amount").cast("decimal(28,6)")).cast("double"), F.max("order_date")
+        )
+        got = summary.read().select("customer_id", "total_orders", "total_order_amount", "last_order_date")
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
+
+
+def test_distinct_sketches_merge_within_their_error(spark):
+    from ingestkit.operators import gold
+
+    rows = spark.range(60_000).selectExpr("id % 20011 AS c", "TIMESTAMP_NTZ'2024-01-01' + make_interval(0, 0, 0, cast(id % 60 as int)) AS t")
+    days = gold.distinct_sketches(rows, "c", "t")
+    assert days.count() == 60
+    for r in gold.distinct_over(days, "month").collect():
+        exact = rows.where(F.date_trunc("month", "t") == F.lit(r.period)).select("c").distinct().count()
+        assert abs(r.estimate - exact) <= 3 * gold.SKETCH_ERROR * exact
+    assert gold.distinct_over(gold.distinct_sketches(rows.limit(0), "c", "t"), "month").count() == 0
