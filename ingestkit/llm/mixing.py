@@ -3,18 +3,21 @@
 Documents may belong to several sources. They are aggregated by membership pattern (the sorted set of
 their sources); each pattern offers its words once at no cost and again at one unit per repetition, and
 sources demand their targets. A min-cost flow from patterns to sources meets the targets with the least
-repetition; it runs on the driver over the aggregated patterns only, at most ``MAX_PATTERNS`` (more is
-an error, never a cut).
+repetition. A source that no shared pattern reaches is met by its own pattern alone, which takes no search;
+the flow over the rest runs on the driver, over at most ``MAX_PATTERNS`` shared patterns (more is an error,
+never a cut).
 
 A pattern that has to give ``f`` of its ``c`` words gives every document ``f // c`` times, and once more
 the documents first in a seeded order, until the rest ``f % c`` is met as closely as whole documents
 allow. The order is an md5 digest of the seed, id and text. The cut-off digest of a pattern is found
-from the totals of 4,096 digest ranges and a running sum inside the one range that holds it, so no
-pattern is gathered in one place; taking documents is then a comparison within the row.
+from the totals of 4,096 digest ranges and, inside the one range that holds it, a running sum over distinct
+digests. Rows that repeat id and text share a digest; where the cut falls among them, as many of them are
+taken as the rest asks for, counted by the blocks of their row numbers. So no pattern and no group of copies
+is gathered in one place; taking any other document is a comparison within the row.
 
 Defined results: null texts have no words and are never taken; a null source is a source of its own,
-the last in order; an empty table gives no rows; rows that repeat id and text share a digest and are
-taken together. Reruns agree, as nothing depends on the order of rows.
+the last in order; an empty table gives no rows; rows that repeat id and text are interchangeable. Reruns
+agree up to such rows, as nothing else depends on the order of rows.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ingestkit.llm.common import fresh, words, written
+from ingestkit.llm.common import fresh, with_row_id, words, written
 
 WEIGHTS = (3, 1, 2)
 SHARE = Fraction(3, 2)
@@ -58,7 +61,7 @@ def targets(sizes: Mapping[Source, int], weights: Sequence[int] = WEIGHTS, share
             return out | {s: Fraction(weight[s], total) * left for s in open_}
         out |= {s: Fraction(most * sizes[s]) for s in full}
         left -= sum(most * sizes[s] for s in full)
-        open_ = [s for s in open_ if s not in full]
+        open_ = [s for s in open_ if s not in out]
     return out
 
 
@@ -106,16 +109,18 @@ def route(capacity: Mapping[tuple[Source, ...], int], target: Mapping[Source, Fr
           most: int = MAX_REPEAT) -> dict[tuple[Source, ...], int]:
     """Words each pattern gives: whole-word targets met with the least repetition."""
     g = Flow()
-    for p, words_ in capacity.items():
+    shared = {s for p in capacity if len(p) > 1 for s in p}
+    alone = {p for p in capacity if not shared.intersection(p)}
+    given = dict.fromkeys(capacity, 0) | {p: min(int(target[p[0]]), most * capacity[p]) for p in alone if p}
+    for p in capacity.keys() - alone:
         for again in range(most):
-            g.arc("from", ("pattern", p), words_, again)
+            g.arc("from", ("pattern", p), capacity[p], again)
         for s in p:
-            g.arc(("pattern", p), ("source", s), most * words_)
-    for s, t in target.items():
-        g.arc(("source", s), "to", int(t))
+            g.arc(("pattern", p), ("source", s), most * capacity[p])
+    for s in shared:
+        g.arc(("source", s), "to", int(target[s]))
     g.solve("from", "to")
-    given = dict.fromkeys(capacity, 0)
-    for p in capacity:
+    for p in capacity.keys() - alone:
         for e in g.out[("pattern", p)]:
             if e % 2 == 0:
                 given[p] += g.arcs[e ^ 1][1]
@@ -137,29 +142,52 @@ def measured(docs: DataFrame, id_col: str, text_col: str, members: Column, seed:
     ).withColumn("pattern", F.to_json("members"))
 
 
+def numbered(rows: DataFrame, groups: Sequence[str], row_id: str, out: str) -> DataFrame:
+    """``rows`` with their rank from 1 within a group by ``row_id``, from counts of the ids' blocks: only the
+    rows of one block, which come from one partition, meet in a task."""
+    block = fresh(rows, "block")
+    rows = rows.withColumn(block, F.shiftright(row_id, 33))
+    counts = rows.groupBy(*groups, block).agg(F.count(F.lit(1)).alias("k"))
+    earlier = W.partitionBy(*groups).orderBy(block).rowsBetween(W.unboundedPreceding, -1)
+    counts = counts.select(*groups, block, F.coalesce(F.sum("k").over(earlier), F.lit(0)).alias("k"))
+    inside = F.row_number().over(W.partitionBy(*groups, block).orderBy(row_id))
+    return rows.withColumn(out, inside).join(counts, [*groups, block]).withColumn(out, F.col(out) + F.col("k")).drop("k", block)
+
+
 @dataclass(frozen=True)
 class Mix:
-    """Per pattern: times every document is taken, and the last digest that is taken once more."""
+    """Per pattern: times every document is taken, the last digest that is taken once more whole, and a digest
+    of whose rows ``some`` are."""
 
-    plan: DataFrame  # pattern, times, last; at most MAX_PATTERNS rows
+    plan: DataFrame  # pattern, times, last, part, some; a row per pattern
     sizes: dict[Source, int]
     targets: dict[Source, Fraction]
 
     def times(self, rows: DataFrame) -> DataFrame:
-        """``rows`` with ``times``; the plan is bounded by MAX_PATTERNS rows."""
-        extra = F.when(F.col("digest") <= F.col("last"), F.lit(1)).otherwise(F.lit(0))
-        joined = rows.join(F.broadcast(self.plan.withColumnRenamed("times", "base")), "pattern")
-        times = F.when(F.col("size") > 0, F.col("base") + extra).otherwise(F.lit(0)).cast("long")
-        return joined.withColumn("times", times).drop("base", "last")
+        """``rows`` (pattern, digest, size and any more) with ``times``."""
+        plan = self.plan.withColumnRenamed("times", "base")
+        # a row per pattern, and patterns that share sources are at most MAX_PATTERNS
+        joined = rows.join(F.broadcast(plan), "pattern")
+        cut = F.coalesce(F.col("digest") == F.col("part"), F.lit(False))
+        more = F.when(F.col("digest") <= F.col("last"), F.lit(1)).otherwise(F.lit(0))
+        every = joined.where(~cut).withColumn("more", more).drop("part", "some", "last")
+        if not self.plan.where("part IS NOT NULL").isEmpty():  # no cut falls among equal rows, as a rule
+            rid, rank = fresh(rows, "row_id"), fresh(rows, "rank")
+            among = written(with_row_id(joined.where(cut).drop("last"), rid), "cut")
+            among = numbered(among, ["pattern", "digest"], rid, rank)
+            among = among.withColumn("more", F.when(F.col(rank) <= F.col("some"), F.lit(1)).otherwise(F.lit(0)))
+            every = every.unionByName(among.drop("part", "some", rid, rank))
+        times = F.when(F.col("size") > 0, F.col("base") + F.col("more")).otherwise(F.lit(0)).cast("long")
+        return every.withColumn("times", times).drop("base", "more")
 
 
 def plan_mix(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: Fraction = SHARE, most: int = MAX_REPEAT) -> Mix:
     """The flow over the patterns of ``rows`` (from ``measured``, written) and each pattern's cut-off."""
     spark = rows.sparkSession
     totals = rows.groupBy("pattern").agg(F.first("members").alias("members"), F.sum("size").alias("words"))
-    found = totals.limit(MAX_PATTERNS + 1).collect()
-    if len(found) > MAX_PATTERNS:
-        raise ValueError(f"more than {MAX_PATTERNS} membership patterns; group small sources first")
+    if totals.where(F.size("members") > 1).limit(MAX_PATTERNS + 1).count() > MAX_PATTERNS:
+        raise ValueError(f"more than {MAX_PATTERNS} membership patterns share sources; group small sources first")
+    found = totals.collect()  # a row per source, and the shared patterns
     capacity = {tuple(r["members"]): r["words"] for r in found}
     name = {tuple(r["members"]): r["pattern"] for r in found}
     sizes: dict[Source, int] = {}
@@ -180,13 +208,22 @@ def plan_mix(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: Fraction
         .select("pattern", "part", (F.col("upto") - F.col("n")).alias("before"), "rest")
     )
     edge = written(edge, "edge")
+    near = rows.where("size > 0").withColumn("part", part).join(F.broadcast(edge), ["pattern", "part"])
+    near = near.groupBy("pattern", "digest", "before", "rest", "size").agg(F.count(F.lit(1)).alias("k"))
     inside = W.partitionBy("pattern").orderBy("digest").rowsBetween(W.unboundedPreceding, -1)
-    near = rows.withColumn("part", part).join(F.broadcast(edge), ["pattern", "part"])
-    near = near.withColumn("sum", F.col("before") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    last = near.where("2 * sum + size <= 2 * rest").groupBy("pattern").agg(F.max("digest").alias("last"))
+    sofar = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("k")).over(inside), F.lit(0))
+    # of k equal rows those are taken whose middle is not beyond the rest
+    fit = F.call_function("div", F.col("rest") * 2 - sofar * 2 - F.col("size"), F.col("size") * 2) + 1
+    fit = F.when(sofar * 2 + F.col("size") <= F.col("rest") * 2, F.least(fit, F.col("k"))).otherwise(F.lit(0))
+    near = near.withColumn("fit", fit)
+    last = near.groupBy("pattern").agg(
+        F.max(F.when(F.col("fit") == F.col("k"), F.col("digest"))).alias("last"),
+        F.max(F.when((F.col("fit") > 0) & (F.col("fit") < F.col("k")), F.struct("digest", "fit"))).alias("cut"),
+    )
     # nothing taken inside the edge range: what lies before the range is
-    plan = needs.join(edge.select("pattern", "part"), "pattern", "left").join(last, "pattern", "left")
-    return Mix(written(plan.select("pattern", "times", F.coalesce("last", "part").alias("last")), "plan"), sizes, target)
+    plan = needs.join(edge.select("pattern", F.col("part").alias("range")), "pattern", "left").join(last, "pattern", "left")
+    plan = plan.select("pattern", "times", F.coalesce("last", "range").alias("last"), F.col("cut.digest").alias("part"), F.col("cut.fit").alias("some"))
+    return Mix(written(plan, "plan"), sizes, target)
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -197,7 +234,7 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     facts = [(s, n, float(mix.targets[s])) for s, n in mix.sizes.items()]
     facts = spark.createDataFrame(facts, "source string, source_size long, target double")
     taken = mix.times(rows).withColumn("source", F.col("members")[0])
-    # one row per source, each a pattern: bounded by MAX_PATTERNS
+    # one row per source
     return taken.join(F.broadcast(facts), taken["source"].eqNullSafe(facts["source"])).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")
     )
@@ -207,16 +244,14 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``docs`` that the mix takes, each as often as it is taken, columns unchanged."""
     members = F.array(F.col(source_col))
     mix = plan_mix(written(measured(docs, id_col, text_col, members), "sizes"))
-    row = fresh(docs, "row")
-    size = F.size(words(F.col(text_col))).cast("long")
     keyed = docs.select(
-        F.struct("*").alias(row),
-        size.alias("size"),
+        F.struct("*").alias("doc"),
+        F.size(words(F.col(text_col))).cast("long").alias("size"),
         F.to_json(F.array_sort(F.array_distinct(members))).alias("pattern"),
         _digest(F.col(id_col), F.col(text_col), SEED).alias("digest"),
     )
     copies = mix.times(keyed).where("times > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
-    return copies.select(f"{row}.*")
+    return copies.select("doc.*")
 
 
 ORACLE = f"""
@@ -233,7 +268,7 @@ t AS (SELECT source, n, CASE WHEN full_ THEN ({MAX_REPEAT} * n)::DOUBLE
     ELSE (w * first_left)::DOUBLE / (2 * first_w)::DOUBLE END AS target,
   CASE WHEN full_ THEN {MAX_REPEAT} * n ELSE (w * first_left) // (2 * first_w) END AS f
   FROM c, (SELECT twice_left AS first_left, w_left AS first_w FROM c WHERE NOT full_ ORDER BY n / w, source NULLS LAST LIMIT 1)),
-p AS (SELECT d.*, t.n, t.target, t.f, sum(d.size) OVER (PARTITION BY d.source ORDER BY digest) - d.size AS before
+p AS (SELECT d.*, t.n, t.target, t.f, sum(d.size) OVER (PARTITION BY d.source ORDER BY digest ROWS UNBOUNDED PRECEDING) - d.size AS before
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, n AS source_size, target,
   CAST(CASE WHEN size = 0 THEN 0 ELSE size * (f // n + CASE WHEN 2 * before + size <= 2 * (f % n) THEN 1 ELSE 0 END) END AS BIGINT) AS taken

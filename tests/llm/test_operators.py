@@ -146,6 +146,40 @@ def test_mixing_hard_rows(hard, empty):
     assert out.agg(F.sum(F.size(F.split(F.trim("text"), " +")))).first()[0] is not None
 
 
+def test_mixing_takes_part_of_equal_rows(spark):
+    """Copies of one id and text are split at the cut: the target is met to half a document."""
+    one = written(spark.createDataFrame([(7, "a b", "s")] * 100 + [(8, "c d e", "t")] * 7, "doc_id long, text string, source string"), "copies")
+    for docs in (one, one.repartition(5)):
+        rows = mixing.mixture(docs).collect()
+        taken, goal = defaultdict(int), {}
+        for r in rows:
+            taken[r.source_size] += r.taken
+            goal[r.source_size] = r.target
+            assert r.taken in (0, r.size, 2 * r.size)
+        assert goal[200] + goal[21] == 331.5 and all(abs(taken[n] - t) <= 1.5 for n, t in goal.items())
+        out = mixing.mixed_documents(docs).groupBy("doc_id").count().collect()
+        assert {r.doc_id: r["count"] for r in out} == {7: taken[200] // 2, 8: taken[21] // 3}
+    alone = spark.createDataFrame([(1, "a b", "s")] * 100, "doc_id long, text string, source string")
+    assert sum(r.taken for r in mixing.mixture(alone).collect()) == 300
+
+
+def test_mixing_more_sources_than_a_flow_takes(spark):
+    n = mixing.MAX_PATTERNS + 1
+    docs = spark.range(2 * n).selectExpr("id AS doc_id", f"'some words of text' AS text", f"concat('s', id % {n}) AS source")
+    rows = mixing.mixture(docs)
+    assert rows.count() == 2 * n
+    total, want = rows.agg(F.sum("taken"), F.sum(F.col("target") / 2)).first()  # two rows a source
+    assert abs(total - want) <= 2 * n and rows.where("taken > 2 * size").isEmpty()
+
+
+def test_block_numbers_are_ranks(spark):
+    df = written(spark.range(1_000).selectExpr("id % 3 AS g", "id").repartition(7), "numbered")
+    df = written(df.withColumn("row_id", F.monotonically_increasing_id()), "numbered-2")
+    got = mixing.numbered(df, ["g"], "row_id", "rank").collect()
+    for g in range(3):
+        assert [r["rank"] for r in sorted((r for r in got if r.g == g), key=lambda r: r.row_id)] == list(range(1, sum(r.g == g for r in got) + 1))
+
+
 # 3 chat formatting
 
 
