@@ -12,13 +12,14 @@ answers are reproducible.
 from __future__ import annotations
 
 import time
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exact import exact_mean
+from ..session import delete_folder, folders, path_exists
 from ..spec import PIPELINE_VERSION
 
 # Audit table schemas and run states.
@@ -99,6 +100,14 @@ TABLES = {
     "audit_schema_evolution": SCHEMA_CHANGE_SCHEMA,
     "audit_lineage": LINEAGE_SCHEMA,
 }
+#: Folder column of the tables, and the times that give a row its day (the first that is not null).
+DAY = "_day"
+TIMES = {
+    "audit_batch_runs": ("run_start_time", "run_end_time"),
+    "audit_data_quality": ("check_timestamp",),
+    "audit_schema_evolution": ("change_timestamp",),
+    "audit_lineage": ("operation_timestamp",),
+}
 RUN_KEY = ("batch_id", "source_name", "table_name")
 
 
@@ -143,20 +152,32 @@ class AuditLog:
         """K7: create the four tables when missing (empty parquet with the schema)."""
         for name, schema in TABLES.items():
             if not self._exists(name):
-                self.spark.createDataFrame([], schema).write.mode("append").parquet(self.path(name))
+                self.spark.createDataFrame([], schema).withColumn(DAY, F.lit(None).cast("date")).write.mode("append").partitionBy(DAY).parquet(self.path(name))
 
     def _exists(self, name: str) -> bool:
-        from ..session import path_exists
-
         return path_exists(self.spark, self.path(name))
 
     def table(self, name: str) -> DataFrame:
-        rows = self.spark.read.schema(TABLES[name]).parquet(self.path(name))
+        rows = self.spark.read.schema(TABLES[name]).parquet(self.path(name)).select(*TABLES[name].names)
         return latest_checks(rows) if name == "audit_data_quality" else rows
 
     def append(self, name: str, df: DataFrame) -> None:
-        """K8: append rows (a retry appends the same event again; readers take the latest)."""
-        df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name].fields]).write.mode("append").parquet(self.path(name))
+        """K8: append rows (a retry appends the same event again; readers take the latest), in a folder per day."""
+        rows = df.select(*[F.col(f.name).cast(f.dataType) for f in TABLES[name].fields])
+        day = F.to_date(F.coalesce(*[F.col(c) for c in TIMES[name]], F.localtimestamp()))
+        rows.withColumn(DAY, day).write.mode("append").partitionBy(DAY).parquet(self.path(name))
+
+    def drop_old(self, as_of, days: int = 90) -> dict[str, list[str]]:
+        """Deletes the days that lie wholly before the retention window from disk, whole folders without
+        reading a row, and returns them by table. A run's rows lie in the day of its start."""
+        first = (_ts(as_of) - timedelta(days=days)).date().isoformat()
+        gone = {}
+        for name in TABLES:
+            old = [d for d in folders(self.spark, self.path(name)) if d.startswith(f"{DAY}=") and d.split("=")[1] < first]
+            for d in old:
+                delete_folder(self.spark, f"{self.path(name)}/{d}")
+            gone[name] = [d.split("=")[1] for d in old]
+        return gone
 
     def _event(self, batch_id, source, table, status, start=None, end=None, read=None, written=None, message=None, watermark=None):
         """One state of a run. ``event_seq`` is the clock in microseconds, growing within a log, so a

@@ -92,3 +92,14 @@ def write_small(spark: SparkSession, path: str, text: str) -> None:
     stream.close()
     if not fs.rename(hidden, p):
         raise OSError(f"could not write {path}")
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder, sorted; none where there is no such folder."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)

@@ -75,3 +75,18 @@ def test_schema_and_lineage_rows(spark, scratch):
         A.LINEAGE_SCHEMA)
     log.log_lineage(edge)
     assert log.table("audit_lineage").first().target_record_count == 9
+
+
+def test_old_days_are_dropped_from_disk(spark, scratch):
+    log = A.AuditLog(spark, scratch("audit"))
+    log.ensure()
+    for day in ("2024-01-01", "2024-01-20", "2024-03-01"):
+        log.log_batch_start(f"b{day}", "s", "t", f"{day} 23:00:00")
+        log.log_batch_success(f"b{day}", "s", "t", read=1, written=1, at=f"{day} 23:59:59", start=f"{day} 23:00:00")
+        log.log_data_quality_check(f"b{day}", "s", "t", "r", "NOT_NULL", 1, 1, at=f"{day} 23:30:00")
+        log.log_load_lineage(f"b{day}", "s", [("t", "bronze_t", "FULL", 1, 1, "")], f"{day} 23:40:00")
+    gone = log.drop_old("2024-03-02 00:00:00", days=42)
+    assert gone == {"audit_batch_runs": ["2024-01-01"], "audit_data_quality": ["2024-01-01"], "audit_schema_evolution": [], "audit_lineage": ["2024-01-01"]}
+    for name in ("audit_batch_runs", "audit_data_quality", "audit_lineage"):
+        assert {r.batch_id for r in log.table(name).collect()} == {"b2024-01-20", "b2024-03-01"}
+    assert log.drop_old("2024-03-02 00:00:00", days=42)["audit_batch_runs"] == []

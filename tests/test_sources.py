@@ -100,3 +100,23 @@ def test_layer_views(spark):
     assert current_or_base(spark, "silver_test_customers").count() == log.select("k").distinct().count()
     log.createOrReplaceTempView("silver_test_orders")
     assert current_or_base(spark, "silver_test_orders").count() == log.count()
+
+
+def test_jdbc_parts_of_equal_size_give_every_row_once(spark):
+    """A skewed column with a hot value, nulls and rows above the last end."""
+    from ingestkit.sources import jdbc
+
+    rows = [(i, None if i % 50 == 0 else 7 if i % 3 == 0 else (i * i) % 1000) for i in range(1200)]
+    rows += [(None, 7), (-5, 7), (5000, 10_000_000)]
+    spark.createDataFrame(rows, "id bigint, c bigint").createOrReplaceTempView("split_source")
+    ends = [r.c for r in spark.sql(jdbc.depth_query("split_source", "c", 12)).collect()]
+    assert len(ends) == 12 and ends.count(7) >= 3
+    spark.createDataFrame([*rows, (6000, 99_000_000)], "id bigint, c bigint").createOrReplaceTempView("split_source")
+    for tie in ("id", None):
+        where = jdbc.depth_predicates("c", ends, tie)
+        parts = [spark.sql(f"SELECT * FROM split_source WHERE {w}").collect() for w in where]
+        assert sorted(map(repr, (r for p in parts for r in p))) == sorted(map(repr, spark.table("split_source").collect()))
+        if tie:
+            assert max(map(len, parts)) < len(rows) / 12 * 2
+    assert jdbc.depth_predicates("c", [], None) == ["c IS NOT NULL", "c IS NULL"]
+    assert jdbc.depth_predicates("d", ["2024-01-01", "it's"])[1] == "d > '2024-01-01' AND d <= 'it''s'"
