@@ -12,7 +12,6 @@ RUN_TS = "2024-01-31 00:00:00"
 BATCH_ID = "batch_20240131_000000_0a1b2c3d"
 CUTOFF = "1998-01-01"
 SCD2_BATCHES = (("b1", (0, 1)), ("b2", (1, 2)), ("b3", (2, 3)))  # order keys modulo 4; neighbours overlap
-QUARTER = ("1997-01-01", "1997-04-01")
 AS_OF = "1997-06-30"
 EVENTS_SPLIT = "2024-01-20"
 
@@ -44,11 +43,13 @@ ORDER = ("updated_at", "seq_key")
 
 
 def between(df: DataFrame, column: str, lo, hi) -> DataFrame:
+    """Rows from ``lo`` to before ``hi``; rows without a time belong to the part that has no lower end."""
     c = F.col(column)
     if lo is not None:
         df = df.where(c >= F.lit(lo).cast("timestamp_ntz"))
     if hi is not None:
-        df = df.where(c < F.lit(hi).cast("timestamp_ntz"))
+        before = c < F.lit(hi).cast("timestamp_ntz")
+        df = df.where(before if lo is not None else before | c.isNull())
     return df
 
 

@@ -65,7 +65,7 @@ SELECT c.c_custkey AS customer_id, c.c_name AS customer_name, c.c_mktsegment AS
        CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(o.o_totalprice) AS avg_order_amount,
        max(o.o_orderdate) AS last_order_date
 FROM customer c
-LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '{D.QUARTER[0]}' AND o_orderdate < TIMESTAMP '{D.QUARTER[1]}') o
+LEFT JOIN orders o
   ON c.c_custkey = o.o_custkey
 WHERE c.c_acctbal > 0
 GROUP BY c.c_custkey, c.c_name, c.c_mktsegment"""
@@ -127,7 +127,8 @@ FROM customer
 WHERE NOT (coalesce(c_acctbal > 0, false) AND coalesce(c_nationkey >= 0 AND c_nationkey <= 20, false))"""
     q["dq_email_rule"] = f"""
 SELECT doc_id, email_candidate, coalesce(regexp_full_match(email_candidate, '{EMAIL_PATTERN}'), false) AS is_valid_email
-FROM (SELECT doc_id, regexp_extract(text, '(\\S+@\\S+)', 1) AS email_candidate FROM documents)"""
+FROM (SELECT doc_id, unnest(CASE WHEN len(found) > 0 THEN found ELSE [NULL] END) AS email_candidate
+  FROM (SELECT doc_id, regexp_extract_all(text, '(\\S+@\\S+)', 1) AS found FROM documents))"""
     q["dq_email_all"] = f"""
 SELECT doc_id, CAST(len(found) AS BIGINT) AS n_candidates,
        CAST(len(list_filter(found, lambda x: regexp_full_match(x, '{EMAIL_PATTERN}'))) AS BIGINT) AS n_valid_emails

@@ -9,7 +9,10 @@ column (``since``) is sent as a request parameter (``sinceParam``); the caller
 still filters the rows, so a server that ignores the parameter gives the same
 answer.
 
-Options: url | urls, pages, pagesPerPartition (default 4), recordsPath
+``rest_cursor`` is the streamed form for an API that names each next page inside a page: see
+``RestCursorReader``.
+
+Options of ``rest_pages``: url | urls, pages, pagesPerPartition (default 4), recordsPath
 (default ``records``), headers (JSON object), since, sinceParam, timeout (seconds).
 """
 
@@ -20,10 +23,27 @@ from datetime import date, datetime
 from urllib.parse import urlencode
 
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import DateType, StructType, TimestampNTZType, TimestampType
 
 FORMAT = "rest_pages"
+CURSOR_FORMAT = "rest_cursor"
+
+
+class Options(dict):
+    """Reader options by name in any case: Spark hands them over in lower case."""
+
+    def __init__(self, given):
+        super().__init__({k.lower(): v for k, v in dict(given).items()})
+
+    def __getitem__(self, name):
+        return super().__getitem__(name.lower())
+
+    def __contains__(self, name):
+        return super().__contains__(name.lower())
+
+    def get(self, name, default=None):
+        return super().get(name.lower(), default)
 
 
 class PageRange(InputPartition):
@@ -61,6 +81,20 @@ def _convert(value, dtype):
     return value
 
 
+def _fetch(url: str, options: dict) -> str:
+    import urllib.request
+
+    req = urllib.request.Request(url, headers=json.loads(options.get("headers", "{}")))
+    with urllib.request.urlopen(req, timeout=float(options.get("timeout", "60"))) as resp:
+        return resp.read().decode("utf-8")
+
+
+def _rows(url: str, options: dict, schema: StructType):
+    """Records of a page as tuples in the order of ``schema``."""
+    for rec in _records(_fetch(url, options), options.get("recordsPath", "records")):
+        yield tuple(_convert(rec.get(f.name), f.dataType) for f in schema.fields)
+
+
 class RestPagesReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict):
         self.schema = schema
@@ -78,23 +112,12 @@ class RestPagesReader(DataSourceReader):
         return [PageRange(urls[i : i + per]) for i in range(0, len(urls), per)]
 
     def read(self, partition: PageRange):
-        import urllib.request
-
-        headers = json.loads(self.options.get("headers", "{}"))
-        param = self.options.get("sinceParam")
-        timeout = float(self.options.get("timeout", "60"))
-        path = self.options.get("recordsPath", "records")
-        fields = self.schema.fields
+        param, since = self.options.get("sinceParam"), self.options.get("since")
         for url in partition.urls:
-            since = self.options.get("since")
             if param and since and not url.startswith("file:"):
                 sep = "&" if "?" in url else "?"
                 url = url + sep + urlencode({param: since})
-            req = urllib.request.Request(url, headers=headers)
-            with urllib.request.urlopen(req, timeout=timeout) as resp:
-                text = resp.read().decode("utf-8")
-            for rec in _records(text, path):
-                yield tuple(_convert(rec.get(f.name), f.dataType) for f in fields)
+            yield from _rows(url, self.options, self.schema)
 
 
 class RestPages(DataSource):
@@ -108,11 +131,125 @@ class RestPages(DataSource):
         raise ValueError("rest_pages needs a schema (.schema(...) on the reader)")
 
     def reader(self, schema: StructType):
-        return RestPagesReader(schema, dict(self.options))
+        return RestPagesReader(schema, Options(self.options))
+
+
+class RestCursorReader(DataSourceStreamReader):
+    """Stream over pages of which each names the next (S17): the offset is the last page planned.
+
+    The driver follows the links from that page on, at most ``maxPages`` a trigger, and keeps only the links;
+    tasks read the records, ``pagesPerPartition`` pages each. A page that later gains a next link is where the
+    stream goes on. Every planned offset is kept in ``stateDir`` (a path of any file system that Arrow reads)
+    before Spark logs it, so a restarted reader goes on from there: the links before it are not followed again,
+    and which pages' records a batch holds is told by Spark's own offset log alone.
+
+    Options: url (first page), nextPath (default ``next``), stateDir, maxPages (default 1000), and those of
+    ``rest_pages`` for records, headers and timeout.
+    """
+
+    def __init__(self, schema: StructType, options: dict):
+        self.schema, self.options = schema, options
+        self.chain: list[str] = []  # pages after ``self.start``, as far as planned
+        self.start: str | None = None
+
+    def _state(self):
+        from pyarrow import fs
+
+        uri = self.options["stateDir"]  # Hadoop writes a local path as file:/path
+        return fs.FileSystem.from_uri(uri.replace("file:/", "file:///", 1) if uri.startswith("file:/") and not uri.startswith("file://") else uri)
+
+    def _planned(self) -> str:
+        """The last page planned before this reader was made; empty at first."""
+        from pyarrow import fs
+
+        if "stateDir" not in self.options:
+            return ""
+        files, folder = self._state()
+        if files.get_file_info(f"{folder}/planned").type == fs.FileType.NotFound:
+            return ""
+        with files.open_input_stream(f"{folder}/planned") as f:
+            return f.read().decode("utf-8")
+
+    def _keep(self, page: str) -> None:
+        if "stateDir" in self.options:
+            files, folder = self._state()
+            files.create_dir(folder, recursive=True)
+            with files.open_output_stream(f"{folder}/planned.new") as f:
+                f.write(page.encode("utf-8"))
+            files.move(f"{folder}/planned.new", f"{folder}/planned")
+
+    def _after(self, page: str) -> str:
+        """The page after one (the first after none); empty at the end."""
+        if not page:
+            return self.options["url"]
+        value = json.loads(_fetch(page, self.options))
+        for part in self.options.get("nextPath", "next").split("."):
+            value = value.get(part) if isinstance(value, dict) else None
+        return value or ""
+
+    def initialOffset(self) -> dict:
+        return {"page": ""}
+
+    def latestOffset(self) -> dict:
+        if self.start is None:
+            self.start = self._planned()
+        last = self.chain[-1] if self.chain else self.start
+        for _ in range(int(self.options.get("maxPages", "1000"))):
+            following = self._after(last)
+            if not following:
+                break
+            self.chain.append(following)
+            last = following
+        self._keep(last)
+        return {"page": last}
+
+    def partitions(self, start: dict, end: dict):
+        pages, page = [], start["page"]
+        if page == end["page"]:
+            return []
+        known = [self.start, *self.chain] if self.start is not None else []
+        if page in known and end["page"] in known:
+            pages = known[known.index(page) + 1 : known.index(end["page"]) + 1]
+        else:  # a batch of before the restart
+            while page != end["page"]:
+                page = self._after(page)
+                if not page:
+                    raise ValueError(f"no way from page {start['page']!r} to {end['page']!r}")
+                pages.append(page)
+        per = int(self.options.get("pagesPerPartition", "4"))
+        return [PageRange(pages[i : i + per]) for i in range(0, len(pages), per)]
+
+    def read(self, partition: PageRange):
+        for url in partition.urls:
+            yield from _rows(url, self.options, self.schema)
+
+    def commit(self, end: dict) -> None:
+        if end["page"] in self.chain:
+            at = self.chain.index(end["page"])
+            self.start, self.chain = end["page"], self.chain[at + 1 :]
+
+
+class RestCursor(DataSource):
+    @classmethod
+    def name(cls):
+        return CURSOR_FORMAT
+
+    def schema(self):
+        raise ValueError("rest_cursor needs a schema (.schema(...) on the reader)")
+
+    def streamReader(self, schema: StructType):
+        return RestCursorReader(schema, Options(self.options))
 
 
 def register(spark: SparkSession) -> None:
     spark.dataSource.register(RestPages)
+    spark.dataSource.register(RestCursor)
+
+
+def stream_rest(spark: SparkSession, schema, **options):
+    """S17 as a stream: ``stream_rest(spark, ddl, url=..., stateDir=...)``."""
+    register(spark)
+    return spark.readStream.format(CURSOR_FORMAT).schema(schema).options(**{k: str(v) for k, v in options.items()}).load()
 
 
 def read_rest(spark: SparkSession, schema, **options):
