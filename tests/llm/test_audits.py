@@ -10,11 +10,12 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from ingestkit.llm import centroids, divergence, toxicity
-from ingestkit.llm.common import table
+from ingestkit.llm import centroids, divergence, quality_classifier, toxicity
+from ingestkit.llm.common import table, written
 
 SF = "/root/testdata/sf0.001"
 
@@ -242,3 +243,87 @@ def test_held_out_labels_change_nothing(spark):
     _, turned = frames(spark, rows, [(i, q, 1 - t if (i, q, t) in held else t) for i, q, t in marks])
     a, b = (sorted(map(tuple, toxicity.classify(docs, x).collect())) for x in (labels, turned))
     assert held and a == b
+
+
+# 9 quality classifier: the whole fit again, dense and in plain Python
+
+
+def plain_features(text: bytes) -> set[int]:
+    out = set()
+    for i in range(len(text) - 3):
+        key = int.from_bytes(text[i : i + 4], "little")
+        out.add((((key ^ key >> 15) * 2654435761) & 0xFFFFFFFF) >> (32 - quality_classifier.BITS))
+    run = best = 0
+    words = text.split()
+    for a, b in zip([None, *words], words, strict=False):
+        run = run + 1 if a == b else 0
+        best = max(best, run)
+    return out | {(1 << quality_classifier.BITS) + k for k in range(min(best, quality_classifier.RUN))}
+
+
+def test_quality_fit_against_a_dense_one():
+    rng = np.random.default_rng(12)
+    texts, good = [], []
+    for i in range(50):
+        words = rng.choice(["plain", "prose", "of", "words", "with", "sense"] if i // 3 % 2 else ["buy", "buy", "now", "now", "$$$", "words"], 12)
+        texts.append(" ".join(words).encode())
+        good.append(i // 3 % 2)
+    good = np.array(good)
+    model = quality_classifier.fit_rows(texts, good)
+    sets = [plain_features(t) for t in texts]
+    place = np.empty(quality_classifier.FEATURES, np.int64)
+    assert [set(quality_classifier.features(t, place).tolist()) for t in texts] == sets
+    fit = [i for i in range(50) if i % quality_classifier.CURVE]
+    ratio = {}
+    for f in set().union(*(sets[i] for i in fit)):
+        counts = [1 + sum(f in sets[i] for i in fit if good[i] == g) for g in (0, 1)]
+        sizes = [2 + sum(good[i] == g for i in fit) for g in (0, 1)]
+        ratio[f] = math.log(counts[1] / sizes[1]) - math.log(counts[0] / sizes[0])
+    every = sorted(set().union(*sets))
+    x = np.array([[ratio.get(f, math.log(good[fit].size - good[fit].sum() + 2) - math.log(good[fit].sum() + 2)) * (f in s) / math.sqrt(len(s)) for f in every] for s in sets])
+    x1 = np.hstack((x, np.ones((50, 1))))  # the intercept is a feature that every row has
+    sign, dual, w, order = 2 * good - 1, np.zeros(len(fit)), np.zeros(len(every) + 1), np.random.default_rng(0)
+    for _ in range(quality_classifier.EPOCHS):
+        most = 0.0
+        for k in order.permutation(len(fit)):
+            i = fit[k]
+            new = min(max(dual[k] - (sign[i] * (w @ x1[i]) - 1) / (x1[i] @ x1[i]), 0), quality_classifier.COST)
+            w += (new - dual[k]) * sign[i] * x1[i]
+            most, dual[k] = max(most, abs(new - dual[k])), new
+        if most < 1e-4:
+            break
+    margins = x1 @ w
+    held = np.array([i for i in range(50) if i % quality_classifier.CURVE == 0])
+    n1 = int(good[held].sum())
+    target = np.where(good[held] == 1, (n1 + 1) / (n1 + 2), 1 / (len(held) - n1 + 2))
+    p = 1 / (1 + np.exp(-(model.slope * margins[held] + model.offset)))
+    assert abs((p - target).sum()) < 1e-4 and abs(((p - target) * margins[held]).sum()) < 1e-4  # the curve's slopes are zero
+    scores = model.scores(pa.array(texts, pa.binary()))
+    assert np.allclose(scores, 1 / (1 + np.exp(-(model.slope * margins + model.offset))), atol=1e-4)
+    assert ((scores >= 0.5) == good).all()
+
+
+# the pipeline's chain on hard rows
+
+
+def test_pipeline_stages_on_hard_rows_and_none(spark):
+    import corpus_pipeline as cp
+
+    words = " ".join(f"word{i % 700}" for i in range(6_000))
+    rows = [(1, "the same text of some plain words here", "en", "a", "x", "y"), (2, "the same text of some plain words here", "en", "b", "x", "y"),
+            (2, "the same text of some plain words here", "en", "b", "x", "y"), (3, None, None, None, None, None), (4, "", "en", "a", "x", "y"),
+            (None, "other words of a text without an id", "en", "a", "x", "y"), (None, None, None, None, "x", "y"),
+            (5, words, "en", "b", "x", "y"), (6, words + " end", "en", None, "x", "y"), (7, "naïve 漢字 \U0001f600 　x\n\ty </s>", "fr", "c", "x", "y")]
+    schema = "doc_id long, text string, lang string, source string, ids string, row_id string"
+    for frame in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        docs = given = written(frame, "chain")
+        for name, stage in cp.STAGES:
+            before, docs = docs, written(stage(spark, docs, SF), name)
+            if name != "byte_bpe":
+                assert docs.columns == given.columns
+                assert docs.exceptAll(before.unionByName(before)).isEmpty()  # rows come from the stage's own input
+        assert docs.columns[:5] == ["doc_id", "lang", "source", "ids", "row_id"]
+        digests = {r.text and hashlib.sha256(r.text.encode()).hexdigest() for r in before.collect()}
+        assert {r.decoded_sha256 for r in docs.collect()} == digests
+        if frame.isEmpty():
+            assert docs.count() == 0
