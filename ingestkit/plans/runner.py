@@ -103,11 +103,17 @@ def load_table(
             silver = HistoryTable(spark, path, spec.primary_key, spec.scd_columns or None, order, spec.buckets).load(good, batch_id)
         elif spec.scd_type in ("APPEND", "SCD0"):
             store = BatchPartitionedTable(spark, path)
-            silver = store.add(scd.new_rows(store.read_without(batch_id), good, spec), batch_id)
+            new = scd.new_rows(store.read_without(batch_id), good, spec)
+            silver = store.add(enrich.add_scd_columns(new, batch_id, run_ts), batch_id)
         else:
-            silver = KeyedTable(spark, path, spec.primary_key, spec.buckets).apply(
-                good, batch_id, lambda target, batch: scd.apply_scd(target, batch, spec, batch_id)
-            )
+
+            def change(target: DataFrame | None, batch: DataFrame) -> DataFrame:
+                if spec.scd_type != "UPSERT":
+                    return scd.apply_scd(target, batch, spec, batch_id)
+                target = None if target is None else target.drop("_scd_action")
+                return scd.action_label(scd.apply_scd(target, batch, spec, batch_id), spec.primary_key)
+
+            silver = KeyedTable(spark, path, spec.primary_key, spec.buckets).apply(good, batch_id, change)
         if spec.unique_key:
             keys.add(good, batch_id)
         log.log_load_lineage(

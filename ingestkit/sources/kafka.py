@@ -94,6 +94,33 @@ def to_envelope(df: DataFrame, topic: str, key: str, ts: str) -> DataFrame:
     )
 
 
+def unframed(envelope: DataFrame) -> DataFrame:
+    """Envelopes whose payload a schema registry framed (a zero byte, the schema's number in four bytes,
+    then the Avro bytes) with the bare payload as ``value`` and the number as ``schema_id``; a payload without
+    the frame keeps its bytes and has no number."""
+    value = F.col("value")
+    framed = (F.octet_length(value) >= 5) & (F.hex(F.substring(value, 1, 1)) == "00")
+    number = F.conv(F.hex(F.substring(value, 2, 4)), 16, 10).cast("int")
+    bare = F.expr("substring(value, 6)")
+    return envelope.withColumns({"schema_id": F.when(framed, number), "value": F.when(framed, bare).otherwise(value)})
+
+
+def parse_registry_envelope(envelope: DataFrame, schemas: dict[int, str], reader_schema: str) -> DataFrame:
+    """Framed Avro payloads, each read by the schema that its number names and resolved to
+    ``reader_schema``; numbers that ``schemas`` lacks go as raw bytes to ``_unknown_payload``. Needs spark-avro."""
+    from pyspark.sql.avro.functions import from_avro
+
+    rows = unframed(envelope)
+    options = {"mode": "PERMISSIVE", "avroSchema": reader_schema}
+    data = F.coalesce(*[F.when(F.col("schema_id") == i, from_avro(F.col("value"), text, options)) for i, text in schemas.items()])
+    unknown = ~F.coalesce(F.col("schema_id").isin(*schemas), F.lit(False))
+    out = rows.select(
+        data.alias("data"), F.col("timestamp").alias("kafka_timestamp"), "topic", "partition", "offset", "schema_id",
+        F.when(unknown, F.col("value")).alias("_unknown_payload"),
+    )
+    return out.select("data.*", "kafka_timestamp", "topic", "partition", "offset", "schema_id", "_unknown_payload")
+
+
 def parse_avro_envelope(envelope: DataFrame, avro_schema_json: str) -> DataFrame:
     """Avro payloads (plain Avro, no registry framing). Needs the spark-avro package
     on the cluster; without it Spark reports the missing data source when the plan is analysed."""

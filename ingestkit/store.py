@@ -148,7 +148,7 @@ class KeyedTable(_Bucketed):
             stored = self._in(read_table(self.spark, self.root, [(BUCKET, "int")]), touched).drop(BUCKET)
             target = evolution.conform(stored, layout)
         out = change(target, batch)
-        if target is not None and "_scd_action" in out.columns:
+        if target is not None and {"_scd_action", "_scd_batch_id"} <= set(out.columns):
             # a row this very batch wrote before a retry keeps its label
             mine = target.where(F.col("_scd_batch_id") == batch_id).select(*self.keys, F.col("_scd_action").alias("_done"))
             out = scd._join_keys(out, mine, self.keys, "left").withColumn("_scd_action", F.coalesce("_done", "_scd_action")).drop("_done")

@@ -147,6 +147,10 @@ def test_loads_keep_added_columns_and_widened_types(spark, scratch, scd_type):
         ("b2", "TYPE_CHANGE", "n", "int", "bigint"),
         ("b3", "DROP_COLUMN", "extra", "string", None),
     ]
+    if scd_type in ("APPEND", "SCD0"):  # open versions, with the load that brought them
+        assert {(r._scd_batch_id, r._scd_is_current, r._scd_end_date) for r in res.silver.collect()} == {(f"b{i}", True, None) for i in range(4)}
+    if scd_type == "UPSERT":
+        assert {r._scd_action for r in res.silver.collect()} == {"UPSERT"}
     edges = {(r.batch_id, r.source_table, r.target_table, r.source_record_count, r.target_record_count) for r in log.table("audit_lineage").collect()}
     assert ("b0", table.table.origin, "bronze_app_t", 2, 2) in edges and ("b3", "bronze_app_t", "silver_app_t", 1, 1) in edges
     assert len(edges) == 8

@@ -159,3 +159,11 @@ def test_rest_cursor_goes_on_after_a_restart(spark, scratch, tmp_path):
     page(5, True)
     page(6, False)
     assert run("rest_4") == ids(7)
+
+
+def test_registry_frames_come_off(spark):
+    from ingestkit.sources import kafka
+
+    rows = [(b"\x00\x00\x00\x01\x02payload",), (b"\x00\x7f\xff\xff\xff",), (b"plain",), (b"\x00\x01",), (None,), (b"",)]
+    got = [(r.schema_id, r.value and bytes(r.value)) for r in kafka.unframed(spark.createDataFrame(rows, "value binary")).collect()]
+    assert got == [(258, b"payload"), (2**31 - 1, b""), (None, b"plain"), (None, b"\x00\x01"), (None, None), (None, b"")]
