@@ -31,9 +31,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingestkit.llm.common import fresh, let, tidy, written
+from ingestkit.llm.common import fresh, give_back, let, tidy, written
 
-FREQUENT = 1 << 18
+FREQUENT = 1 << 19
 PLACE_BITS = 6
 LONG = 1 << PLACE_BITS
 ID_BITS = 16
@@ -223,26 +223,46 @@ def frequent_words(docs: DataFrame, fold: Fold, pattern: str, text_col: str, mos
     return got["word"].combine_chunks(), ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype(np.uint32)
 
 
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values cut from one array of 32-bit numbers at ``ends``, without a copy of each."""
+    offsets = pa.py_buffer((ends * 4).astype(np.int32))
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, offsets, pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(w) for w in words.to_pylist()], np.uint64)
+
+
 def _marked(docs: DataFrame, pattern: str, text_col: str, words: pa.Array) -> DataFrame:
     """``docs`` with ``known`` (per word its place among the frequent words, or -1 - its place in
     ``rare``) and ``rare`` (the document's other words, each once)."""
 
+    hashes, place = np.unique(_hashes(words), return_index=True)  # of words with one hash all but the first count as rare
+
+    def found(names: pa.Array) -> np.ndarray:
+        """Place of each name among ``words``, or -1."""
+        if not len(hashes):
+            return np.full(len(names), -1, np.int32)
+        h = _hashes(names)
+        near = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+        same = (hashes[near] == h) & pc.equal(words.take(pa.array(place[near])), names).to_numpy(zero_copy_only=False)
+        return np.where(same, place[near], -1).astype(np.int32)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             col = b.column(1)
-            values, sizes = col.flatten(), np.diff(col.offsets.to_numpy())
-            at = pc.fill_null(pc.index_in(values, value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int32)
+            coded, sizes = col.flatten().dictionary_encode(), np.diff(col.offsets.to_numpy())
+            names, code = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            at = found(names)[code] if len(names) else np.zeros(0, np.int32)
             doc = np.repeat(np.arange(b.num_rows), sizes)
             other = np.nonzero(at < 0)[0]
-            code = values.take(pa.array(other)).dictionary_encode()
-            names, code = code.dictionary, code.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            code = code[other]
             pair, inverse = np.unique(doc[other] * (len(names) + 1) + code, return_inverse=True)
             pair_doc = pair // (len(names) + 1)
             first = np.searchsorted(pair_doc, np.arange(b.num_rows + 1))
             at[other] = -1 - (inverse - first[doc[other]])
             rare = pa.ListArray.from_arrays(pa.array(first, pa.int32()), names.take(pa.array(pair % (len(names) + 1))))
-            flat, ends = at.astype("<i4").tobytes(), np.concatenate(([0], np.cumsum(sizes))) * 4
-            known = pa.array([flat[x:y] for x, y in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
+            known = _binary(at.astype("<i4"), np.concatenate(([0], np.cumsum(sizes))))
             yield pa.RecordBatch.from_arrays([b.column(0), known, rare], ["row", "known", "rare"])
 
     kept = [c for c in docs.columns if c != text_col] or [F.lit(None).cast("int").alias("none")]
@@ -254,35 +274,41 @@ def _marked(docs: DataFrame, pattern: str, text_col: str, words: pa.Array) -> Da
 def _laid_out(marked: DataFrame, starts: np.ndarray, pool: np.ndarray, ranks: dict[bytes, int]) -> DataFrame:
     """(row, n_tokens, ids) from the places of the words and the ids of the rare ones."""
 
-    # the place of a rare word (below 0) is clipped into the tables and its ids are overwritten
-    size = np.append(np.diff(starts), 0).astype(np.int64)
-    starts = starts.astype(np.int64)
-    pool = pool if len(pool) else np.zeros(1, np.uint32)
+    size, starts = np.diff(starts).astype(np.int64), starts[:-1].astype(np.int64)
+
+    def laid(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all documents of ``b`` one after the other, and where each ends."""
+        at = np.concatenate([np.frombuffer(x.as_py(), "<i4") for x in b.column(1)] or [np.zeros(0, "<i4")])
+        words_in = np.array([len(x) // 4 for x in (y.as_buffer() for y in b.column(1))], np.int64)
+        lists, words = b.column(3).flatten(), b.column(2).flatten()
+        own_pool = lists.flatten().to_numpy(zero_copy_only=False).astype(np.uint32)
+        own_size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        own_start = np.cumsum(own_size) - own_size
+        for i in np.flatnonzero(lists.is_null().to_numpy(zero_copy_only=False)) if lists.null_count else ():
+            ids = merge_long(words[int(i)].as_py().encode(), ranks)
+            own_start[i], own_size[i] = len(own_pool), len(ids)
+            own_pool = np.append(own_pool, np.array(ids, np.uint32))
+        rare = at < 0
+        # a document's rare words follow those of the documents before it
+        in_doc = pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False).astype(np.int64)
+        before = np.repeat(np.cumsum(in_doc) - in_doc, words_in)
+        own = before[rare] - 1 - at[rare]
+        n, begin = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        n[rare], begin[rare] = own_size[own], own_start[own]
+        n[~rare], begin[~rare] = size[at[~rare]], starts[at[~rare]]
+        stop = np.cumsum(n)
+        source = np.repeat(begin - (stop - n), n) + np.arange(int(stop[-1]) if len(stop) else 0)
+        out, from_own = np.empty(len(source), "<u4"), np.repeat(rare, n)
+        out[from_own], out[~from_own] = own_pool[source[from_own]], pool[source[~from_own]]
+        return out, np.concatenate(([0], stop))[np.concatenate(([0], np.cumsum(words_in)))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for a in range(0, whole.num_rows, GROUP):
                 b = whole.slice(a, GROUP)
-                n_tokens, out = [], []
-                for known, words, lists in zip(b.column(1), b.column(2), b.column(3).to_pylist(), strict=True):
-                    for i, ids in enumerate(lists):
-                        if ids is None:
-                            lists[i] = merge_long(words[i].as_py().encode(), ranks)
-                    at = np.frombuffer(known.as_py(), "<i4")
-                    n, begin = size.take(at, mode="clip"), starts.take(at, mode="clip")
-                    rare = np.nonzero(at < 0)[0]
-                    own = (-1 - at[rare]).tolist()
-                    n[rare] = [len(lists[i]) for i in own]
-                    stop = np.cumsum(n)
-                    total = int(stop[-1]) if len(stop) else 0
-                    ids = pool.take(np.repeat(begin - (stop - n), n) + np.arange(total), mode="clip")
-                    for i, z in zip(own, stop[rare].tolist(), strict=True):
-                        ids[z - len(lists[i]) : z] = lists[i]
-                    n_tokens.append(total)
-                    out.append(ids.astype("<u4").tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(n_tokens, pa.int64()), pa.array(out, pa.binary())], ["row", "n_tokens", "ids"]
-                )
+                ids, ends = laid(b)
+                counts = pa.array(np.diff(ends).astype(np.int64))
+                yield pa.RecordBatch.from_arrays([b.column(0), counts, _binary(ids, ends)], ["row", "n_tokens", "ids"])
 
     row = marked.schema["row"].dataType.simpleString()
     return marked.select("row", "known", "rare", "ids").mapInArrow(tidy(run), f"row {row}, n_tokens long, ids binary")
@@ -300,6 +326,7 @@ def _tokens(docs: DataFrame, path: str, pattern: str, text_col: str, most: int)
     conf.set("spark.sql.maxPlanStringLength", str(PLAN_CHARS))
     fold = Fold(path)
     words, starts, pool = frequent_words(docs, fold, pattern, text_col, most)
+    give_back()
     marked = _marked(docs, pattern, text_col, words).withColumn("ids", fold.encode(F.col("rare")))
     return _laid_out(marked, starts, pool, read_ranks(path))
 
@@ -319,8 +346,8 @@ def encode_rows(docs: DataFrame, path: str, pattern: str, text_col: str = "text"
     return out.select(*(F.col("row")[c].alias(c) for c in kept), *(F.col(a).alias(b) for a, b in zip(("n_tokens", "ids"), names, strict=True)))
 
 
-def decode(tokens: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
-    """``tokens`` with ``decoded``: the bytes of the ids."""
+def decode(tokens: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
+    """``tokens`` with ``out``: the bytes of the ids."""
     ranks = read_ranks(path)
     pieces = [b""] * (max(ranks.values(), default=-1) + 1)
     for piece, rank in ranks.items():
@@ -329,11 +356,11 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids = b.column(b.schema.get_field_index(ids_col))
-            text = [b"".join([pieces[i] for i in np.frombuffer(x.as_py() or b"", "<u4").tolist()]) for x in ids]
-            yield b.append_column("decoded", pa.array(text, pa.binary()))
+            text = [b"".join(map(pieces.__getitem__, np.frombuffer(x.as_py() or b"", "<u4").tolist())) for x in ids]
+            yield b.append_column(out, pa.array(text, pa.binary()))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema)
-    return tokens.mapInArrow(tidy(run), f"{fields}, decoded binary")
+    return tokens.mapInArrow(tidy(run), f"{fields}, `{out}` binary")
 
 
 def packed(ids: list[int]) -> bytes:
