@@ -59,6 +59,13 @@ def give_back() -> None:
         trim(0)
 
 
+def relieve(spark: SparkSession) -> None:
+    """Frees what finished jobs have left on the driver. Spark drops broadcasts, shuffles and plans once the
+    JVM has collected them, which a long chain of small jobs leaves to the last moment."""
+    give_back()
+    spark._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
