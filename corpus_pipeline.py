@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ingestkit.llm import bpe, exact_dedup, mixing, quality_classifier, simhash
 from ingestkit.llm.catalog import tokenizer
-from ingestkit.llm.common import fresh, table, written
+from ingestkit.llm.common import fresh, relieve, table, written
 
 
 def classify_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,18 +24,21 @@ def classify_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays; null counts as empty, a null id as least, and of
     rows equal in both one stays."""
+    relieve(spark)
     return exact_dedup.drop_duplicates(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each near-duplicate component the document with the smallest id stays; texts without words are one
     component, a null id stays only where its component has no other, and ties keep one row."""
+    relieve(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; texts without words are never taken, a null source is a
     source of its own, and rows of one id and text are taken alike."""
+    relieve(spark)
     return mixing.mixed_documents(docs)
 
 
@@ -43,6 +46,7 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes and decodes every document: its other columns, then ``n_tokens``, ``ids`` (little-endian 32-bit) and
     ``decoded_sha256`` of the bytes that the ids decode to, which is the digest of the text. Null and empty
     texts have no ids and the digest of no bytes; documents that repeat stay as often as they come."""
+    relieve(spark)
     path, pattern = tokenizer()
     tokens = bpe.encode_rows(docs, path, pattern)
     ids, decoded, digest = tokens.columns[-1], fresh(tokens, "decoded"), fresh(tokens, "decoded_sha256")
