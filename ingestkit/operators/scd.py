@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fingerprint import fingerprint
-from .sequence import HOT_KEY_ROWS, hot_key_cuts, with_neighbors
+from .sequence import RANGE_ROWS, range_cuts, with_neighbors
 
 # Action labels and type labels written to ``_scd_action`` / ``_scd_type``.
 INSERT, UPDATE, UNCHANGED = "INSERT", "UPDATE", "UNCHANGED"
@@ -133,7 +133,7 @@ def append(target: DataFrame, changes: DataFrame, dedup_keys=None, batch_id: str
     return target.unionByName(new.select(*target.columns))
 
 
-def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_KEY_ROWS, hot_keys=None, tie=()) -> DataFrame:
+def scd2_history(changes: DataFrame, keys, tracked, order, range_rows: int = RANGE_ROWS, tie=()) -> DataFrame:
     """C4: versions with [effective, end) intervals from a full change log.
 
     A row opens a version when its tracked values differ (NULL-safe) from the
@@ -146,8 +146,8 @@ def scd2_history(changes: DataFrame, keys, tracked, order, hot_rows: int = HOT_K
     total = order + [c for c in tracked if c not in order] + list(tie)
     base = changes.columns
     lead = order[0]
-    # One hot-key table serves both passes: kept rows are a subset of all rows.
-    cuts = hot_key_cuts(changes, keys, total, hot_rows, hot_keys)
+    # The same ranges serve both passes: kept rows are a subset of all rows.
+    cuts = range_cuts(changes, keys, total, range_rows)
     step = with_neighbors(changes, keys, total, prev_cols=tracked, cuts=cuts)
     differs = ~_all([F.col(f"_prev_{c}").eqNullSafe(F.col(c)) for c in tracked])
     kept = step.where(F.col("_is_first") | differs).select(*base)
@@ -250,10 +250,9 @@ def scd2_merge(
     tracked,
     order,
     batch_id: str,
-    hot_rows: int = HOT_KEY_ROWS,
+    range_rows: int = RANGE_ROWS,
     log: DataFrame | None = None,
     flags: DataFrame | None = None,
-    hot_keys=None,
     any_late: bool = True,
 ) -> DataFrame:
     """Merge one batch into an SCD2 table.
@@ -282,7 +281,7 @@ def scd2_merge(
     if any_late:
         batch = seen_rows(target, flags, batch, keys, order, log)
     keep, changes = reopen(target, flags, batch, batch_id)
-    rebuilt = relabel(scd2_history(changes, keys, tracked, order + ["_src"], hot_rows=hot_rows, hot_keys=hot_keys))
+    rebuilt = relabel(scd2_history(changes, keys, tracked, order + ["_src"], range_rows=range_rows))
     last = changes.groupBy(*keys).agg(F.max(F.struct(*order)).alias(SEEN))
     rebuilt = _join_keys(rebuilt, last, keys, "left").withColumn(SEEN, F.when(F.col("_scd_is_current"), F.col(SEEN)))
     return keep.unionByName(rebuilt.select(*target.columns))
@@ -312,7 +311,7 @@ def as_of(history: DataFrame, when) -> DataFrame:
     return history.where((F.col("_scd_effective_date") <= ts) & (F.col("_scd_end_date").isNull() | (ts < F.col("_scd_end_date"))))
 
 
-def scd3(target: DataFrame | None, changes: DataFrame, keys, tracked, order, batch_id: str, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def scd3(target: DataFrame | None, changes: DataFrame, keys, tracked, order, batch_id: str, range_rows: int = RANGE_ROWS) -> DataFrame:
     """Current value plus ``{c}_previous`` and ``{c}_change_date`` per tracked column.
 
     The stored row is the latest known state of its key; batch rows are applied
@@ -344,7 +343,7 @@ def scd3(target: DataFrame | None, changes: DataFrame, keys, tracked, order, bat
         batch_rows.select(*business, *[F.lit(None).cast(target.schema[n].dataType).alias(n) for n in extra], F.lit(1).alias("_src"))
     )
     total = [lead, "_src"] + [c for c in order[1:]] + [c for c in tracked if c not in order]
-    step = with_neighbors(log, keys, total, prev_cols=tracked, hot_rows=hot_rows)
+    step = with_neighbors(log, keys, total, prev_cols=tracked, range_rows=range_rows)
     aggs = [F.max(F.struct(*[F.col(c) for c in total], *[F.col(c) for c in business if c not in total])).alias("_last")]
     for c in tracked:
         change = (~F.col("_is_first")) & ~F.col(f"_prev_{c}").eqNullSafe(F.col(c))
@@ -395,7 +394,7 @@ def apply_scd(target: DataFrame | None, changes: DataFrame, table, batch_id: str
     raise ValueError(f"unknown SCD type {kind!r}")
 
 
-def as_of_join(facts: DataFrame, history: DataFrame, keys, fact_time: str, version_cols, version_order, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def as_of_join(facts: DataFrame, history: DataFrame, keys, fact_time: str, version_cols, version_order, range_rows: int = RANGE_ROWS) -> DataFrame:
     """C9 joined to facts: each fact row with the version of its key valid at ``fact_time``
     (effective <= t < end), NULL when none.
 
@@ -429,7 +428,7 @@ def as_of_join(facts: DataFrame, history: DataFrame, keys, fact_time: str, versi
         F.struct(*[F.col(c) for c in fact_cols]).alias("_f"),
     )
     stream = v.unionByName(f)
-    filled = fill_forward(stream, keys, ["_t", "_kind", "_tb"], "_v", hot_rows=hot_rows)
+    filled = fill_forward(stream, keys, ["_t", "_kind", "_tb"], "_v", range_rows=range_rows)
     return filled.where(F.col("_kind") == 1).select(
         *keys, *[F.col(f"_f.{c}").alias(c) for c in fact_cols], *[F.col(f"_filled.{c}").alias(c) for c in vcols]
     )

@@ -1,78 +1,70 @@
-"""Ordered neighbours within a key, safe for hot keys.
+"""Ordered neighbours within a key, in tasks of a bounded part of the rows.
 
 ``with_neighbors`` adds, for each row, values of the previous and next row of
 the same key in a total order. A plain ``Window.partitionBy(key)`` sends every
 row of a key to one task; when one key holds a large share of the rows that
-task becomes the whole job. Here keys with more than ``hot_rows`` rows are cut
-into sequence ranges at approximate quantiles of the first order column
-(``hot_key_cuts``), so the window runs over (key, range). The first and last
-row of each range then take their missing neighbour from the adjacent
-non-empty range, read from the range ends of the window output itself.
-
-Sizes: the hot-key table has at most min(total_rows / hot_rows, MAX_HOT_KEYS)
-keys, and the cut points kept per key are about n_key / hot_rows (at most about
-MAX_PIECES), so the broadcast cut table and the table of range ends have about
-min(total_rows / hot_rows, MAX_HOT_KEYS * MAX_PIECES) entries.
+task becomes the whole job. Here all rows are cut into ranges of (key, order)
+at sampled rows (``range_cuts``), whatever the sizes of the keys, and the
+window runs over (key, range). A key that lies in several ranges carries its
+ends over: the first and last row of each of its ranges take their missing
+neighbour from the adjacent range.
+
+Sizes: there are at most MAX_RANGES cuts, so at most as many keys lie in more
+than one range and the table of range ends, which is broadcast, has at most
+2 * MAX_RANGES rows. The sample has about SAMPLES_PER_RANGE rows per cut.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
-# Tuning values (not semantics): rows per key above which a key is split, the
-# most ranges of a key, and the rows sampled per range to place its cuts.
-HOT_KEY_ROWS = 20_000_000
-MAX_PIECES = 1024
-SAMPLES_PER_PIECE = 16
-# Hard cap on split keys (the hottest win); keys past it keep one window each,
-# which is still correct, only less balanced.
-MAX_HOT_KEYS = 100_000
-
-
-def hot_key_cuts(df: DataFrame, keys, order, hot_rows: int = HOT_KEY_ROWS, hot_keys=None) -> DataFrame | None:
-    """(keys..., _cuts): cut points in the whole ``order`` for keys with more than ``hot_rows`` rows.
-
-    Cuts are order values of sampled rows, compared as structs, which is how the
-    windows sort: any orderable columns work, and where the cuts lie changes only
-    the balance, never the outcome.
-
-    Runs a count per key (combined map-side); only when some key is hot, a
-    second job samples the hot keys' rows alone. Returns
-    the small result as a DataFrame of its own, or None when no key is hot.
-    Fetching it is safe: it holds at most min(total_rows / hot_rows,
-    MAX_HOT_KEYS) keys. Holding it as data instead of as a sub-plan keeps later
-    plans from repeating the input. A caller that already knows the hot keys
-    (a list of key tuples) passes them as ``hot_keys`` and skips the count.
+# Tuning values (not semantics): rows of a range, the most ranges, and the rows
+# sampled per range to place the cuts.
+RANGE_ROWS = 4_000_000
+MAX_RANGES = 8_191
+SAMPLES_PER_RANGE = 8
+
+
+@dataclass(frozen=True)
+class Cuts:
+    """At most MAX_RANGES starts of ranges, as JSON of an array of (keys, order), and the array's type."""
+
+    text: str
+    kind: ArrayType
+
+    def starts(self) -> Column:
+        """The starts as a literal, sorted here: whatever JSON makes of a value, the ranges are in order."""
+        return F.array_distinct(F.sort_array(F.from_json(F.lit(self.text), self.kind)))
+
+
+def range_cuts(df: DataFrame, keys, order, range_rows: int = RANGE_ROWS) -> Cuts | None:
+    """The starts of the ranges, values of (keys, order) of sampled rows; None where all rows are one range.
+
+    Compared as structs, nulls first, which is how the windows sort: any
+    orderable columns work, and where the cuts lie changes only the balance,
+    never the outcome. One job counts the rows and one samples them, neither
+    with a shuffle of rows; the cuts are then a literal of the later plans, so all
+    passes over the rows see the same ranges.
     """
     keys, order = list(keys), list(order)
-    spark = df.sparkSession
-    key_schema = df.select(*keys).schema
-    if hot_keys is None:
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
-        # The common case (no hot key) ends here after one aggregation job.
-        hot_keys = counts.orderBy(F.col("_n").desc()).limit(MAX_HOT_KEYS).select(*keys).collect()
-    if not hot_keys:
+    total = df.count()
+    pieces = min(MAX_RANGES, -(-total // range_rows))
+    if pieces <= 1:
         return None
-    small = F.broadcast(spark.createDataFrame([tuple(k) for k in hot_keys], key_schema))
-    hot = _on_keys(df, small, keys, "left_semi").select(*keys, _seq(order).alias("_at"))
-    sizes = hot.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).withColumn(
-        "_pieces", F.least(F.lit(MAX_PIECES), F.ceil(F.col("_n") / F.lit(hot_rows)))
-    )
-    sampled = _on_keys(hot, F.broadcast(sizes), keys, "inner").where(
-        F.rand(7) < F.col("_pieces") * F.lit(SAMPLES_PER_PIECE) / F.col("_n")
-    )
-    picked = sampled.groupBy(*keys).agg(F.sort_array(F.collect_list("_at")).alias("_s"), F.max("_pieces").alias("_pieces"))
-    step = F.greatest(F.lit(1), F.floor(F.size("_s") / F.col("_pieces"))).cast("int")
-    kept = F.array_distinct(F.filter("_s", lambda x, i: ((i + 1) % step) == 0))
-    table = picked.select(*keys, kept.alias("_cuts"))
-    return spark.createDataFrame(table.collect(), table.schema)
+    sample = df.where(F.rand(7) < F.lit(pieces * SAMPLES_PER_RANGE / total)).select(_seq(keys + order).alias("at"))
+    starts = sample.agg(F.array_sort(F.collect_list("at")).alias("s"))
+    step = F.greatest(F.lit(1), F.floor(F.size("s") / F.lit(pieces))).cast("int")
+    table = starts.select(F.filter("s", lambda x, i: (i + 1) % step == 0).alias("cuts"))
+    return Cuts(table.select(F.to_json("cuts")).first()[0], table.schema["cuts"].dataType)
 
 
-def _seq(order):
-    return F.struct(*[F.col(c) for c in order])
+def _seq(columns):
+    return F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)])
 
 
 def _on_keys(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
@@ -82,15 +74,26 @@ def _on_keys(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
     return left.join(renamed, match, how).drop(*[f"_k_{k}" for k in keys])
 
 
-def _tag(df: DataFrame, cuts: DataFrame, keys, order) -> DataFrame:
-    """``_hot`` and the number of the row's range, ``_sub``, among the cuts of its key."""
-    below = F.size(F.filter("_cuts", lambda s: s <= _seq(order)))
-    return (
-        _on_keys(df, F.broadcast(cuts), keys, "left")
-        .withColumn("_hot", F.col("_cuts").isNotNull())
-        .withColumn("_sub", F.when(F.col("_hot"), below).otherwise(F.lit(0)))
-        .drop("_cuts")
-    )
+def _tag(df: DataFrame, cuts: Cuts, keys, order) -> DataFrame:
+    """``_sub``, the number of cuts at or before the row, and ``_cut``: the row's key is that of a cut
+    beside its range, so it may go on in the next range or come from the one before."""
+    starts = cuts.starts()
+    # binary search as one expression: a filter pushed below it copies it once, not once per step
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(MAX_RANGES.bit_length()))])
+    state = F.struct(F.lit(0).alias("at"), starts.alias("starts"), _seq(keys + order).alias("row"))
+
+    def halve(s, step):
+        ahead = F.coalesce(F.get(s["starts"], s["at"] + step - 1) <= s["row"], F.lit(False))
+        return s.withField("at", F.when(ahead, s["at"] + step).otherwise(s["at"]))
+
+    df = df.withColumn("_sub", F.aggregate(steps, state, halve, lambda s: s["at"]))
+
+    def beside(i):
+        start = F.get(starts, i)
+        return reduce(lambda a, b: a & b, [start[f"c{j}"].eqNullSafe(F.col(k)) for j, k in enumerate(keys)])
+
+    # outside the array every field is null, which only marks null keys once too often
+    return df.withColumn("_cut", beside(F.col("_sub") - 1) | beside(F.col("_sub")))
 
 
 AUTO = "auto"
@@ -102,20 +105,19 @@ def with_neighbors(
     order,
     prev_cols=(),
     next_cols=(),
-    hot_rows: int = HOT_KEY_ROWS,
+    range_rows: int = RANGE_ROWS,
     cuts="auto",
 ) -> DataFrame:
     """Add ``_prev_<c>`` / ``_next_<c>`` and the flags ``_is_first`` / ``_is_last``.
 
     ``order`` must be a total order within a key (add a tie-break column).
-    ``cuts`` may be passed in (the result of ``hot_key_cuts``, None when no key
-    is hot) to share one hot-key table between passes over subsets of the same
-    rows.
+    ``cuts`` may be passed in (the result of ``range_cuts``) to share the
+    ranges between passes over subsets of the same rows.
     """
     keys, order = list(keys), list(order)
     prev_cols, next_cols = list(prev_cols), list(next_cols)
     if isinstance(cuts, str) and cuts == AUTO:
-        cuts = hot_key_cuts(df, keys, order, hot_rows)
+        cuts = range_cuts(df, keys, order, range_rows)
 
     def neighbours(frame, partition):
         w = Window.partitionBy(*partition).orderBy(*order)
@@ -126,32 +128,32 @@ def with_neighbors(
         return frame.withColumns(cols)
 
     if cuts is None:
-        # No hot key: one window over the key.
+        # One range: no ends to carry.
         return neighbours(df, keys)
     tagged = _tag(df, cuts, keys, order)
     local = neighbours(tagged, keys + ["_sub"])
 
-    # Range ends of hot keys, taken from the window output (the shuffle is reused):
-    # at most two rows per range.
+    # Ends of the keys that a cut may divide: a row per key and range, combined before the shuffle.
     payload = F.struct(*[F.col(c) for c in dict.fromkeys(prev_cols + next_cols)])
     ends = (
-        local.where(F.col("_hot") & (F.col("_is_first") | F.col("_is_last")))
+        tagged.where("_cut")
         .groupBy(*keys, "_sub")
-        .agg(F.max(F.when(F.col("_is_first"), payload)).alias("_lo"), F.max(F.when(F.col("_is_last"), payload)).alias("_hi"))
+        .agg(F.min_by(payload, _seq(order)).alias("_lo"), F.max_by(payload, _seq(order)).alias("_hi"))
     )
     wb = Window.partitionBy(*keys).orderBy("_sub")
     bounds = ends.select(*keys, "_sub", F.lag("_hi").over(wb).alias("_before"), F.lead("_lo").over(wb).alias("_after"))
+    # at most two rows per cut
     joined = _on_keys(local, F.broadcast(bounds), keys + ["_sub"], "left")
     fixes = {}
     for c in prev_cols:
         name = f"_prev_{c}"
-        fixes[name] = F.when(F.col("_hot") & F.col("_is_first"), F.col(f"_before.{c}")).otherwise(F.col(name))
+        fixes[name] = F.when(F.col("_is_first"), F.col(f"_before.{c}")).otherwise(F.col(name))
     for c in next_cols:
         name = f"_next_{c}"
-        fixes[name] = F.when(F.col("_hot") & F.col("_is_last"), F.col(f"_after.{c}")).otherwise(F.col(name))
-    fixes["_is_first"] = F.col("_is_first") & ~(F.col("_hot") & F.col("_before").isNotNull())
-    fixes["_is_last"] = F.col("_is_last") & ~(F.col("_hot") & F.col("_after").isNotNull())
-    return joined.withColumns(fixes).drop("_before", "_after", "_hot", "_sub")
+        fixes[name] = F.when(F.col("_is_last"), F.col(f"_after.{c}")).otherwise(F.col(name))
+    fixes["_is_first"] = F.col("_is_first") & F.col("_before").isNull()
+    fixes["_is_last"] = F.col("_is_last") & F.col("_after").isNull()
+    return joined.withColumns(fixes).drop("_before", "_after", "_cut", "_sub")
 
 
 def fill_forward(
@@ -159,19 +161,19 @@ def fill_forward(
     keys,
     order,
     value: str,
-    hot_rows: int = HOT_KEY_ROWS,
+    range_rows: int = RANGE_ROWS,
     cuts="auto",
     out: str = "_filled",
 ) -> DataFrame:
     """Add ``out``: the last non-null ``value`` at or before each row within its key.
 
-    Same hot-key treatment as ``with_neighbors``: ranges of a hot key are
-    filled locally, then a row with nothing before it in its range takes the
-    last value of the earlier ranges, read from a table of one row per range.
+    Cut like ``with_neighbors``: a key is filled inside each of its ranges,
+    then a row with nothing before it in its range takes the last value of the
+    key's earlier ranges.
     """
     keys, order = list(keys), list(order)
     if isinstance(cuts, str) and cuts == AUTO:
-        cuts = hot_key_cuts(df, keys, order, hot_rows)
+        cuts = range_cuts(df, keys, order, range_rows)
 
     def local(frame, partition):
         w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -181,17 +183,14 @@ def fill_forward(
         return local(df, keys)
     tagged = _tag(df, cuts, keys, order)
     filled = local(tagged, keys + ["_sub"])
-    last_in_range = (
-        tagged.where(F.col("_hot") & F.col(value).isNotNull())
+    # every range of a divided key, so that one without values still learns what came before it
+    ends = (
+        tagged.where("_cut")
         .groupBy(*keys, "_sub")
-        .agg(F.max(F.struct(*[F.col(c) for c in order], F.col(value).alias("_v"))).alias("_m"))
+        .agg(F.max_by(F.struct(F.col(value).alias("_v")), F.when(F.col(value).isNotNull(), _seq(order))).alias("_m"))
     )
     wb = Window.partitionBy(*keys).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
-    # Every range of a hot key, so an empty-valued range still learns what came before it.
-    ranges = tagged.where("_hot").select(*keys, "_sub").distinct()
-    carry = (
-        _on_keys(ranges, last_in_range, keys + ["_sub"], "left")
-        .select(*keys, "_sub", F.last(F.col("_m._v"), ignorenulls=True).over(wb).alias("_carry"))
-    )
+    carry = ends.select(*keys, "_sub", F.last(F.col("_m._v"), ignorenulls=True).over(wb).alias("_carry"))
+    # at most two rows per cut
     joined = _on_keys(filled, F.broadcast(carry), keys + ["_sub"], "left")
-    return joined.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry", "_hot", "_sub")
+    return joined.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry", "_cut", "_sub")

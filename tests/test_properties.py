@@ -42,5 +42,5 @@ def test_random_log_split_fold(spark, scratch, seed):
     cols = ["k", "a", "b", "ts", "seq", "_scd_end_date", "_scd_is_current"]
     assert sorted(map(tuple, hist.select(cols).collect()), key=repr) == brute(rows)
     assert tuple(quality.scd2_checks(hist, ["k"]).first()) == (0, 0, 0)
-    hot = scd.scd2_history(spark.createDataFrame(rows, SCHEMA), ["k"], ["a", "b"], ["ts", "seq"], hot_rows=10)
+    hot = scd.scd2_history(spark.createDataFrame(rows, SCHEMA), ["k"], ["a", "b"], ["ts", "seq"], range_rows=10)
     assert sorted(map(tuple, hot.select(cols).collect()), key=repr) == brute(rows)

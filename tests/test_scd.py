@@ -59,9 +59,9 @@ def test_history_matches_brute_force(log):
     assert rows_of(scd.scd2_history(log, KEYS, TRACKED, ORDER)) == brute_history(LOG)
 
 
-def test_history_hot_key_path_matches(log):
-    # hot_rows=1 sends every key with two or more rows through the split-range path.
-    assert rows_of(scd.scd2_history(log, KEYS, TRACKED, ORDER, hot_rows=1)) == brute_history(LOG)
+def test_history_of_divided_keys_matches(log):
+    # range_rows=1 cuts at nearly every row.
+    assert rows_of(scd.scd2_history(log, KEYS, TRACKED, ORDER, range_rows=1)) == brute_history(LOG)
 
 
 @pytest.mark.parametrize("cuts", [[3], [1, 5], [0, 2, 4, 6, 8]])
@@ -154,7 +154,7 @@ def test_latest_per_key_full_tie_break(spark):
     assert {r.k: r.v for r in scd.latest_per_key(d, ["k"], ["ts"]).collect()} == {1: "c", 2: "z"}
 
 
-def test_with_neighbors_hot_path_random(spark):
+def test_with_neighbors_divided_keys_random(spark):
     rnd = random.Random(7)
     rows = [(rnd.choice([1, 1, 1, 1, 2, 3]), i, rnd.randint(0, 50)) for i in range(400)]
     df = spark.createDataFrame(rows, "k int, s int, v int")
@@ -163,8 +163,8 @@ def test_with_neighbors_hot_path_random(spark):
         rs = sorted([r for r in rows if r[0] == k], key=lambda r: r[1])
         for i, r in enumerate(rs):
             expect[r[1]] = (rs[i - 1][2] if i else None, rs[i + 1][2] if i + 1 < len(rs) else None, i == 0, i == len(rs) - 1)
-    for hot in (5, 10**9):
-        out = with_neighbors(df, ["k"], ["s"], prev_cols=["v"], next_cols=["v"], hot_rows=hot)
+    for size in (1, 5, 40, 10**9):
+        out = with_neighbors(df, ["k"], ["s"], prev_cols=["v"], next_cols=["v"], range_rows=size)
         got = {r.s: (r._prev_v, r._next_v, r._is_first, r._is_last) for r in out.collect()}
         assert got == expect
 
@@ -241,7 +241,7 @@ def test_keyed_table_rewrites_only_the_buckets_of_a_batch(spark, scratch):
     assert len(same) == len(before) - 1
 
 
-def test_fill_forward_hot_path_random(spark):
+def test_fill_forward_divided_keys_random(spark):
     from ingestkit.operators.sequence import fill_forward
 
     rnd = random.Random(11)
@@ -252,18 +252,18 @@ def test_fill_forward_hot_path_random(spark):
         if v is not None:
             last[k] = v
         expect[s_] = last.get(k)
-    for hot in (4, 10**9):
-        got = {r.s: r._filled for r in fill_forward(df, ["k"], ["s"], "v", hot_rows=hot).collect()}
+    for size in (1, 4, 10**9):
+        got = {r.s: r._filled for r in fill_forward(df, ["k"], ["s"], "v", range_rows=size).collect()}
         assert got == expect
 
 
-@pytest.mark.parametrize("hot", [1, 10**9])
-def test_as_of_join_matches_range_join(spark, log, hot):
+@pytest.mark.parametrize("size", [1, 10**9])
+def test_as_of_join_matches_range_join(spark, log, size):
     h = scd.scd2_history(log, KEYS, TRACKED, ORDER)
     facts = spark.createDataFrame([(i, k, t(d) + timedelta(hours=h_)) for i, (k, d, h_) in enumerate(
         [(1, 0, 0), (1, 5, 0), (1, 5, 12), (6, 3, 1), (6, 4, 0), (7, 3, 0), (9, 1, 0), (3, -1, 0), (2, 9, 0)])],
         "id int, k bigint, at timestamp_ntz")
-    got = scd.as_of_join(facts, h, KEYS, "at", ["a", "b"], ORDER, hot_rows=hot)
+    got = scd.as_of_join(facts, h, KEYS, "at", ["a", "b"], ORDER, range_rows=size)
     hist = [r for r in h.collect()]
     expect = set()
     for f in facts.collect():
