@@ -38,6 +38,8 @@ SHARE = Fraction(3, 2)
 MAX_REPEAT = 2
 SEED = "mix"
 MAX_PATTERNS = 10_000
+#: Rows of a table with a row per pattern or source up to which it is broadcast.
+FEW = 100_000
 
 Source = str | None
 
@@ -154,6 +156,12 @@ def numbered(rows: DataFrame, groups: Sequence[str], row_id: str, out: str) -> D
     return rows.withColumn(out, inside).join(counts, [*groups, block]).withColumn(out, F.col(out) + F.col("k")).drop("k", block)
 
 
+def _few(table: DataFrame, rows: int) -> DataFrame:
+    """A table of ``rows`` rows, one per pattern or source, marked for a broadcast where that is at most FEW; beyond,
+    the join shuffles, and a source that holds many rows is split by the adaptive skew join."""
+    return F.broadcast(table) if rows <= FEW else table
+
+
 @dataclass(frozen=True)
 class Mix:
     """Per pattern: times every document is taken, the last digest that is taken once more whole, and a digest
@@ -162,12 +170,12 @@ class Mix:
     plan: DataFrame  # pattern, times, last, part, some; a row per pattern
     sizes: dict[Source, int]
     targets: dict[Source, Fraction]
+    patterns: int
 
     def times(self, rows: DataFrame) -> DataFrame:
         """``rows`` (pattern, digest, size and any more) with ``times``."""
         plan = self.plan.withColumnRenamed("times", "base")
-        # a row per pattern, and patterns that share sources are at most MAX_PATTERNS
-        joined = rows.join(F.broadcast(plan), "pattern")
+        joined = rows.join(_few(plan, self.patterns), "pattern")
         cut = F.coalesce(F.col("digest") == F.col("part"), F.lit(False))
         more = F.when(F.col("digest") <= F.col("last"), F.lit(1)).otherwise(F.lit(0))
         every = joined.where(~cut).withColumn("more", more).drop("part", "some", "last")
@@ -203,12 +211,12 @@ def plan_mix(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: Fraction
     upto = W.partitionBy("pattern").orderBy("part").rowsBetween(W.unboundedPreceding, 0)
     edge = (
         ranges.withColumn("upto", F.sum("n").over(upto))
-        .join(F.broadcast(needs), "pattern")
+        .join(_few(needs, len(need)), "pattern")
         .where("upto > rest and upto - n <= rest")
         .select("pattern", "part", (F.col("upto") - F.col("n")).alias("before"), "rest")
     )
     edge = written(edge, "edge")
-    near = rows.where("size > 0").withColumn("part", part).join(F.broadcast(edge), ["pattern", "part"])
+    near = rows.where("size > 0").withColumn("part", part).join(_few(edge, len(need)), ["pattern", "part"])
     near = near.groupBy("pattern", "digest", "before", "rest", "size").agg(F.count(F.lit(1)).alias("k"))
     inside = W.partitionBy("pattern").orderBy("digest").rowsBetween(W.unboundedPreceding, -1)
     sofar = F.col("before") + F.coalesce(F.sum(F.col("size") * F.col("k")).over(inside), F.lit(0))
@@ -223,7 +231,7 @@ def plan_mix(rows: DataFrame, weights: Sequence[int] = WEIGHTS, share: Fraction
     # nothing taken inside the edge range: what lies before the range is
     plan = needs.join(edge.select("pattern", F.col("part").alias("range")), "pattern", "left").join(last, "pattern", "left")
     plan = plan.select("pattern", "times", F.coalesce("last", "range").alias("last"), F.col("cut.digest").alias("part"), F.col("cut.fit").alias("some"))
-    return Mix(written(plan, "plan"), sizes, target)
+    return Mix(written(plan, "plan"), sizes, target, len(need))
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -234,8 +242,7 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     facts = [(s, n, float(mix.targets[s])) for s, n in mix.sizes.items()]
     facts = spark.createDataFrame(facts, "source string, source_size long, target double")
     taken = mix.times(rows).withColumn("source", F.col("members")[0])
-    # one row per source
-    return taken.join(F.broadcast(facts), taken["source"].eqNullSafe(facts["source"])).select(
+    return taken.join(_few(facts, len(mix.sizes)), taken["source"].eqNullSafe(facts["source"])).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken")
     )
 

@@ -172,6 +172,15 @@ def test_mixing_more_sources_than_a_flow_takes(spark):
     assert abs(total - want) <= 2 * n and rows.where("taken > 2 * size").isEmpty()
 
 
+def test_mixing_without_broadcasts(hard, monkeypatch):
+    def rows():
+        return sorted(map(tuple, mixing.mixture(hard).collect()), key=str), mixing.mixed_documents(hard).count()
+
+    want = rows()
+    monkeypatch.setattr(mixing, "FEW", 0)
+    assert rows() == want
+
+
 def test_block_numbers_are_ranks(spark):
     df = written(spark.range(1_000).selectExpr("id % 3 AS g", "id").repartition(7), "numbered")
     df = written(df.withColumn("row_id", F.monotonically_increasing_id()), "numbered-2")
