@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -11,6 +11,9 @@ from . import audit
 # Reconciliation states.
 MATCH, MISMATCH, MISSING = "OK", "MISMATCH", "MISSING"
 
+#: Tuning value: up to so many tables on cycles are broadcast to the pairs of a closure.
+BROADCAST_IDS = 1 << 20
+
 
 def reconcile(source_counts: DataFrame, target_counts: DataFrame, keys) -> DataFrame:
     """Per batch, records in the source vs the target, the difference and a status.
@@ -50,36 +53,51 @@ def closure(edges: DataFrame, upstream: str = "source_table", downstream: str =
     """L9 to any depth: every (upstream, downstream) that is joined by edges, with the least number of hops and
     whether both lie on a common cycle.
 
-    Paths are doubled until no pair and no hop count changes, so a chain of n edges takes about log2(n) rounds.
-    Each round is written to the shared work folder, which cuts lineage and lets the next one be replanned from
-    its real size. Parallel edges and loads of one edge are one edge; edges with a null end are left out, and a
-    table that feeds itself is downstream of itself. Rows are as many as the result's at most.
+    A round that knows all pairs up to n hops finds those of n + 1 to 2 n hops: a pair of exactly n hops and a
+    known one behind it, so a chain of n edges takes about log2(n) rounds and meets each of its pairs once.
+    Tables are numbered, and a round writes only its new pairs, to the shared work folder, which cuts lineage and
+    lets the next one be replanned from its real size. Names come back at the end, and only pairs of which both
+    tables lie on cycles are looked up the other way round. Parallel edges and loads of one edge are one edge;
+    edges with a null end are left out, and a table that feeds itself is downstream of itself.
     """
     spark = edges.sparkSession
-    ends = edges.select(F.col(upstream).alias("upstream"), F.col(downstream).alias("downstream"))
-    paths = ends.where("upstream IS NOT NULL AND downstream IS NOT NULL").distinct().withColumn("hops", F.lit(1).cast("long"))
-
-    def kept(df: DataFrame) -> tuple[DataFrame, tuple]:
-        path = scratch_path(spark, "closure")
-        df.write.parquet(path)
-        out = spark.read.schema("upstream string, downstream string, hops long").parquet(path)
-        return out, tuple(out.agg(F.count(F.lit(1)), F.coalesce(F.sum("hops"), F.lit(0))).first())
-
-    paths, seen = kept(paths)
-    while seen[0]:
-        a, b = paths.alias("a"), paths.alias("b")
-        longer = a.join(b, F.col("a.downstream") == F.col("b.upstream")).select(
-            "a.upstream", "b.downstream", (F.col("a.hops") + F.col("b.hops")).alias("hops")
-        )
-        every = paths.unionByName(longer).groupBy("upstream", "downstream").agg(F.min("hops").alias("hops"))
-        paths, now = kept(every)
-        if now == seen:
-            break
-        seen = now
-    back = paths.select(F.col("upstream").alias("downstream"), F.col("downstream").alias("upstream"), F.lit(True).alias("back"))
-    return paths.join(back, ["upstream", "downstream"], "left").select(
-        "upstream", "downstream", "hops", F.coalesce("back", F.lit(False)).alias("in_cycle")
-    )
+    ends = edges.select(F.col(upstream).cast("string").alias("upstream"), F.col(downstream).cast("string").alias("downstream"))
+    ends = ends.where("upstream IS NOT NULL AND downstream IS NOT NULL").distinct()
+    root = scratch_path(spark, "closure")
+    names = ends.select(F.explode(F.array("upstream", "downstream")).alias("name")).distinct()
+    names.withColumn("id", F.monotonically_increasing_id()).write.parquet(f"{root}/names")
+    names = spark.read.schema("name string, id long").parquet(f"{root}/names")
+    a, b = names.toDF("upstream", "u"), names.toDF("downstream", "v")
+
+    def kept(df: DataFrame, hops: int) -> tuple[DataFrame, int, int]:
+        """``df`` written, how many of its pairs have exactly ``hops`` hops, and how many begin where they end."""
+        seen = Observation(f"closure_{hops}")
+        counts = F.count_if(F.col("hops") == hops).alias("far"), F.count_if(F.col("u") == F.col("v")).alias("round")
+        df.observe(seen, *counts).write.parquet(f"{root}/pairs-{hops}")
+        return spark.read.schema("u long, v long, hops long").parquet(f"{root}/pairs-{hops}"), seen.get["far"], seen.get["round"]
+
+    reach = 1
+    known, frontier, n_circular = kept(ends.join(a, "upstream").join(b, "downstream").select("u", "v", F.lit(1).cast("long").alias("hops")), reach)
+    while frontier:
+        far = known.where(F.col("hops") == reach).select("u", F.col("v").alias("via"))
+        near = known.select(F.col("u").alias("via"), "v", (F.col("hops") + reach).alias("hops"))
+        longer = far.join(near, "via").groupBy("u", "v").agg(F.min("hops").alias("hops"))
+        new, frontier, more = kept(longer.join(known.select("u", "v"), ["u", "v"], "left_anti"), 2 * reach)
+        known, reach, n_circular = known.unionByName(new), 2 * reach, n_circular + more
+    out = ["upstream", "downstream", "hops", "in_cycle"]
+    if not n_circular:
+        return known.join(a, "u").join(b, "v").withColumn("in_cycle", F.lit(False)).select(*out)
+    circular = known.where("u = v").select(F.col("u").alias("id"))
+    small = F.broadcast(circular) if n_circular <= BROADCAST_IDS else circular
+    inner = known.join(small.toDF("u"), "u", "left_semi").join(small.toDF("v"), "v", "left_semi")
+    inner.select("u", "v", "hops").write.parquet(f"{root}/circular")
+    inner = spark.read.schema("u long, v long, hops long").parquet(f"{root}/circular")
+    back = inner.select(F.col("u").alias("v"), F.col("v").alias("u"), F.lit(True).alias("back"))
+    inner = inner.join(back, ["u", "v"], "left").join(a, "u").join(b, "v").withColumn("in_cycle", F.coalesce("back", F.lit(False)))
+    flagged = names.join(circular.withColumn("round", F.lit(True)), "id", "left").select("id", "name", F.col("round").isNotNull().alias("round"))
+    paths = known.join(flagged.toDF("u", "upstream", "from_cycle"), "u").join(flagged.toDF("v", "downstream", "to_cycle"), "v")
+    outer = paths.where("NOT (from_cycle AND to_cycle)").withColumn("in_cycle", F.lit(False))
+    return outer.select(*out).unionByName(inner.select(*out))
 
 
 def upstream_of(paths: DataFrame, table: str) -> DataFrame:
