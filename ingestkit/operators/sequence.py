@@ -4,14 +4,16 @@
 the same key in a total order. A plain ``Window.partitionBy(key)`` sends every
 row of a key to one task; when one key holds a large share of the rows that
 task becomes the whole job. Here all rows are cut into ranges of (key, order)
-at sampled rows (``range_cuts``), whatever the sizes of the keys, and the
-window runs over (key, range). A key that lies in several ranges carries its
-ends over: the first and last row of each of its ranges take their missing
-neighbour from the adjacent range.
-
-Sizes: there are at most MAX_RANGES cuts, so at most as many keys lie in more
-than one range and the table of range ends, which is broadcast, has at most
-2 * MAX_RANGES rows. The sample has about SAMPLES_PER_RANGE rows per cut.
+at sampled rows (``range_cuts``). A key that holds two cuts or more, so about a
+whole range of rows, is divided at them and the window runs over (key, range);
+other keys are windows of their own, whatever range they begin in. A divided
+key carries its ends over: the first and last row of each of its ranges take
+their missing neighbour from the adjacent range.
+
+Sizes: there are at most MAX_RANGES cuts, a divided key has one range more than
+cuts, and the table of range ends, which is broadcast, has a row for each. The
+sample has about SAMPLES_PER_RANGE rows per cut and is one pass over the keys
+and order columns; rows of keys that are not divided are not searched for.
 """
 
 from __future__ import annotations
@@ -32,10 +34,12 @@ SAMPLES_PER_RANGE = 8
 
 @dataclass(frozen=True)
 class Cuts:
-    """At most MAX_RANGES starts of ranges, as JSON of an array of (keys, order), and the array's type."""
+    """At most MAX_RANGES starts of ranges, as JSON of an array of (keys, order), the array's type, and the hashes
+    of the keys that hold two or more of them."""
 
     text: str
     kind: ArrayType
+    divided: tuple[int, ...] = ()
 
     def starts(self) -> Column:
         """The starts as a literal, sorted here: whatever JSON makes of a value, the ranges are in order."""
@@ -47,20 +51,20 @@ def range_cuts(df: DataFrame, keys, order, range_rows: int = RANGE_ROWS) -> Cuts
 
     Compared as structs, nulls first, which is how the windows sort: any
     orderable columns work, and where the cuts lie changes only the balance,
-    never the outcome. One job counts the rows and one samples them, neither
-    with a shuffle of rows; the cuts are then a literal of the later plans, so all
-    passes over the rows see the same ranges.
+    never the outcome. One job samples the rows, without a shuffle of them; the
+    cuts are then a literal of the later plans, so all passes over the rows see
+    the same ranges.
     """
     keys, order = list(keys), list(order)
-    total = df.count()
-    pieces = min(MAX_RANGES, -(-total // range_rows))
-    if pieces <= 1:
-        return None
-    sample = df.where(F.rand(7) < F.lit(pieces * SAMPLES_PER_RANGE / total)).select(_seq(keys + order).alias("at"))
+    sample = df.where(F.rand(7) < F.lit(SAMPLES_PER_RANGE / range_rows)).select(_seq(keys + order).alias("at"))
     starts = sample.agg(F.array_sort(F.collect_list("at")).alias("s"))
-    step = F.greatest(F.lit(1), F.floor(F.size("s") / F.lit(pieces))).cast("int")
+    step = F.greatest(F.lit(max(1, min(SAMPLES_PER_RANGE, range_rows))), F.ceil(F.size("s") / F.lit(MAX_RANGES))).cast("int")
     table = starts.select(F.filter("s", lambda x, i: (i + 1) % step == 0).alias("cuts"))
-    return Cuts(table.select(F.to_json("cuts")).first()[0], table.schema["cuts"].dataType)
+    key = lambda x: F.struct(*[x[f"c{i}"] for i in range(len(keys))])
+    again = F.filter("cuts", lambda x, i: (i > 0) & F.coalesce(key(x).eqNullSafe(key(F.get("cuts", i - 1))), F.lit(False)))
+    hashes = F.array_distinct(F.transform(again, lambda x: F.xxhash64(*[x[f"c{i}"] for i in range(len(keys))])))
+    text, divided = table.select(F.to_json("cuts"), hashes).first()
+    return None if text == "[]" else Cuts(text, table.schema["cuts"].dataType, tuple(divided))
 
 
 def _seq(columns):
@@ -75,25 +79,19 @@ def _on_keys(left: DataFrame, right: DataFrame, keys, how: str) -> DataFrame:
 
 
 def _tag(df: DataFrame, cuts: Cuts, keys, order) -> DataFrame:
-    """``_sub``, the number of cuts at or before the row, and ``_cut``: the row's key is that of a cut
-    beside its range, so it may go on in the next range or come from the one before."""
-    starts = cuts.starts()
+    """``_cut``: the row's key is divided (or shares the hash of one that is); and ``_sub``, then the number of cuts
+    at or before the row, else 0."""
     # binary search as one expression: a filter pushed below it copies it once, not once per step
     steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(MAX_RANGES.bit_length()))])
-    state = F.struct(F.lit(0).alias("at"), starts.alias("starts"), _seq(keys + order).alias("row"))
+    state = F.struct(F.lit(0).alias("at"), cuts.starts().alias("starts"), _seq(keys + order).alias("row"))
 
     def halve(s, step):
         ahead = F.coalesce(F.get(s["starts"], s["at"] + step - 1) <= s["row"], F.lit(False))
         return s.withField("at", F.when(ahead, s["at"] + step).otherwise(s["at"]))
 
-    df = df.withColumn("_sub", F.aggregate(steps, state, halve, lambda s: s["at"]))
-
-    def beside(i):
-        start = F.get(starts, i)
-        return reduce(lambda a, b: a & b, [start[f"c{j}"].eqNullSafe(F.col(k)) for j, k in enumerate(keys)])
-
-    # outside the array every field is null, which only marks null keys once too often
-    return df.withColumn("_cut", beside(F.col("_sub") - 1) | beside(F.col("_sub")))
+    divided = F.xxhash64(*keys).isin(*cuts.divided)
+    at = F.when(divided, F.aggregate(steps, state, halve, lambda s: s["at"])).otherwise(F.lit(0))
+    return df.withColumns({"_sub": at, "_cut": divided})
 
 
 AUTO = "auto"
@@ -127,13 +125,13 @@ def with_neighbors(
         cols["_is_last"] = F.lead(F.lit(1)).over(w).isNull()
         return frame.withColumns(cols)
 
-    if cuts is None:
-        # One range: no ends to carry.
+    if cuts is None or not cuts.divided:
+        # No ends to carry.
         return neighbours(df, keys)
     tagged = _tag(df, cuts, keys, order)
     local = neighbours(tagged, keys + ["_sub"])
 
-    # Ends of the keys that a cut may divide: a row per key and range, combined before the shuffle.
+    # Ends of the divided keys: a row per key and range, combined before the shuffle.
     payload = F.struct(*[F.col(c) for c in dict.fromkeys(prev_cols + next_cols)])
     ends = (
         tagged.where("_cut")
@@ -142,7 +140,7 @@ def with_neighbors(
     )
     wb = Window.partitionBy(*keys).orderBy("_sub")
     bounds = ends.select(*keys, "_sub", F.lag("_hi").over(wb).alias("_before"), F.lead("_lo").over(wb).alias("_after"))
-    # at most two rows per cut
+    # a row per range of a divided key
     joined = _on_keys(local, F.broadcast(bounds), keys + ["_sub"], "left")
     fixes = {}
     for c in prev_cols:
@@ -167,7 +165,7 @@ def fill_forward(
 ) -> DataFrame:
     """Add ``out``: the last non-null ``value`` at or before each row within its key.
 
-    Cut like ``with_neighbors``: a key is filled inside each of its ranges,
+    Cut like ``with_neighbors``: a divided key is filled inside each of its ranges,
     then a row with nothing before it in its range takes the last value of the
     key's earlier ranges.
     """
@@ -179,7 +177,7 @@ def fill_forward(
         w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return frame.withColumn(out, F.last(F.col(value), ignorenulls=True).over(w))
 
-    if cuts is None:
+    if cuts is None or not cuts.divided:
         return local(df, keys)
     tagged = _tag(df, cuts, keys, order)
     filled = local(tagged, keys + ["_sub"])
@@ -191,6 +189,6 @@ def fill_forward(
     )
     wb = Window.partitionBy(*keys).orderBy("_sub").rowsBetween(Window.unboundedPreceding, -1)
     carry = ends.select(*keys, "_sub", F.last(F.col("_m._v"), ignorenulls=True).over(wb).alias("_carry"))
-    # at most two rows per cut
+    # a row per range of a divided key
     joined = _on_keys(filled, F.broadcast(carry), keys + ["_sub"], "left")
     return joined.withColumn(out, F.coalesce(F.col(out), F.col("_carry"))).drop("_carry", "_cut", "_sub")
