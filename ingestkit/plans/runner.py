@@ -132,12 +132,16 @@ def load_table(
 
 
 def with_duplicates(spark: SparkSession, landed: DataFrame, keys: KnownKeys, batch_id: str, path: str, order) -> DataFrame:
-    """``landed`` with the reason why a row's key is a duplicate, or null; the reasons are written once by row
-    number, so counting, quarantine and silver agree on them."""
-    found = keys.duplicates(landed.drop("_ingestion_timestamp"), batch_id, ROW, list(order))
-    _put(found.withColumn("_batch", F.lit(batch_id)), path, "_batch")
-    marks = spark.read.schema(f"{ROW} bigint, reason string, _batch string").parquet(path).where(F.col("_batch") == batch_id)
-    return landed.join(marks.select(ROW, F.col("reason").alias(DUPLICATE)), ROW, "left")
+    """``landed`` with the reason why a row's key is a duplicate, or null. The rows are written once with their
+    reasons, so counting, quarantine and silver agree on them and none of them joins again; ``path`` lists the
+    duplicates by row number."""
+    found = keys.marked(landed, batch_id, ROW, list(order), unordered=("_ingestion_timestamp",))
+    found = found.withColumnRenamed("reason", DUPLICATE).withColumn("_batch", F.lit(batch_id))
+    marked = f"{keys.root}/marked"
+    _put(found, marked, "_batch")
+    rows = spark.read.schema(found.schema).parquet(marked).where(F.col("_batch") == batch_id)
+    _put(rows.where(F.col(DUPLICATE).isNotNull()).select(ROW, F.col(DUPLICATE).alias("reason"), "_batch"), path, "_batch")
+    return rows.drop("_batch")
 
 
 def stored_watermark(table: ResolvedTable, log: A.AuditLog) -> datetime | None:
