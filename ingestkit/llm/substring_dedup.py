@@ -37,6 +37,10 @@ from ingestkit.llm.common import tidy, written
 LENGTH = 50
 GRAM = 8
 
+#: Tuning values: rows that a task works on at once, and window rows that it hands over at once.
+SLICE_ROWS = 512
+WINDOW_ROWS = 1 << 15
+
 #: An odd base of the polynomial word hash, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -102,12 +106,19 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
+def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of at most SLICE_ROWS rows: what a task makes of a batch before Spark takes it is bounded by that."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE_ROWS):
+            yield b.slice(at, SLICE_ROWS)
+
+
 def _packed(keyed: DataFrame) -> DataFrame:
     """(did, th, blob): the words, compressed for the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(3)
-        for b in batches:
+        for b in _sliced(batches):
             blobs = [pack.compress(b" ".join((t.as_py() or b"").split())) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(blobs, pa.binary())], ["did", "th", "blob"])
 
@@ -123,7 +134,7 @@ def scan(keyed: DataFrame, length: int, gram: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
-        for b in batches:
+        for b in _sliced(batches):
             n_words, digests, parts = [], [], ([], [], [], [])
             for t in b.column(3):
                 w = (t.as_py() or b"").split()
@@ -138,16 +149,25 @@ def scan(keyed: DataFrame, length: int, gram: int) -> DataFrame:
             )
 
     return keyed.mapInArrow(
-        run,
+        tidy(run),
         "doc_id long, did long, th long, n_words long, sha string, "
         "seed array<long>, context array<long>, first array<int>, n array<int>",
     )
 
 
+def _batches(parts: list[tuple[np.ndarray, ...]], names: list[str]) -> Iterator[pa.RecordBatch]:
+    whole = pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names)
+    for at in range(0, whole.num_rows, WINDOW_ROWS):  # the windows of one long document are many
+        yield whole.slice(at, WINDOW_ROWS)
+
+
 def _windows(joined: DataFrame, length: int) -> DataFrame:
     """One row per window of the asked contexts: (seed, context, t, window, did)."""
 
+    names = ["seed", "context", "t", "window", "did"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, rows = [], 0
         for b in batches:
             for did, blob, asked in zip(b.column(0), b.column(1), b.column(2), strict=True):
                 roll = Rolling(_unpacked(blob.as_py()))
@@ -156,11 +176,13 @@ def _windows(joined: DataFrame, length: int) -> DataFrame:
                 t = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 start = np.repeat(f[2].astype(np.int64), n) + t
                 window = roll.spans(start, start + length).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(f[0], n)), pa.array(np.repeat(f[1], n)), pa.array(t.astype(np.int32)),
-                     pa.array(window), pa.array(np.full(len(t), did.as_py(), np.int64))],
-                    ["seed", "context", "t", "window", "did"],
-                )
+                parts.append((np.repeat(f[0], n), np.repeat(f[1], n), t.astype(np.int32), window, np.full(len(t), did.as_py(), np.int64)))
+                rows += len(t)
+                if rows >= WINDOW_ROWS:  # a batch per document would cost Spark more than its rows
+                    yield from _batches(parts, names)
+                    parts, rows = [], 0
+        if parts:
+            yield from _batches(parts, names)
 
     return joined.select("did", "blob", "asked").mapInArrow(tidy(run), "seed long, context long, t int, window long, did long")
 
@@ -169,7 +191,7 @@ def _cut(joined: DataFrame, length: int) -> DataFrame:
     """(did, th, n_removed, kept) with the words outside the covered runs of windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _sliced(batches):
             removed, kept = [], []
             for blob, runs in zip(b.column(2), b.column(3), strict=True):
                 w = _unpacked(blob.as_py())

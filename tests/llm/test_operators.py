@@ -547,3 +547,18 @@ def _sizes(rows) -> dict:
     for r in rows:
         out[r.source] += len((r.text or "").split())
     return dict(out)
+
+
+def test_batches_of_a_task_are_bounded():
+    """op10: rows are worked on by slices, and windows are handed over in batches of many documents' rows."""
+    import numpy as np
+    import pyarrow as pa
+
+    from ingestkit.llm import substring_dedup as sd
+
+    n = 3 * sd.SLICE_ROWS + 7
+    sizes = [b.num_rows for b in sd._sliced(iter([pa.RecordBatch.from_arrays([pa.array(range(n))], ["x"])]))]
+    assert sum(sizes) == n and max(sizes) == sd.SLICE_ROWS
+    parts = [(np.arange(i * 10_000, (i + 1) * 10_000),) for i in range(10)]
+    out = list(sd._batches(parts, ["x"]))
+    assert max(b.num_rows for b in out) == sd.WINDOW_ROWS and pa.Table.from_batches(out)["x"].to_pylist() == list(range(100_000))
