@@ -3,7 +3,8 @@
 Texts are split by the tokenizer's pattern. Words are encoded by a fold of Spark higher-order functions
 over the word's bytes: the state is the array of pieces, each with its id and its rank with the next; each
 step merges the leftmost pair of least rank. Ranks come from a literal map, constant arrays: one of all
-pairs of bytes, and one in which every pair of pieces sits at one of the two places its hash names.
+pairs of bytes, and one of all pairs of pieces, the rows of the left pieces laid over each other, so that
+one addition names the only place where a pair can be.
 
 Distinct words are encoded once: the words of the whole corpus are counted, the most frequent ones (at
 most ``FREQUENT``, whole classes of equal magnitude) are encoded and sent to every task, a table of
@@ -21,7 +22,8 @@ from __future__ import annotations
 import base64
 import heapq
 import struct
-from collections.abc import Iterator
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingestkit.llm.common import fresh, give_back, let, tidy, written
+from ingestkit.llm.common import fresh, give_back, tidy, written
 
 FREQUENT = 1 << 19
 PLACE_BITS = 6
@@ -39,7 +41,10 @@ LONG = 1 << PLACE_BITS
 ID_BITS = 16
 #: The rank of two pieces that do not merge: above all ranks.
 NONE = 1 << 16
-SLOT_BITS = 18
+#: Places looked at together, times the length of a row, when rows are laid over each other; rows up to ``SHORT``
+#: look for gaps from the start again.
+PLACES = 1 << 16
+SHORT = 16
 #: Documents put together at a time when ids are laid out.
 GROUP = 256
 BATCH_BYTES = 2 << 20
@@ -62,37 +67,61 @@ def _merged(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
+def _laid_over(rows: dict[int, list[int]]) -> list[int]:
+    """A start for each number, so that no two places ``start + right`` of the rows are the same; the longest
+    rows are laid first, the shorter ones into their gaps."""
+    width = 1 + max((max(row) for row in rows.values()), default=0)
+    free = np.ones(width, bool)
+    starts, at, gaps_from = [0] * (1 + max(rows, default=-1)), 0, SHORT.bit_length() + 1
+    for left in sorted(rows, key=lambda i: (-len(rows[i]), i)):
+        row = np.array(sorted(rows[left]), np.int64)
+        if len(row).bit_length() < gaps_from:
+            at, gaps_from = 0, len(row).bit_length()
+        step = PLACES // len(row) + 1
+        while True:
+            if at + step + width > len(free):
+                free = np.concatenate((free, np.ones(width + step, bool)))
+            first = at + np.flatnonzero(free[at : at + step])
+            fits = free[first[:, None] + (row - row[0])].all(axis=1)
+            if fits.any():
+                break
+            at += step
+        at = int(first[fits.argmax()])
+        free[at + (row - row[0])] = False
+        starts[left] = at - int(row[0])
+    return starts
+
+
 @lru_cache(maxsize=4)
-def _literal(path: str) -> tuple[str, str, str, tuple[str, ...]]:
-    """The rank map as comma-separated numbers: pair slots, byte ids, ranks of two bytes; and the pieces
-    (hex) that merging their bytes does not produce, which a tokenizer takes as a whole all the same.
+def _literal(path: str) -> tuple[str, str, str, str, tuple[str, ...]]:
+    """The rank map as comma-separated numbers: starts of the left pieces, cells, byte ids, ranks of two
+    bytes; and the pieces (hex) that merging their bytes does not produce, which a tokenizer takes as a
+    whole all the same.
 
-    A slot holds ``(left id * 2**16 + right id) * 2**16 + rank``, at one of the two places that the hash
-    of the pair names (cuckoo hashing), or -1.
+    The cell at the start of a left piece plus the id of a right one holds ``left id * 2**16 + rank`` if
+    the two merge; else it is empty (-1), of another left piece, or beyond the ends.
     """
     ranks = read_ranks(path)
     if max(ranks.values(), default=0) >= (1 << 16) - 1:
         raise ValueError("ids over 16 bits")
-    slots, mask = [-1] * (1 << SLOT_BITS), (1 << SLOT_BITS) - 1
+    rows: dict[int, dict[int, int]] = defaultdict(dict)
     for piece, rank in ranks.items():
         for cut in range(1, len(piece)):
             left, right = ranks.get(piece[:cut]), ranks.get(piece[cut:])
-            if left is None or right is None:
-                continue
-            item, at = (left << 32) + (right << 16) + rank, None
-            for _ in range(10_000):
-                h = xxhash.xxh64_intdigest(struct.pack("<q", item >> 16), 42)
-                places = (h & mask, h >> SLOT_BITS & mask)
-                at = places[0] if at != places[0] else places[1]
-                item, slots[at] = slots[at], item
-                if item < 0:
-                    break
-            else:
-                raise ValueError("the rank table is too full")
+            if left is not None and right is not None:
+                rows[left][right] = rank
+    starts = _laid_over({left: list(row) for left, row in rows.items()})
+    full = {starts[left] + right: (left << ID_BITS) + rank for left, row in rows.items() for right, rank in row.items()}
+    cells = [full.get(i, -1) for i in range(1 + max(full, default=-1))]
     whole = tuple(p.hex().upper() for p in ranks if len(_merged(p, ranks)) > 1)
     single = [ranks[bytes([i])] for i in range(256)]
     pairs = [ranks.get(bytes([i, j]), NONE) for i in range(256) for j in range(256)]
-    return ",".join(map(str, slots)), ",".join(map(str, single)), ",".join(map(str, pairs)), whole
+    return *(",".join(map(str, x)) for x in (starts, cells, single, pairs)), whole
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, as ``common.let`` but without an array for it."""
+    return F.aggregate(F.array(), value, lambda v, _: v, body)
 
 
 class Fold:
@@ -101,60 +130,52 @@ class Fold:
     The arrays stand once in an expression and are bound to the variable ``t``; every lookup refers to it.
 
     The state of a fold is one array of longs, one for each piece, left to right: the rank of the piece
-    with its right neighbour (``NONE`` if they do not merge), its place and its id, in this order of bits.
-    The least of them so names the leftmost pair of least rank. A merge shifts the pieces after it to the
-    left and leaves nulls at the end.
+    with its right neighbour (``NONE`` if they do not merge), the place of its first byte and its id, in
+    this order of bits. No two are equal, and the least of them names the leftmost pair of least rank.
     """
 
     def __init__(self, path: str):
-        slots, ids, pairs, self.whole = _literal(path)
+        *numbers, self.whole = _literal(path)
+        names = ("starts", "cells", "ids", "pairs")
         self.map = F.struct(
-            F.split(F.lit(slots), ",", -1).cast("array<bigint>").alias("slots"),
-            F.split(F.lit(ids), ",", -1).cast("array<bigint>").alias("ids"),
-            F.split(F.lit(pairs), ",", -1).cast("array<bigint>").alias("pairs"),
+            *(F.split(F.lit(n), ",", -1).cast("array<bigint>").alias(name) for n, name in zip(numbers, names, strict=True))
         )
 
     @staticmethod
     def _rank(t: Column, left: Column, right: Column) -> Column:
-        """Rank (which is the id) of two neighbouring ids as one piece, or ``NONE``."""
-        mask = (1 << SLOT_BITS) - 1
-
-        def at(key: Column, place: Column, other: Column) -> Column:
-            v = F.get(t["slots"], place.bitwiseAND(mask).cast("int"))
-            return let(v, lambda v: F.when(F.shiftright(v, 16) == key, v.bitwiseAND(65535)).otherwise(other))
-
-        key = F.shiftleft(left, 16) + right
-        found = let(key, lambda k: let(F.xxhash64(k), lambda h: at(k, h, at(k, F.shiftright(h, SLOT_BITS), F.lit(NONE)))))
-        return F.when(left.isNull() | right.isNull(), F.lit(NONE)).otherwise(found)
+        """Rank (which is the id) of two neighbouring ids as one piece, or ``NONE``; null is no neighbour."""
+        cell = F.get(t["cells"], (F.get(t["starts"], left.cast("int")) + right).cast("int"))
+        return let(cell, lambda v: F.when(F.shiftright(v, ID_BITS) == left, v.bitwiseAND((1 << ID_BITS) - 1)).otherwise(F.lit(NONE)))
 
     def _encode(self, t: Column, word: Column) -> Column:
-        id_mask, one = (1 << ID_BITS) - 1, 1 << ID_BITS
+        id_mask, rank_bits = (1 << ID_BITS) - 1, ID_BITS + PLACE_BITS
+        place_mask = (1 << rank_bits) - 1 - id_mask
+
+        def merged(s: Column, m: Column, i: Column) -> Column:
+            """``m``: the left of the two pieces, ``i``: the index of the right one."""
 
-        def piece(rank: Column, place: Column, piece_id: Column) -> Column:
-            return F.shiftleft(rank, ID_BITS + PLACE_BITS) + F.shiftleft(place.cast("long"), ID_BITS) + piece_id
+            def put(new: Column) -> Column:
+                after, before = F.get(s, i + 1).bitwiseAND(id_mask), F.get(s, i - 2)
+                own = F.shiftleft(self._rank(t, new, after), rank_bits) + m.bitwiseAND(place_mask) + new
+                left = F.shiftleft(self._rank(t, before.bitwiseAND(id_mask), new), rank_bits) + before.bitwiseAND(place_mask + id_mask)
+                pieces = F.struct(own.alias("own"), left.alias("left"), (i - 2).alias("before"))
+                return let(pieces, lambda p: F.array_compact(F.transform(s, lambda x, j: F.when(j < p["before"], x).when(j > i, x)
+                           .when(j == i, F.lit(None)).when(j == p["before"], p["left"]).otherwise(p["own"]))))
 
-        def merged(s: Column, new: Column, i: Column) -> Column:
-            before, after = F.get(s, i - 1).bitwiseAND(id_mask), F.get(s, i + 2).bitwiseAND(id_mask)
-            pair = F.struct(
-                let(before, lambda b: piece(self._rank(t, b, new), i - 1, b)).alias("left"),
-                let(after, lambda a: piece(self._rank(t, new, a), i, new)).alias("new"),
-            )
-            return let(pair, lambda p: F.transform(s, lambda x, j: F.when(j > i, F.get(s, j + 1) - one)
-                       .when(j < i - 1, x).when(j == i, p["new"]).otherwise(p["left"])))
+            return let(F.shiftright(m, rank_bits), put)
 
         def step(s: Column, _: Column) -> Column:
-            return let(F.array_min(s), lambda m: F.when(m >= NONE << (ID_BITS + PLACE_BITS), s).otherwise(
-                let(F.shiftright(m, ID_BITS + PLACE_BITS), lambda new: let(
-                    F.shiftright(m, ID_BITS).bitwiseAND((1 << PLACE_BITS) - 1).cast("int"), lambda i: merged(s, new, i)))))
+            return let(F.array_min(s), lambda m: F.when(m >= NONE << rank_bits, s).otherwise(
+                let(F.array_position(s, m).cast("int"), lambda i: merged(s, m, i))))
 
         def fold(codes: Column) -> Column:
             """``codes``: the bytes as numbers."""
             def first(c: Column, i: Column) -> Column:
                 rank = F.coalesce(F.get(t["pairs"], c * 256 + F.get(codes, i + 1)), F.lit(NONE))
-                return piece(rank, i, F.get(t["ids"], c))
+                return F.shiftleft(rank, rank_bits) + F.shiftleft(i.cast("long"), ID_BITS) + F.get(t["ids"], c)
 
             end = F.aggregate(F.slice(codes, 2, LONG), F.transform(codes, first), step)  # one step for each gap
-            return F.transform(F.filter(end, lambda x: x.isNotNull()), lambda x: x.bitwiseAND(id_mask).cast("int"))
+            return F.transform(end, lambda x: x.bitwiseAND(id_mask).cast("int"))
 
         def codes(chars: Column) -> Column:
             return F.transform(F.sequence(F.lit(1), F.char_length(chars)), lambda i: F.ascii(F.substr(chars, i, F.lit(1))))
@@ -352,12 +373,24 @@ def decode(tokens: DataFrame, path: str, ids_col: str = "ids", out: str = "decod
     pieces = [b""] * (max(ranks.values(), default=-1) + 1)
     for piece, rank in ranks.items():
         pieces[rank] = piece
+    table = pa.array(pieces, pa.binary())
+
+    def joined(ids: pa.Array) -> pa.Array:
+        """The pieces of all ids of a batch one after the other, cut where its documents end."""
+        ids = pc.fill_null(ids, b"")
+        if not len(ids):
+            return pa.array([], pa.binary())
+        ends, data = np.frombuffer(ids.buffers()[1], "<i4")[ids.offset : ids.offset + len(ids) + 1], ids.buffers()[2]
+        if ((ends - ends[0]) % 4).any():
+            raise ValueError("ids are 32-bit numbers")
+        numbers = np.frombuffer(data or b"", "<u4", (ends[-1] - ends[0]) // 4, ends[0] if data else 0)
+        text = table.take(pa.array(numbers))
+        stops = np.frombuffer(text.buffers()[1], "<i4")[text.offset :] if len(text) else np.zeros(1, "<i4")
+        return pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(stops[(ends - ends[0]) // 4]), text.buffers()[2]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column(b.schema.get_field_index(ids_col))
-            text = [b"".join(map(pieces.__getitem__, np.frombuffer(x.as_py() or b"", "<u4").tolist())) for x in ids]
-            yield b.append_column(out, pa.array(text, pa.binary()))
+            yield b.append_column(out, joined(b.column(b.schema.get_field_index(ids_col))))
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in tokens.schema)
     return tokens.mapInArrow(tidy(run), f"{fields}, `{out}` binary")

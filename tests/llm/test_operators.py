@@ -283,6 +283,43 @@ def test_bpe_long_words(tiktoken_encoding):
         assert bpe.merge_long(w.encode(), ranks) == tiktoken_encoding.encode_ordinary(w)
 
 
+def test_bpe_rank_map_has_one_place_for_a_pair(tiktoken_encoding):
+    """Any two pieces are looked up at one place; the cells of different left pieces never meet."""
+    path, _ = llm.tokenizer()
+    ranks = bpe.read_ranks(path)
+    starts, cells = ([int(x) for x in numbers.split(",")] for numbers in bpe._literal(path)[:2])
+    pairs = 0
+    for piece, rank in ranks.items():
+        for left, right in ((ranks.get(piece[:i]), ranks.get(piece[i:])) for i in range(1, len(piece))):
+            if left is not None and right is not None:
+                pairs += 1
+                assert cells[starts[left] + right] == (left << 16) + rank
+    assert pairs == sum(c >= 0 for c in cells)
+    assert bpe._laid_over({}) == [] and bpe._laid_over({1: [3, 5], 0: [4], 2: [0, 1, 2]})
+
+
+def test_bpe_fold_at_its_bounds(spark, tiktoken_encoding):
+    """Equal ranks, merges at both ends and words of 63, 64 (the fold's last) and 65 bytes."""
+    path, pattern = llm.tokenizer()
+    words = ["a", "aaaa", "abababab", "zzzzyzzzz", "thethethe", *("x" * n + "the" * 20 for n in (3, 4, 5)), "\u6f22" * 21, "\u6f22" * 22]
+    fold = bpe.Fold(path)
+    got = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.get(fold.encode(F.array("w")), F.lit(0)).alias("ids")).collect()
+    for r in got:
+        assert r.ids == (tiktoken_encoding.encode_ordinary(r.w) if len(r.w.encode()) <= bpe.LONG else None)
+
+
+def test_bpe_decode_rows_without_ids(spark):
+    path, _ = llm.tokenizer()
+    ids = bpe.packed([5, 300, 5])
+    rows = [(1, None), (2, b""), (3, ids), (4, None), (5, ids + ids)]
+    for some in (rows, rows[:2], []):
+        df = spark.createDataFrame(some, "n int, ids binary").coalesce(1)
+        got = {r.n: bytes(r.decoded) for r in bpe.decode(df, path).collect()}
+        text = {0: b"", 12: b"".join(p for i in (5, 300, 5) for p, k in bpe.read_ranks(path).items() if k == i)}
+        text[24] = text[12] * 2
+        assert got == {n: text[len(x or b"")] for n, x in some}
+
+
 def test_bpe_rows_keep_clashing_columns(hard):
     path, pattern = llm.tokenizer()
     out = bpe.encode_rows(hard, path, pattern)
