@@ -228,7 +228,7 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def frequent_words(docs: DataFrame, fold: Fold, pattern: str, text_col: str, most: int = FREQUENT) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The most frequent words of the corpus, the starts of their ids, and the ids."""
+    """The most frequent words of the corpus, where the ids of each end (after a 0), and the ids (16 bits)."""
     words = docs.select(F.explode(split_words(F.col(text_col), pattern)).alias("word"))
     counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     counts = written(counts.withColumn("class", F.floor(F.log2("n") * 64).cast("int")), "words")
@@ -241,7 +241,7 @@ def frequent_words(docs: DataFrame, fold: Fold, pattern: str, text_col: str, mos
     top = counts.where(F.col("class") >= floor).select("word", F.get(fold.encode(F.array("word")), F.lit(0)).alias("ids"))
     got = top.where("ids is not null").toArrow()  # at most ``most`` rows
     ids = got["ids"].combine_chunks()
-    return got["word"].combine_chunks(), ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype(np.uint32)
+    return got["word"].combine_chunks(), ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype(np.uint16)
 
 
 def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -259,9 +259,11 @@ def _marked(docs: DataFrame, pattern: str, text_col: str, words: pa.Array) -> Da
     ``rare``) and ``rare`` (the document's other words, each once)."""
 
     hashes, place = np.unique(_hashes(words), return_index=True)  # of words with one hash all but the first count as rare
+    shared = docs.sparkSession.sparkContext.broadcast((hashes, place.astype(np.int32), words))
 
     def found(names: pa.Array) -> np.ndarray:
         """Place of each name among ``words``, or -1."""
+        hashes, place, words = shared.value
         if not len(hashes):
             return np.full(len(names), -1, np.int32)
         h = _hashes(names)
@@ -295,10 +297,12 @@ def _marked(docs: DataFrame, pattern: str, text_col: str, words: pa.Array) -> Da
 def _laid_out(marked: DataFrame, starts: np.ndarray, pool: np.ndarray, ranks: dict[bytes, int]) -> DataFrame:
     """(row, n_tokens, ids) from the places of the words and the ids of the rare ones."""
 
-    size, starts = np.diff(starts).astype(np.int64), starts[:-1].astype(np.int64)
+    shared = marked.sparkSession.sparkContext.broadcast((starts, pool, pa.array([*ranks], pa.binary()), np.array([*ranks.values()], np.uint16)))
+    long_words: dict[bytes, int] = {}  # the ranks, in tasks that meet a long word
 
     def laid(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all documents of ``b`` one after the other, and where each ends."""
+        starts, pool, pieces, numbers = shared.value
         at = np.concatenate([np.frombuffer(x.as_py(), "<i4") for x in b.column(1)] or [np.zeros(0, "<i4")])
         words_in = np.array([len(x) // 4 for x in (y.as_buffer() for y in b.column(1))], np.int64)
         lists, words = b.column(3).flatten(), b.column(2).flatten()
@@ -306,7 +310,9 @@ def _laid_out(marked: DataFrame, starts: np.ndarray, pool: np.ndarray, ranks: di
         own_size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         own_start = np.cumsum(own_size) - own_size
         for i in np.flatnonzero(lists.is_null().to_numpy(zero_copy_only=False)) if lists.null_count else ():
-            ids = merge_long(words[int(i)].as_py().encode(), ranks)
+            if not long_words:
+                long_words.update(zip(pieces.to_pylist(), numbers.tolist(), strict=True))
+            ids = merge_long(words[int(i)].as_py().encode(), long_words)
             own_start[i], own_size[i] = len(own_pool), len(ids)
             own_pool = np.append(own_pool, np.array(ids, np.uint32))
         rare = at < 0
@@ -316,7 +322,9 @@ def _laid_out(marked: DataFrame, starts: np.ndarray, pool: np.ndarray, ranks: di
         own = before[rare] - 1 - at[rare]
         n, begin = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
         n[rare], begin[rare] = own_size[own], own_start[own]
-        n[~rare], begin[~rare] = size[at[~rare]], starts[at[~rare]]
+        known = at[~rare]
+        begin[~rare] = starts[known]
+        n[~rare] = starts[known + 1] - starts[known]
         stop = np.cumsum(n)
         source = np.repeat(begin - (stop - n), n) + np.arange(int(stop[-1]) if len(stop) else 0)
         out, from_own = np.empty(len(source), "<u4"), np.repeat(rare, n)
