@@ -45,11 +45,16 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Encodes and decodes every document: its other columns, then ``n_tokens``, ``ids`` (little-endian 32-bit) and
     ``decoded_sha256`` of the bytes that the ids decode to, which is the digest of the text. Null and empty
-    texts have no ids and the digest of no bytes; documents that repeat stay as often as they come."""
+    texts have no ids and the digest of no bytes; documents that repeat stay as often as they come.
+
+    The ids are written before they are decoded: a chain of Python steps in one task has a worker process for
+    each, which an executor keeps for all later stages."""
     relieve(spark)
     path, pattern = tokenizer()
     tokens = bpe.encode_rows(docs, path, pattern)
     ids, decoded, digest = tokens.columns[-1], fresh(tokens, "decoded"), fresh(tokens, "decoded_sha256")
+    tokens = written(tokens, "tokens")
+    relieve(spark)
     tokens = bpe.decode(tokens, path, ids, decoded)
     return tokens.withColumn(digest, F.sha2(decoded, 256)).drop(decoded)
 

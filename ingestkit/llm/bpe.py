@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingestkit.llm.common import fresh, give_back, tidy, written
+from ingestkit.llm.common import fresh, relieve, tidy, written
 
 FREQUENT = 1 << 19
 PLACE_BITS = 6
@@ -355,7 +355,7 @@ def _tokens(docs: DataFrame, path: str, pattern: str, text_col: str, most: int)
     conf.set("spark.sql.maxPlanStringLength", str(PLAN_CHARS))
     fold = Fold(path)
     words, starts, pool = frequent_words(docs, fold, pattern, text_col, most)
-    give_back()
+    relieve(docs.sparkSession)
     marked = _marked(docs, pattern, text_col, words).withColumn("ids", fold.encode(F.col("rare")))
     return _laid_out(marked, starts, pool, read_ranks(path))
 

@@ -579,6 +579,29 @@ def test_pipeline_against_brute_force(spark, tiktoken_encoding):
     assert sorted((r.doc_id, bytes(r.ids)) for r in tokens) == wanted
 
 
+def test_token_stage_has_one_python_step_at_a_time(spark):
+    """Ids are written before they are decoded, so that a task holds fewer worker processes; rows and digests stay."""
+    import corpus_pipeline as cp
+
+    rows = [(1, None), (2, ""), (None, "a b a"), (4, "the thing"), (4, "the thing")]
+    out = cp.token_stage(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    wanted = sorted((i or -1, hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows)
+    assert sorted((r.doc_id or -1, r.decoded_sha256) for r in out.collect()) == wanted
+
+
+def test_relieve_collects_where_tasks_run(spark):
+    from ingestkit.llm.common import relieve
+
+    def collections() -> int:
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return max(b.getCollectionCount() for b in beans if "Young" not in b.getName() and "Concurrent" not in b.getName() and b.getName() != "Copy")
+
+    before = collections()
+    relieve(spark)
+    assert collections() >= before + 2  # the driver's, and at least one of the tasks'
+
+
 def _sizes(rows) -> dict:
     out: dict = defaultdict(int)
     for r in rows:
