@@ -2,9 +2,10 @@
 
 Texts are split by the tokenizer's pattern. Words are encoded by a fold of Spark higher-order functions
 over the word's bytes: the state is the array of pieces, each with its id and its rank with the next; each
-step merges the leftmost pair of least rank. Ranks come from a literal map, constant arrays: one of all
-pairs of bytes, and one of all pairs of pieces, the rows of the left pieces laid over each other, so that
-one addition names the only place where a pair can be.
+step merges the leftmost pair of least rank. Ranks come from a map of constant arrays: one of all pairs of
+bytes, and one of all pairs of pieces, the rows of the left pieces laid over each other, so that one addition
+names the only place where a pair can be. The map is a table of one row, read by a scalar subquery: as literals
+it would stand in the text of every plan, which the driver keeps.
 
 Distinct words are encoded once: the words of the whole corpus are counted, the most frequent ones (at
 most ``FREQUENT``, whole classes of equal magnitude) are encoded and sent to every task, a table of
@@ -48,7 +49,6 @@ SHORT = 16
 #: Documents put together at a time when ids are laid out.
 GROUP = 256
 BATCH_BYTES = 2 << 20
-PLAN_CHARS = 100_000
 
 
 @lru_cache(maxsize=4)
@@ -119,15 +119,22 @@ def _literal(path: str) -> tuple[str, str, str, str, tuple[str, ...]]:
     return *(",".join(map(str, x)) for x in (starts, cells, single, pairs)), whole
 
 
+@lru_cache(maxsize=4)
+def _rank_map(path: str) -> pa.Table:
+    """The rank map as one row of arrays."""
+    rows = ([[int(x) for x in n.split(",") if x]] for n in _literal(path)[:4])
+    return pa.table([pa.array(x, pa.list_(pa.int64())) for x in rows], ["starts", "cells", "ids", "pairs"])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with the value computed once, as ``common.let`` but without an array for it."""
     return F.aggregate(F.array(), value, lambda v, _: v, body)
 
 
 class Fold:
-    """Expressions over the literal rank map of one rank file.
+    """Expressions over the rank map of one rank file.
 
-    The arrays stand once in an expression and are bound to the variable ``t``; every lookup refers to it.
+    The map stands once in an expression and is bound to the variable ``t``; every lookup refers to it.
 
     The state of a fold is one array of longs, one for each piece, left to right: the rank of the piece
     with its right neighbour (``NONE`` if they do not merge), the place of its first byte and its id, in
@@ -135,11 +142,14 @@ class Fold:
     """
 
     def __init__(self, path: str):
-        *numbers, self.whole = _literal(path)
-        names = ("starts", "cells", "ids", "pairs")
-        self.map = F.struct(
-            *(F.split(F.lit(n), ",", -1).cast("array<bigint>").alias(name) for n, name in zip(numbers, names, strict=True))
-        )
+        self.whole, self.ranks = _literal(path)[-1], _rank_map(path)
+
+    @property
+    def literal(self) -> Column:
+        """The map as literals, for plans that are not kept."""
+        arrays = {name: self.ranks[name][0].values for name in self.ranks.column_names}
+        texts = ((name, ",".join(map(str, x.to_pylist()))) for name, x in arrays.items())
+        return F.struct(*(F.split(F.lit(n), ",", -1).cast("array<bigint>").alias(name) for name, n in texts))
 
     @staticmethod
     def _rank(t: Column, left: Column, right: Column) -> Column:
@@ -187,9 +197,17 @@ class Fold:
         # a byte is the character of its number
         return F.when(taken, let(F.decode(body, "ISO-8859-1"), lambda chars: let(codes(chars), fold)))
 
-    def encode(self, words: Column) -> Column:
-        """Ids (array<int>) of each word of an array; null for a word that ``merge_long`` is to take."""
-        return let(self.map, lambda t: F.transform(words, lambda w: self._encode(t, w)))
+    def encode(self, words: Column, ranks: Column | None = None) -> Column:
+        """Ids (array<int>) of each word of an array; null for a word that ``merge_long`` is to take. ``ranks``: the map."""
+        ranks = self.literal if ranks is None else ranks
+        return let(ranks, lambda t: F.transform(words, lambda w: self._encode(t, w)))
+
+    def encoded(self, df: DataFrame, words: Column, name: str) -> DataFrame:
+        """``df`` with the ids of ``words`` as ``name``. The map is a scalar subquery of one row; used once, the optimizer
+        puts it in the place of the column that names it, so that no row carries it."""
+        ranks = fresh(df, "rank_map")
+        row = df.sparkSession.createDataFrame(self.ranks).select(F.struct("*"))
+        return df.withColumn(ranks, row.scalar()).select(*df.columns, self.encode(words, F.col(ranks)).alias(name))
 
 
 def split_words(text: Column, pattern: str) -> Column:
@@ -238,8 +256,9 @@ def frequent_words(docs: DataFrame, fold: Fold, pattern: str, text_col: str, mos
         if total > most:
             break
         floor = r["class"]
-    top = counts.where(F.col("class") >= floor).select("word", F.get(fold.encode(F.array("word")), F.lit(0)).alias("ids"))
-    got = top.where("ids is not null").toArrow()  # at most ``most`` rows
+    top = counts.where((F.col("class") >= floor) & (F.octet_length("word") <= LONG))
+    got = fold.encoded(top.select("word"), F.array("word"), "ids").select("word", F.get("ids", F.lit(0)).alias("ids")).toArrow()  # at most ``most``
+    got = got.filter(pc.is_valid(got["ids"]))  # here, as a filter in Spark would encode every word twice
     ids = got["ids"].combine_chunks()
     return got["word"].combine_chunks(), ids.offsets.to_numpy(), ids.values.to_numpy(zero_copy_only=False).astype(np.uint16)
 
@@ -347,16 +366,13 @@ def _tokens(docs: DataFrame, path: str, pattern: str, text_col: str, most: int)
     """(row, n_tokens, ids): every row of ``docs`` as a struct, and the ids of its text.
 
     Words are several times larger than their text, so the session's Arrow batches are held to
-    ``BATCH_BYTES`` from here on; and plans, which the driver keeps as text, to ``PLAN_CHARS``, as the
-    literal rank map stands in them.
+    ``BATCH_BYTES`` from here on.
     """
-    conf = docs.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
-    conf.set("spark.sql.maxPlanStringLength", str(PLAN_CHARS))
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     fold = Fold(path)
     words, starts, pool = frequent_words(docs, fold, pattern, text_col, most)
     relieve(docs.sparkSession)
-    marked = _marked(docs, pattern, text_col, words).withColumn("ids", fold.encode(F.col("rare")))
+    marked = fold.encoded(_marked(docs, pattern, text_col, words), F.col("rare"), "ids")
     return _laid_out(marked, starts, pool, read_ranks(path))
 
 

@@ -308,6 +308,26 @@ def test_bpe_fold_at_its_bounds(spark, tiktoken_encoding):
         assert r.ids == (tiktoken_encoding.encode_ordinary(r.w) if len(r.w.encode()) <= bpe.LONG else None)
 
 
+def test_bpe_plans_do_not_hold_the_rank_map(spark, hard, capsys):
+    """The driver keeps the text of every plan: the map's half a million numbers stand in none."""
+    path, pattern = llm.tokenizer()
+    words = spark.createDataFrame([("the",), ("x" * 99,)], "w string")
+    for df in (bpe.Fold(path).encoded(words, F.array("w"), "ids"), bpe.encode(hard, path, pattern)):
+        capsys.readouterr()
+        df.explain()
+        text = capsys.readouterr().out
+        assert len(text) < 20_000 and "rank_map" not in text  # nor does any row carry it
+
+
+def test_bpe_long_words_are_not_sent_to_the_driver(spark, tiktoken_encoding):
+    path, pattern = llm.tokenizer()
+    docs = spark.createDataFrame([(i, "the the " + "x" * 99) for i in range(3)], "doc_id long, text string")
+    words, ends, _ = bpe.frequent_words(docs, bpe.Fold(path), pattern, "text")
+    assert sorted(words.to_pylist()) == [" the", "the"] and len(ends) == 3
+    for r in bpe.encode(docs, path, pattern).collect():
+        assert bytes(r.ids) == bpe.packed(tiktoken_encoding.encode_ordinary("the the " + "x" * 99))
+
+
 def test_bpe_decode_rows_without_ids(spark):
     path, _ = llm.tokenizer()
     ids = bpe.packed([5, 300, 5])
